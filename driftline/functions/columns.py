@@ -36,7 +36,13 @@ def words(text: Column | str) -> Column:
 
 
 def shingles(tokens: Column, k: int) -> Column:
-    """Hashes of all runs of ``k`` words, without repeats."""
-    last = F.size(tokens) - k + 1
-    runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(tokens, i, k)))
-    return F.when(last >= 1, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+    """Hashes of all runs of ``k`` tokens, without repeats.
+
+    The tokens are bound by a lambda, else their expression would run again for every run.
+    """
+    def runs(held: Column) -> Column:
+        last = F.size(held) - k + 1
+        hashes = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(held, i, k)))
+        return F.when(last >= 1, F.array_distinct(hashes)).otherwise(F.array().cast("array<bigint>"))
+
+    return F.get(F.transform(F.array(tokens), runs), 0)

@@ -33,18 +33,19 @@ def candidate_causes(back: DataFrame, findings: DataFrame, k: int, lift: DataFra
                      weights: dict[str, float] | None = None) -> DataFrame:
     """The ``k`` best candidates per symptom among the findings on its way back.
 
-    Nearness on the graph, severity, earliness and (given ``lift`` by name) how much more
-    often runs with that event fail are weighed together. Candidates of one symptom are
+    Nearness on the graph, severity, earliness and (given ``lift``, the impact of events) how
+    much more often runs with that event fail are weighed together. Candidates of one symptom are
     bounded by the depth of the walk.
     """
     w = weights or WEIGHTS
     local = findings.where("step_id is not null").select("session_id", "step_id", "step", "stage", "rule_id", "rule_kind", "severity")
     found = back.select("session_id", "symptom_id", "symptom_step", "step_id", "depth").join(local, ["session_id", "step_id"])
     if lift is not None:
-        found = found.join(small_side(lift.select(F.col("name").alias("stage"), "lift")), "stage", "left")
+        found = found.join(small_side(lift.select(F.col("name").alias("stage"), "rate_with", "rate_without")), "stage", "left")
     else:
-        found = found.withColumn("lift", F.lit(None).cast("double"))
-    lift_part = F.coalesce(F.col("lift") / (1 + F.col("lift")), F.lit(0.0))
+        found = found.withColumns({c: F.lit(None).cast("double") for c in ("rate_with", "rate_without")})
+    # lift / (1 + lift), also where no run without the event failed
+    lift_part = F.coalesce(F.try_divide("rate_with", F.col("rate_with") + F.col("rate_without")), F.lit(0.0))
     score = (F.lit(w["reach"]) / (1 + F.col("depth")) + F.lit(w["severity"]) * F.col("severity")
              + F.lit(w["earliness"]) * (F.col("symptom_step") - F.col("step")) / F.col("symptom_step")
              + F.lit(w["lift"]) * lift_part)

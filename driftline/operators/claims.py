@@ -94,36 +94,47 @@ def attach_evidence(findings: DataFrame, evidence: DataFrame) -> DataFrame:
 
 
 def cites(texts: DataFrame, passages: DataFrame, text_id: str, passage_id: str, k: int = 8) -> DataFrame:
-    """Which texts quote which passages word for word, whatever the white space between words.
+    """Which texts hold which passages literally.
 
-    Every passage is known by one run of ``k`` of its words (all of them if it is shorter),
-    the one fewest passages share; a text can only quote it when it holds that run.
-    Candidates found by hash are then confirmed on the whole words, and only they carry text.
+    Every passage is known by one run of up to ``k`` of its inner words (the first and last
+    may be cut out of longer words), the run fewest passages share; passages of one or two
+    words by a run of characters. A text can only hold a passage when it holds that run.
+    Candidates found by hash are confirmed on the whole text, and only they carry text on.
     """
-    known = passages.select(F.col(passage_id), words("text").alias("_words")).where(F.size("_words") > 0)
-    known = known.withColumn("_k", F.least(F.size("_words"), F.lit(k)))
-    held_runs = known.select(passage_id, F.inline(_runs(range(1, k + 1), F.col("_k"))))
-    shared = held_runs.groupBy("_k", "_hash").agg(F.count("*").alias("_n"))
-    anchors = held_runs.join(shared, ["_k", "_hash"]).groupBy(passage_id).agg(
-        F.min(F.struct("_n", "_k", "_hash")).alias("_a")).select(passage_id, "_a._k", "_a._hash")
-    anchors = settle(anchors)
-    lengths = [r["_k"] for r in anchors.select("_k").distinct().collect()]  # at most k values
-
-    hashed = texts.select(F.col(text_id), words("text").alias("_words"))
-    held = hashed.select(text_id, F.inline(_runs(sorted(lengths))))
-    pairs = held.join(small_side(anchors), ["_k", "_hash"]).select(text_id, passage_id).distinct()
-
-    padded = F.concat(F.lit(" "), F.array_join("_words", " "), F.lit(" "))
-    confirmed = (pairs.join(hashed.select(text_id, padded.alias("_text")), text_id)
-                 .join(known.select(passage_id, padded.alias("_passage")), passage_id)
-                 .where(F.contains("_text", "_passage")))
-    return confirmed.select(text_id, passage_id)
-
-
-def _runs(lengths, only: Column | None = None) -> Column:
-    """Hashes of the word runs of the given lengths, each with its length."""
-    lists = [F.array().cast("array<struct<_k:int,_hash:bigint>>")]
-    for n in lengths:
-        marked = F.transform(shingles(F.col("_words"), n), lambda h, n=n: F.struct(F.lit(n).alias("_k"), h.alias("_hash")))
-        lists.append(marked if only is None else F.when(only == n, marked).otherwise(lists[0]))
-    return F.concat(*lists)
+    known = passages.select(F.col(passage_id), F.col("text").alias("_passage")).where(F.length("_passage") > 0)
+    units = _units("_passage")
+    inner = F.slice(units["word"], 2, F.greatest(F.size(units["word"]) - 2, F.lit(0)))
+    picked = known.withColumn("_kind", F.when(F.size(inner) > 0, "word").otherwise("char")).withColumn(
+        "_units", F.when(F.col("_kind") == "word", inner).otherwise(units["char"]))
+    picked = picked.withColumn("_k", F.least(F.size("_units"), F.lit(k)))
+    held_runs = picked.select(passage_id, "_kind", "_k", F.explode(_any_length(F.col("_units"), F.col("_k"), k)).alias("_hash"))
+    run = ["_kind", "_k", "_hash"]
+    shared = held_runs.groupBy(*run).agg(F.count("*").alias("_n"))
+    anchors = settle(held_runs.join(shared, run).groupBy(passage_id).agg(
+        F.min(F.struct("_n", *run)).alias("_a")).select(passage_id, *[f"_a.{c}" for c in run]))
+    shapes = anchors.select("_kind", "_k").distinct().collect()  # at most 2 k of them
+
+    units = _units("text")
+    lists = [F.array().cast("array<struct<_kind:string,_k:int,_hash:bigint>>")]
+    lists += [_marked(units[s["_kind"]], s["_kind"], s["_k"]) for s in sorted(shapes)]
+    held = texts.select(F.col(text_id), F.inline(F.concat(*lists)))
+    pairs = held.join(small_side(anchors), run).select(text_id, passage_id).distinct()
+    return (pairs.join(texts.select(text_id, "text"), text_id).join(known, passage_id)
+            .where(F.contains("text", "_passage")).select(text_id, passage_id))
+
+
+def _units(text: str) -> dict[str, Column]:
+    return {"word": words(text), "char": F.filter(F.split(F.col(text), ""), lambda c: c != "")}
+
+
+def _any_length(units: Column, k: Column, most: int) -> Column:
+    """Runs of ``k`` units where ``k`` is a column of at most ``most``."""
+    out = F.array().cast("array<bigint>")
+    for n in range(1, most + 1):
+        out = F.when(k == n, shingles(units, n)).otherwise(out)
+    return out
+
+
+def _marked(units: Column, kind: str, k: int) -> Column:
+    return F.transform(shingles(units, k), lambda h: F.struct(
+        F.lit(kind).alias("_kind"), F.lit(k).alias("_k"), h.alias("_hash")))

@@ -92,20 +92,18 @@ def v6_attach_evidence(spark, sf_dir):
                         F.size("evidence").cast("bigint").alias("refs"))
 
 
-@query(r"""WITH d AS (SELECT doc_id, concat(' ', trim(regexp_replace(text, '\s+', ' ', 'g')), ' ') AS t FROM documents),
-b AS (SELECT item_id, concat(' ', trim(regexp_replace(text, '\s+', ' ', 'g')), ' ') AS p FROM benchmark)
-SELECT doc_id, item_id FROM d JOIN b ON contains(t, p)""")
+@query("SELECT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def v7_cites(spark, sf_dir):
     return V.cites(S.table(spark, sf_dir, "documents"), S.table(spark, sf_dir, "benchmark"), "doc_id", "item_id")
 
 
 @query(f"""WITH {TRACE}, {FIELDS}, {RANGES},
-e AS (SELECT stage, count(*) FILTER (field = 'k') AS k, count(*) FILTER (field = 'amount') AS amount
+ex AS (SELECT stage, count(*) FILTER (field = 'k') AS k, count(*) FILTER (field = 'amount') AS amount
       FROM required WHERE support >= {THETA} GROUP BY stage)
-SELECT session_id, step_id, (coalesce(e.k, 0) + coalesce(e.amount, 0) + 1)::BIGINT AS expected,
-  round((coalesce(e.k, 0) + CASE WHEN value <= 100 THEN coalesce(e.amount, 0) ELSE 0 END
-   + CASE WHEN value BETWEEN lo AND hi THEN 1 ELSE 0 END) / (coalesce(e.k, 0) + coalesce(e.amount, 0) + 1), 6) AS score
-FROM trace JOIN ranges r ON r.stage = trace.name LEFT JOIN e ON e.stage = trace.name""")
+SELECT session_id, step_id, (coalesce(ex.k, 0) + coalesce(ex.amount, 0) + 1)::BIGINT AS expected,
+  round((coalesce(ex.k, 0) + CASE WHEN value <= 100 THEN coalesce(ex.amount, 0) ELSE 0 END
+   + CASE WHEN value BETWEEN lo AND hi THEN 1 ELSE 0 END) / (coalesce(ex.k, 0) + coalesce(ex.amount, 0) + 1), 6) AS score
+FROM trace JOIN ranges r ON r.stage = trace.name LEFT JOIN ex ON ex.stage = trace.name""")
 def g1_output_scores(spark, sf_dir):
     trace = held_state_trace(spark, sf_dir)
     spec = settle(P.mine_fields(trace, THETA).unionByName(P.mine_ranges(trace, 0.05, 0.95)))
