@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from driftline.functions.sizing import settle, small_side
 
 SEG = "seg"
-MAX_GROUP_ROWS = 5_000_000
+MAX_GROUP_ROWS = 2_000_000
+# Bounds the number of range tasks, not the rows: pieces grow instead, and windows spill.
+MAX_PIECES = 10_000
 ORDER = ("ts", "step_id")
 
 
@@ -50,7 +52,7 @@ def segment(df: DataFrame, key: list[str], order: list[str], max_rows: int | Non
     found = sizes.agg(F.count("*").alias("keys"), F.sum("count").alias("rows")).first()
     if not found["keys"]:
         return df
-    pieces = -(-2 * found["rows"] // max_rows)
+    pieces = min(-(-2 * found["rows"] // max_rows), MAX_PIECES)
     long_keys = small_side(settle(sizes.select(*key)))
     long_rows = settle(
         df.join(long_keys, key, "left_semi")

@@ -2,63 +2,84 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.functions.ordered import SEG, running, running_sum, segment
-from driftline.functions.sizing import settle
+from driftline.functions.ordered import running, running_sum, segment
+from driftline.functions.sizing import settle, small_side
 
 MAX_DISTINCT = 1_000_000
+ACCURACY = 10_000
 
 
 def quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float],
-              max_distinct: int | None = None) -> DataFrame:
+              max_rows: int | None = None) -> DataFrame:
     """Linearly interpolated quantiles of ``value`` per group, one column per entry of ``probs``.
 
-    Equal values are counted map-side first. Groups with few distinct values use the
-    built-in ``percentile``; otherwise each distinct value's rank comes from a running
-    sum over range-cut pieces, and the two neighbouring ranks are picked by filter.
+    Groups of few rows use the built-in ``percentile`` over counted values. Large ones take
+    sketches to bracket each wanted rank, count what lies below the bracket, and rank only the
+    few values inside it. Should a sketch have missed, the bracket is widened to everything.
     """
-    counts = (df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-              .groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_w")))
-    counts = settle(counts)
+    max_rows = max_rows or MAX_DISTINCT
+    v = F.col(value).cast("double")
+    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*by, v.alias("_v"))
     if not by:
-        counts = counts.withColumn("_all", F.lit(1))
-    group = list(by) or ["_all"]
-    cut = segment(counts, group, ["_v"], max_distinct or MAX_DISTINCT)
-    if SEG not in cut.columns:
+        rows = rows.withColumn("_all", F.lit(1))
+    group = by or ["_all"]
+    sizes = rows.groupBy(*group).agg(F.count("*").alias("_n"))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= max_rows:
+        counted = rows.groupBy(*group, "_v").agg(F.count("*").alias("_w"))
         wanted = F.percentile("_v", F.array(*map(F.lit, probs.values())), F.col("_w"))
-        out = counts.groupBy(*group).agg(wanted.alias("_q"))
+        out = counted.groupBy(*group).agg(wanted.alias("_q"))
         return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
 
-    ranked = running(cut, {"_to": running_sum("_w")}, key=group, order=["_v"])
-    sizes = counts.groupBy(*group).agg(F.sum("_w").alias("_n"))
-    ranked = ranked.join(sizes, group).withColumn("_from", F.col("_to") - F.col("_w"))
+    picks = settle(_picks(rows, group, list(probs.values()), max_rows, sketched=True))
+    if not picks.where(F.col("_low").isNull() | F.col("_high").isNull()).isEmpty():
+        picks = settle(_picks(rows, group, list(probs.values()), max_rows, sketched=False))
+    share = F.col("_p") * (F.col("_n") - 1)
+    share = share - F.floor(share)
+    between = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(
+        F.col("_low") * (1 - share) + F.col("_high") * share)
+    named = [F.max(F.when(F.col("_i") == i, between)).alias(n) for i, n in enumerate(probs)]
+    return picks.groupBy(*group).agg(*named).select(*by, *probs)
+
+
+def _picks(rows: DataFrame, group: list[str], probs: list[float], max_rows: int, sketched: bool) -> DataFrame:
+    """Per group and probability the values at the two ranks around it, null where the bracket misses."""
+    brackets = settle(rows.groupBy(*group).agg(
+        F.count("*").alias("_n"), F.array(*[_bracket(i, p, sketched) for i, p in enumerate(probs)]).alias("_b")))
+    marked = rows.join(small_side(brackets), group)
+    below = marked.select(*group, "_v", F.inline("_b")).groupBy(*group, "_i").agg(
+        F.count_if(F.col("_v") < F.col("_from")).alias("_below"))
+    inside = marked.select(*group, "_v", F.inline(F.filter(
+        "_b", lambda b: (F.col("_v") >= b["_from"]) & (F.col("_v") <= b["_to"]))))
+    counted = settle(inside.groupBy(*group, "_i", "_v").agg(F.count("*").alias("_w")))
+    ranked = running(segment(counted, [*group, "_i"], ["_v"], max_rows), {"_upto": running_sum("_w")},
+                     key=[*group, "_i"], order=["_v"])
+    wanted = brackets.select(*group, "_n", F.inline("_b")).join(below, [*group, "_i"])
+    found = ranked.join(small_side(settle(wanted)), [*group, "_i"])
+    place = F.col("_p") * (F.col("_n") - 1)
 
-    def at(rank):
-        return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), F.col("_v")))
+    def at(rank: Column) -> Column:
+        upto = F.col("_below") + F.col("_upto")
+        return F.max(F.when((upto - F.col("_w") <= rank) & (rank < upto), F.col("_v")))
 
-    picks = []
-    for name, p in probs.items():
-        place = F.lit(p) * (F.col("_n") - 1)
-        picks += [at(F.floor(place)).alias(f"_lo_{name}"), at(F.ceil(place)).alias(f"_hi_{name}")]
-    out = ranked.groupBy(*group, "_n").agg(*picks)
+    return found.groupBy(*group, "_i", "_p", "_n").agg(
+        at(F.floor(place)).alias("_low"), at(F.ceil(place)).alias("_high"))
 
-    def between(name: str, p: float):
-        share = F.lit(p) * (F.col("_n") - 1)
-        share = share - F.floor(share)
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        return F.when(low == high, low).otherwise(low * (1 - share) + high * share).alias(name)
 
-    return out.select(*by, *[between(n, p) for n, p in probs.items()])
+def _bracket(i: int, p: float, sketched: bool) -> Column:
+    """Values sure to lie on either side of the ranks around ``p``, by sketch or at the ends."""
+    slack = 4 / ACCURACY
+    low = F.percentile_approx("_v", p - slack, ACCURACY) if sketched and p > slack else F.min("_v")
+    high = F.percentile_approx("_v", p + slack, ACCURACY) if sketched and p < 1 - slack else F.max("_v")
+    return F.struct(F.lit(i).alias("_i"), F.lit(p).alias("_p"), low.alias("_from"), high.alias("_to"))
 
 
-def median_and_mad(df: DataFrame, value: str, max_distinct: int | None = None) -> tuple[float | None, float | None]:
+def median_and_mad(df: DataFrame, value: str, max_rows: int | None = None) -> tuple[float | None, float | None]:
     """Median and median absolute deviation of one column, as two driver-side numbers."""
-    middle = quantiles(df, [], value, {"m": 0.5}, max_distinct).first()
-    if middle is None or middle["m"] is None or math.isnan(middle["m"]):
+    middle = quantiles(df, [], value, {"m": 0.5}, max_rows).first()
+    if middle is None or middle["m"] is None:
         return None, None
     off = df.select(F.abs(F.col(value) - F.lit(middle["m"])).alias("_d"))
-    return middle["m"], quantiles(off, [], "_d", {"m": 0.5}, max_distinct).first()["m"]
+    return middle["m"], quantiles(off, [], "_d", {"m": 0.5}, max_rows).first()["m"]

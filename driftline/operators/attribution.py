@@ -190,9 +190,9 @@ def attribution_report(symptoms: DataFrame, critical: DataFrame, causes: DataFra
         F.col("_gate.gate_step_id").alias("gate_step_id"), sentence.alias("sentence"))
 
 
-def flow_view(df: DataFrame, max_distinct: int | None = None) -> DataFrame:
+def flow_view(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Stage to stage moves with their count and exact median seconds."""
     moves = running(df, {"before": previous("stage"), "_ts": previous("ts")}).where("before is not null")
     moves = moves.select("before", "stage", seconds_between(F.col("_ts"), F.col("ts")).alias("seconds"))
     counts = moves.groupBy("before", "stage").agg(F.count("*").alias("n"))
-    return counts.join(quantiles(moves, ["before", "stage"], "seconds", {"median_seconds": 0.5}, max_distinct), ["before", "stage"])
+    return counts.join(quantiles(moves, ["before", "stage"], "seconds", {"median_seconds": 0.5}, max_rows), ["before", "stage"])

@@ -31,6 +31,14 @@ def evidence(df: DataFrame, kinds: dict[str, Column]) -> DataFrame:
     return df.withColumn("evidence_kind", F.explode(met))
 
 
+def check_claims(df: DataFrame, claim: Column, kinds: dict[str, Column], within: str | None = None) -> DataFrame:
+    """``claim_support`` where claims and evidence are rows of one trace: a single window over it."""
+    met = F.array_max(F.array_compact(F.array(*[F.when(test, F.lit(kind)) for kind, test in kinds.items()])))
+    proof = F.when(met.isNotNull(), F.struct("ts", "step_id", met.alias("kind")))
+    told = running(df, {"_proof": last_known(proof)}).where(claim)
+    return _supported(told, carried(df), within)
+
+
 def claim_support(claims: DataFrame, evidence: DataFrame, within: str | None = None) -> DataFrame:
     """Each claim with the latest evidence strictly before it in its session.
 
@@ -44,12 +52,15 @@ def claim_support(claims: DataFrame, evidence: DataFrame, within: str | None = N
     proof = F.when(F.col("_is_proof") == 1, F.struct("ts", "step_id", F.col("_kind").alias("kind")))
     both = running(told.unionByName(proofs), {"_proof": last_known(proof)}, key=key,
                    order=["ts", "step_id", "_is_proof", "_kind"])
+    return _supported(both.where("_is_proof = 0"), [*key, *cut], within)
+
+
+def _supported(told: DataFrame, keep: list[str], within: str | None) -> DataFrame:
     held = F.col("_proof").isNotNull()
     if within:
         held = held & (F.col("ts") - F.col("_proof.ts") <= F.expr(f"interval {within}"))
-    return both.where("_is_proof = 0").select(
-        *key, *cut, "ts", "step_id",
-        F.when(held, F.col("_proof.step_id")).alias("evidence_step_id"),
+    return told.select(
+        *keep, "ts", "step_id", F.when(held, F.col("_proof.step_id")).alias("evidence_step_id"),
         F.when(held, F.col("_proof.kind")).alias("evidence_kind"),
         F.when(held, "supported").otherwise("unsupported").alias("status"))
 
@@ -118,8 +129,9 @@ def cites(texts: DataFrame, passages: DataFrame, text_id: str, passage_id: str,
     lists = [F.array().cast("array<struct<_kind:string,_k:int,_hash:bigint>>")]
     lists += [_marked(units[s["_kind"]], s["_kind"], s["_k"]) for s in sorted(shapes)]
     held = texts.select(F.col(text_id), F.inline(F.concat(*lists)))
-    pairs = held.join(small_side(anchors), run).select(text_id, passage_id).distinct()
-    return (pairs.join(texts.select(text_id, "text"), text_id).join(known, passage_id)
+    pairs = settle(held.join(small_side(anchors), run).select(text_id, passage_id).distinct())
+    # Few pairs are the rule: then the texts are not shuffled at all.
+    return (small_side(pairs).join(texts.select(text_id, "text"), text_id).join(known, passage_id)
             .where(F.contains("text", "_passage")).select(text_id, passage_id))
 
 

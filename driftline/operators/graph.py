@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.ordered import last_known, previous, running, session_key
-from driftline.functions.sizing import settle
+from driftline.functions.sizing import settle, small_side
 
 
 def build_graph(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -66,10 +66,12 @@ def trace_back(edges: DataFrame, symptoms: DataFrame, depth: int = 5) -> DataFra
     the step, which spreads long sessions, and are settled so that each starts from rows and
     not from the plans of all rounds before it. Ends early when nothing new turns up.
     """
-    steps = settle(edges.select("session_id", "src", "dst").distinct())
     front = settle(symptoms.groupBy("session_id", "step_id").agg(F.min("step").alias("symptom_step")).select(
         "session_id", F.col("step_id").alias("symptom_id"), "symptom_step", "step_id",
         F.lit(0).alias("depth"), F.array("step_id").alias("path")))
+    # Sessions without symptoms are not walked.
+    troubled = small_side(settle(front.select("session_id").distinct()))
+    steps = settle(edges.select("session_id", "src", "dst").join(troubled, "session_id", "left_semi").distinct())
     seen = front
     for level in range(1, depth + 1):
         reached = front.withColumnRenamed("step_id", "dst").join(steps, ["session_id", "dst"])

@@ -6,49 +6,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.columns import lookup
-from driftline.functions.ordered import SEG, run_key
+from driftline.functions.ordered import run_key
+from driftline.operators.normalize import LIST_STEPS
 
 
-def path_distance(df: DataFrame, expected: list[str]) -> DataFrame:
+def path_distance(df: DataFrame, expected: list[str], list_steps: int | None = None) -> DataFrame:
     """Edits between the expected and the actual stage sequence, and fitness 1 - d / longest.
 
-    Stages outside the workflow can match nothing and share one code.
+    Stages outside the workflow can match nothing and share one code. A run is read in parts
+    of at most ``list_steps`` steps. A run of one part is compared directly; a part of a
+    longer one gives, for all places i <= j of the workflow, the edits that turn
+    workflow[i:j] into it, and those tables chain by their least sums.
     """
+    size = list_steps or LIST_STEPS
     key = run_key(df)
     n = len(expected)
-    known = sorted(set(expected))
-    codes = {stage: chr(0x4E00 + i) for i, stage in enumerate(known)}
-    code = F.coalesce(lookup(codes)[F.col("stage")], F.lit("?"))
+    codes = {stage: chr(0x4E00 + i) for i, stage in enumerate(sorted(set(expected)))}
     target = "".join(codes[s] for s in expected)
-    if SEG in df.columns:
-        ends = _distance_in_pieces(df.withColumn("_code", code), key, target)
-    else:
-        # Without pieces every run is known to fit in a task.
-        path = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("step", code.alias("code")))), lambda r: r["code"]), "")
-        ends = df.groupBy(*key).agg(F.count("*").alias("n_rows"), path.alias("_path"))
-        ends = ends.withColumn("distance", F.levenshtein("_path", F.lit(target)))
-    longest = F.greatest(F.col("n_rows"), F.lit(n))
-    return ends.select(*key, "n_rows", F.col("distance").cast("bigint").alias("distance"),
-                       (1 - F.col("distance") / longest).alias("fitness"))
-
-
-def _distance_in_pieces(df: DataFrame, key: list[str], target: str) -> DataFrame:
-    """The same distance for runs cut into pieces, exact and without a list of a whole run.
-
-    A piece gives, for each pair of places i <= j of the workflow, the edits that turn
-    workflow[i:j] into the piece; those tables chain by their least sums.
-    """
-    n = len(target)
+    coded = df.select(*key, "step", F.floor((F.col("step") - 1) / size).alias("_part"),
+                      F.coalesce(lookup(codes)[F.col("stage")], F.lit("?")).alias("_code"))
     path = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("step", "_code"))), lambda r: r["_code"]), "")
-    pieces = df.groupBy(*key, SEG).agg(F.count("*").alias("_n"), path.alias("_path"))
-    table = F.array(*[F.array(*[F.levenshtein("_path", F.lit(target[i:j])) for j in range(i, n + 1)]) for i in range(n + 1)])
-    runs = pieces.groupBy(*key).agg(
-        F.sum("_n").alias("n_rows"), F.array_sort(F.collect_list(F.struct(SEG, table.alias("t")))).alias("_pieces"))
-    start = F.array(*[F.lit(0 if i == 0 else 2_000_000_000).cast("bigint") for i in range(n + 1)])
+    parts = coded.groupBy(*key, "_part").agg(F.count("*").alias("_n"), F.max("step").alias("_last"), path.alias("_path"))
 
-    def chain(costs, piece):
-        def best(j):
-            return F.array_min(F.array(*[costs[i] + piece["t"][i][j - i] for i in range(j + 1)]))
-        return F.array(*[best(j) for j in range(n + 1)])
-
-    return runs.withColumn("distance", F.aggregate("_pieces", start, chain)[n])
+    # Part 0 ending before its limit is the whole run.
+    whole = (F.col("_part") == 0) & (F.col("_last") < size)
+    table = F.array(*[F.array(*[F.levenshtein("_path", F.lit(target[i:j])) for j in range(i, n + 1)]) for i in range(n + 1)])
+    measured = parts.withColumns({
+        "_direct": F.when(whole, F.levenshtein("_path", F.lit(target))), "_table": F.when(~whole, table)})
+    runs = measured.groupBy(*key).agg(
+        F.sum("_n").alias("n_rows"), F.max("_direct").alias("_direct"),
+        F.array_sort(F.collect_list(F.struct("_part", F.col("_table").alias("t")))).alias("_tables"))
+    start = F.array(*[F.lit(0 if i == 0 else 2**40).cast("bigint") for i in range(n + 1)])
+
+    def chain(costs, part):
+        return F.array(*[F.array_min(F.array(*[costs[i] + part["t"][i][j - i] for i in range(j + 1)])) for j in range(n + 1)])
+
+    chained = F.aggregate("_tables", start, chain)[n]
+    distance = F.coalesce(F.col("_direct").cast("bigint"), chained)
+    return runs.withColumn("distance", distance).select(
+        *key, "n_rows", "distance", (1 - F.col("distance") / F.greatest(F.col("n_rows"), F.lit(n))).alias("fitness"))

@@ -64,12 +64,12 @@ def trajectory_surprise(df: DataFrame) -> DataFrame:
         F.avg("_cost").alias("surprise"), F.count("*").alias("moves"))
 
 
-def trajectory_anomaly(df: DataFrame, max_distinct: int | None = None) -> DataFrame:
+def trajectory_anomaly(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Surprise per session with its robust z score (0.6745 times the distance in MADs)."""
     surprise = trajectory_surprise(df)
     # Sums of the same terms in another order may differ in the last digits.
     steady = settle(surprise.withColumn("surprise", F.round("surprise", 9)))
-    middle, spread = median_and_mad(steady, "surprise", max_distinct)
+    middle, spread = median_and_mad(steady, "surprise", max_rows)
     z = F.lit(0.6745) * (F.col("surprise") - F.lit(middle)) / F.lit(spread or None)
     return steady.withColumn("robust_z", z)
 

@@ -67,9 +67,9 @@ def mine_order(df: DataFrame, theta: float, skill: str | None = None) -> DataFra
 
 
 def mine_ranges(df: DataFrame, lo: float, hi: float, skill: str | None = None,
-                max_distinct: int | None = None) -> DataFrame:
+                max_rows: int | None = None) -> DataFrame:
     """The range between two exact quantiles of ``value`` per stage."""
-    bounds = quantiles(df, ["stage"], "value", {"lo": lo, "hi": hi}, max_distinct)
+    bounds = quantiles(df, ["stage"], "value", {"lo": lo, "hi": hi}, max_rows)
     return _rules(bounds, "range", skill, stage=F.col("stage"), lo=F.col("lo"), hi=F.col("hi"), support=F.lit(hi - lo))
 
 

@@ -38,9 +38,7 @@ def v2_evidence(spark, sf_dir):
 @query(f"""WITH {DRIFT} SELECT session_id, step_id, proof AS evidence_step_id,
 CASE WHEN proof IS NULL THEN 'unsupported' ELSE 'supported' END AS status FROM sup WHERE name = 'purchase'""")
 def v3_claim_support(spark, sf_dir):
-    trace = S.event_trace(spark, sf_dir)
-    return V.claim_support(S.event_claims(trace), S.event_evidence(trace)).select(
-        "session_id", "step_id", "evidence_step_id", "status")
+    return S.event_support(S.event_trace(spark, sf_dir)).select("session_id", "step_id", "evidence_step_id", "status")
 
 
 @query(f"""WITH {DRIFT}
@@ -55,6 +53,22 @@ def v3_claim_support_within(spark, sf_dir):
         "session_id", "step_id", "evidence_step_id", "status")
 
 
+@query(f"""WITH {TRACE},
+proofs AS (SELECT session_id, step_id, 'trace' AS evidence_kind FROM trace WHERE name = 'click'
+           UNION ALL SELECT session_id, step_id, 'command' FROM trace WHERE name = 'view'
+           UNION ALL SELECT session_id, step_id, 'diff' FROM trace WHERE name = 'signup'),
+seen AS (SELECT t.session_id, t.step_id, t.name, last_value(p.step_id IGNORE NULLS) OVER w AS proof, last_value(p.evidence_kind IGNORE NULLS) OVER w AS kind
+         FROM trace t LEFT JOIN proofs p USING (session_id, step_id)
+         WINDOW w AS (PARTITION BY t.session_id ORDER BY t.ts, t.step_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT session_id, step_id, proof AS evidence_step_id, kind AS evidence_kind,
+       CASE WHEN proof IS NULL THEN 'unsupported' ELSE 'supported' END AS status FROM seen WHERE name = 'purchase'""")
+def v3_claim_support_tables(spark, sf_dir):
+    """The same for claims and evidence given as two tables, with all three kinds."""
+    trace = S.event_trace(spark, sf_dir)
+    return V.claim_support(S.event_claims(trace), S.event_proofs(trace)).select(
+        "session_id", "step_id", "evidence_step_id", "evidence_kind", "status")
+
+
 @query("""WITH env AS (SELECT l_orderkey, count(*) FILTER (l_linestatus <> 'F') AS against FROM lineitem GROUP BY 1)
 SELECT o_orderkey, CASE WHEN against IS NULL THEN 'missing' WHEN against > 0 THEN 'contradicted' ELSE 'supported' END AS status
 FROM orders LEFT JOIN env ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F'""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.functions.ordered import segment
+from driftline.functions.ordered import last_known, running, segment, session_key
 from driftline.operators import claims as V
 from driftline.operators import normalize as N
 
@@ -92,13 +92,16 @@ def event_gates(trace: DataFrame) -> DataFrame:
         (F.col("value") <= GATE_LIMIT).alias("passed"))
 
 
+def event_support(trace: DataFrame, within: str | None = None) -> DataFrame:
+    """Purchases with the latest click before them."""
+    return V.check_claims(trace, F.col("name") == "purchase", {"trace": F.col("name") == "click"}, within)
+
+
 def event_outcome(trace: DataFrame) -> DataFrame:
-    """Stand-in outcome per session: wrong when it holds an unsupported claim."""
-    support = V.claim_support(event_claims(trace), event_evidence(trace))
-    bad = support.groupBy("session_id").agg(F.count_if(F.col("status") == "unsupported").alias("bad"))
-    ids = trace.select("session_id").distinct()
-    return ids.join(bad, "session_id", "left").select(
-        "session_id", (F.coalesce("bad", F.lit(0)) == 0).alias("good"))
+    """Stand-in outcome per session: wrong when a purchase in it has no click before it."""
+    proof = running(trace, {"_proof": last_known(F.when(F.col("name") == "click", F.col("step_id")))})
+    unproven = (F.col("name") == "purchase") & F.col("_proof").isNull()
+    return proof.groupBy(*session_key(trace)).agg((F.count_if(unproven) == 0).alias("good"))
 
 
 def event_results(spark: SparkSession, sf_dir: str) -> DataFrame:
