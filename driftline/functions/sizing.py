@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,25 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame) -> DataFrame:
+    """Write a large result that several steps read as a table in the shared folder.
+
+    Unlike ``settle`` it is columnar: each reader scans only the columns it needs.
+    """
+    path = f"{shared_dir(df.sparkSession)}/stored/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a scan has fewer splits than that, else ``df`` as it is.
+
+    For work heavy per row on few files; a large table has splits enough and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """Whether all of ``df`` fits the stated bounds; looks at ``max_rows + 1`` rows at most."""
     width = F.octet_length(F.to_json(F.struct(*df.columns)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.columns import shingles, words
 from driftline.functions.ordered import SEG, carried, last_known, running, session_key
-from driftline.functions.sizing import settle, small_side
+from driftline.functions.sizing import settle, small_side, spread
 
 
 def claims(df: DataFrame, names: list[str] | None = None, pattern: str | None = None,
@@ -118,35 +118,31 @@ def cites(texts: DataFrame, passages: DataFrame, text_id: str, passage_id: str,
     picked = known.withColumn("_kind", F.when(F.size(inner) > 0, "word").otherwise("char")).withColumn(
         "_units", F.when(F.col("_kind") == "word", inner).otherwise(units["char"]))
     picked = picked.withColumn("_k", F.least(F.size("_units"), F.lit(k)))
-    held_runs = picked.select(passage_id, "_kind", "_k", F.explode(_any_length(F.col("_units"), F.col("_k"), k)).alias("_hash"))
-    run = ["_kind", "_k", "_hash"]
-    shared = held_runs.groupBy(*run).agg(F.count("*").alias("_n"))
-    anchors = settle(held_runs.join(shared, run).groupBy(passage_id).agg(
-        F.min(F.struct("_n", *run)).alias("_a")).select(passage_id, *[f"_a.{c}" for c in run]))
+    held_runs = picked.select(passage_id, "_kind", "_k", F.explode(_passage_runs(k)).alias("_hash"))
+    shared = held_runs.groupBy("_hash").agg(F.count("*").alias("_n"))
+    anchors = settle(held_runs.join(shared, "_hash").groupBy(passage_id).agg(
+        F.min(F.struct("_n", "_hash", "_kind", "_k")).alias("_a")).select(passage_id, "_a._kind", "_a._k", "_a._hash"))
     shapes = anchors.select("_kind", "_k").distinct().collect()  # at most 2 k of them
 
     units = _units("text")
-    lists = [F.array().cast("array<struct<_kind:string,_k:int,_hash:bigint>>")]
-    lists += [_marked(units[s["_kind"]], s["_kind"], s["_k"]) for s in sorted(shapes)]
-    held = texts.select(F.col(text_id), F.inline(F.concat(*lists)))
-    pairs = settle(held.join(small_side(anchors), run).select(text_id, passage_id).distinct())
+    lists = [F.array().cast("array<bigint>")]
+    lists += [shingles(units[s["_kind"]], s["_k"], s["_kind"]) for s in sorted(shapes)]
+    held = spread(texts.select(text_id, "text")).select(text_id, F.explode(F.concat(*lists)).alias("_hash"))
+    found = held.join(small_side(anchors.select(passage_id, "_hash")), "_hash")
+    pairs = settle(found.select(text_id, passage_id).distinct())
     # Few pairs are the rule: then the texts are not shuffled at all.
     return (small_side(pairs).join(texts.select(text_id, "text"), text_id).join(known, passage_id)
             .where(F.contains("text", "_passage")).select(text_id, passage_id))
 
 
 def _units(text: str) -> dict[str, Column]:
-    return {"word": words(text), "char": F.filter(F.split(F.col(text), ""), lambda c: c != "")}
+    return {"word": words(text), "char": F.array_remove(F.split(F.col(text), ""), "")}
 
 
-def _any_length(units: Column, k: Column, most: int) -> Column:
-    """Runs of ``k`` units where ``k`` is a column of at most ``most``."""
+def _passage_runs(most: int) -> Column:
+    """Runs of ``_k`` units, ``_k`` being a column of at most ``most``."""
     out = F.array().cast("array<bigint>")
-    for n in range(1, most + 1):
-        out = F.when(k == n, shingles(units, n)).otherwise(out)
+    for kind in ("word", "char"):
+        for n in range(1, most + 1):
+            out = F.when((F.col("_k") == n) & (F.col("_kind") == kind), shingles(F.col("_units"), n, kind)).otherwise(out)
     return out
-
-
-def _marked(units: Column, kind: str, k: int) -> Column:
-    return F.transform(shingles(units, k), lambda h: F.struct(
-        F.lit(kind).alias("_kind"), F.lit(k).alias("_k"), h.alias("_hash")))

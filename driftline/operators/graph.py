@@ -69,9 +69,12 @@ def trace_back(edges: DataFrame, symptoms: DataFrame, depth: int = 5) -> DataFra
     front = settle(symptoms.groupBy("session_id", "step_id").agg(F.min("step").alias("symptom_step")).select(
         "session_id", F.col("step_id").alias("symptom_id"), "symptom_step", "step_id",
         F.lit(0).alias("depth"), F.array("step_id").alias("path")))
-    # Sessions without symptoms are not walked.
+    # Sessions without symptoms are not walked. The edges stay laid out as every round joins
+    # them, so a round shuffles no more than its front.
     troubled = small_side(settle(front.select("session_id").distinct()))
-    steps = settle(edges.select("session_id", "src", "dst").join(troubled, "session_id", "left_semi").distinct())
+    tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = (edges.select("session_id", "src", "dst").join(troubled, "session_id", "left_semi")
+             .repartition(tasks, "session_id", "dst").distinct().persist())
     seen = front
     for level in range(1, depth + 1):
         reached = front.withColumnRenamed("step_id", "dst").join(steps, ["session_id", "dst"])
@@ -83,6 +86,7 @@ def trace_back(edges: DataFrame, symptoms: DataFrame, depth: int = 5) -> DataFra
         if front.isEmpty():
             break
         seen = seen.unionByName(front)
+    steps.unpersist()
     return seen
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driftline.functions.sizing import settle
+from driftline.functions.sizing import settle, store
 from driftline.operators import checks as C
 from driftline.operators import claims as V
 from driftline.operators import normalize as N
@@ -96,7 +96,7 @@ SELECT d.session_id, d.step_id, d.rule_id, l.t AS trace_ref, l.c AS command_ref,
    + CASE WHEN l.d IS NULL THEN 0 ELSE 1 END)::BIGINT AS refs
 FROM drift d JOIN latest l ON l.session_id = d.session_id AND l.step = d.step""")
 def v6_attach_evidence(spark, sf_dir):
-    trace = S.event_trace(spark, sf_dir)
+    trace = store(S.event_trace(spark, sf_dir))
     found = V.attach_evidence(drift_findings(trace), S.event_proofs(trace))
 
     def ref(kind):
@@ -119,7 +119,7 @@ SELECT session_id, step_id, (coalesce(ex.k, 0) + coalesce(ex.amount, 0) + 1)::BI
    + CASE WHEN value BETWEEN lo AND hi THEN 1 ELSE 0 END) / (coalesce(ex.k, 0) + coalesce(ex.amount, 0) + 1), 6) AS score
 FROM trace JOIN ranges r ON r.stage = trace.name LEFT JOIN ex ON ex.stage = trace.name""")
 def g1_output_scores(spark, sf_dir):
-    trace = held_state_trace(spark, sf_dir)
+    trace = store(held_state_trace(spark, sf_dir))
     spec = settle(P.mine_fields(trace, THETA).unionByName(P.mine_ranges(trace, 0.05, 0.95)))
     return G.output_scores(trace, spec).select(
         "session_id", "step_id", F.col("expected").cast("bigint").alias("expected"), F.round("score", 6).alias("score"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driftline.functions.sizing import settle
+from driftline.functions.sizing import settle, store
 from driftline.operators import checks as C
 from driftline.operators import normalize as N
 from driftline.operators import paths as D
@@ -60,7 +60,7 @@ UNION ALL SELECT concat('range::', stage, ':'), 'range', stage, 0.9::DOUBLE FROM
 UNION ALL SELECT concat('transition:', before, ':', stage, ':'), 'transition', stage, round(support, 6) FROM shares WHERE support >= {THETA}
 UNION ALL SELECT concat('mandatory_stage::', stage, ':'), 'mandatory_stage', stage, round(support, 6) FROM mandatory WHERE support >= {THETA}""")
 def p1_extract_spec(spark, sf_dir):
-    spec = P.extract_spec(held_state_trace(spark, sf_dir), THETA)
+    spec = P.extract_spec(store(held_state_trace(spark, sf_dir)), THETA)
     return spec.select("rule_id", "rule_kind", "stage", F.round("support", 6).alias("support"))
 
 
@@ -196,7 +196,7 @@ every AS (
 SELECT session_id, rule_id, count(*) AS n, round(sum(severity), 6) AS severity,
        min(step) AS first_step FROM every GROUP BY session_id, rule_id""")
 def c9_debug(spark, sf_dir):
-    trace = held_state_trace(spark, sf_dir)
+    trace = store(held_state_trace(spark, sf_dir))
     spec = settle(P.extract_spec(trace, THETA))
     found = C.debug_windows(trace, spec, S.ORDINALS, {"k": "monotone"}, {"k": "boolean"})
     return found.groupBy("session_id", "rule_id").agg(
@@ -215,7 +215,7 @@ UNION ALL SELECT session_id, signups, step_id, concat('wrong_order:', name) FROM
 UNION ALL SELECT session_id, signups, step_id, concat('protocol:', before_here, ':', name) FROM cut
 WHERE before_here IS NOT NULL AND (before_here, name) NOT IN (SELECT (before, stage) FROM shares WHERE support >= 0.25)""")
 def c9_debug_windows(spark, sf_dir):
-    cut = N.skill_windows(S.event_trace(spark, sf_dir), F.col("name") == "signup")
+    cut = N.skill_windows(store(S.event_trace(spark, sf_dir)), F.col("name") == "signup")
     spec = settle(P.mine_transitions(cut, 0.25))
     found = C.debug_windows(cut, spec, S.ORDINALS)
     return found.select("session_id", "window_id", "step_id", "rule_id")

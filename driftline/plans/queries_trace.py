@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from driftline.functions.ordered import segment
-from driftline.functions.sizing import settle, shared_dir
+from driftline.functions.sizing import settle, shared_dir, store
 from driftline.operators import attribution as A
 from driftline.operators import checks as C
 from driftline.operators import graph as B
@@ -86,7 +86,7 @@ f AS (SELECT DISTINCT session_id, first_step_id FROM critical)
 SELECT n.session_id, symptoms, first_step_id, gate FROM n LEFT JOIN f USING (session_id) LEFT JOIN m USING (session_id)""")
 def io6_write_reports(spark, sf_dir):
     path = scratch(spark, "reports")
-    trace = S.event_trace(spark, sf_dir)
+    trace = store(S.event_trace(spark, sf_dir))
     shown = B.symptoms(trace)
     critical = settle(A.critical_step(drift_findings(trace), shown))
     missed = A.missed_gates(S.event_gates(trace), critical)

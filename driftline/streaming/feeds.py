@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from driftline.functions.columns import ordinal_of
 from driftline.functions.sizing import shared_dir
+from driftline.session import SETTINGS
 from driftline.sources import schemas
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
 
 def stream_trace(spark: SparkSession, path: str, schema: str = schemas.TRACE, form: str = "parquet",
                  files: str | None = None, max_files: int | None = None) -> DataFrame:
@@ -83,10 +86,18 @@ def run_available(df: DataFrame, name: str, base: str | None = None) -> tuple[st
     """Run a stream over what has arrived, into a folder of the shared storage.
 
     Gives the folder and the progress reports; pass a folder again to go on from its state.
+    State is kept in RocksDB, which holds more than memory and which custom state needs.
     """
-    base = base or f"{shared_dir(df.sparkSession)}/streams/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
+    base = base or f"{shared_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
     query = (df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/state")
              .trigger(availableNow=True).start(f"{base}/rows"))
+    if before is None:
+        spark.conf.unset(STATE_STORE)
+    else:
+        spark.conf.set(STATE_STORE, before)
     query.awaitTermination()
     return base, query.recentProgress
 
