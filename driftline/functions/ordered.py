@@ -16,7 +16,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftline.functions.sizing import settle, small_side
+from driftline.functions.sizing import settle, small_side, store
 
 SEG = "seg"
 MAX_GROUP_ROWS = 2_000_000
@@ -45,7 +45,7 @@ def segment(df: DataFrame, key: list[str], order: list[str], max_rows: int | Non
     """Mark the pieces of groups longer than ``max_rows``; other rows get piece 0.
 
     The first pass reads the key columns only. Pieces come from a range shuffle of
-    the long groups alone and are settled, as a re-run could sample other bounds.
+    the long groups alone and are stored, as a re-run could sample other bounds.
     """
     max_rows = max_rows or MAX_GROUP_ROWS
     sizes = df.groupBy(*key).count().where(F.col("count") > max_rows)
@@ -54,7 +54,7 @@ def segment(df: DataFrame, key: list[str], order: list[str], max_rows: int | Non
         return df
     pieces = min(-(-2 * found["rows"] // max_rows), MAX_PIECES)
     long_keys = small_side(settle(sizes.select(*key)))
-    long_rows = settle(
+    long_rows = store(
         df.join(long_keys, key, "left_semi")
         .repartitionByRange(int(pieces), *key, *order)
         .withColumn(SEG, F.spark_partition_id() + 1)

@@ -1,14 +1,20 @@
-"""Comparing runs with their rules: every function returns rows of findings."""
+"""Comparing runs with their rules: every function returns rows of findings.
+
+Checks on single rows share one pass: each brings the running columns it needs and the
+deviations it sees in a row as an array, and ``_scan`` puts them together. A stage's rules
+travel as one row, so rows meet them by a join on the stage that neither multiplies nor,
+while the rules are few, shuffles them.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.columns import lookup, ordinal_of
-from driftline.functions.ordered import SEG, carried, last_known, previous, run_key, running, running_max
+from driftline.functions.ordered import SEG, Run, carried, last_known, previous, run_key, running, running_max, session_key
 from driftline.functions.sizing import small_side
 
 # Weight of a deviation by its kind.
@@ -26,51 +32,142 @@ SEVERITY = {
 }
 
 
-def _findings(df: DataFrame, kind: Column | str, *subject: Column) -> DataFrame:
-    """Rows in the shape of findings; ``subject`` tells rules of one kind apart."""
-    kind = F.lit(kind) if isinstance(kind, str) else kind
+@dataclass(frozen=True)
+class RowCheck:
+    """Deviations seen in a row (``hits``), with the columns they look at."""
+
+    hits: Column
+    ruled: bool = False
+    added: dict[str, Column] = field(default_factory=dict)
+    runs: dict[str, Run] = field(default_factory=dict)
+
+
+def _hit(kind: str, *subject: Column | str) -> Column:
+    parts = [F.lit(s) if isinstance(s, str) else s for s in subject]
+    return F.struct(F.lit(kind).alias("kind"), F.concat_ws(":", F.lit(kind), *parts).alias("rule"))
+
+
+def _one(broken: Column, kind: str, *subject: Column | str) -> Column:
+    return F.array(F.when(broken, _hit(kind, *subject)))
+
+
+def _rules_by_stage(spec: DataFrame) -> DataFrame:
+    """One row per stage: its required fields, range, and the stages it may follow."""
+    kind = F.col("rule_kind")
+    rules = spec.where(kind.isin("required_field", "range", "transition")).groupBy(F.col("stage").alias("_stage")).agg(
+        F.array_sort(F.collect_set(F.when(kind == "required_field", F.col("field")))).alias("_required"),
+        F.max(F.when(kind == "range", F.col("lo"))).alias("_lo"), F.max(F.when(kind == "range", F.col("hi"))).alias("_hi"),
+        F.collect_set(F.when(kind == "transition", F.col("before"))).alias("_allowed"))
+    return small_side(rules)
+
+
+def _scan(df: DataFrame, checks: list[RowCheck], spec: DataFrame | None = None) -> DataFrame:
+    """All given checks in one pass over the rows."""
+    rows = df.withColumns({n: c for check in checks for n, c in check.added.items()})
+    runs = {n: r for check in checks for n, r in check.runs.items()}
+    by_session = {n: r for n, r in runs.items() if n.startswith("_was_")}
+    by_run = {n: r for n, r in runs.items() if n not in by_session}
+    if by_run:
+        rows = running(rows, by_run, key=run_key(df))
+    if by_session:
+        rows = running(rows, by_session, key=session_key(df))
+    if any(check.ruled for check in checks):
+        rows = rows.join(_rules_by_stage(spec), F.col("stage") == F.col("_stage"), "left")
+    hits = F.array_compact(F.concat(*[check.hits for check in checks]))
+    skill = F.col("skill") if "skill" in df.columns else F.lit(None).cast("string")
+    found = rows.select(*carried(df), "step_id", "step", "stage", skill.alias("skill"), F.explode(hits).alias("_hit"))
+    return _findings(found, F.col("_hit.kind"), F.col("_hit.rule"))
+
+
+def _findings(df: DataFrame, kind: Column, rule: Column) -> DataFrame:
     skill = F.col("skill") if "skill" in df.columns else F.lit(None).cast("string")
     return df.select(
         *carried(df), "step_id", F.col("step").cast("int").alias("step"), "stage", skill.alias("skill"),
-        F.concat_ws(":", kind, *subject).alias("rule_id"), kind.alias("rule_kind"),
-        lookup(SEVERITY)[kind].alias("severity"))
+        rule.alias("rule_id"), kind.alias("rule_kind"), lookup(SEVERITY)[kind].alias("severity"))
 
 
-def _held_fields() -> Column:
+def _check_fields() -> RowCheck:
     state = F.coalesce("state", F.create_map().cast("map<string,string>"))
-    return F.map_keys(F.map_filter(state, lambda _, v: v.isNotNull()))
+    held = F.map_keys(F.map_filter(state, lambda _, v: v.isNotNull()))
+    absent = F.array_except(F.coalesce("_required", F.array().cast("array<string>")), held)
+    return RowCheck(F.transform(absent, lambda f: _hit("missing_field", F.col("stage"), f)), ruled=True)
 
 
-def required_by_stage(spec: DataFrame) -> DataFrame:
-    return spec.where("rule_kind = 'required_field'").groupBy("stage").agg(
-        F.array_sort(F.collect_set("field")).alias("required"))
+def _check_range() -> RowCheck:
+    outside = (F.col("value") < F.col("_lo")) | (F.col("value") > F.col("_hi"))
+    return RowCheck(_one(outside, "out_of_range", F.col("stage")), ruled=True)
 
 
-def missing_fields(df: DataFrame, spec: DataFrame) -> DataFrame:
-    """Required fields absent or null in a row that reached their stage.
+def _check_transition() -> RowCheck:
+    before = F.col("_before")
+    known = F.coalesce(F.array_contains("_allowed", before), F.lit(False))
+    return RowCheck(_one(before.isNotNull() & ~known, "protocol", before, F.col("stage")), ruled=True,
+                    runs={"_before": previous("stage")})
 
-    Each stage's fields travel as one array, so the rows are neither shuffled nor multiplied.
-    """
-    joined = df.join(small_side(required_by_stage(spec)), "stage")
-    absent = joined.withColumn("_field", F.explode(F.array_except("required", _held_fields())))
-    return _findings(absent, "missing_field", F.col("stage"), F.col("_field"))
 
+def _check_place(ordinals: dict[str, int], *kinds: str) -> RowCheck:
+    here, peak = F.col("_ord"), F.col("_peak")
+    broken = {"skipped_step": here > F.coalesce(peak, F.lit(0)) + 1, "wrong_order": here < peak}
+    hits = F.concat(*[_one(broken[k], k, F.col("stage")) for k in kinds])
+    return RowCheck(hits, added={"_ord": ordinal_of("stage", ordinals)}, runs={"_peak": running_max("_ord")})
 
-def bad_updates(df: DataFrame, policy: dict[str, str]) -> DataFrame:
-    """Fields declared ``immutable`` that changed, or ``monotone`` that fell, against their last value."""
-    before = running(df, {f"_was_{f}": last_known(F.col("state")[f]) for f in policy})
-    found = []
-    for field, rule in policy.items():
-        now, was = F.col("state")[field], F.col(f"_was_{field}")
+
+def _check_updates(policy: dict[str, str]) -> RowCheck:
+    hits = []
+    for name, rule in policy.items():
+        now, was = F.col("state")[name], F.col(f"_was_{name}")
         if rule == "immutable":
-            kind, broken = "immutable_changed", now != was
+            hits.append(_one(now != was, "immutable_changed", name))
         elif rule == "monotone":
-            kind, broken = "monotone_fell", now.try_cast("double") < was.try_cast("double")
+            hits.append(_one(now.try_cast("double") < was.try_cast("double"), "monotone_fell", name))
         else:
             raise ValueError(f"unknown update policy: {rule}")
-        found.append(F.when(broken, F.struct(F.lit(kind).alias("kind"), F.lit(field).alias("field"))))
-    hits = before.withColumn("_hit", F.explode(F.array_compact(F.array(*found))))
-    return _findings(hits, F.col("_hit.kind"), F.col("_hit.field"))
+    return RowCheck(F.concat(*hits), runs={f"_was_{n}": last_known(F.col("state")[n]) for n in policy})
+
+
+def _check_types(types: dict[str, str]) -> RowCheck:
+    return RowCheck(F.concat(*[
+        _one(F.col("state")[n].isNotNull() & F.col("state")[n].try_cast(t).isNull(), "bad_type", n) for n, t in types.items()]))
+
+
+def missing_fields(df: DataFrame, spec: DataFrame) -> DataFrame:
+    """Required fields absent or null in a row that reached their stage."""
+    return _scan(df, [_check_fields()], spec)
+
+
+def state_violations(df: DataFrame, spec: DataFrame) -> DataFrame:
+    """Values outside the range mined for their stage."""
+    return _scan(df, [_check_range()], spec)
+
+
+def protocol_violations(df: DataFrame, spec: DataFrame) -> DataFrame:
+    """Transitions that are not among the allowed ones."""
+    return _scan(df, [_check_transition()], spec)
+
+
+def skipped_steps(df: DataFrame, ordinals: dict[str, int]) -> DataFrame:
+    """Rows whose stage lies more than one beyond the furthest stage before them."""
+    return _scan(df, [_check_place(ordinals, "skipped_step")])
+
+
+def order_violations(df: DataFrame, ordinals: dict[str, int]) -> DataFrame:
+    """Rows behind the furthest stage before them; see also ``precedence_violations``."""
+    return _scan(df, [_check_place(ordinals, "wrong_order")])
+
+
+def place_violations(df: DataFrame, ordinals: dict[str, int]) -> DataFrame:
+    """Skipped and misordered steps in one pass."""
+    return _scan(df, [_check_place(ordinals, "skipped_step", "wrong_order")])
+
+
+def bad_updates(df: DataFrame, policy: dict[str, str]) -> DataFrame:
+    """Fields declared ``immutable`` that changed, or ``monotone`` that fell, against their last value in the session."""
+    return _scan(df, [_check_updates(policy)])
+
+
+def schema_violations(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """State fields that cannot be read as their declared type."""
+    return _scan(df, [_check_types(types)])
 
 
 def missing_stages(df: DataFrame, expected: list[str] | DataFrame) -> DataFrame:
@@ -86,33 +183,11 @@ def missing_stages(df: DataFrame, expected: list[str] | DataFrame) -> DataFrame:
         seen = df.groupBy(*key).agg(F.collect_set(reached).alias("_seen"))
     lost = seen.withColumn("_wanted", wanted).select(*key, F.explode(F.array_except("_wanted", "_seen")).alias("stage"))
     lost = lost.withColumns({"step_id": F.lit(None).cast("bigint"), "step": F.lit(None).cast("int")})
-    return _findings(lost, "missing_stage", F.col("stage"))
-
-
-def _with_peak(df: DataFrame, ordinals: dict[str, int]) -> DataFrame:
-    placed = df.withColumn("_ord", ordinal_of("stage", ordinals))
-    return running(placed, {"_peak": running_max("_ord")}, key=run_key(df))
-
-
-def skipped_steps(df: DataFrame, ordinals: dict[str, int]) -> DataFrame:
-    """Rows whose stage lies more than one beyond the furthest stage before them."""
-    jumped = _with_peak(df, ordinals).where(F.col("_ord") > F.coalesce("_peak", F.lit(0)) + 1)
-    return _findings(jumped, "skipped_step", F.col("stage"))
-
-
-def order_violations(df: DataFrame, ordinals: dict[str, int] | None = None, spec: DataFrame | None = None) -> DataFrame:
-    """Rows behind the furthest stage before them, and mined precedence rules turned round."""
-    found = []
-    if ordinals:
-        back = _with_peak(df, ordinals).where(F.col("_ord") < F.col("_peak"))
-        found.append(_findings(back, "wrong_order", F.col("stage")))
-    if spec is not None:
-        found.append(precedence_violations(df, spec))
-    return reduce(DataFrame.unionByName, _aligned(found))
+    return _findings(lost, F.lit("missing_stage"), F.concat_ws(":", F.lit("missing_stage"), "stage"))
 
 
 def precedence_violations(df: DataFrame, spec: DataFrame) -> DataFrame:
-    """Sessions that first reach ``stage`` ahead of their first ``before``, though they reach both."""
+    """Runs that first reach ``stage`` ahead of their first ``before``, though they reach both."""
     key = run_key(df)
     firsts = df.groupBy(*key, "stage").agg(F.min(F.struct("step", "step_id")).alias("_at"))
     paths = firsts.groupBy(*key).agg(F.collect_list(F.struct("stage", "_at")).alias("_all"))
@@ -120,50 +195,24 @@ def precedence_violations(df: DataFrame, spec: DataFrame) -> DataFrame:
     rules = spec.where("rule_kind = 'precedence'").select("stage", "before")
     turned = rows.join(small_side(rules), "stage").where(F.col("_first")[F.col("before")] > F.col("_at"))
     turned = turned.select(*key, "stage", "before", "_at.step", "_at.step_id")
-    return _findings(turned, "precedence", F.col("before"), F.col("stage"))
-
-
-def state_violations(df: DataFrame, spec: DataFrame) -> DataFrame:
-    """Values outside the range mined for their stage."""
-    ranges = spec.where("rule_kind = 'range'").select("stage", "lo", "hi")
-    out = df.join(small_side(ranges), "stage").where((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi")))
-    return _findings(out, "out_of_range", F.col("stage"))
-
-
-def protocol_violations(df: DataFrame, spec: DataFrame) -> DataFrame:
-    """Transitions that are not among the allowed ones."""
-    moves = running(df, {"_before": previous("stage")}, key=run_key(df))
-    allowed = spec.where("rule_kind = 'transition'").select(F.col("before").alias("_before"), "stage")
-    odd = moves.where("_before is not null").join(small_side(allowed), ["_before", "stage"], "left_anti")
-    return _findings(odd, "protocol", F.col("_before"), F.col("stage"))
-
-
-def schema_violations(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """State fields that cannot be read as their declared type."""
-    hits = [F.when(F.col("state")[f].isNotNull() & F.col("state")[f].try_cast(t).isNull(), F.lit(f))
-            for f, t in types.items()]
-    bad = df.withColumn("_field", F.explode(F.array_compact(F.array(*hits))))
-    return _findings(bad, "bad_type", F.col("_field"))
-
-
-def _aligned(frames: list[DataFrame]) -> list[DataFrame]:
-    """Findings of whole sessions name no piece; give them the first."""
-    cut = any(SEG in f.columns for f in frames)
-    return [f.withColumn(SEG, F.lit(0)) if cut and SEG not in f.columns else f for f in frames]
+    return _findings(turned, F.lit("precedence"), F.concat_ws(":", F.lit("precedence"), "before", "stage"))
 
 
 def debug_windows(df: DataFrame, spec: DataFrame, ordinals: dict[str, int] | None = None,
                   policy: dict[str, str] | None = None, types: dict[str, str] | None = None) -> DataFrame:
     """Every deviation of the given rows from their rules in one table of findings.
 
-    Pass the spec settled or read from a file: each check looks at it.
+    One pass finds what single rows show, two aggregates what whole runs lack or turn round.
+    Pass the spec settled or read from a file: several steps look at it.
     """
-    found = [missing_fields(df, spec), state_violations(df, spec), protocol_violations(df, spec),
-             order_violations(df, ordinals, spec), missing_stages(df, spec)]
+    checks = [_check_fields(), _check_range(), _check_transition()]
     if ordinals:
-        found.append(skipped_steps(df, ordinals))
+        checks.append(_check_place(ordinals, "skipped_step", "wrong_order"))
     if policy:
-        found.append(bad_updates(df, policy))
+        checks.append(_check_updates(policy))
     if types:
-        found.append(schema_violations(df, types))
-    return reduce(DataFrame.unionByName, _aligned(found))
+        checks.append(_check_types(types))
+    found = _scan(df, checks, spec)
+    whole = precedence_violations(df, spec).unionByName(missing_stages(df, spec))
+    # Findings on whole runs name no piece; they get the first.
+    return found.unionByName(whole.withColumn(SEG, F.lit(0)) if SEG in found.columns else whole)

@@ -111,7 +111,7 @@ def io7_write_evalset(spark, sf_dir):
 
 def drift_findings(trace):
     """Skipped and misordered steps of the event trace."""
-    return C.skipped_steps(trace, S.ORDINALS).unionByName(C.order_violations(trace, S.ORDINALS))
+    return C.place_violations(trace, S.ORDINALS)
 
 
 @query("""SELECT 'event' AS feed, CAST(user_id AS VARCHAR) AS owner, event_id AS step_id, event_type AS stage,
