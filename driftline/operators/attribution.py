@@ -127,7 +127,7 @@ def recall_cases(findings: DataFrame, memory: DataFrame, k: int) -> DataFrame:
     causes = memory.groupBy("signature", "cause").agg(F.count("*").alias("cases"))
     best = Window.partitionBy("signature").orderBy(F.desc("cases"), "cause")
     known = causes.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
-    return findings.join(known, "signature")
+    return findings.join(small_side(settle(known)), "signature")
 
 
 CENTRE_BLOCK = 1000

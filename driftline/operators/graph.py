@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,12 +61,15 @@ def _at_last(rows: DataFrame, source: str) -> DataFrame:
     return _symptom(rows.select("session_id", "_last.step_id", "_last.step"), source)
 
 
+ROUNDS = 2
+
+
 def trace_back(edges: DataFrame, symptoms: DataFrame, depth: int = 5) -> DataFrame:
     """Every step a symptom can be traced back to over at most ``depth`` edges.
 
     Keeps the least depth per (symptom, step) and, on it, the smallest path. Rounds join on
-    the step, which spreads long sessions, and are settled so that each starts from rows and
-    not from the plans of all rounds before it. Ends early when nothing new turns up.
+    the step, which spreads long sessions. A few rounds make one job; its new rows are settled,
+    so the next starts from rows and not from all plans before it. Ends when none are new.
     """
     front = settle(symptoms.groupBy("session_id", "step_id").agg(F.min("step").alias("symptom_step")).select(
         "session_id", F.col("step_id").alias("symptom_id"), "symptom_step", "step_id",
@@ -75,21 +80,30 @@ def trace_back(edges: DataFrame, symptoms: DataFrame, depth: int = 5) -> DataFra
     tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     steps = (edges.select("session_id", "src", "dst").join(troubled, "session_id", "left_semi")
              .repartition(tasks, "session_id", "dst").distinct().persist())
-    seen = front
-    for level in range(1, depth + 1):
-        reached = front.withColumnRenamed("step_id", "dst").join(steps, ["session_id", "dst"])
-        reached = reached.groupBy("session_id", "symptom_id", "symptom_step", F.col("src").alias("step_id")).agg(
-            F.min(F.array_append("path", F.col("src"))).alias("path"))
-        fresh = reached.join(seen.select("session_id", "symptom_id", "step_id"),
-                             ["session_id", "symptom_id", "step_id"], "left_anti")
-        front = settle(fresh.withColumn("depth", F.lit(level)))
-        if front.isEmpty():
+    seen, level = front, 0
+    while level < depth:
+        upto = min(level + ROUNDS, depth)
+        rounds = [front]
+        for at in range(level + 1, upto + 1):
+            rounds.append(_one_back(rounds[-1], steps, at))
+        near = reduce(DataFrame.unionByName, rounds[1:]).groupBy("session_id", "symptom_id", "symptom_step", "step_id").agg(
+            F.min(F.struct("depth", "path")).alias("_way"))
+        fresh = settle(near.select("session_id", "symptom_id", "symptom_step", "step_id", "_way.depth", "_way.path").join(
+            seen.select("session_id", "symptom_id", "step_id"), ["session_id", "symptom_id", "step_id"], "left_anti"))
+        seen, level = seen.unionByName(fresh), upto
+        front = fresh.where(F.col("depth") == upto)
+        if level < depth and front.isEmpty():
             break
-        seen = seen.unionByName(front)
     steps.unpersist()
     return seen
 
 
+def _one_back(front: DataFrame, steps: DataFrame, depth: int) -> DataFrame:
+    reached = front.withColumnRenamed("step_id", "dst").join(steps, ["session_id", "dst"])
+    return reached.groupBy("session_id", "symptom_id", "symptom_step", F.col("src").alias("step_id")).agg(
+        F.min(F.array_append("path", F.col("src"))).alias("path")).withColumn("depth", F.lit(depth))
+
+
 def propagation(back: DataFrame, nodes: DataFrame) -> DataFrame:
     """Stages on the way from each traced step to its symptom, equal neighbours as one."""
     way = back.select("session_id", "symptom_id", "step_id", "depth", "path", F.posexplode("path").alias("_at", "_node"))

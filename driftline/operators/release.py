@@ -41,13 +41,19 @@ def assign_sets(cases: DataFrame, hard: DataFrame, key: str = "case_id", test_sh
 
 
 def offline_eval(results: DataFrame, evalset: DataFrame) -> DataFrame:
-    """Pass rate and mean score per set and version, per version, and overall."""
-    rows = results.join(evalset.select("case_id", "set_name"), "case_id").select(
-        "set_name", "version", F.col("passed").cast("double").alias("_passed"), "score")
+    """Pass rate and mean score per set and version, per version, and overall.
+
+    Results shrink to a row per case and version before they meet the set.
+    """
+    runs = results.groupBy("case_id", "version").agg(
+        F.count("*").alias("n"), F.count("passed").alias("n_judged"), F.count_if("passed").alias("n_passed"),
+        F.count("score").alias("n_scored"), F.sum("score").alias("sum_score"))
+    rows = runs.join(evalset.select("case_id", "set_name"), "case_id")
     sets = [["set_name", "version"], ["version"], []]
     return rows.groupingSets([[F.col(c) for c in s] for s in sets], "set_name", "version").agg(
-        F.grouping_id().alias("level"), F.count("*").alias("n"), F.avg("_passed").alias("pass_rate"),
-        F.avg("score").alias("mean_score"))
+        F.grouping_id().alias("level"), F.sum("n").alias("n"),
+        F.try_divide(F.sum("n_passed"), F.sum("n_judged")).alias("pass_rate"),
+        F.try_divide(F.sum("sum_score"), F.sum("n_scored")).alias("mean_score"))
 
 
 def _paired(base: DataFrame, cand: DataFrame) -> DataFrame:

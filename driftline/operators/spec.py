@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from driftline.functions.ordered import previous, run_key, running
 from driftline.functions.quantile import quantiles
+from driftline.functions.sizing import settle
 from driftline.sources import schemas
 
 
@@ -37,21 +38,23 @@ def mine_fields(df: DataFrame, theta: float, skill: str | None = None) -> DataFr
                   support=F.col("support"))
 
 
-def first_visits(df: DataFrame) -> DataFrame:
-    """Per session the stages in order of first visit; one entry per stage, so it stays short."""
+def visit_orders(df: DataFrame) -> DataFrame:
+    """The different orders in which runs first reach their stages, with how many runs take each.
+
+    A run's order has one entry per stage, so it stays short however long the run is.
+    """
     key = run_key(df)
-    firsts = df.groupBy(*key, "stage").agg(F.min("step").alias("at"))
-    return firsts.groupBy(*key).agg(
+    firsts = df.where("stage is not null").groupBy(*key, "stage").agg(F.min("step").alias("at"))
+    paths = firsts.groupBy(*key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("at", "stage"))), lambda r: r["stage"]).alias("path"))
+    return paths.groupBy("path").agg(F.count("*").alias("n"))
 
 
-def order_shares(df: DataFrame) -> DataFrame:
-    """For each pair of stages: sessions holding both, and the share visiting ``before`` first.
+def order_shares(orders: DataFrame) -> DataFrame:
+    """For each pair of stages: runs holding both, and the share reaching ``before`` first.
 
-    Sessions visiting in the same order are counted before pairs are formed, so the pairs
-    made depend on the number of different orders and not on the number of sessions.
+    Pairs are formed per different order, not per run.
     """
-    orders = first_visits(df).groupBy("path").agg(F.count("*").alias("n"))
     first = orders.select("n", "path", F.posexplode("path").alias("i", "a"))
     pairs = first.select("n", "i", "a", F.posexplode("path").alias("j", "b")).where("i <> j")
     held = pairs.groupBy("a", "b").agg(
@@ -60,12 +63,34 @@ def order_shares(df: DataFrame) -> DataFrame:
                        (F.col("kept") / F.col("both")).alias("support"))
 
 
-def mine_order(df: DataFrame, theta: float, skill: str | None = None) -> DataFrame:
-    """Stage pairs visited in one order by at least ``theta`` of the sessions holding both."""
-    kept = order_shares(df).where(F.col("support") >= theta)
+def stage_shares(orders: DataFrame) -> DataFrame:
+    """Share of runs reaching each stage; every order counts once under no stage, which gives the total."""
+    marks = F.array_append("path", F.lit(None).cast("string"))
+    counts = orders.select("n", F.explode(marks).alias("stage")).groupBy("stage").agg(F.sum("n").alias("n"))
+    total = F.max(F.when(F.col("stage").isNull(), F.col("n"))).over(Window.partitionBy(F.lit(1)))
+    return counts.withColumn("support", F.col("n") / total).where("stage is not null")
+
+
+def _order_rules(orders: DataFrame, theta: float, skill: str | None) -> DataFrame:
+    kept = order_shares(orders).where(F.col("support") >= theta)
     return _rules(kept, "precedence", skill, before=F.col("before"), stage=F.col("stage"), support=F.col("support"))
 
 
+def _stage_rules(orders: DataFrame, theta: float, skill: str | None) -> DataFrame:
+    kept = stage_shares(orders).where(F.col("support") >= theta)
+    return _rules(kept, "mandatory_stage", skill, stage=F.col("stage"), support=F.col("support"))
+
+
+def mine_order(df: DataFrame, theta: float, skill: str | None = None) -> DataFrame:
+    """Stage pairs reached in one order by at least ``theta`` of the runs holding both."""
+    return _order_rules(visit_orders(df), theta, skill)
+
+
+def mine_stages(df: DataFrame, theta: float, skill: str | None = None) -> DataFrame:
+    """Stages reached in at least ``theta`` of the runs."""
+    return _stage_rules(visit_orders(df), theta, skill)
+
+
 def mine_ranges(df: DataFrame, lo: float, hi: float, skill: str | None = None,
                 max_rows: int | None = None) -> DataFrame:
     """The range between two exact quantiles of ``value`` per stage."""
@@ -86,22 +111,12 @@ def mine_transitions(df: DataFrame, theta: float, skill: str | None = None) -> D
     return _rules(kept, "transition", skill, before=F.col("before"), stage=F.col("stage"), support=F.col("support"))
 
 
-def mine_stages(df: DataFrame, theta: float, skill: str | None = None) -> DataFrame:
-    """Stages visited in at least ``theta`` of the sessions."""
-    visited = df.groupBy(*run_key(df)).agg(F.collect_set("stage").alias("seen"))
-    marks = F.array_append("seen", F.lit(None).cast("string"))
-    counts = visited.select(F.explode(marks).alias("stage")).groupBy("stage").count()
-    total = F.max(F.when(F.col("stage").isNull(), F.col("count"))).over(Window.partitionBy(F.lit(1)))
-    shares = counts.withColumn("support", F.col("count") / total).where(
-        F.col("stage").isNotNull() & (F.col("support") >= theta))
-    return _rules(shares, "mandatory_stage", skill, stage=F.col("stage"), support=F.col("support"))
-
-
 def extract_spec(df: DataFrame, theta: float, lo: float = 0.05, hi: float = 0.95,
                  skill: str | None = None) -> DataFrame:
     """All mined rules of a skill in one spec table."""
+    orders = settle(visit_orders(df))
     return (mine_fields(df, theta, skill)
-            .unionByName(mine_order(df, theta, skill))
+            .unionByName(_order_rules(orders, theta, skill))
             .unionByName(mine_ranges(df, lo, hi, skill))
             .unionByName(mine_transitions(df, theta, skill))
-            .unionByName(mine_stages(df, theta, skill)))
+            .unionByName(_stage_rules(orders, theta, skill)))

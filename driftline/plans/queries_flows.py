@@ -58,7 +58,7 @@ SELECT n.session_id, n.symptoms, cause, gate FROM (SELECT session_id, count(*) A
 LEFT JOIN best USING (session_id) LEFT JOIN m USING (session_id)"""))
 def flow_attribute(spark, sf_dir):
     """Symptoms to reports over the whole session graph."""
-    trace = store(S.event_trace(spark, sf_dir))
+    trace = store(S.slim(S.event_trace(spark, sf_dir)))
     impact = A.event_impact(trace, S.event_outcome(trace))
     out = flows.attribute(trace, store(drift_findings(trace)), S.event_gates(trace), impact=impact)
     return out.reports.select("session_id", "symptoms", "cause", "gate")

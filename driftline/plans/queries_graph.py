@@ -65,7 +65,7 @@ SELECT session_id, step_id, step, 'error' AS source FROM trace WHERE name = 'err
 UNION ALL SELECT session_id, step_id, step, 'feedback' FROM bad
 UNION ALL SELECT session_id, step_id, step, 'outcome' FROM bad WHERE errors = 0""")
 def a3_symptoms(spark, sf_dir):
-    trace = store(S.event_trace(spark, sf_dir))
+    trace = S.event_trace(spark, sf_dir)
     outcome = settle(S.event_outcome(trace))
     feedback = outcome.where("not good").select("session_id", F.lit(None).cast("bigint").alias("step_id"))
     shown = B.symptoms(trace, feedback, V.silent_failures(trace, outcome))
@@ -80,7 +80,7 @@ def traced(trace):
 @query(recursive(f"""{DRIFT}, {BACK}
 SELECT session_id, symptom_id, step_id, depth::BIGINT AS depth, array_to_string(path, '<') AS path FROM back"""))
 def a4_trace_back(spark, sf_dir):
-    back = traced(store(S.event_trace(spark, sf_dir)))
+    back = traced(S.event_trace(spark, sf_dir))
     return back.select("session_id", "symptom_id", "step_id", F.col("depth").cast("bigint").alias("depth"),
                        F.array_join(F.col("path").cast("array<string>"), "<").alias("path"))
 
@@ -93,7 +93,7 @@ named AS (SELECT w.session_id, symptom_id, w.step_id, depth, pos, t.name,
 SELECT session_id, symptom_id, step_id, depth::BIGINT AS depth, string_agg(name, '>' ORDER BY pos DESC) AS stages
 FROM named WHERE before IS NULL OR before <> name GROUP BY session_id, symptom_id, step_id, depth"""))
 def a5_propagation(spark, sf_dir):
-    trace = store(S.event_trace(spark, sf_dir))
+    trace = store(S.slim(S.event_trace(spark, sf_dir)))
     nodes, _ = B.build_graph(trace)
     return B.propagation(traced(trace), nodes).select(
         "session_id", "symptom_id", "step_id", F.col("depth").cast("bigint").alias("depth"), F.array_join("stages", ">").alias("stages"))
@@ -127,7 +127,7 @@ SELECT session_id, symptom_id, step_id, depth::BIGINT AS depth, rule_id, round(s
   SELECT *, row_number() OVER (PARTITION BY session_id, symptom_id ORDER BY score DESC, step, rule_id) AS place FROM c)
 WHERE place <= 3"""))
 def a7_candidate_causes(spark, sf_dir):
-    trace = store(S.event_trace(spark, sf_dir))
+    trace = store(S.slim(S.event_trace(spark, sf_dir)))
     lift = settle(A.event_impact(trace, S.event_outcome(trace)))
     return A.candidate_causes(traced(trace), drift_findings(trace), 3, lift).select(
         "session_id", "symptom_id", "step_id", F.col("depth").cast("bigint").alias("depth"), "rule_id",
@@ -140,7 +140,7 @@ def critical_of(trace):
 
 @query(f"WITH {DRIFT} SELECT session_id, symptom_id, gate_step_id, gate_step, gate FROM missed")
 def a8_missed_gates(spark, sf_dir):
-    trace = store(S.event_trace(spark, sf_dir))
+    trace = S.event_trace(spark, sf_dir)
     return A.missed_gates(S.event_gates(trace), critical_of(trace)).withColumn("gate_step", F.col("gate_step").cast("bigint"))
 
 
@@ -149,7 +149,7 @@ spans AS (SELECT session_id, min(first_step) AS b, max(symptom_step) AS e FROM c
 SELECT gate, count(*) AS chances, count(*) FILTER (passed) AS misses, round(count(*) FILTER (passed) / count(*), 6) AS miss_share
 FROM gates g JOIN spans s ON s.session_id = g.session_id AND step > b AND step <= e GROUP BY gate""")
 def a9_gate_stats(spark, sf_dir):
-    trace = store(S.event_trace(spark, sf_dir))
+    trace = S.event_trace(spark, sf_dir)
     return A.gate_stats(S.event_gates(trace), critical_of(trace)).withColumn("miss_share", F.round("miss_share", 6))
 
 
@@ -210,7 +210,7 @@ known AS (SELECT signature, cause, count(*) AS cases, row_number() OVER (PARTITI
 SELECT c.session_id, c.signature, k.cause AS past_cause, k.cases, k.place
 FROM cases c JOIN known k ON k.signature = c.signature WHERE k.place <= 2""")
 def a14_recall_cases(spark, sf_dir):
-    cases = settle(session_cases(store(S.event_trace(spark, sf_dir))))
+    cases = settle(session_cases(S.event_trace(spark, sf_dir)))
     return A.recall_cases(cases.select("session_id", "signature"), cases, 2).select(
         "session_id", "signature", F.col("cause").alias("past_cause"), "cases", F.col("place").cast("bigint").alias("place"))
 
@@ -242,7 +242,7 @@ SELECT session_id, symptoms, first_step_id, cause, gate,
          coalesce(cause, 'none'), '; missed gate ', coalesce(gate, 'none')) AS sentence
 FROM n LEFT JOIN f USING (session_id) LEFT JOIN best USING (session_id) LEFT JOIN m USING (session_id)"""))
 def a15_attribution_report(spark, sf_dir):
-    trace = store(S.event_trace(spark, sf_dir))
+    trace = store(S.slim(S.event_trace(spark, sf_dir)))
     findings, shown, critical = drift_findings(trace), B.symptoms(trace), critical_of(trace)
     causes = A.candidate_causes(traced(trace), findings, 1)
     return A.attribution_report(shown, critical, causes, A.missed_gates(S.event_gates(trace), critical)).select(

@@ -31,7 +31,7 @@ def verdict_of_symptoms(critical):
 
 
 def record_table(spark, sf_dir):
-    trace = store(S.event_trace(spark, sf_dir))
+    trace = S.event_trace(spark, sf_dir)
     shown, critical = B.symptoms(trace), critical_of(trace)
     nodes, _ = B.build_graph(trace)
     at_symptom = trace.where("not ok").select(*[c for c in ("owner", "session_id", "seg", "step_id", "step") if c in trace.columns])
@@ -118,7 +118,7 @@ hit AS (SELECT t.session_id, t.symptom_id, min(place) AS place FROM critical t L
 SELECT k, count(*) AS n, count(*) FILTER (place <= k) AS hits, round(count(*) FILTER (place <= k) / count(*), 6) AS rate
 FROM hit, (SELECT unnest([1, 3, 5])::BIGINT AS k) GROUP BY k"""))
 def h4_step_hits(spark, sf_dir):
-    trace = store(S.event_trace(spark, sf_dir))
+    trace = store(S.slim(S.event_trace(spark, sf_dir)))
     causes = A.candidate_causes(traced(trace), drift_findings(trace), 5)
     truth = critical_of(trace).withColumn("step_id", F.col("first_step_id"))
     out = H.step_hits(causes, truth, [1, 3, 5])
@@ -137,7 +137,7 @@ def h5_dispositions(spark, sf_dir):
 @query(f"""WITH {DRIFT}, {CASES}
 SELECT signature, min(session_id) AS case_id, arg_min(cause, session_id) AS cause, count(*) AS stands_for FROM cases GROUP BY signature""")
 def e1_curate(spark, sf_dir):
-    return E.curate(session_cases(store(S.event_trace(spark, sf_dir))).withColumnRenamed("session_id", "case_id"))
+    return E.curate(session_cases(S.event_trace(spark, sf_dir)).withColumnRenamed("session_id", "case_id"))
 
 
 @query(f"""WITH {RESOLVED}, {VOTES}
@@ -285,7 +285,7 @@ g AS (SELECT hypothesis, version, count(*) FILTER (arm) AS n1, count(*) FILTER (
 SELECT hypothesis, sum(n1)::BIGINT AS n_with, sum(n0)::BIGINT AS n_without, count(*) FILTER (n1 = 0 OR n0 = 0) AS unmatched_groups,
   round(sum(n1 * (r1 - r0)) / sum(n1) FILTER (n0 > 0), 6) AS effect FROM g GROUP BY 1""")
 def e12_intervention_effect(spark, sf_dir):
-    trace = store(S.event_trace(spark, sf_dir))
+    trace = S.event_trace(spark, sf_dir)
     sessions = trace.groupBy("session_id").agg(
         F.min_by("version", "step").alias("version"), F.min_by("name", "step").alias("first_name"),
         F.max((F.col("name") == "view") & (F.col("step") <= 2)).alias("early"))

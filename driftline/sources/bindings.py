@@ -69,6 +69,11 @@ def event_trace(spark: SparkSession, sf_dir: str, **mapping: str) -> DataFrame:
     return N.assign_levels(N.tag_layer(sessions, LAYERS), F.col("name") == "signup")
 
 
+def slim(trace: DataFrame) -> DataFrame:
+    """What the graph and attribution need of a trace."""
+    return trace.drop("state", "version", "skill", "task_id", "stage_no", "layer")
+
+
 def event_claims(trace: DataFrame) -> DataFrame:
     return V.claims(trace, names=["purchase"])
 

@@ -5,9 +5,8 @@ import pytest
 from driftline.plans import catalog
 
 SF = "/root/testdata/sf0.001"
-CUT = ["n3_assign_levels", "n4_sessionize", "w1_skill_windows_until", "w2_window_summary", "p5_mine_transitions", "p4_mine_ranges",
-       "c2_bad_updates", "c4_skipped_steps", "c9_debug_windows", "v3_claim_support", "v3_claim_support_tables", "v6_attach_evidence",
-       "g4_trajectory_anomaly", "a1_build_graph", "a11_error_lookback", "a12_decision_context", "a16_flow_view"]
+CUT = ["n3_assign_levels", "w1_skill_windows_until", "c9_debug_windows", "v3_claim_support_tables", "v6_attach_evidence",
+       "g4_trajectory_anomaly", "a1_build_graph", "a11_error_lookback", "a16_flow_view"]
 
 
 @pytest.fixture(scope="module")

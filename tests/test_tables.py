@@ -118,3 +118,13 @@ def test_one_shuffle_from_raw_rows(spark, name):
 def test_only_needed_columns_are_scanned(spark):
     plan = catalog.QUERIES["v3_claim_support"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
+
+
+def test_ranks_are_cut_before_the_shuffle(spark):
+    plan = catalog.QUERIES["h3_review_queue"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan[plan.index("Exchange"):]
+
+
+def test_small_rules_are_broadcast(spark):
+    plan = catalog.QUERIES["c6_state_violations"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
