@@ -39,11 +39,13 @@ def settle(df: DataFrame) -> DataFrame:
 def store(df: DataFrame) -> DataFrame:
     """Write a large result that several steps read as a table in the shared folder.
 
-    Unlike ``settle`` it is columnar: each reader scans only the columns it needs.
+    Unlike ``settle`` it is columnar: each reader scans only the columns it needs. Tables lie
+    in a folder per application, to be removed when it has ended.
     """
-    path = f"{shared_dir(df.sparkSession)}/stored/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/stored/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Streams give what the batch operators give for the rows that are settled."""
 
+import uuid
 from datetime import timedelta
 
 from driftline.functions.sizing import shared_dir
@@ -31,7 +32,7 @@ def test_claims_against_brute_force(spark):
 
 
 def test_skips_go_on_over_batches(spark):
-    folder = f"{shared_dir(spark)}/skips-test"
+    folder = f"{shared_dir(spark)}/skips-{uuid.uuid4().hex}"
 
     def run(base=None):
         stream = T.stream_trace(spark, folder, SCHEMA)
@@ -50,7 +51,7 @@ def test_skips_go_on_over_batches(spark):
 
 def test_sessions_equal_batch_once_closed(spark):
     rows = [("u", i, START + timedelta(hours=h), "view", "u") for i, h in enumerate((0, 1, 2, 9, 10, 40))]
-    folder = f"{shared_dir(spark)}/sessions-test"
+    folder = f"{shared_dir(spark)}/sessions-{uuid.uuid4().hex}"
     arrive(spark, folder, rows)
     stream = T.stream_trace(spark, folder, SCHEMA)
     found = T.result_of(T.stream_sessions(stream, "owner", "6 hours", "1 hour"), "sessions-test")
