@@ -80,14 +80,14 @@ def event_impact(df: DataFrame, outcome: DataFrame) -> DataFrame:
     held = df.select("session_id", "name").distinct().join(
         outcome.select("session_id", (~F.col("good")).cast("int").alias("_failed")), "session_id")
     with_it = held.groupBy("name").agg(F.count("*").alias("n_with"), F.sum("_failed").alias("failed_with"))
-    totals = outcome.agg(F.count("*").alias("n"), F.count_if(~F.col("good")).alias("failed"))
-    every = F.broadcast(settle(totals))  # one row
-    rates = with_it.join(every).withColumns({
+    every = outcome.agg(F.count("*").alias("n"), F.count_if(~F.col("good")).alias("failed")).first()
+    n, failed = F.lit(every["n"]), F.lit(every["failed"])
+    rates = with_it.withColumns({
         "rate_with": F.col("failed_with") / F.col("n_with"),
-        "rate_without": F.try_divide(F.col("failed") - F.col("failed_with"), F.col("n") - F.col("n_with")),
+        "rate_without": F.try_divide(failed - F.col("failed_with"), n - F.col("n_with")),
     })
     return rates.select(
-        "name", "n_with", "failed_with", (F.col("n_with") / F.col("n")).alias("support"), "rate_with", "rate_without",
+        "name", "n_with", "failed_with", (F.col("n_with") / n).alias("support"), "rate_with", "rate_without",
         (F.col("rate_with") - F.col("rate_without")).alias("difference"),
         F.try_divide("rate_with", "rate_without").alias("lift"))
 

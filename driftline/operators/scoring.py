@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.columns import ordinal_of
-from driftline.functions.ordered import carried, previous, run_key, running, running_max, session_key
+from driftline.functions.ordered import previous, run_key, running, running_max, session_key
 from driftline.functions.quantile import median_and_mad
 from driftline.functions.sizing import settle, small_side
 from driftline.operators.spec import transition_shares

@@ -54,10 +54,7 @@ def stream_claims(claims: DataFrame, evidence: DataFrame, key: str, within: str,
     Evidence of a bucket supports a claim when its first lies before the claim and its last
     is recent enough.
     """
-    spark = claims.sparkSession
-    micros = spark.range(1).select(F.expr(
-        f"(unix_micros(timestamp'2000-01-01' + interval {within}) - unix_micros(timestamp'2000-01-01'))").alias("m")).first()["m"]
-    width = f"{max(1, micros // buckets)} microseconds"
+    width = f"{max(1, _micros(claims.sparkSession, within) // buckets)} microseconds"
     proofs = (evidence.withWatermark("ts", delay).groupBy(F.col(key).alias("_key"), F.window("ts", width).alias("_w"))
               .agg(F.min("ts").alias("_first"), F.max("ts").alias("_last"))
               .select("_key", "_first", "_last", F.window_time("_w").alias("_at")))
@@ -68,6 +65,12 @@ def stream_claims(claims: DataFrame, evidence: DataFrame, key: str, within: str,
     return joined.where("_key is null").drop("_key", "_first", "_last", "_at")
 
 
+def _micros(spark: SparkSession, interval: str) -> int:
+    """An interval such as ``12 hours`` in microseconds, read by Spark itself."""
+    start = "timestamp'2000-01-01'"
+    return spark.sql(f"select unix_micros({start} + interval {interval}) - unix_micros({start}) as m").first()["m"]
+
+
 def stream_skips(df: DataFrame, ordinals: dict[str, int]) -> DataFrame:
     """Rows that skip a stage, the furthest stage of each session being kept across batches.
 
