@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,3 +23,8 @@ def query(sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def widened(schema: T.StructType, **fields: T.DataType) -> T.StructType:
+    """A copy of ``schema`` with more fields at its end."""
+    return T.StructType([*schema.fields, *(T.StructField(name, kind) for name, kind in fields.items())])
