@@ -1,4 +1,4 @@
 """Importing this module registers every query of the subpackage."""
 
-from driftline.llm import languages, mixing, near_texts, near_vectors, quality, secrets, token_files, urls  # noqa: F401
+from driftline.llm import aligning, languages, mixing, near_texts, near_vectors, quality, secrets, token_files, urls  # noqa: F401
 from driftline.llm.registry import ORACLES, QUERIES  # noqa: F401
