@@ -58,7 +58,7 @@ def fit(sample: np.ndarray, n: int, cosine: float = COSINE, miss: float = MISS,
         lost *= 1 - np.prod(np.clip(1 - apart * density, 0, 1))
         directions.append(d)
         middles.append(middle)
-    return Index(np.array(directions).reshape(-1, bits, dim), np.array(middles).reshape(-1, bits))
+    return Index(np.array(directions).reshape(len(directions), bits, dim), np.array(middles).reshape(len(directions), bits))
 
 
 def keys_of(index: Index, rows: np.ndarray) -> np.ndarray:
@@ -103,11 +103,11 @@ def pairs_linked(a: np.ndarray, b: np.ndarray, keys_a: np.ndarray, keys_b: np.nd
     return out
 
 
-def found_in(vectors: np.ndarray, keys: np.ndarray, sizes: np.ndarray, block: np.ndarray, at: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """(vectors linked, number of the smallest row linked) for each row of one cell, or of two blocks of a cell."""
+def found_in(vectors: np.ndarray, keys: np.ndarray, sizes: np.ndarray, block: np.ndarray, same: bool, at: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(vectors linked, number of the smallest row linked) for each row of a block of a cell, or of two, which are then held against each other."""
     n = len(vectors)
     links = np.zeros((n, n), bool)
-    if block[0] == block[-1]:
+    if same:
         links = pairs_linked(vectors, vectors, keys, keys, at, cosine)
         np.fill_diagonal(links, False)
     else:
@@ -170,7 +170,7 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "rep"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     group = F.xxhash64(*cell, F.least("block", "other"), F.greatest("block", "other"))
-    dealt = dealt.select(group.alias("grp"), "at", "block", "rep", "size", "keys", "embedding").repartition("grp").sortWithinPartitions("grp", "block", "rep")
+    dealt = dealt.select(group.alias("grp"), "at", (F.col("block") == F.col("other")).alias("same"), "block", "rep", "size", "keys", "embedding").repartition("grp").sortWithinPartitions("grp", "block", "rep")
 
     def count(batches):
         held: list[pa.RecordBatch] = []
@@ -182,7 +182,7 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                 return None
             cols = {n: part.column(n).chunk(0) if part.column(n).num_chunks else part.column(n) for n in part.column_names}
             reps, block = cols["rep"].to_numpy(), cols["block"].to_numpy()
-            n, root = found_in(unit(matrix(cols["embedding"])), matrix(cols["keys"]), cols["size"].to_numpy(), block, int(cols["at"][0].as_py()), cosine)
+            n, root = found_in(unit(matrix(cols["embedding"])), matrix(cols["keys"]), cols["size"].to_numpy(), block, cols["same"][0].as_py(), int(cols["at"][0].as_py()), cosine)
             some = n > 0
             return pa.record_batch([pa.array(reps[some]), pa.array(n[some].astype(np.int64)), pa.array(reps[root[some]])], names=["rep", "n", "root"])
 

@@ -124,14 +124,15 @@ def files(folder: str):
 class ShardWriter:
     """Writes one shard; sequences leave for the file as they fill, so memory stays bounded."""
 
-    def __init__(self, folder: str, shard: int, length: int, dtype):
+    def __init__(self, folder: str, shard: int, length: int, dtype, per_batch: int = BATCH_SEQUENCES):
         self.store, base = files(folder)
-        self.length, self.dtype = length, np.dtype(dtype)
+        self.length, self.dtype, self.per_batch = length, np.dtype(dtype), per_batch
         # A retried or doubled task writes its own files and moves them into place when they are whole.
         self.final = [f"{base}/shard-{shard:06d}.arrow", f"{base}/shard-{shard:06d}.docs.arrow"]
         self.temp = [f"{p}.{uuid.uuid4().hex}" for p in self.final]
         value = pa.from_numpy_dtype(self.dtype)
-        self.schema = pa.schema([("ids", pa.list_(pa.field("item", value, False), length)), ("mask", pa.list_(pa.field("item", pa.bool_(), False), length))])
+        self.schema = pa.schema([("ids", pa.list_(pa.field("item", value, False), length)), ("mask", pa.list_(pa.field("item", pa.bool_(), False), length))],
+                                metadata={"sequences_per_batch": str(per_batch)})
         self.docs_schema = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64())])
         self.sinks = [self.store.open_output_stream(p) for p in self.temp]
         self.ids = pa.ipc.new_file(self.sinks[0], self.schema)
@@ -147,19 +148,19 @@ class ShardWriter:
         for e in encoded:
             self.held.append(e)
             self.n_held += len(e)
-            if self.n_held >= self.length * BATCH_SEQUENCES:
+            if self.n_held >= self.length * self.per_batch:
                 self._flush(False)
 
     def _flush(self, last: bool) -> None:
         flat = np.concatenate(self.held) if self.held else np.empty(0, self.dtype)
-        whole = len(flat) - len(flat) % (self.length * BATCH_SEQUENCES)      # only full batches but for the last
+        whole = len(flat) - len(flat) % (self.length * self.per_batch)      # only full batches but for the last
         n = len(flat) if last else whole
         rows, real = -(-n // self.length), n
         body = flat[:n]
         if rows * self.length > n:
             body = np.concatenate([body, np.zeros(rows * self.length - n, self.dtype)])
-        for at in range(0, rows, BATCH_SEQUENCES):
-            part = body[at * self.length:(at + BATCH_SEQUENCES) * self.length]
+        for at in range(0, rows, self.per_batch):
+            part = body[at * self.length:(at + self.per_batch) * self.length]
             mask = np.arange(at * self.length, at * self.length + len(part)) < real
             self.ids.write_batch(pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(part), type=self.schema.field("ids").type),
                                                   pa.FixedSizeListArray.from_arrays(pa.array(mask), type=self.schema.field("mask").type)], schema=self.schema))
@@ -180,13 +181,13 @@ def read_shard(folder: str, shard: int):
     ids = pa.ipc.open_file(store_.open_input_file(f"{base}/shard-{shard:06d}.arrow"))
     docs = pa.ipc.open_file(store_.open_input_file(f"{base}/shard-{shard:06d}.docs.arrow"))
     length = ids.schema.field("ids").type.list_size
-    per, now, held = BATCH_SEQUENCES * length, -1, None
+    per, now, held = int(ids.schema.metadata[b"sequences_per_batch"]) * length, -1, None
 
     def pieces(at: int, n: int):
         nonlocal now, held
         while n:
             b, off = divmod(at, per)
-            if b != now:        # every batch but the last is full: sequence k lies in batch k // BATCH_SEQUENCES
+            if b != now:        # every batch but the last is full: so a place says which batch
                 now, held = b, ids.get_batch(b).column(0).flatten().to_numpy()
             yield (got := held[off:off + n])
             at, n = at + len(got), n - len(got)
@@ -196,16 +197,19 @@ def read_shard(folder: str, shard: int):
             yield doc_id, first, pieces(first, n)
 
 
-def sequence(folder: str, shard: int, k: int, per_batch: int = BATCH_SEQUENCES):
+def sequence(folder: str, shard: int, k: int):
     """Sequence ``k`` of a shard and its mask, by place: one batch is touched, and none copied if the store maps files."""
     store_, base = files(folder)
-    batch = pa.ipc.open_file(store_.open_input_file(f"{base}/shard-{shard:06d}.arrow")).get_batch(k // per_batch)
-    length = batch.schema.field("ids").type.list_size
-    at = slice(k % per_batch * length, (k % per_batch + 1) * length)
-    return batch.column(0).flatten().to_numpy()[at], batch.column(1).flatten().to_numpy(zero_copy_only=False)[at]
+    file = pa.ipc.open_file(store_.open_input_file(f"{base}/shard-{shard:06d}.arrow"))
+    b, at = divmod(k, int(file.schema.metadata[b"sequences_per_batch"]))
+    ids, mask = file.get_batch(b).columns
+    length = ids.type.list_size
+    at = slice(at * length, (at + 1) * length)
+    return ids.flatten().to_numpy()[at], mask.flatten().to_numpy(zero_copy_only=False)[at]
 
 
-def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID, length: int = SEQUENCE) -> DataFrame:
+def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID, length: int = SEQUENCE,
+                 per_batch: int = BATCH_SEQUENCES) -> DataFrame:
     """Encode ``docs`` in ascending doc_id order into ``folder``; (shard, n_docs, n_tokens) of the shards written.
 
     Null ids come first; rows of equal id follow by text, so reruns agree. Null and empty texts are written as the end id alone.
@@ -230,7 +234,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
             at = 0
             while at < len(ids):
                 to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + ENCODE_BYTES, "right")))
-                out = out or ShardWriter(folder, shard, length, dtype)
+                out = out or ShardWriter(folder, shard, length, dtype, per_batch)
                 encoded = [np.concatenate([e, end]) for e in enc.batch(texts.slice(at, to - at).to_pylist())]
                 out.add(ids[at:to], encoded)
                 n_docs, n_tokens, at = n_docs + to - at, n_tokens + sum(map(len, encoded)), to
