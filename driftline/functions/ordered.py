@@ -45,7 +45,8 @@ def segment(df: DataFrame, key: list[str], order: list[str], max_rows: int | Non
     """Mark the pieces of groups longer than ``max_rows``; other rows get piece 0.
 
     The first pass reads the key columns only. Pieces come from a range shuffle of
-    the long groups alone and are stored, as a re-run could sample other bounds.
+    the long groups alone and are stored, as a re-run could sample other bounds. Rows of a null
+    key are a group like any other; they are often the longest.
     """
     max_rows = max_rows or MAX_GROUP_ROWS
     sizes = df.groupBy(*key).count().where(F.col("count") > max_rows)
@@ -53,13 +54,14 @@ def segment(df: DataFrame, key: list[str], order: list[str], max_rows: int | Non
     if not found["keys"]:
         return df
     pieces = min(-(-2 * found["rows"] // max_rows), MAX_PIECES)
-    long_keys = small_side(settle(sizes.select(*key)))
+    long_keys = small_side(settle(sizes.select(F.struct(*key).alias("_long"))))
+    long = F.struct(*key) == F.col("_long")     # equal structs may hold nulls
     long_rows = store(
-        df.join(long_keys, key, "left_semi")
+        df.join(long_keys, long, "left_semi")
         .repartitionByRange(int(pieces), *key, *order)
         .withColumn(SEG, F.spark_partition_id() + 1)
     )
-    rest = df.join(long_keys, key, "left_anti").withColumn(SEG, F.lit(0))
+    rest = df.join(long_keys, long, "left_anti").withColumn(SEG, F.lit(0))
     return rest.unionByName(long_rows)
 
 
@@ -130,10 +132,10 @@ def running(df: DataFrame, columns: dict[str, Run], key: list[str] | None = None
         *[_summary(n, r, at).alias(f"_{n}") for n, r in columns.items()])
     carry = ends.select(*key, SEG, *[_carry(n, r, before).alias(f"_{n}") for n, r in columns.items()])
     carry = carry.where(reduce(or_, [F.col(f"_{n}").isNotNull() for n in columns]))
-    carry = small_side(settle(carry))
+    carry = small_side(settle(carry.withColumn("_at", F.struct(*key, SEG)).drop(*key, SEG)))
     local = df.withColumns({name: _local(run, by_piece, boxed=True) for name, run in columns.items()})
-    joined = local.join(carry, [*key, SEG], "left")
-    return joined.withColumns({n: _combine(n, r) for n, r in columns.items()}).drop(*[f"_{n}" for n in columns])
+    joined = local.join(carry, F.struct(*key, SEG) == F.col("_at"), "left")
+    return joined.withColumns({n: _combine(n, r) for n, r in columns.items()}).drop("_at", *[f"_{n}" for n in columns])
 
 
 def _local(run: Run, window, boxed: bool = False) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from driftline.functions.ordered import running, running_sum, segment
 from driftline.functions.sizing import settle, small_side
 
-MAX_DISTINCT = 1_000_000
+MAX_GROUP_VALUES = 1_000_000
 ACCURACY = 10_000
 
 
@@ -19,52 +19,53 @@ def quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float],
     Groups of few rows use the built-in ``percentile`` over counted values. Large ones take
     sketches to bracket each wanted rank, count what lies below the bracket, and rank only the
     few values inside it. Should a sketch have missed, the bracket is widened to everything.
+    Both ways interpolate by the same formula; a null group key is a group like any other.
     """
-    max_rows = max_rows or MAX_DISTINCT
+    max_rows = max_rows or MAX_GROUP_VALUES
     v = F.col(value).cast("double")
-    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*by, v.alias("_v"))
-    if not by:
-        rows = rows.withColumn("_all", F.lit(1))
-    group = by or ["_all"]
-    sizes = rows.groupBy(*group).agg(F.count("*").alias("_n"))
+    # One struct holds the key: its fields may be null, and joins on it still meet.
+    key = F.struct(*by) if by else F.struct(F.lit(1).alias("all"))
+    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(key.alias("_g"), v.alias("_v"))
+    named = [F.col("_g")[c].alias(c) for c in by]
+    sizes = rows.groupBy("_g").agg(F.count("*").alias("_n"))
     if (sizes.agg(F.max("_n")).first()[0] or 0) <= max_rows:
-        counted = rows.groupBy(*group, "_v").agg(F.count("*").alias("_w"))
+        counted = rows.groupBy("_g", "_v").agg(F.count("*").alias("_w"))
         wanted = F.percentile("_v", F.array(*map(F.lit, probs.values())), F.col("_w"))
-        out = counted.groupBy(*group).agg(wanted.alias("_q"))
-        return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
+        out = counted.groupBy("_g").agg(wanted.alias("_q"))
+        return out.select(*named, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
 
-    picks = settle(_picks(rows, group, list(probs.values()), max_rows, sketched=True))
+    picks = settle(_picks(rows, list(probs.values()), max_rows, sketched=True))
     if not picks.where(F.col("_low").isNull() | F.col("_high").isNull()).isEmpty():
-        picks = settle(_picks(rows, group, list(probs.values()), max_rows, sketched=False))
-    share = F.col("_p") * (F.col("_n") - 1)
-    share = share - F.floor(share)
+        picks = settle(_picks(rows, list(probs.values()), max_rows, sketched=False))
+    # As the built-in percentile does it.
+    place = F.col("_p") * (F.col("_n") - 1)
     between = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(
-        F.col("_low") * (1 - share) + F.col("_high") * share)
-    named = [F.max(F.when(F.col("_i") == i, between)).alias(n) for i, n in enumerate(probs)]
-    return picks.groupBy(*group).agg(*named).select(*by, *probs)
+        (F.ceil(place) - place) * F.col("_low") + (place - F.floor(place)) * F.col("_high"))
+    values = [F.max(F.when(F.col("_i") == i, between)).alias(n) for i, n in enumerate(probs)]
+    return picks.groupBy("_g").agg(*values).select(*named, *probs)
 
 
-def _picks(rows: DataFrame, group: list[str], probs: list[float], max_rows: int, sketched: bool) -> DataFrame:
+def _picks(rows: DataFrame, probs: list[float], max_rows: int, sketched: bool) -> DataFrame:
     """Per group and probability the values at the two ranks around it, null where the bracket misses."""
-    brackets = settle(rows.groupBy(*group).agg(
+    brackets = settle(rows.groupBy("_g").agg(
         F.count("*").alias("_n"), F.array(*[_bracket(i, p, sketched) for i, p in enumerate(probs)]).alias("_b")))
-    marked = rows.join(small_side(brackets), group)
-    below = marked.select(*group, "_v", F.inline("_b")).groupBy(*group, "_i").agg(
+    marked = rows.join(small_side(brackets), "_g")
+    below = marked.select("_g", "_v", F.inline("_b")).groupBy("_g", "_i").agg(
         F.count_if(F.col("_v") < F.col("_from")).alias("_below"))
-    inside = marked.select(*group, "_v", F.inline(F.filter(
+    inside = marked.select("_g", "_v", F.inline(F.filter(
         "_b", lambda b: (F.col("_v") >= b["_from"]) & (F.col("_v") <= b["_to"]))))
-    counted = settle(inside.groupBy(*group, "_i", "_v").agg(F.count("*").alias("_w")))
-    ranked = running(segment(counted, [*group, "_i"], ["_v"], max_rows), {"_upto": running_sum("_w")},
-                     key=[*group, "_i"], order=["_v"])
-    wanted = brackets.select(*group, "_n", F.inline("_b")).join(below, [*group, "_i"])
-    found = ranked.join(small_side(settle(wanted)), [*group, "_i"])
+    counted = settle(inside.groupBy("_g", "_i", "_v").agg(F.count("*").alias("_w")))
+    ranked = running(segment(counted, ["_g", "_i"], ["_v"], max_rows), {"_upto": running_sum("_w")},
+                     key=["_g", "_i"], order=["_v"])
+    wanted = brackets.select("_g", "_n", F.inline("_b")).join(below, ["_g", "_i"])
+    found = ranked.join(small_side(settle(wanted)), ["_g", "_i"])
     place = F.col("_p") * (F.col("_n") - 1)
 
     def at(rank: Column) -> Column:
         upto = F.col("_below") + F.col("_upto")
         return F.max(F.when((upto - F.col("_w") <= rank) & (rank < upto), F.col("_v")))
 
-    return found.groupBy(*group, "_i", "_p", "_n").agg(
+    return found.groupBy("_g", "_i", "_p", "_n").agg(
         at(F.floor(place)).alias("_low"), at(F.ceil(place)).alias("_high"))
 
 

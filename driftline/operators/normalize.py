@@ -120,22 +120,15 @@ def skill_windows(df: DataFrame, start: Column, end: Column | None = None) -> Da
     return out.where("window_id > 0").drop("_start", "_end", "_ends", "_ends_at_start")
 
 
-# Names or codes of this many steps go into one list.
-LIST_STEPS = 100_000
-
-
-def window_summary(df: DataFrame, list_steps: int | None = None) -> DataFrame:
-    """Per window: first and last step, length in seconds, rows and the names in order.
-
-    Names come as one row per ``list_steps`` steps of the session (``part``), so no list
-    outgrows a row; the other columns are those of the whole window.
-    """
-    key = [*session_key(df), "window_id"]
-    whole = df.groupBy(*key).agg(
+def window_summary(df: DataFrame) -> DataFrame:
+    """Per window: first and last step, length in seconds and rows; one row however long the window is."""
+    whole = df.groupBy(*session_key(df), "window_id").agg(
         F.min("step").alias("first_step"), F.max("step").alias("last_step"), F.count("*").alias("n_rows"),
         F.min("ts").alias("_t0"), F.max("ts").alias("_t1"))
-    whole = whole.withColumn("seconds", seconds_between(F.col("_t0"), F.col("_t1"))).drop("_t0", "_t1")
-    part = F.floor((F.col("step") - 1) / (list_steps or LIST_STEPS)).cast("int")
-    names = df.withColumn("part", part).groupBy(*key, "part").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("step", "name"))), lambda r: r["name"]).alias("names"))
-    return whole.join(names, key)
+    return whole.withColumn("seconds", seconds_between(F.col("_t0"), F.col("_t1"))).drop("_t0", "_t1")
+
+
+def window_names(df: DataFrame) -> DataFrame:
+    """The names of each window in order: a row per step, with its place in the window from 1."""
+    placed = running(df, {"place": running_sum(F.lit(1))}, key=[*session_key(df), "window_id"])
+    return placed.select(*session_key(df), "window_id", F.col("place").cast("bigint").alias("place"), "name")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from driftline.functions.columns import lookup
 from driftline.functions.ordered import run_key
-from driftline.operators.normalize import LIST_STEPS
+
+# Codes of this many steps go into one part.
+LIST_STEPS = 100_000
 
 
 def path_distance(df: DataFrame, expected: list[str], list_steps: int | None = None) -> DataFrame:

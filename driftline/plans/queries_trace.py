@@ -199,13 +199,18 @@ def w1_skill_windows_until(spark, sf_dir):
 
 @query(f"""WITH {TRACE}
 SELECT session_id, signups AS window_id, min(step) AS first_step, max(step) AS last_step, count(*) AS n_rows,
-       round(date_diff('microsecond', min(ts), max(ts)) / 1e6, 6) AS seconds, string_agg(name, '>' ORDER BY step) AS names
+       round(date_diff('microsecond', min(ts), max(ts)) / 1e6, 6) AS seconds
 FROM trace WHERE signups > 0 GROUP BY session_id, signups""")
 def w2_window_summary(spark, sf_dir):
     cut = N.skill_windows(S.event_trace(spark, sf_dir), F.col("name") == "signup")
-    out = N.window_summary(cut)
-    # For the comparison the parts of a window, if it has several, are put together again.
-    whole = out.groupBy("session_id", "window_id", "first_step", "last_step", "n_rows", "seconds").agg(
-        F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "names"))), lambda r: r["names"])), ">").alias("names"))
-    return whole.withColumns({"first_step": F.col("first_step").cast("bigint"), "last_step": F.col("last_step").cast("bigint"),
-                              "seconds": F.round("seconds", 6)})
+    out = N.window_summary(cut).select("session_id", "window_id", "first_step", "last_step", "n_rows", "seconds")
+    return out.withColumns({"first_step": F.col("first_step").cast("bigint"), "last_step": F.col("last_step").cast("bigint"),
+                            "seconds": F.round("seconds", 6)})
+
+
+@query(f"""WITH {TRACE}
+SELECT session_id, signups AS window_id, row_number() OVER (PARTITION BY session_id, signups ORDER BY step) AS place, name
+FROM trace WHERE signups > 0""")
+def w2_window_names(spark, sf_dir):
+    cut = N.skill_windows(S.event_trace(spark, sf_dir), F.col("name") == "signup")
+    return N.window_names(cut).select("session_id", "window_id", "place", "name")

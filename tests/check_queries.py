@@ -14,7 +14,7 @@ from driftline.session import local_session
 part = sys.argv[1] if len(sys.argv) > 1 else ""
 sf = sys.argv[2] if len(sys.argv) > 2 else "0.01"
 if len(sys.argv) > 3:
-    ordered.MAX_GROUP_ROWS = quantile.MAX_DISTINCT = int(sys.argv[3])
+    ordered.MAX_GROUP_ROWS = quantile.MAX_GROUP_VALUES = int(sys.argv[3])
 spark = local_session(8)
 path = f"/root/testdata/sf{sf}"
 con = harness.oracle(path)

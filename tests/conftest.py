@@ -22,5 +22,5 @@ def cut_groups(monkeypatch):
 
     def at(rows):
         monkeypatch.setattr(ordered, "MAX_GROUP_ROWS", rows)
-        monkeypatch.setattr(quantile, "MAX_DISTINCT", rows)
+        monkeypatch.setattr(quantile, "MAX_GROUP_VALUES", rows)
     return at

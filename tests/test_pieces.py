@@ -10,7 +10,7 @@ from driftline.functions.ordered import (
     SEG, last_known, last_rows, previous, running, running_max, running_min, running_sum, segment)
 from driftline.functions.quantile import quantiles
 from driftline.operators import attribution as A
-from driftline.operators.normalize import window_summary
+from driftline.operators.normalize import window_names, window_summary
 from driftline.operators.paths import path_distance
 from pyspark.sql import functions as F
 from traces import START, trace
@@ -57,6 +57,24 @@ def test_quantiles_are_exact(spark, limit):
             assert out[g][name] == pytest.approx(np.quantile(vs, p), abs=1e-12)
 
 
+def test_a_null_group_keeps_its_quantiles(spark):
+    rnd = np.random.default_rng(7)
+    rows = [(g, float(v)) for g in ("a", None) for v in rnd.normal(size=200)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    few, many = ({r["g"]: (r["lo"], r["hi"]) for r in quantiles(df, ["g"], "v", {"lo": 0.05, "hi": 0.813}, limit).collect()}
+                 for limit in (10, 10_000))
+    assert few == many and set(few) == {"a", None}
+
+
+def test_a_null_key_is_cut(spark):
+    df = rows(spark, 9).withColumn("session_id", F.when(F.col("session_id") != "hot", F.col("session_id")))
+    cut = segment(df, ["session_id"], ["ts", "step_id"], 10)
+    assert cut.where("session_id IS NULL").select(SEG).distinct().count() > 5
+    wanted = {"p": previous("x"), "s": running_sum("x"), "k": last_rows("x", 3)}
+    whole, parts = (sorted(map(tuple, running(d, wanted).select("step_id", *wanted).collect())) for d in (df, cut))
+    assert whole == parts
+
+
 def test_quantiles_of_everything(spark):
     df = spark.range(1001).select((F.col("id") * 3 % 1001).cast("double").alias("v"))
     assert quantiles(df, [], "v", {"m": 0.5}, 100).first()["m"] == 500.0
@@ -71,11 +89,13 @@ def test_path_in_parts(spark):
     assert whole == sorted(map(tuple, path_distance(df, expected, list_steps=4).collect()))
 
 
-def test_window_names_in_parts(spark):
+def test_a_window_is_one_row(spark):
     df = trace(spark, {"a": ["signup", "view", "click", "purchase", "error"]}).withColumn("window_id", F.lit(1))
-    parts = window_summary(df, list_steps=2).orderBy("part").collect()
-    assert [r["names"] for r in parts] == [["signup", "view"], ["click", "purchase"], ["error"]]
-    assert {r["n_rows"] for r in parts} == {5}
+    far = df.withColumn("step", F.col("step") + 99_998)
+    out = window_summary(far).collect()
+    assert [(r["first_step"], r["last_step"], r["n_rows"]) for r in out] == [(99_999, 100_003, 5)]
+    names = window_names(far).orderBy("place").collect()
+    assert [(r["place"], r["name"]) for r in names] == list(enumerate(["signup", "view", "click", "purchase", "error"], 1))
 
 
 def test_near_causes_in_blocks(spark):
