@@ -3,7 +3,7 @@
 Checks on single rows share one pass: each brings the running columns it needs and the
 deviations it sees in a row as an array, and ``_scan`` puts them together. A stage's rules
 travel as one row, so rows meet them by a join on the stage that neither multiplies nor,
-while the rules are few, shuffles them.
+while the rules are few, shuffles them. Rules that name a skill hold for its rows only.
 """
 
 from __future__ import annotations
@@ -51,14 +51,38 @@ def _one(broken: Column, kind: str, *subject: Column | str) -> Column:
     return F.array(F.when(broken, _hit(kind, *subject)))
 
 
-def _rules_by_stage(spec: DataFrame) -> DataFrame:
-    """One row per stage: its required fields, range, and the stages it may follow."""
+def has_skill(df: DataFrame) -> Column:
+    """The skill a row belongs to, null where rows name none."""
+    return F.col("skill") if "skill" in df.columns else F.lit(None).cast("string")
+
+
+def ruled(rows: DataFrame, spec: DataFrame) -> DataFrame:
+    """Rows with what their stage asks for: required fields, ranges, and the stages it may follow.
+
+    Rules of a skill hold for its rows, rules without one for all. Each set travels as one row per stage.
+    """
     kind = F.col("rule_kind")
-    rules = spec.where(kind.isin("required_field", "range", "transition")).groupBy(F.col("stage").alias("_stage")).agg(
-        F.array_sort(F.collect_set(F.when(kind == "required_field", F.col("field")))).alias("_required"),
-        F.max(F.when(kind == "range", F.col("lo"))).alias("_lo"), F.max(F.when(kind == "range", F.col("hi"))).alias("_hi"),
-        F.collect_set(F.when(kind == "transition", F.col("before"))).alias("_allowed"))
-    return small_side(rules)
+    rules = spec.where(kind.isin("required_field", "range", "transition")).groupBy(
+        F.col("skill").alias("_skill"), F.col("stage").alias("_stage")).agg(
+        F.collect_set(F.when(kind == "required_field", F.col("field"))).alias("required"),
+        F.collect_set(F.when(kind == "range", F.struct("rule_id", "lo", "hi"))).alias("ranges"),
+        F.collect_set(F.when(kind == "transition", F.col("before"))).alias("allowed"))
+    rules = small_side(rules)
+    asked = F.struct("required", "ranges", "allowed")
+    rows = rows.join(rules.where("_skill IS NULL").select("_stage", asked.alias("_for_all")), F.col("stage") == F.col("_stage"), "left").drop("_stage")
+    parts = ["_for_all"]
+    if "skill" in rows.columns:
+        own = rules.where("_skill IS NOT NULL").select("_skill", "_stage", asked.alias("_own"))
+        rows = rows.join(own, (F.col("stage") == F.col("_stage")) & (F.col("skill") == F.col("_skill")), "left").drop("_stage", "_skill")
+        parts.append("_own")
+
+    def put_together(name: str, kind: str) -> Column:
+        return F.array_distinct(F.concat(*[F.coalesce(f"{p}.{name}", F.array().cast(kind)) for p in parts]))
+
+    return rows.withColumns({
+        "_required": F.array_sort(put_together("required", "array<string>")),
+        "_ranges": put_together("ranges", "array<struct<rule_id:string,lo:double,hi:double>>"),
+        "_allowed": put_together("allowed", "array<string>")})
 
 
 def _scan(df: DataFrame, checks: list[RowCheck], spec: DataFrame | None = None) -> DataFrame:
@@ -72,29 +96,27 @@ def _scan(df: DataFrame, checks: list[RowCheck], spec: DataFrame | None = None)
     if by_session:
         rows = running(rows, by_session, key=session_key(df))
     if any(check.ruled for check in checks):
-        rows = rows.join(_rules_by_stage(spec), F.col("stage") == F.col("_stage"), "left")
+        rows = ruled(rows, spec)
     hits = F.array_compact(F.concat(*[check.hits for check in checks]))
-    skill = F.col("skill") if "skill" in df.columns else F.lit(None).cast("string")
-    found = rows.select(*carried(df), "step_id", "step", "stage", skill.alias("skill"), F.explode(hits).alias("_hit"))
+    found = rows.select(*carried(df), "step_id", "step", "stage", has_skill(df).alias("skill"), F.explode(hits).alias("_hit"))
     return _findings(found, F.col("_hit.kind"), F.col("_hit.rule"))
 
 
 def _findings(df: DataFrame, kind: Column, rule: Column) -> DataFrame:
-    skill = F.col("skill") if "skill" in df.columns else F.lit(None).cast("string")
     return df.select(
-        *carried(df), "step_id", F.col("step").cast("int").alias("step"), "stage", skill.alias("skill"),
+        *carried(df), "step_id", F.col("step").cast("int").alias("step"), "stage", has_skill(df).alias("skill"),
         rule.alias("rule_id"), kind.alias("rule_kind"), lookup(SEVERITY)[kind].alias("severity"))
 
 
 def _check_fields() -> RowCheck:
     state = F.coalesce("state", F.create_map().cast("map<string,string>"))
     held = F.map_keys(F.map_filter(state, lambda _, v: v.isNotNull()))
-    absent = F.array_except(F.coalesce("_required", F.array().cast("array<string>")), held)
+    absent = F.array_except("_required", held)
     return RowCheck(F.transform(absent, lambda f: _hit("missing_field", F.col("stage"), f)), ruled=True)
 
 
 def _check_range() -> RowCheck:
-    outside = (F.col("value") < F.col("_lo")) | (F.col("value") > F.col("_hi"))
+    outside = F.exists("_ranges", lambda r: (F.col("value") < r["lo"]) | (F.col("value") > r["hi"]))
     return RowCheck(_one(outside, "out_of_range", F.col("stage")), ruled=True)
 
 
@@ -171,12 +193,20 @@ def schema_violations(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def missing_stages(df: DataFrame, expected: list[str] | DataFrame) -> DataFrame:
-    """Expected stages a session (or window) never reached; given as a list or as a spec table."""
+    """Expected stages a session (or window) never reached; given as a list or as a spec table.
+
+    A rule that names a skill asks its stage of runs with rows of that skill.
+    """
     key = run_key(df)
     if isinstance(expected, DataFrame):
         rules = expected.where("rule_kind = 'mandatory_stage'")
-        wanted = rules.agg(F.array_sort(F.collect_set("stage")).alias("s")).scalar()
-        seen = df.groupBy(*key).agg(F.collect_set("stage").alias("_seen"))
+        for_all = rules.where("skill IS NULL").agg(F.array_sort(F.collect_set("stage")).alias("s")).scalar()
+        own = rules.where("skill IS NOT NULL").groupBy("skill").agg(F.collect_set("stage").alias("s"))
+        own = own.agg(F.map_from_entries(F.collect_list(F.struct("skill", "s"))).alias("m")).scalar()
+        seen = df.groupBy(*key).agg(F.collect_set("stage").alias("_seen"), F.collect_set(has_skill(df)).alias("_skills"))
+        seen = seen.withColumn("_asked", own)
+        none = F.array().cast("array<string>")
+        wanted = F.array_union(for_all, F.flatten(F.transform("_skills", lambda k: F.coalesce(F.col("_asked")[k], none))))
     else:
         wanted = F.array(*map(F.lit, expected))
         reached = F.when(F.col("stage").isin(expected), F.col("stage"))
@@ -187,14 +217,21 @@ def missing_stages(df: DataFrame, expected: list[str] | DataFrame) -> DataFrame:
 
 
 def precedence_violations(df: DataFrame, spec: DataFrame) -> DataFrame:
-    """Runs that first reach ``stage`` ahead of their first ``before``, though they reach both."""
+    """Runs that first reach ``stage`` ahead of their first ``before``, though they reach both.
+
+    A first visit meets the rules that name its stage on either side, and a rule's two sides meet in an aggregate, so
+    nothing grows with the number of other stages. A rule that names a skill compares first visits in rows of that skill.
+    """
     key = run_key(df)
-    firsts = df.groupBy(*key, "stage").agg(F.min(F.struct("step", "step_id")).alias("_at"))
-    paths = firsts.groupBy(*key).agg(F.collect_list(F.struct("stage", "_at")).alias("_all"))
-    rows = paths.select(*key, F.map_from_entries("_all").alias("_first"), F.inline("_all"))
-    rules = spec.where("rule_kind = 'precedence'").select("stage", "before")
-    turned = rows.join(small_side(rules), "stage").where(F.col("_first")[F.col("before")] > F.col("_at"))
-    turned = turned.select(*key, "stage", "before", "_at.step", "_at.step_id")
+    visits = df.groupBy(*key, "stage", has_skill(df).alias("_skill")).agg(F.min(F.struct("step", "step_id")).alias("_at"))
+    rules = spec.where("rule_kind = 'precedence'").select("skill", "stage", "before").distinct()
+    sides = rules.select(F.struct("skill", "before", "stage").alias("_rule"), F.inline(F.array(*[
+        F.struct(F.col(c).alias("_side"), F.lit(c == "stage").alias("_later")) for c in ("before", "stage")])))
+    met = visits.join(small_side(sides), (F.col("stage") == F.col("_side")) & (F.col("_rule.skill").isNull() | (F.col("_rule.skill") == F.col("_skill"))))
+    later = F.col("_later")
+    turned = met.groupBy(*key, "_rule").agg(F.min(F.when(~later, F.col("_at"))).alias("_before"), F.min(F.when(later, F.col("_at"))).alias("_at"))
+    turned = turned.where(F.col("_before") > F.col("_at")).select(
+        *key, F.col("_rule.stage").alias("stage"), F.col("_rule.before").alias("before"), F.col("_rule.skill").alias("skill"), "_at.step", "_at.step_id")
     return _findings(turned, F.lit("precedence"), F.concat_ws(":", F.lit("precedence"), "before", "stage"))
 
 

@@ -63,10 +63,13 @@ def _paired(base: DataFrame, cand: DataFrame) -> DataFrame:
 
 
 def release_gate(base: DataFrame, cand: DataFrame, floors: dict[str, float]) -> DataFrame:
-    """One row: the candidate's metrics, cases passed before that fail now, and whether it may go out."""
+    """One row: the candidate's metrics, cases passed before that do not pass now, and whether it may go out.
+
+    A passed case that the candidate did not run, or left undecided, counts as a regression.
+    """
     seen = _paired(base, cand).agg(
         *[METRICS[m]().alias(m) for m in floors],
-        F.count_if(F.col("_was") & ~F.col("_now")).alias("regressions"),
+        F.count_if(F.col("_was") & ~F.coalesce("_now", F.lit(False))).alias("regressions"),
         F.count_if(F.col("_in_base") & F.col("_in_cand").isNull()).alias("not_run"))
     met = F.lit(True)
     for m, floor in floors.items():

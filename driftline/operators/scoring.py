@@ -9,27 +9,21 @@ from driftline.functions.columns import ordinal_of
 from driftline.functions.ordered import previous, run_key, running, running_max, session_key
 from driftline.functions.quantile import median_and_mad
 from driftline.functions.sizing import settle, small_side
+from driftline.operators.checks import ruled
 from driftline.operators.spec import transition_shares
 
 
 def output_scores(df: DataFrame, spec: DataFrame) -> DataFrame:
-    """Share of its stage's expectations (required fields and value range) that each step meets.
+    """Share of its stage's expectations (required fields and value ranges) that each step meets.
 
-    A stage's expectations travel as one row, so scoring is local to the step.
+    Rules that name a skill are asked of its rows, others of all. Steps nothing is asked of keep their row, with a null score.
     """
-    field = F.when(F.col("rule_kind") == "required_field", F.col("field"))
-    ranged = F.col("rule_kind") == "range"
-    wanted = spec.where(F.col("rule_kind").isin("required_field", "range")).groupBy("stage").agg(
-        F.collect_set(field).alias("_fields"), F.max(F.when(ranged, F.col("lo"))).alias("_lo"),
-        F.max(F.when(ranged, F.col("hi"))).alias("_hi"))
-    rows = df.join(small_side(wanted), "stage")
-    held = F.size(F.filter("_fields", lambda f: F.col("state")[f].isNotNull()))
-    has_range = F.col("_lo").isNotNull().cast("int")
-    inside = F.coalesce(F.col("value").between(F.col("_lo"), F.col("_hi")), F.lit(False)).cast("int")
-    return rows.withColumns({
-        "expected": F.size("_fields") + has_range,
-        "met": held + inside * has_range,
-    }).withColumn("score", F.col("met") / F.col("expected")).drop("_fields", "_lo", "_hi")
+    rules = spec.where("rule_kind IN ('required_field', 'range')").where("rule_kind <> 'range' OR lo IS NOT NULL OR hi IS NOT NULL")
+    rows = ruled(df, rules)
+    met = F.size(F.filter("_required", lambda f: F.col("state")[f].isNotNull())) + F.size(F.filter("_ranges", lambda r: F.coalesce(
+        (F.col("value") >= F.coalesce(r["lo"], F.col("value"))) & (F.col("value") <= F.coalesce(r["hi"], F.col("value"))), F.lit(False))))
+    return rows.withColumns({"expected": F.size("_required") + F.size("_ranges"), "met": met}).withColumn(
+        "score", F.try_divide("met", "expected")).drop("_for_all", "_own", "_required", "_ranges", "_allowed")
 
 
 def progress_steps(df: DataFrame, ordinals: dict[str, int]) -> DataFrame:

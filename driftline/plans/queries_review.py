@@ -195,7 +195,7 @@ def e4_offline_eval(spark, sf_dir):
 
 
 GATE = """
-gate AS (SELECT avg(now::INT) AS pass_rate, avg(score) AS mean_score, count(*) FILTER (was AND NOT now) AS regressions,
+gate AS (SELECT avg(now::INT) AS pass_rate, avg(score) AS mean_score, count(*) FILTER (was AND NOT coalesce(now, false)) AS regressions,
            count(*) FILTER (c_id IS NULL) AS not_run FROM paired)"""
 
 
@@ -207,6 +207,17 @@ def e5_release_gate(spark, sf_dir):
     return out.withColumns({"pass_rate": F.round("pass_rate", 6), "mean_score": F.round("mean_score", 6)})
 
 
+@query(f"""WITH {RESULTS},
+kept AS (SELECT b_id, c_id, was, CASE WHEN score <= 50 THEN now END AS now FROM paired)
+SELECT count(*) FILTER (was AND NOT coalesce(now, false)) AS regressions, count(*) FILTER (c_id IS NULL) AS not_run,
+  count(*) FILTER (was AND NOT coalesce(now, false)) = 0 AND avg(now::INT) >= 0 AS accepted FROM kept""")
+def e5_release_gate_undecided(spark, sf_dir):
+    """Costly cases of the candidate are left undecided; those passed before block it."""
+    base, cand = two_rounds(spark, sf_dir)
+    cand = cand.withColumn("passed", F.when(F.col("score") <= 50, F.col("passed")))
+    return E.release_gate(base, cand, {"pass_rate": 0.0}).select("regressions", "not_run", "accepted")
+
+
 @query(f"""WITH {RESULTS}
 SELECT coalesce(b_id, c_id) AS case_id, CASE WHEN b_id IS NULL THEN 'new' WHEN c_id IS NULL THEN 'gone'
   WHEN was AND NOT now THEN 'regressed' ELSE 'fixed' END AS change

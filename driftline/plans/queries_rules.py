@@ -204,6 +204,37 @@ def c9_debug(spark, sf_dir):
         F.min("step").cast("bigint").alias("first_step"))
 
 
+# Two skills with rules of their own for one stage, and rules for all; columns of the spec table without support.
+SKILL_RULES = [
+    ("cheap", "a", "range", "click", None, None, 5.0, 100.0), ("dear", "b", "range", "click", None, None, 150.0, 200.0),
+    (None, "c", "range", "view", None, None, 10.0, 300.0), ("cheap", "d", "required_field", "view", None, "note", None, None),
+    (None, "e", "required_field", "click", None, "k", None, None), ("dear", "f", "mandatory_stage", "purchase", None, None, None, None),
+    (None, "g", "mandatory_stage", "view", None, None, None, None), ("cheap", "h", "precedence", "click", "view", None, None, None),
+    ("dear", "i", "precedence", "view", "click", None, None, None)]
+
+
+@query(f"""WITH {TRACE},
+t AS (SELECT *, CASE WHEN value <= 100 THEN 'cheap' ELSE 'dear' END AS skill FROM trace),
+v AS (SELECT session_id, skill, name, min(step) AS at FROM t GROUP BY 1, 2, 3)
+SELECT session_id, step, concat('out_of_range:', name) AS rule_id, skill FROM t
+WHERE (name = 'click' AND skill = 'cheap' AND (value < 5 OR value > 100)) OR (name = 'click' AND skill = 'dear' AND (value < 150 OR value > 200))
+   OR (name = 'view' AND (value < 10 OR value > 300))
+UNION ALL SELECT session_id, step, 'missing_field:view:note', skill FROM t WHERE name = 'view' AND skill = 'cheap'
+UNION ALL SELECT session_id, step, 'missing_field:click:k', skill FROM t WHERE name = 'click' AND k IS NULL
+UNION ALL SELECT session_id, NULL, 'missing_stage:view', NULL FROM t GROUP BY session_id HAVING count(*) FILTER (name = 'view') = 0
+UNION ALL SELECT session_id, NULL, 'missing_stage:purchase', NULL FROM t GROUP BY session_id
+  HAVING count(*) FILTER (name = 'purchase') = 0 AND count(*) FILTER (skill = 'dear') > 0
+UNION ALL SELECT a.session_id, a.at, concat('precedence:', b.name, ':', a.name), a.skill FROM v a JOIN v b USING (session_id, skill)
+WHERE b.at > a.at AND ((skill = 'cheap' AND a.name = 'click' AND b.name = 'view') OR (skill = 'dear' AND a.name = 'view' AND b.name = 'click'))""")
+def c9_skill_rules(spark, sf_dir):
+    """Rules of two skills for one stage; each is asked of its own rows."""
+    trace = store(S.event_trace(spark, sf_dir).withColumn("skill", F.when(F.col("value") <= 100, "cheap").otherwise("dear")))
+    spec = spark.createDataFrame(SKILL_RULES, "skill string, rule_id string, rule_kind string, stage string, before string, field string, lo double, hi double")
+    found = C.missing_fields(trace, spec).unionByName(C.state_violations(trace, spec))
+    found = found.unionByName(C.missing_stages(trace, spec)).unionByName(C.precedence_violations(trace, spec))
+    return found.select("session_id", F.col("step").cast("bigint").alias("step"), "rule_id", "skill")
+
+
 @query(f"""WITH {TRACE},
 cut AS (SELECT *, max(ord) OVER w AS peak_here, lag(name) OVER (PARTITION BY session_id, signups ORDER BY step) AS before_here
         FROM trace WHERE signups > 0
