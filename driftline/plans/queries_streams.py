@@ -69,20 +69,25 @@ def rates(spark, sf_dir, slide):
                       "n_rows", "n_bad", F.round("rate", 6).alias("rate"))
 
 
-@query()
+@query("""SELECT CAST(p.user_id AS VARCHAR) AS owner, p.event_id AS step_id, strftime(p.ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events p
+WHERE p.event_type = 'purchase' AND NOT EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'click' AND e.user_id = p.user_id
+    AND e.ts < p.ts AND e.ts >= p.ts - INTERVAL 12 HOUR)
+  AND p.ts < (SELECT max(ts) FROM events) - INTERVAL 4 HOUR""")
 def t5_stream_claims(spark, sf_dir):
-    """Purchases without a click of the same user in the 12 hours before; late tail still open."""
+    """Purchases without a click of the same user in the 12 hours before, but for those within the delay and one bucket of the end."""
     claims = arriving(spark, sf_dir).where("name = 'purchase'").select("owner", "step_id", "ts")
     proofs = arriving(spark, sf_dir).where("name = 'click'").select("owner", "ts")
-    return T.result_of(T.stream_claims(claims, proofs, "owner", "12 hours", DELAY), "claims")
+    out = T.result_of(T.stream_claims(claims, proofs, "owner", "12 hours", DELAY), "claims")
+    return out.select("owner", "step_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
 
 
 @query("""WITH o AS (SELECT *, CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'purchase' THEN 4 END AS ord FROM events),
 p AS (SELECT *, coalesce(max(ord) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reached FROM o)
-SELECT CAST(user_id AS VARCHAR) AS session_id, event_id AS step_id, event_type AS stage, reached FROM p WHERE ord > reached + 1""")
+SELECT CAST(user_id AS VARCHAR) AS session_id, event_id AS step_id, event_type AS stage, reached FROM p
+WHERE ord > reached + 1 AND ts <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def t6_stream_skips(spark, sf_dir):
     rows = arriving(spark, sf_dir).withColumn("session_id", F.col("owner"))
-    return T.result_of(T.stream_skips(rows, S.ORDINALS), "skips")
+    return T.result_of(T.stream_skips(rows, S.ORDINALS, DELAY, "90 days"), "skips")
 
 
 @query("""WITH late AS (SELECT count(*) AS n FROM events WHERE value > 100
@@ -102,6 +107,6 @@ def t7_stream_late(spark, sf_dir):
     base, first = T.run_available(seen(), "late")
     events.where("not (value <= 100)").write.mode("append").parquet(folder)
     _, second = T.run_available(seen(), "late", base)
-    told = spark.createDataFrame(T.stream_late(first + second), "batch bigint, n_rows bigint, late bigint")
+    told = T.stream_late(spark, first + second)
     kept = spark.read.parquet(f"{base}/rows").count()
     return told.agg(F.sum("n_rows").alias("n_rows"), F.sum("late").alias("late"), F.lit(kept).cast("bigint").alias("kept"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from driftline.functions.columns import ordinal_of
+from driftline.functions.shipping import ship
 from driftline.functions.sizing import shared_dir
 from driftline.session import SETTINGS
 from driftline.sources import schemas
@@ -71,38 +74,75 @@ def _micros(spark: SparkSession, interval: str) -> int:
     return spark.sql(f"select unix_micros({start} + interval {interval}) - unix_micros({start}) as m").first()["m"]
 
 
-def stream_skips(df: DataFrame, ordinals: dict[str, int]) -> DataFrame:
+def stream_skips(df: DataFrame, ordinals: dict[str, int], delay: str, forget: str = "30 days") -> DataFrame:
     """Rows that skip a stage, the furthest stage of each session being kept across batches.
 
-    Sessions are cut off by the caller through ``session_id``. Within a batch a session's
-    rows are taken in time order; only time, id and place reach Python.
+    Sessions are cut off by the caller through ``session_id``. Rows wait until the watermark has passed them and are then taken in
+    time order, so it does not matter which batch brings them. A session without rows for ``forget`` starts
+    anew. Only time, id and place reach Python.
     """
     from driftline.streaming.skips import SkipProcessor
 
-    placed = df.select("session_id", "ts", "step_id", "stage", ordinal_of("stage", ordinals).cast("int").alias("place"))
+    ship(df.sparkSession)
+    forget_ms = _micros(df.sparkSession, forget) // 1000
+    placed = df.withWatermark("ts", delay).select(
+        "session_id", "ts", F.unix_micros("ts").alias("us"), "step_id", "stage", ordinal_of("stage", ordinals).cast("int").alias("place"))
     return placed.where("place is not null").groupBy("session_id").transformWithStateInPandas(
-        statefulProcessor=SkipProcessor(), outputStructType="session_id string, step_id bigint, stage string, reached int",
-        outputMode="Append", timeMode="None")
+        statefulProcessor=SkipProcessor(forget_ms), outputStructType="session_id string, step_id bigint, stage string, reached int",
+        outputMode="Append", timeMode="EventTime")
 
 
-def run_available(df: DataFrame, name: str, base: str | None = None) -> tuple[str, list[dict]]:
+class Batches(StreamingQueryListener):
+    """Rows read and rows dropped as too late of every batch of a run, however many there are."""
+
+    def __init__(self):
+        self.seen: dict[str, list[tuple[int, int, int]]] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def of(self, run: str) -> list[tuple[int, int, int]]:
+        """What the run's batches told, once all of it has arrived."""
+        if not self.ended.setdefault(run, threading.Event()).wait(60):
+            raise TimeoutError("the end of the stream was not reported")
+        return self.seen.get(run, [])
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        late = sum(int(s.numRowsDroppedByWatermark) for s in p.stateOperators)
+        self.seen.setdefault(str(p.runId), []).append((int(p.batchId), int(p.numInputRows), late))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
+
+
+def run_available(df: DataFrame, name: str, base: str | None = None) -> tuple[str, list[tuple[int, int, int]]]:
     """Run a stream over what has arrived, into a folder of the shared storage.
 
-    Gives the folder and the progress reports; pass a folder again to go on from its state.
+    Gives the folder and for each batch its number, rows read and rows dropped as too late; pass a folder again to go on from its state.
     State is kept in RocksDB, which holds more than memory and which custom state needs.
     """
     spark = df.sparkSession
     before = spark.conf.get(STATE_STORE, None)
     spark.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
     base = base or f"{shared_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
-    query = (df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/state")
-             .trigger(availableNow=True).start(f"{base}/rows"))
-    if before is None:
-        spark.conf.unset(STATE_STORE)
-    else:
-        spark.conf.set(STATE_STORE, before)
-    query.awaitTermination()
-    return base, query.recentProgress
+    batches = Batches()
+    spark.streams.addListener(batches)
+    try:
+        query = (df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/state")
+                 .trigger(availableNow=True).start(f"{base}/rows"))
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+        query.awaitTermination()
+        return base, batches.of(str(query.runId))
+    finally:
+        spark.streams.removeListener(batches)
 
 
 def result_of(df: DataFrame, name: str) -> DataFrame:
@@ -111,7 +151,6 @@ def result_of(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{base}/rows")
 
 
-def stream_late(progress: list[dict]) -> list[tuple[int, int, int]]:
-    """Batch, rows read and rows dropped as too late, from the progress of a stateful stream."""
-    return [(int(p["batchId"]), int(p["numInputRows"]),
-             sum(int(s["numRowsDroppedByWatermark"]) for s in p["stateOperators"])) for p in progress]
+def stream_late(spark: SparkSession, batches: list[tuple[int, int, int]]) -> DataFrame:
+    """Batch, rows read and rows dropped as too late, one row per batch."""
+    return spark.createDataFrame(batches, "batch bigint, n_rows bigint, late bigint")

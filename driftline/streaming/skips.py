@@ -9,19 +9,55 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
 class SkipProcessor(StatefulProcessor):
-    """Keeps the furthest place per session."""
+    """Holds a session's rows until the watermark has passed them, then takes them in time order.
+
+    Only the furthest place outlives them, until nothing has come for ``forget_ms`` of event time.
+    """
+
+    def __init__(self, forget_ms: int):
+        self.forget_ms = forget_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.furthest = handle.getValueState("furthest", "place int")
+        self.handle = handle
+        self.furthest = handle.getValueState("furthest", "place int, last_us bigint")
+        self.waiting = handle.getListState("waiting", "us bigint, step_id bigint, stage string, place int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "step_id"], kind="stable")
-        before = int(self.furthest.get()[0]) if self.furthest.exists() else 0
-        batch["reached"] = batch["place"].cummax().shift(fill_value=0).clip(lower=before).astype("int32")
-        self.furthest.update((max(before, int(batch["place"].max())),))
-        skipped = batch[batch["place"] > batch["reached"] + 1]
-        if len(skipped):
-            yield skipped.assign(session_id=key[0])[["session_id", "step_id", "stage", "reached"]]
+        first = None
+        for chunk in rows:
+            held = list(chunk[["us", "step_id", "stage", "place"]].itertuples(index=False, name=None))
+            if held:
+                self.waiting.appendList([(int(u), int(i), s, int(p)) for u, i, s, p in held])
+                first = min(h[0] for h in held) if first is None else min(first, *(h[0] for h in held))
+        if first is not None:
+            self.handle.registerTimer(-(-int(first) // 1000))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        ready, rest = [], []
+        for row in self.waiting.get():
+            (ready if row[0] <= passed else rest).append(tuple(row))
+        peak, last = self.furthest.get() if self.furthest.exists() else (0, 0)
+        skipped = []
+        for us, step_id, stage, place in sorted(ready, key=lambda r: (r[0], r[1])):
+            if place > peak + 1:
+                skipped.append((key[0], step_id, stage, peak))
+            peak, last = max(peak, place), max(last, us)
+        if ready:
+            self.furthest.update((int(peak), int(last)))
+            if rest:
+                self.waiting.put(rest)
+            else:
+                self.waiting.clear()
+        if rest:
+            self.handle.registerTimer(-(-min(r[0] for r in rest) // 1000))
+        elif passed >= last + 1000 * self.forget_ms:
+            self.furthest.clear()
+        else:
+            self.handle.registerTimer(-(-last // 1000) + self.forget_ms)
+        if skipped:
+            yield pd.DataFrame(skipped, columns=["session_id", "step_id", "stage", "reached"]).astype({"reached": "int32"})
 
     def close(self) -> None:
         pass

@@ -1,10 +1,11 @@
 """Streams give what the batch operators give for the rows that are settled."""
 
+import random
 import uuid
 from datetime import timedelta
 
+import pytest
 from driftline.functions.sizing import shared_dir
-from driftline.operators import checks as C
 from driftline.operators import normalize as N
 from driftline.plans import queries_streams as Q
 from driftline.sources import bindings as S
@@ -31,22 +32,52 @@ def test_claims_against_brute_force(spark):
     assert {i for i, t in bare.items() if t < end - timedelta(hours=17)} <= found
 
 
-def test_skips_go_on_over_batches(spark):
+@pytest.mark.parametrize("batches", [1, 3, 50])
+def test_skips_do_not_depend_on_batches(spark, batches):
+    """Rows come up to half an hour late; which batch brings them makes no difference."""
+    rnd = random.Random(3)
+    rows = [(s, i * 4 + k, START + timedelta(minutes=5 * i + k), rnd.choice(list(ORDINALS) + ["error"]), s) for i in range(60) for k, s in enumerate("abcd")]
+    end = rows[-1][2]
+    rows.append(("z", 999, end + timedelta(hours=3), "signup", "z"))
+    order = sorted(rows[:-1], key=lambda r: r[2] + timedelta(minutes=rnd.randrange(30))) + rows[-1:]
+    folder, base = f"{shared_dir(spark)}/skips-{uuid.uuid4().hex}", None
+    size = -(-len(order) // batches)
+    for k in range(0, len(order), size):
+        spark.createDataFrame(order[k:k + size], SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    stream = T.stream_trace(spark, folder, SCHEMA, max_files=1)
+    base, seen = T.run_available(T.stream_skips(stream, ORDINALS, "1 hour"), "skips-test", base)
+    assert len([b for b in seen if b[1]]) == -(-len(order) // size)
+    found = [tuple(r) for r in spark.read.parquet(f"{base}/rows").select("session_id", "step_id", "reached").collect()]
+    peak, want = dict.fromkeys("abcdz", 0), []
+    for s, i, t, stage, _ in rows[:-1]:
+        place = ORDINALS.get(stage)
+        if place:
+            if place > peak[s] + 1:
+                want.append((s, i, peak[s]))
+            peak[s] = max(peak[s], place)
+    assert sorted(found) == sorted(want)
+
+
+def test_a_forgotten_session_starts_anew(spark):
     folder = f"{shared_dir(spark)}/skips-{uuid.uuid4().hex}"
+    day = timedelta(days=1)
+    for k, row in enumerate([("a", 1, START, "signup", "a"), ("b", 2, START + 5 * day, "signup", "b"), ("b", 3, START + 6 * day, "view", "b"), ("a", 4, START + 7 * day, "view", "a"),
+                             ("b", 5, START + 9 * day, "view", "b")]):
+        arrive(spark, folder, [row])
+    stream = T.stream_trace(spark, folder, SCHEMA, max_files=1)
+    base, _ = T.run_available(T.stream_skips(stream, ORDINALS, "1 hour", "2 days"), "forget-test")
+    assert got(spark.read.parquet(f"{base}/rows"), "session_id", "step_id", "reached") == [("a", 4, 0)]
+
 
-    def run(base=None):
-        stream = T.stream_trace(spark, folder, SCHEMA)
-        return T.run_available(T.stream_skips(stream, ORDINALS), "skips-test", base)[0]
-
-    at = [START + timedelta(minutes=i) for i in range(9)]
-    arrive(spark, folder, [("a", 1, at[0], "signup", "a"), ("a", 2, at[1], "view", "a"), ("b", 3, at[2], "view", "b")])
-    base = run()
-    arrive(spark, folder, [("a", 4, at[3], "click", "a"), ("b", 5, at[4], "purchase", "b"), ("c", 6, at[5], "signup", "c")])
-    run(base)
-    found = spark.read.parquet(f"{base}/rows")
-    assert got(found, "session_id", "step_id", "reached") == [("b", 3, 0), ("b", 5, 2)]
-    everything = trace(spark, {"a": ["signup", "view", "click"], "b": ["view", "purchase"], "c": ["signup"]})
-    assert got(C.skipped_steps(everything, ORDINALS), "session_id", "stage") == got(found, "session_id", "stage")
+def test_late_rows_of_many_batches(spark):
+    """Over a hundred batches, more than a query's own list of recent reports holds."""
+    folder = f"{shared_dir(spark)}/many-{uuid.uuid4().hex}"
+    rows = [("s", i, START + timedelta(hours=5 if i == 0 else 0, seconds=i), "view", "s") for i in range(104)]
+    spark.createDataFrame(rows, SCHEMA).repartitionByRange(104, "step_id").write.parquet(folder)
+    stream = T.stream_trace(spark, folder, SCHEMA, max_files=1).select("step_id", "ts")
+    base, batches = T.run_available(T.stream_dedup(stream, ["step_id"], "1 hour"), "many-test")
+    told = T.stream_late(spark, batches).agg(F.sum("n_rows"), F.sum("late"), F.count_if(F.col("n_rows") > 0)).first()
+    assert told[0] == 104 and told[2] > 100 and spark.read.parquet(f"{base}/rows").count() + told[1] == 104
 
 
 def test_sessions_equal_batch_once_closed(spark):
