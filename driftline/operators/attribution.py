@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.columns import seconds_between
@@ -118,51 +120,53 @@ def vote(verdicts: DataFrame, quorum: int) -> DataFrame:
     return counts.withColumn("decision", F.coalesce(winner, F.lit("split")))
 
 
-def recall_cases(findings: DataFrame, memory: DataFrame, k: int) -> DataFrame:
-    """The ``k`` most frequent confirmed causes of past cases with a finding's ``signature``.
+def recall_cases(findings: DataFrame, memory: DataFrame, k: int, at: str = "version") -> DataFrame:
+    """The ``k`` most frequent resolved causes of earlier cases with a finding's ``signature``.
 
-    The memory shrinks to ``k`` causes per signature first, so a common failure does not
-    meet every past case of its kind.
+    Earlier means a smaller ``at`` than the finding's; cases without a cause do not count. The memory shrinks to counts per
+    signature, time and cause, and these are summed once per signature and time asked for, so a common
+    failure does not meet every past case of its kind.
     """
-    causes = memory.groupBy("signature", "cause").agg(F.count("*").alias("cases"))
-    best = Window.partitionBy("signature").orderBy(F.desc("cases"), "cause")
-    known = causes.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
-    return findings.join(small_side(settle(known)), "signature")
+    causes = memory.where("cause IS NOT NULL").groupBy("signature", F.col(at).alias("_then"), "cause").agg(F.count("*").alias("_n"))
+    asked = findings.select("signature", at).distinct()
+    known = asked.join(causes, "signature").where(F.col("_then") < F.col(at)).groupBy("signature", at, "cause").agg(F.sum("_n").alias("cases"))
+    best = Window.partitionBy("signature", at).orderBy(F.desc("cases"), "cause")
+    known = known.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+    return findings.join(small_side(settle(known)), ["signature", at])
+
+
+CASES_PER_BUCKET = 256
 
 
-CENTRE_BLOCK = 1000
+def planes(dim: int, n: int) -> list[tuple[int, int]]:
+    """``n`` hyperplanes, each between two coordinates (from 0): a vector lies on the side of the larger one."""
+    return [(i, (i + 1 + 3 * k % (dim - 1)) % dim) for k in range(n) for i in [(5 * k + k // dim) % dim]]
 
 
-def cause_centres(memory: DataFrame, vector: str = "vector", cause: str = "cause") -> DataFrame:
-    """Mean vector of the past cases of each confirmed cause."""
-    parts = memory.select(F.col(cause).alias("cause"), F.posexplode(vector).alias("_at", "_x")).groupBy(
-        "cause", "_at").agg(F.avg(F.col("_x").cast("double")).alias("_x"))
-    return parts.groupBy("cause").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_at", "_x"))), lambda r: r["_x"]).alias("centre"))
+def bucket_keys(vector: str, dim: int, tables: int, bits: int) -> Column:
+    """One key per table: on which sides of its ``bits`` hyperplanes the vector lies."""
+    side = [F.when(F.col(vector)[i] > F.col(vector)[j], "1").otherwise("0") for i, j in planes(dim, tables * bits)]
+    return F.array(*[F.concat(F.lit(f"{t}:"), *side[t * bits:(t + 1) * bits]) for t in range(tables)])
 
 
-def recall_near(queries: DataFrame, memory: DataFrame, k: int, query_id: str, vector: str = "vector",
-                block: int = CENTRE_BLOCK) -> DataFrame:
-    """The ``k`` causes whose past cases a query vector resembles most, by cosine to their mean.
+def recall_near(queries: DataFrame, memory: DataFrame, k: int, dim: int, tables: int = 6, bits: int | None = None) -> DataFrame:
+    """The ``k`` resolved earlier cases most like a query, by exact cosine to those that share a bucket with it.
 
-    Past cases shrink to one mean per cause. A query meets a block of means in one row and
-    keeps its ``k`` best of it; blocks are merged per query.
+    ``queries`` have query_id, at and vector, ``memory`` case_id, at, vector and cause. Only cases before the query's ``at`` and with
+    a cause count. A case at the angle x is found with odds 1 - (1 - (1 - x/pi)^bits)^tables if planes were drawn at random;
+    ``bits`` grows with the memory so that a bucket holds a few hundred cases. A large bucket is split by Spark's skew join.
     """
-    centres = settle(cause_centres(memory, vector))
-    n_blocks = max(1, -(-centres.count() // block))
-    blocks = settle(centres.groupBy(F.pmod(F.xxhash64("cause"), F.lit(n_blocks)).cast("int").alias("_block")).agg(
-        F.collect_list(F.struct("cause", "centre")).alias("_centres")))
-    spread = queries.select(query_id, F.col(vector).cast("array<double>").alias("_q"),
-                            F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_block"))
-    scored = F.transform("_centres", lambda c: F.struct(
-        (-F.round(_cosine(F.col("_q"), c["centre"]), 9)).alias("far"), c["cause"].alias("cause")))
-    best = spread.join(small_side(blocks), "_block").select(
-        query_id, F.posexplode(F.slice(F.array_sort(scored), 1, k)).alias("_i", "_c"))
-    place = F.col("_i") + 1
-    if n_blocks > 1:
-        place = F.row_number().over(Window.partitionBy(query_id).orderBy("_c.far", "_c.cause"))
-    return best.select(query_id, F.col("_c.cause").alias("cause"), (-F.col("_c.far")).alias("cosine"),
-                       place.alias("place")).where(F.col("place") <= k)
+    known = memory.where("cause IS NOT NULL")
+    if bits is None:
+        bits = max(1, math.ceil(math.log2(max(2, known.count() / CASES_PER_BUCKET))))
+    asked = queries.select("query_id", F.col("at").alias("_now"), F.col("vector").cast("array<double>").alias("_q"))
+    past = known.select("case_id", F.col("at").alias("_then"), "cause", F.col("vector").cast("array<double>").alias("_v"))
+    left = asked.withColumn("_key", F.explode(bucket_keys("_q", dim, tables, bits)))
+    right = past.withColumn("_key", F.explode(bucket_keys("_v", dim, tables, bits)))
+    pairs = left.join(right, (left["_key"] == right["_key"]) & (F.col("_then") < F.col("_now")))
+    scored = pairs.select("query_id", "case_id", "cause", F.round(_cosine(F.col("_q"), F.col("_v")), 9).alias("cosine")).distinct()
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "case_id"))
+    return scored.withColumn("place", place).where(F.col("place") <= k)
 
 
 def _cosine(a, b):

@@ -193,39 +193,50 @@ def a13_vote(spark, sf_dir):
 def session_cases(trace):
     """A case per session: shape of its first deviation, and what came before it as its cause."""
     first = drift_findings(trace).groupBy("session_id").agg(F.min(F.struct("step", "step_id", "rule_kind", "stage")).alias("f"))
-    prior = running(trace, {"before": previous("stage")}).select("session_id", "step_id", "before")
+    prior = running(trace, {"before": previous("stage")}).select("session_id", "step_id", "before", "version")
     cases = first.select("session_id", "f.step_id", "f.rule_kind", "f.stage").join(prior, ["session_id", "step_id"])
-    return cases.select("session_id", signature("rule_kind", "stage").alias("signature"),
+    return cases.select("session_id", "version", signature("rule_kind", "stage").alias("signature"),
                         F.concat(F.lit("after "), F.coalesce("before", F.lit("start"))).alias("cause"))
 
 
 CASES = """
-cases AS (SELECT f.session_id, sha256(concat(rule_kind, '|', stage)) AS signature, concat('after ', coalesce(t.before, 'start')) AS cause
+cases AS (SELECT f.session_id, t.version, sha256(concat(rule_kind, '|', stage)) AS signature, concat('after ', coalesce(t.before, 'start')) AS cause
           FROM firsts f JOIN trace t ON t.session_id = f.session_id AND t.step_id = f.first_step_id)"""
 
 
 @query(f"""WITH {DRIFT}, {CASES},
-known AS (SELECT signature, cause, count(*) AS cases, row_number() OVER (PARTITION BY signature ORDER BY count(*) DESC, cause) AS place
-          FROM cases GROUP BY 1, 2)
-SELECT c.session_id, c.signature, k.cause AS past_cause, k.cases, k.place
-FROM cases c JOIN known k ON k.signature = c.signature WHERE k.place <= 2""")
+earlier AS (SELECT c.session_id, c.signature, p.cause, count(*) AS cases FROM cases c
+            JOIN cases p ON p.signature = c.signature AND p.version < c.version AND p.cause <> 'after start' GROUP BY 1, 2, 3),
+placed AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY cases DESC, cause) AS place FROM earlier)
+SELECT session_id, signature, cause AS past_cause, cases, place FROM placed WHERE place <= 2""")
 def a14_recall_cases(spark, sf_dir):
     cases = settle(session_cases(S.event_trace(spark, sf_dir)))
-    return A.recall_cases(cases.select("session_id", "signature"), cases, 2).select(
+    # Stand-in for what nobody could explain: deviations at the start have no cause yet.
+    memory = cases.withColumn("cause", F.when(F.col("cause") != "after start", F.col("cause")))
+    return A.recall_cases(cases.select("session_id", "version", "signature"), memory, 2).select(
         "session_id", "signature", F.col("cause").alias("past_cause"), "cases", F.col("place").cast("bigint").alias("place"))
 
 
-@query("""WITH x AS (SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
-m AS (SELECT label, i, avg(v) AS v FROM x GROUP BY 1, 2),
-c AS (SELECT concat('cause-', label) AS cause, list(v ORDER BY i) AS centre FROM m GROUP BY label),
-s AS (SELECT vec_id, cause, round(list_cosine_similarity(embedding::DOUBLE[], centre), 9) AS cosine FROM embeddings, c)
-SELECT vec_id, cause, round(cosine, 6) AS cosine, place FROM (
-  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, cause) AS place FROM s) WHERE place <= 3""")
+NEAR_TABLES, NEAR_BITS, NEAR_DIM = 6, 3, 64
+BUCKETS = ", ".join(f"concat('{t}:', " + ", ".join(f"CASE WHEN v[{i + 1}] > v[{j + 1}] THEN '1' ELSE '0' END" for i, j in A.planes(
+    NEAR_DIM, NEAR_TABLES * NEAR_BITS)[t * NEAR_BITS:(t + 1) * NEAR_BITS]) + ")" for t in range(NEAR_TABLES))
+
+
+@query(f"""WITH x AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+b AS (SELECT *, unnest([{BUCKETS}]) AS key FROM x),
+p AS (SELECT DISTINCT q.vec_id AS query_id, m.vec_id AS case_id, concat('cause-', m.label) AS cause, q.v AS a, m.v AS b
+      FROM b q JOIN b m ON q.key = m.key AND m.vec_id < q.vec_id AND m.label > 0),
+s AS (SELECT query_id, case_id, cause, round(list_cosine_similarity(a, b), 9) AS cosine FROM p)
+SELECT query_id, case_id, cause, round(cosine, 6) AS cosine, place FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, case_id) AS place FROM s) WHERE place <= 3""")
 def a14_recall_near(spark, sf_dir):
+    """Past cases are vectors of smaller id with a label above 0, which stands for a confirmed cause."""
     vectors = S.table(spark, sf_dir, "embeddings")
-    memory = vectors.select(F.col("embedding").alias("vector"), F.concat(F.lit("cause-"), "label").alias("cause"))
-    near = A.recall_near(vectors.withColumnRenamed("embedding", "vector"), memory, 3, "vec_id")
-    return near.select("vec_id", "cause", F.round("cosine", 6).alias("cosine"), F.col("place").cast("bigint").alias("place"))
+    queries = vectors.select(F.col("vec_id").alias("query_id"), F.col("vec_id").alias("at"), F.col("embedding").alias("vector"))
+    memory = vectors.select(F.col("vec_id").alias("case_id"), F.col("vec_id").alias("at"), F.col("embedding").alias("vector"),
+                            F.when(F.col("label") > 0, F.concat(F.lit("cause-"), "label")).alias("cause"))
+    near = A.recall_near(queries, memory, 3, NEAR_DIM, NEAR_TABLES, NEAR_BITS)
+    return near.select("query_id", "case_id", "cause", F.round("cosine", 6).alias("cosine"), F.col("place").cast("bigint").alias("place"))
 
 
 @query(recursive(f"""{DRIFT}, {BACK},

@@ -98,14 +98,20 @@ def test_a_window_is_one_row(spark):
     assert [(r["place"], r["name"]) for r in names] == list(enumerate(["signup", "view", "click", "purchase", "error"], 1))
 
 
-def test_near_causes_in_blocks(spark):
+def test_near_cases_are_earlier_and_resolved(spark):
     rnd = np.random.default_rng(8)
-    vectors = spark.createDataFrame(
-        [(i, [float(x) for x in rnd.normal(size=6)], f"c{i % 9}") for i in range(60)], "id bigint, vector array<double>, cause string")
-
-    def near(block):
-        return sorted(map(tuple, A.recall_near(vectors.select("id", "vector"), vectors, 3, "id", block=block).collect()))
-    assert near(1000) == near(2)
+    base = rnd.normal(size=(40, 16))
+    rows = [(i, [float(x) for x in base[i % 40] + rnd.normal(size=16) * 0.05], f"c{i % 40}" if i % 3 else None) for i in range(160)]
+    df = spark.createDataFrame(rows, "id bigint, vector array<double>, cause string")
+    queries = df.select(F.col("id").alias("query_id"), F.col("id").alias("at"), "vector")
+    memory = df.select(F.col("id").alias("case_id"), F.col("id").alias("at"), "vector", "cause")
+    near = A.recall_near(queries, memory, 2, 16, tables=8, bits=4).collect()
+    assert all(r["case_id"] < r["query_id"] and r["cause"] for r in near)
+    found = {(r["query_id"], r["case_id"]) for r in near}
+    wanted = {(i, j) for i in range(160) for j in range(i - 40, -1, -40) if j % 3}
+    best = {i: {j for q, j in wanted if q == i} for i, _ in wanted}
+    hit = sum(len([j for j in js if (i, j) in found]) for i, js in best.items() if len(js) <= 2)
+    assert hit >= 0.9 * sum(len(js) for js in best.values() if len(js) <= 2)
 
 
 def test_beyond_the_bound_nothing_is_hinted(spark):
