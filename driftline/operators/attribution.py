@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from driftline.functions.columns import seconds_between
 from driftline.functions.ordered import carried, last_known, last_rows, previous, running
 from driftline.functions.quantile import quantiles
-from driftline.functions.sizing import settle, small_side
+from driftline.functions.sizing import settle, small_side, store
 
 # How much each reason weighs when causes are ranked.
 WEIGHTS = {"reach": 0.4, "severity": 0.3, "earliness": 0.2, "lift": 0.1}
@@ -43,7 +43,7 @@ def candidate_causes(back: DataFrame, findings: DataFrame, k: int, lift: DataFra
     local = findings.where("step_id is not null").select("session_id", "step_id", "step", "stage", "rule_id", "rule_kind", "severity")
     found = back.select("session_id", "symptom_id", "symptom_step", "step_id", "depth").join(local, ["session_id", "step_id"])
     if lift is not None:
-        found = found.join(small_side(lift.select(F.col("name").alias("stage"), "rate_with", "rate_without")), "stage", "left")
+        found = found.join(small_side(settle(lift.select(F.col("name").alias("stage"), "rate_with", "rate_without"))), "stage", "left")
     else:
         found = found.withColumns({c: F.lit(None).cast("double") for c in ("rate_with", "rate_without")})
     # lift / (1 + lift), also where no run without the event failed
@@ -195,8 +195,11 @@ def attribution_report(symptoms: DataFrame, critical: DataFrame, causes: DataFra
 
 
 def flow_view(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Stage to stage moves with their count and exact median seconds."""
+    """Stage to stage moves with their count and exact median seconds, null where no move has a time."""
     moves = running(df, {"before": previous("stage"), "_ts": previous("ts")}).where("before is not null")
-    moves = moves.select("before", "stage", seconds_between(F.col("_ts"), F.col("ts")).alias("seconds"))
+    moves = store(moves.select("before", "stage", seconds_between(F.col("_ts"), F.col("ts")).alias("seconds")))
     counts = moves.groupBy("before", "stage").agg(F.count("*").alias("n"))
-    return counts.join(quantiles(moves, ["before", "stage"], "seconds", {"median_seconds": 0.5}, max_rows), ["before", "stage"])
+    middles = quantiles(moves, ["before", "stage"], "seconds", {"median_seconds": 0.5}, max_rows)
+    # Moves into a null stage or without times keep their count.
+    same = F.struct("before", "stage") == F.col("_at")
+    return counts.join(middles.select(F.struct("before", "stage").alias("_at"), "median_seconds"), same, "left").drop("_at")

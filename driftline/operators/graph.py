@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.ordered import last_known, previous, running, session_key
-from driftline.functions.sizing import settle, small_side
+from driftline.functions.sizing import settle, small_side, store
 
 
 def build_graph(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -74,12 +74,13 @@ def trace_back(edges: DataFrame, symptoms: DataFrame, depth: int = 5) -> DataFra
     front = settle(symptoms.groupBy("session_id", "step_id").agg(F.min("step").alias("symptom_step")).select(
         "session_id", F.col("step_id").alias("symptom_id"), "symptom_step", "step_id",
         F.lit(0).alias("depth"), F.array("step_id").alias("path")))
-    # Sessions without symptoms are not walked. The edges stay laid out as every round joins
-    # them, so a round shuffles no more than its front.
+    # Sessions without symptoms are not walked. The edges that are lie in the shared folder, so
+    # a lost executor costs no second look at the trace.
     troubled = small_side(settle(front.select("session_id").distinct()))
     tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     steps = (edges.select("session_id", "src", "dst").join(troubled, "session_id", "left_semi")
-             .repartition(tasks, "session_id", "dst").distinct().persist())
+             .repartition(tasks, "session_id", "dst").distinct())
+    steps = store(steps)
     seen, level = front, 0
     while level < depth:
         upto = min(level + ROUNDS, depth)
@@ -94,7 +95,6 @@ def trace_back(edges: DataFrame, symptoms: DataFrame, depth: int = 5) -> DataFra
         front = fresh.where(F.col("depth") == upto)
         if level < depth and front.isEmpty():
             break
-    steps.unpersist()
     return seen
 
 

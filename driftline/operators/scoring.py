@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from driftline.functions.columns import ordinal_of
 from driftline.functions.ordered import previous, run_key, running, running_max, session_key
 from driftline.functions.quantile import median_and_mad
-from driftline.functions.sizing import settle, small_side
+from driftline.functions.sizing import settle, small_side, store
 from driftline.operators.checks import ruled
-from driftline.operators.spec import transition_shares
 
 
 def output_scores(df: DataFrame, spec: DataFrame) -> DataFrame:
@@ -50,12 +49,17 @@ def skill_scores(findings: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def trajectory_surprise(df: DataFrame) -> DataFrame:
-    """Mean of -ln p(next | previous) per session, p being the corpus share of the transition."""
+    """Mean of -ln p(next | previous) per session, p being the corpus share of the transition.
+
+    Moves are counted per session once; the shares are sums of those counts. A null stage is a stage like others.
+    """
     moves = running(df, {"before": previous("stage")}).where("before is not null")
-    shares = transition_shares(df.drop("window_id") if "window_id" in df.columns else df)
-    cost = small_side(shares.select("before", "stage", (-F.log("support")).alias("_cost")))
-    return moves.join(cost, ["before", "stage"]).groupBy(*session_key(df)).agg(
-        F.avg("_cost").alias("surprise"), F.count("*").alias("moves"))
+    moves = store(moves.groupBy(*session_key(df), "before", "stage").agg(F.count("*").alias("_n")))
+    counts = moves.groupBy("before", "stage").agg(F.sum("_n").alias("n"))
+    support = F.col("n") / F.sum("n").over(Window.partitionBy("before"))
+    cost = small_side(settle(counts.select(F.struct("before", "stage").alias("_at"), (-F.log(support)).alias("_cost"))))
+    return moves.join(cost, F.struct("before", "stage") == F.col("_at")).groupBy(*session_key(df)).agg(
+        (F.sum(F.col("_cost") * F.col("_n")) / F.sum("_n")).alias("surprise"), F.sum("_n").alias("moves"))
 
 
 def trajectory_anomaly(df: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -69,9 +73,9 @@ def trajectory_anomaly(df: DataFrame, max_rows: int | None = None) -> DataFrame:
 
 
 def level_rollup(df: DataFrame, score: Column) -> DataFrame:
-    """Counts and mean score by stage, task, session and overall."""
-    rows = df.select("session_id", "task_id", "stage", score.alias("_score"))
-    return rows.rollup("session_id", "task_id", "stage").agg(
+    """Counts and mean score by step, stage, task, session and overall."""
+    rows = df.select("session_id", "task_id", "stage", "step", score.alias("_score"))
+    return rows.rollup("session_id", "task_id", "stage", "step").agg(
         F.grouping_id().alias("level"), F.count("*").alias("n_rows"), F.avg("_score").alias("mean_score"))
 
 

@@ -41,12 +41,13 @@ def mine_fields(df: DataFrame, theta: float, skill: str | None = None) -> DataFr
 def visit_orders(df: DataFrame) -> DataFrame:
     """The different orders in which runs first reach their stages, with how many runs take each.
 
-    A run's order has one entry per stage, so it stays short however long the run is.
+    A run's order has one entry per stage, so it stays short however long the run is; a run without any stage has
+    an empty one and counts as a run.
     """
     key = run_key(df)
-    firsts = df.where("stage is not null").groupBy(*key, "stage").agg(F.min("step").alias("at"))
-    paths = firsts.groupBy(*key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", "stage"))), lambda r: r["stage"]).alias("path"))
+    firsts = df.groupBy(*key, "stage").agg(F.min("step").alias("at"))
+    reached = F.when(F.col("stage").isNotNull(), F.struct("at", "stage"))
+    paths = firsts.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(reached)), lambda r: r["stage"]).alias("path"))
     return paths.groupBy("path").agg(F.count("*").alias("n"))
 
 

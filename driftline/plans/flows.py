@@ -31,7 +31,9 @@ def judge_skill(trace: DataFrame, start: Column, theta: float, evidence: dict[st
                 end: Column | None = None, ordinals: dict[str, int] | None = None, spec: DataFrame | None = None,
                 skill: str | None = None) -> SkillJudgement:
     """Windows of a skill, its rules (mined unless given), deviations with evidence and advice, and scores."""
-    windows = store(N.skill_windows(trace, start, end))
+    windows = N.skill_windows(trace, start, end)
+    # The windows are this skill's, whatever its rows were recorded under.
+    windows = store(windows.withColumn("skill", F.lit(skill)) if skill else windows)
     spec = settle(P.extract_spec(windows, theta, skill=skill)) if spec is None else spec
     found = store(C.debug_windows(windows, spec, ordinals))
     proofs = V.evidence(windows, evidence)
@@ -64,7 +66,7 @@ def attribute(trace: DataFrame, findings: DataFrame, gates: DataFrame, feedback:
     shown = settle(B.symptoms(trace, feedback, hits))
     back = B.trace_back(edges, shown, depth)
     critical = settle(A.critical_step(findings, shown))
-    causes = A.candidate_causes(back, findings, k, impact)
+    causes = settle(A.candidate_causes(back, findings, k, impact))
     missed = A.missed_gates(gates, critical)
     return Attribution(
         nodes=nodes, edges=edges, symptoms=shown, back=back, chains=B.propagation(back, nodes), critical=critical,

@@ -170,11 +170,12 @@ def g4_trajectory_anomaly(spark, sf_dir):
         "session_id", "moves", F.round("surprise", 6).alias("surprise"), F.round("robust_z", 4).alias("robust_z"))
 
 
-@query(f"""WITH {TRACE}, t AS (SELECT session_id, concat(session_id, '/', signups) AS task_id, name AS stage, value FROM trace)
-SELECT session_id, task_id, stage, grouping(session_id, task_id, stage)::BIGINT AS level, count(*) AS n_rows, round(avg(value), 6) AS mean_score
-FROM t GROUP BY ROLLUP (session_id, task_id, stage)""")
+@query(f"""WITH {TRACE}, t AS (SELECT session_id, concat(session_id, '/', signups) AS task_id, name AS stage, CAST(step AS BIGINT) AS step, value FROM trace)
+SELECT session_id, task_id, stage, step, grouping(session_id, task_id, stage, step)::BIGINT AS level, count(*) AS n_rows, round(avg(value), 6) AS mean_score
+FROM t GROUP BY ROLLUP (session_id, task_id, stage, step)""")
 def g5_level_rollup(spark, sf_dir):
-    return G.level_rollup(S.event_trace(spark, sf_dir), F.col("value")).withColumn("mean_score", F.round("mean_score", 6))
+    return G.level_rollup(S.event_trace(spark, sf_dir), F.col("value")).withColumns({
+        "mean_score": F.round("mean_score", 6), "step": F.col("step").cast("bigint")})
 
 
 @query(f"""WITH {TRACE}, {WINDOW_FINDINGS} SELECT session_id, window_id, score FROM win ORDER BY score, session_id, window_id LIMIT 50""")

@@ -128,7 +128,7 @@ SELECT session_id, symptom_id, step_id, depth::BIGINT AS depth, rule_id, round(s
 WHERE place <= 3"""))
 def a7_candidate_causes(spark, sf_dir):
     trace = store(S.slim(S.event_trace(spark, sf_dir)))
-    lift = settle(A.event_impact(trace, S.event_outcome(trace)))
+    lift = A.event_impact(trace, S.event_outcome(trace))
     return A.candidate_causes(traced(trace), drift_findings(trace), 3, lift).select(
         "session_id", "symptom_id", "step_id", F.col("depth").cast("bigint").alias("depth"), "rule_id",
         F.round("score", 6).alias("score"), F.col("place").cast("bigint").alias("place"))
@@ -254,8 +254,10 @@ SELECT session_id, symptoms, first_step_id, cause, gate,
 FROM n LEFT JOIN f USING (session_id) LEFT JOIN best USING (session_id) LEFT JOIN m USING (session_id)"""))
 def a15_attribution_report(spark, sf_dir):
     trace = store(S.slim(S.event_trace(spark, sf_dir)))
-    findings, shown, critical = drift_findings(trace), B.symptoms(trace), critical_of(trace)
-    causes = A.candidate_causes(traced(trace), findings, 1)
+    findings, shown = store(drift_findings(trace)), settle(B.symptoms(trace))
+    critical = settle(A.critical_step(findings, shown))
+    _, edges = B.build_graph(trace)
+    causes = settle(A.candidate_causes(B.trace_back(edges, shown, DEPTH), findings, 1))
     return A.attribution_report(shown, critical, causes, A.missed_gates(S.event_gates(trace), critical)).select(
         "session_id", "symptoms", "first_step_id", "cause", "gate", "sentence")
 

@@ -137,7 +137,8 @@ def h5_dispositions(spark, sf_dir):
 @query(f"""WITH {DRIFT}, {CASES}
 SELECT signature, min(session_id) AS case_id, arg_min(cause, session_id) AS cause, count(*) AS stands_for FROM cases GROUP BY signature""")
 def e1_curate(spark, sf_dir):
-    return E.curate(session_cases(S.event_trace(spark, sf_dir)).withColumnRenamed("session_id", "case_id"))
+    cases = session_cases(S.event_trace(spark, sf_dir)).drop("version")
+    return E.curate(cases.withColumnRenamed("session_id", "case_id"))
 
 
 @query(f"""WITH {RESOLVED}, {VOTES}

@@ -20,4 +20,11 @@ FINDINGS = (
 REPORTS = (
     "session_id string, first_step_id bigint, cause string, gate string, symptoms bigint, sentence string"
 )
+GATES = "session_id string, step_id bigint, step int, gate string, passed boolean"
+PROOFS = "session_id string, step_id bigint, step int, ts timestamp, evidence_kind string"
+RESULTS = "case_id string, version string, passed boolean, score double"
+LEDGER = "version string, decision string, decided_by string, ts timestamp"
+ROUTING = "cause string, target string"
+ADVICE = "rule_kind string, advice string"
+VOTES = "finding_id string, reviewer string, verdict string"
 EVALSET = "case_id string, set_name string, split string, expected string"

@@ -35,9 +35,45 @@ def read_verdicts(spark: SparkSession, path: str, form: str = "parquet") -> Data
     return _read(spark, path, schemas.VERDICTS, form)
 
 
+def read_gates(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
+    """Checks that a run met on its way, and whether they let it pass."""
+    return _read(spark, path, schemas.GATES, form)
+
+
+def read_evidence(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
+    """Evidence recorded apart from the trace."""
+    return _read(spark, path, schemas.PROOFS, form)
+
+
+def read_results(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
+    """Outcomes of evaluation cases by version."""
+    return _read(spark, path, schemas.RESULTS, form)
+
+
+def read_ledger(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
+    """Decisions on versions."""
+    return _read(spark, path, schemas.LEDGER, form)
+
+
+def read_routing(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
+    """What kind of thing to change for a cause; hinted for broadcast when within bounds."""
+    return small_side(_read(spark, path, schemas.ROUTING, form))
+
+
+def read_advice(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
+    """Advice by kind of rule; hinted for broadcast when within bounds."""
+    return small_side(_read(spark, path, schemas.ADVICE, form))
+
+
+def read_votes(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
+    """Verdicts of several verifiers on a finding."""
+    return _read(spark, path, schemas.VOTES, form)
+
+
 def _write(df: DataFrame, path: str, form: str, by: list[str], mode: str) -> None:
-    # Few values of ``by`` can hold most rows, so the rows are not gathered by it:
-    # each task writes the values it holds, sorted, one open file at a time.
+    # Rows are dealt so that a value of ``by`` lies in few files; Spark splits large values and puts small ones together.
+    if by:
+        df = df.hint("rebalance", *by)
     df.write.mode(mode).partitionBy(*by).format(form).save(path)
 
 

@@ -4,7 +4,7 @@ import pytest
 from driftline.functions import sizing
 from driftline.operators import checks as C
 from driftline.operators import release as E
-from driftline.plans import catalog
+from driftline.plans import catalog, flows
 from driftline.plans.queries_trace import conform, scratch
 from driftline.sources import bindings as S
 from driftline.sources import schemas
@@ -30,6 +30,42 @@ def test_unknown_form(spark):
         IO.read_trace(spark, "/nowhere", "xml")
 
 
+@pytest.mark.parametrize("kind", ["gates", "evidence", "results", "ledger", "routing", "advice", "votes"])
+def test_flow_tables_round_trip(spark, kind):
+    ddl = getattr(schemas, {"evidence": "PROOFS"}.get(kind, kind.upper()))
+    values = {"string": "'x'", "bigint": "7L", "int": "7", "boolean": "true", "double": "0.5D", "timestamp": "timestamp'2024-01-01 00:00:00'"}
+    fields = [f.split() for f in ddl.split(", ")]
+    row = spark.sql("SELECT " + ", ".join(f"{values[t]} AS {n}" for n, t in fields))
+    path = scratch(spark, kind)
+    row.union(row.select(*[F.lit(None).cast(t).alias(n) for n, t in fields])).write.parquet(path)
+    back = getattr(IO, f"read_{kind}")(spark, path)
+    assert back.schema.simpleString() == row.schema.simpleString() and set(map(tuple, back.collect())) == {tuple(row.first()), (None,) * len(fields)}
+
+
+def test_written_values_lie_in_few_files(spark):
+    cases = spark.range(2000).selectExpr("cast(id AS string) case_id", "if(id % 3 = 0, 'hard', 'golden') set_name", "'test' split", "cast(null AS string) expected")
+    path = scratch(spark, "few")
+    IO.write_evalset(cases.repartition(40), path)
+    assert spark.read.parquet(path).select(F.input_file_name()).distinct().count() <= 4
+
+
+def test_a_round_from_stored_tables(spark):
+    folder = {}
+    for name, rows in {"results": [("1", "a", True, 1.0), ("2", "a", True, 1.0), ("2", "b", True, 1.0)], "ledger": [("b", "accept", "me", None)],
+                       "routing": [("slow", "model")], "votes": [("1", "x", "confirm"), ("1", "y", "confirm"), ("2", "x", "correct")]}.items():
+        folder[name] = scratch(spark, name)
+        spark.createDataFrame(rows, getattr(schemas, name.upper())).write.parquet(folder[name])
+    results = IO.read_results(spark, folder["results"])
+    base, cand = (results.where(F.col("version") == v).drop("version") for v in "ab")
+    auto = spark.createDataFrame([("1", "slow"), ("2", "slow")], "finding_id string, auto_cause string")
+    verdicts = spark.createDataFrame([("1", "x", "confirm", None, 1), ("2", "x", "correct", "late", 1)], "finding_id string, reviewer string, verdict string, cause string, round int")
+    done = flows.close_loop(auto, verdicts, IO.read_votes(spark, folder["votes"]), IO.read_routing(spark, folder["routing"]), base, cand, {"pass_rate": 0.5}, 2, ["round"])
+    gate = done.gate.first()
+    assert (gate["regressions"], gate["not_run"], gate["accepted"]) == (1, 1, False)
+    assert {(r["target"], r["n"]) for r in done.routes.collect()} == {("model", 1), ("unrouted", 1)}
+    assert E.accepted(spark.createDataFrame([("b", False)], "version string, accepted boolean"), IO.read_ledger(spark, folder["ledger"])).count() == 0
+
+
 def test_findings_are_laid_out_by_skill(spark):
     df = trace(spark, {"a": ["signup", {"stage": "purchase", "skill": "pay"}]})
     found = conform(C.skipped_steps(df, S.ORDINALS), schemas.FINDINGS)
