@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from driftline.functions.sizing import shared_dir
+from driftline.functions.sizing import settle, shared_dir, store
+from driftline.operators import checks as C
 from driftline.operators import normalize as N
-from driftline.plans.registry import query
+from driftline.operators import spec as P
+from driftline.plans.registry import DRIFT, query
 from driftline.sources import bindings as S
 from driftline.streaming import feeds as T
 
@@ -110,3 +112,20 @@ def t7_stream_late(spark, sf_dir):
     told = T.stream_late(spark, first + second)
     kept = spark.read.parquet(f"{base}/rows").count()
     return told.agg(F.sum("n_rows").alias("n_rows"), F.sum("late").alias("late"), F.lit(kept).cast("bigint").alias("kept"))
+
+
+@query(f"""WITH {DRIFT},
+moves AS (SELECT before, name AS stage, count(*) AS n FROM trace WHERE before IS NOT NULL GROUP BY 1, 2),
+shares AS (SELECT before, stage, n / sum(n) OVER (PARTITION BY before) AS support FROM moves)
+SELECT session_id, step_id, rule_id FROM drift
+UNION ALL SELECT session_id, step_id, concat('protocol:', before, ':', name) FROM trace
+WHERE before IS NOT NULL AND (before, name) NOT IN (SELECT (before, stage) FROM shares WHERE support >= 0.2)""")
+def t8_stream_judge(spark, sf_dir):
+    """Reports of complete sessions, two files a batch, judged by given rules as they arrive."""
+    trace = store(S.event_trace(spark, sf_dir))
+    spec = settle(P.mine_transitions(trace, 0.2))
+    folder = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
+    trace.repartition(6, "session_id").write.parquet(folder)
+    arrivals = spark.readStream.schema(trace.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    base = T.judge_arrivals(arrivals, lambda rows: C.debug_windows(rows, spec, S.ORDINALS), "judge")
+    return T.judged(spark, base).select("session_id", "step_id", "rule_id")

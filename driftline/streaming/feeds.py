@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +93,28 @@ def stream_skips(df: DataFrame, ordinals: dict[str, int], delay: str, forget: st
         outputMode="Append", timeMode="EventTime")
 
 
+def judge_arrivals(sessions: DataFrame, judge: Callable[[DataFrame], DataFrame], name: str, base: str | None = None) -> str:
+    """Judge complete sessions as their reports arrive; gives the folder of the stream.
+
+    Every batch holds whole sessions and goes through ``judge``, a batch operator or flow. What it finds lies in a folder named by the
+    batch, written anew if the batch is run again after a failure, so nothing is told twice. Read it with ``judged``.
+    """
+    base = base or f"{shared_dir(sessions.sparkSession)}/streams/{name}-{uuid.uuid4().hex}"
+
+    def one(rows: DataFrame, batch: int) -> None:
+        judge(rows).write.mode("overwrite").parquet(f"{base}/rows/batch={batch}")
+
+    query = (sessions.writeStream.foreachBatch(one).option("checkpointLocation", f"{base}/state")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return base
+
+
+def judged(spark: SparkSession, base: str) -> DataFrame:
+    """All findings of a stream of sessions, with the batch that brought them."""
+    return spark.read.parquet(f"{base}/rows")
+
+
 class Batches(StreamingQueryListener):
     """Rows read and rows dropped as too late of every batch of a run, however many there are."""
 

@@ -20,7 +20,7 @@ def oracle(sf_dir: str):
 
 def plain(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 9) + 0.0
+        return "nan" if math.isnan(v) else round(v, 9) + 0.0
     return v
 
 
