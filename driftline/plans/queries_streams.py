@@ -74,9 +74,9 @@ def rates(spark, sf_dir, slide):
 @query("""SELECT CAST(p.user_id AS VARCHAR) AS owner, p.event_id AS step_id, strftime(p.ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events p
 WHERE p.event_type = 'purchase' AND NOT EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'click' AND e.user_id = p.user_id
     AND e.ts < p.ts AND e.ts >= p.ts - INTERVAL 12 HOUR)
-  AND p.ts < (SELECT max(ts) FROM events) - INTERVAL 4 HOUR""")
+  AND p.ts < (SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'purchase')) FROM events) - INTERVAL 4 HOUR""")
 def t5_stream_claims(spark, sf_dir):
-    """Purchases without a click of the same user in the 12 hours before, but for those within the delay and one bucket of the end."""
+    """Purchases without a click of the same user in the 12 hours before, but for those within the delay and one bucket of where the slower of both feeds ends."""
     claims = arriving(spark, sf_dir).where("name = 'purchase'").select("owner", "step_id", "ts")
     proofs = arriving(spark, sf_dir).where("name = 'click'").select("owner", "ts")
     out = T.result_of(T.stream_claims(claims, proofs, "owner", "12 hours", DELAY), "claims")
