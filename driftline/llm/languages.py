@@ -17,15 +17,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.functions.shipping import ship
-from driftline.llm.registry import query, table, widened
+from driftline.llm.registry import query, ready, table, widened
 
 REFERENCE_CHARS = 20_000        # text a language's automaton is built from
 TRAINING_DOCS = 200             # labelled documents per language it may come from
 LEAST_CHARS = 40                # shorter texts teach little
 BLOCK = 1024                    # letters that are parsed in a row
 ALPHABET = 255                  # letters told apart, most frequent first; any other is one that no reference has
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 1 << 20
 UNKNOWN = "und"
 
 
@@ -147,7 +146,7 @@ class Parser:
         return langs, scores
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def parser(models: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(models)
 
@@ -174,7 +173,7 @@ def predict(docs: DataFrame, models: tuple[tuple[str, str], ...]) -> DataFrame:
 
     Null texts and texts without a letter are ``und`` with score 0, as is every text if nothing was learnt. Ties go to the first language by name.
     """
-    ship(docs.sparkSession)
+    ready(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
     at = docs.columns.index("text")
     schema = widened(docs.schema, lang_pred=T.StringType(), score=T.DoubleType())

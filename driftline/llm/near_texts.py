@@ -17,14 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftline.functions.shipping import ship
 from driftline.functions.sizing import small_side, store
 from driftline.llm import shingles
 from driftline.llm.components import components
-from driftline.llm.registry import query, table
+from driftline.llm.registry import query, ready, table
 
 HALVES, ROWS = 14, 3
 BLOCK_TEXTS, BLOCK_SHINGLES = 1_500, 2_000_000      # most that meet in one task of a group, hubs apart
+SETS_AT_ONCE = 500                                  # full sets of so many texts are in memory together
 HUBS = 16                                           # texts of a large group that all of its blocks see
 _RNG = np.random.default_rng(20240607)
 XORS = _RNG.integers(0, 1 << 63, HALVES * ROWS, dtype=np.uint64)
@@ -45,7 +45,7 @@ def half_keys(values: np.ndarray) -> np.ndarray:
 
 def sketch(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n_shingles, set_id, halves) of every row of (doc_id, text); an empty set has no set_id and no halves."""
-    ship(docs.sparkSession)
+    ready(docs.sparkSession)
 
     def compute(batches):
         for batch in batches:
@@ -211,11 +211,13 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
     def full(batches):
         for batch in batches:
-            got = list(shingles.sets(batch.column(1).to_pylist(), width))
-            keep = [i for i, (s, w) in enumerate(zip(got, batch.column(2).to_pylist())) if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == w]
-            part = batch.take(pa.array(keep, pa.int64()))
-            yield pa.record_batch([part.column(0), *(part.column(k) for k in (3, 4, 5)), pa.array([got[i].tobytes() for i in keep], pa.binary())],
-                                  names=["rep", "component", "blocks", "block", "shingles"])
+            for at in range(0, len(batch), SETS_AT_ONCE):
+                part = batch.slice(at, SETS_AT_ONCE)
+                got = list(shingles.sets(part.column(1).to_pylist(), width))
+                keep = [i for i, (s, w) in enumerate(zip(got, part.column(2).to_pylist())) if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == w]
+                part = part.take(pa.array(keep, pa.int64()))
+                yield pa.record_batch([part.column(0), *(part.column(k) for k in (3, 4, 5)), pa.array([got[i].tobytes() for i in keep], pa.binary())],
+                                      names=["rep", "component", "blocks", "block", "shingles"])
 
     chosen = docs.join(wanted, "doc_id").select("doc_id", "text", "wanted", "component", "blocks", "block")
     members = store(chosen.mapInArrow(full, "rep long, component long, blocks long, block long, shingles binary"))

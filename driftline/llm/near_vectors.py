@@ -17,10 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.functions.shipping import ship
 from driftline.functions.sizing import small_side, store
 from driftline.llm.components import components
-from driftline.llm.registry import query, table
+from driftline.llm.registry import query, ready, table
 
 COSINE = 0.95
 MISS = 0.001            # odds to lose a pair at the threshold, for cells and for the count each
@@ -136,7 +135,7 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     stands for several vectors joins their groups. Rows of null id link with nothing, are in no group and are kept. Other columns are not read.
     """
     spark = vectors.sparkSession
-    ship(spark)
+    ready(spark)
     e = F.col("embedding")
     odd = F.exists(e, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.coalesce(F.col("vec_id").isNotNull() & (F.size(e) > 0) & ~odd & F.exists(e, lambda x: x != 0), F.lit(False))

@@ -16,10 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.functions.shipping import ship
 from driftline.functions.sizing import small_side
 from driftline.llm.languages import in_fold
-from driftline.llm.registry import query, table, widened
+from driftline.llm.registry import query, ready, table, widened
 
 POSITIVES, UNLABELLED = 6_000, 12_000       # most texts the model is fitted to
 STEPS, RATE, DECAY = 500, 0.05, 1e-4
@@ -94,7 +93,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
 
 def sample(docs: DataFrame, most: int, salt: str) -> np.ndarray:
     """Features of at most ``most`` rows of (doc_id, text), those first in hash order; computed in tasks."""
-    ship(docs.sparkSession)
+    ready(docs.sparkSession)
     first = docs.select(F.xxhash64(F.lit(salt), "doc_id", F.octet_length("text")).alias("at"), "text").orderBy("at").limit(most)
 
     def compute(batches):
@@ -130,7 +129,7 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` and ``predicted``, replacing columns of these names. Null and empty texts are scored too."""
-    ship(docs.sparkSession)
+    ready(docs.sparkSession)
     docs = docs.drop("score", "predicted")
     at = docs.columns.index("text")
     schema = widened(docs.schema, score=T.DoubleType(), predicted=T.IntegerType())

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from driftline.functions.shipping import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -25,6 +27,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def ready(spark: SparkSession) -> None:
+    """Before Python tasks: the package is sent along, and Arrow batches get 2,000 rows where the session leaves Spark's 10,000.
+
+    Rows here hold whole texts, which a worker has in memory a batch at a time.
+    """
+    ship(spark)
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "2000")
+
+
 def widened(schema: T.StructType, **fields: T.DataType) -> T.StructType:
     """A copy of ``schema`` with more fields at its end."""
     return T.StructType([*schema.fields, *(T.StructField(name, kind) for name, kind in fields.items())])

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 LOWER = np.arange(256, dtype=np.uint8)

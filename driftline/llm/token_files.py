@@ -19,16 +19,15 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftline.functions.shipping import ship
 from driftline.functions.sizing import shared_dir, store
-from driftline.llm.registry import query, table
+from driftline.llm.registry import query, ready, table
 
 SEQUENCE = 2048
 END_ID = 2
 BATCH_SEQUENCES = 256
-KNOWN_PARTS, KNOWN_WORDS = 300_000, 500_000     # what a worker keeps with its ids, first come
+KNOWN_PARTS, KNOWN_WORDS = 120_000, 250_000     # what a worker keeps with its ids, first come
 LONG_PART = 64                                  # longer words are encoded but not kept
-ENCODE_BYTES = 4 << 20                          # text encoded at a time
+ENCODE_BYTES = 2 << 20                          # text encoded at a time
 BLANKS = re.compile(r"\s ")
 LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 MARK = r"!-&(-/:-@\[-`{-~"                       # ASCII punctuation but the apostrophe, which may join to letters
@@ -216,7 +215,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     Other columns are not read. An empty table gives no shards. Runs when this is called.
     """
     spark = docs.sparkSession
-    ship(spark)
+    ready(spark)
     store_, base = files(folder)
     store_.create_dir(base, recursive=True)
     dtype = "uint16" if tokenizer(tokenizer_path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "uint32"
