@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,7 +25,7 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):     # a local-cluster has machines of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
