@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.llm.registry import query, ready, table, widened
+from driftline.llm.registry import query, ready, shielded, table, widened
 
 REFERENCE_CHARS = 20_000        # text a language's automaton is built from
 TRAINING_DOCS = 200             # labelled documents per language it may come from
@@ -195,8 +195,12 @@ def identify(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text has a language, with the columns of ``docs``."""
-    return identify(docs).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    """The rows of ``docs`` whose text has a language, with the columns of ``docs``; all rows if no text is labelled to learn from."""
+    rows = shielded(docs, "doc_id", "text", "lang")
+    models = references(rows)
+    if not models:
+        return docs
+    return predict(rows, models).where(F.col("lang_pred") != UNKNOWN).select(*rows.columns).toDF(*docs.columns)
 
 
 @query()

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.sizing import settle, small_side, store
-from driftline.llm.registry import query, table
+from driftline.llm.registry import query, shielded, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -99,7 +99,8 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
 
     Texts stay whole: the document at the cut is taken if at least half of it lies before the cut, so a source is off its
     budget by half a document at most. Rows with one id stand or fall together at the cut. Texts are not shuffled:
-    a source's cut is a place in the key order, so one row per source tells each document its number of copies.
+    a source's cut is a place in the key order, so one row per source tells each document its number of copies. Texts without
+    words cost nothing and are copied like others of their place.
     """
     sizes = docs.select("doc_id", "source", count_words(F.col("text")).alias("size"))
     after = F.when(2 * F.col("last") < F.col("size"), F.struct("key", "doc_id"))
@@ -108,8 +109,9 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     place = F.struct(random_key(F.col("doc_id"), seed).alias("key"), F.col("doc_id"))
     more = F.when(F.col("_cut").isNull() | (place < F.col("_cut")), 1).otherwise(0)
     copies = F.sequence(F.lit(1), (F.col("_epochs") + more).cast("int"))
-    return (docs.join(cuts, F.col("source").eqNullSafe(F.col("_source")))
-            .where(F.col("_epochs") + more > 0).withColumn("_copy", F.explode(copies)).select(*docs.columns))
+    rows = shielded(docs, "doc_id", "source")
+    taken = rows.join(cuts, F.col("source").eqNullSafe(F.col("_source"))).where(F.col("_epochs") + more > 0)
+    return taken.withColumn("_copy", F.explode(copies)).select(*rows.columns).toDF(*docs.columns)
 
 
 @query(rf"""WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),

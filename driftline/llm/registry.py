@@ -40,6 +40,11 @@ def ready(spark: SparkSession) -> None:
         spark.conf.set(ARROW_ROWS, "2000")
 
 
+def shielded(df: DataFrame, *needed: str) -> DataFrame:
+    """``df`` with all but the ``needed`` columns under numbers, so that no name of theirs clashes; ``toDF`` gives the names back."""
+    return df.toDF(*[c if c in needed else f"_{i}" for i, c in enumerate(df.columns)])
+
+
 def widened(schema: T.StructType, **fields: T.DataType) -> T.StructType:
     """A copy of ``schema`` with more fields at its end."""
     return T.StructType([*schema.fields, *(T.StructField(name, kind) for name, kind in fields.items())])

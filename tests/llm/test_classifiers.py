@@ -65,6 +65,8 @@ def test_language_cases(spark):
     assert all(0 <= r.score <= 1 for r in got) and all(r.score == 0 for r in got if r.lang_pred == "und")
     none = languages.identify(spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")).collect()
     assert [(r.lang_pred, r.score) for r in none] == [("und", 0.0)]
+    kept = languages.keep_known(spark.createDataFrame([(1, "the cat " * 9, "xx", 0.25, "a"), (2, "77", "xx", 0.5, "b"), (3, None, None, None, None)], "doc_id long, text string, lang string, score double, lang_pred string")).collect()
+    assert [tuple(r) for r in kept] == [(1, "the cat " * 9, "xx", 0.25, "a")]
     assert languages.keep_known(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
 
 

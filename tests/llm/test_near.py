@@ -188,6 +188,7 @@ def test_leaks_by_brute_force(spark):
         assert aligning.align([x.lower() for x in items[pair[1]]], part)[0] == pytest.approx(r.score)
     assert aligning.find_leaks(frame, bench.limit(0)).count() == aligning.find_leaks(frame.limit(0), bench).count() == 0
     clean = aligning.without_leaks(frame.withColumnRenamed("key", "doc_id").withColumnRenamed("score", "_key"), bench).collect()
+    assert {r["_key"] for r in clean} == {1}
     assert Counter(r.doc_id for r in clean) == Counter(k for k, _, _ in rows if not any(p[0] == k for p in want))
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import harness
@@ -93,7 +94,7 @@ def test_mixed_documents_are_whole_rows(spark):
     for _, s, t, _ in DOCS:
         size[s] += len((t or "").split())
     for r in out:
-        got[r.source] += len(r.text.split())
+        got[r.source] += len((r.text or "").split())
     want = brute_targets(size)
     for s in size:
         largest = max((len((t or "").split()) for _, x, t, _ in DOCS if x == s), default=0)
@@ -119,4 +120,4 @@ def test_rest_does_not_need_this_folder():
     root = Path(sizing.__file__).resolve().parents[1]
     for path in root.rglob("*.py"):
         if path.parent.name != "llm":
-            assert "llm" not in path.read_text()
+            assert not re.search(r"\bllm\b", path.read_text()), path
