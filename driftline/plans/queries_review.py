@@ -44,14 +44,15 @@ def record_table(spark, sf_dir):
 
 
 RECORDS = """
-refs AS (SELECT session_id, step_id,
-    CASE WHEN max(CASE WHEN name = 'click' THEN 1 END) OVER w = 1 THEN 1 ELSE 0 END
-    + CASE WHEN max(CASE WHEN name = 'view' THEN 1 END) OVER w = 1 THEN 1 ELSE 0 END
-    + CASE WHEN max(CASE WHEN name = 'signup' THEN 1 END) OVER w = 1 THEN 1 ELSE 0 END AS refs
+refs AS (SELECT session_id, step_id, array_to_string(list_transform(list_sort(list_filter([
+      {'s': last_value(CASE WHEN name = 'click' THEN step_id END IGNORE NULLS) OVER w, 'k': 'trace'},
+      {'s': last_value(CASE WHEN name = 'view' THEN step_id END IGNORE NULLS) OVER w, 'k': 'command'},
+      {'s': last_value(CASE WHEN name = 'signup' THEN step_id END IGNORE NULLS) OVER w, 'k': 'diff'}],
+      lambda x: x.s IS NOT NULL)), lambda x: concat(x.s, ':', x.k)), ',') AS refs
   FROM trace WINDOW w AS (PARTITION BY session_id ORDER BY step ROWS UNBOUNDED PRECEDING)),
 records AS (
   SELECT s.session_id, s.symptom_id, s.symptom_step, c.stage AS violated_stage, c.rule_id AS violated, c.first_step_id AS action_step,
-    t.kind AS action_kind, r.refs::BIGINT AS refs, CASE WHEN c.first_step <= 2 THEN c.rule_id END AS cause, m.gate,
+    t.kind AS action_kind, r.refs, CASE WHEN c.first_step <= 2 THEN c.rule_id END AS cause, m.gate,
     CASE WHEN c.first_step <= 2 AND m.gate IS NOT NULL THEN 'fixed' WHEN c.first_step <= 2 THEN 'watch' ELSE 'open' END AS disposition
   FROM shown s LEFT JOIN critical c ON c.session_id = s.session_id AND c.symptom_id = s.symptom_id
   LEFT JOIN trace t ON t.session_id = c.session_id AND t.step_id = c.first_step_id
@@ -65,7 +66,7 @@ def h1_label_records(spark, sf_dir):
         "session_id", "symptom_id", F.col("symptom.step").cast("bigint").alias("symptom_step"),
         F.col("violated.stage").alias("violated_stage"), F.col("violated.constraint").alias("violated"),
         F.col("key_action.step_id").alias("action_step"), F.col("key_action.kind").alias("action_kind"),
-        F.size("evidence").cast("bigint").alias("refs"), F.col("confirmed_cause").alias("cause"),
+        F.array_join(F.transform("evidence", lambda e: F.concat_ws(":", e["step_id"].cast("string"), e["kind"])), ",").alias("refs"), F.col("confirmed_cause").alias("cause"),
         F.col("stopping_gate").alias("gate"), "disposition")
 
 
