@@ -10,9 +10,11 @@ from driftline.functions.sizing import settle, store
 from driftline.operators import attribution as A
 from driftline.operators import claims as V
 from driftline.operators import graph as B
-from driftline.plans.queries_trace import drift_findings
+from driftline.plans.queries_trace import conform, drift_findings, scratch
 from driftline.plans.registry import DRIFT, TRACE, query
 from driftline.sources import bindings as S
+from driftline.sources import schemas
+from driftline.sources import tables as IO
 
 DEPTH = 5
 
@@ -239,7 +241,7 @@ def a14_recall_near(spark, sf_dir):
     return near.select("query_id", "case_id", "cause", F.round("cosine", 6).alias("cosine"), F.col("place").cast("bigint").alias("place"))
 
 
-@query(recursive(f"""{DRIFT}, {BACK},
+REPORT = recursive(f"""{DRIFT}, {BACK},
 c AS (
   SELECT b.session_id, symptom_id, d.step_id, d.step, d.rule_id,
     round(0.4 / (1 + depth) + 0.3 * d.severity + 0.2 * (symptom_step - d.step) / symptom_step, 9) AS score
@@ -251,17 +253,30 @@ m AS (SELECT session_id, arg_min(gate, (gate_step, gate_step_id)) AS gate FROM m
 SELECT session_id, symptoms, first_step_id, cause, gate,
   concat(session_id, ': ', symptoms, ' symptom(s); first deviation ', coalesce(rule_id, 'none'), '; likely cause ',
          coalesce(cause, 'none'), '; missed gate ', coalesce(gate, 'none')) AS sentence
-FROM n LEFT JOIN f USING (session_id) LEFT JOIN best USING (session_id) LEFT JOIN m USING (session_id)"""))
-def a15_attribution_report(spark, sf_dir):
-    trace = store(S.slim(S.event_trace(spark, sf_dir)))
+FROM n LEFT JOIN f USING (session_id) LEFT JOIN best USING (session_id) LEFT JOIN m USING (session_id)""")
+
+
+def reports(trace):
     findings, shown = store(drift_findings(trace)), settle(B.symptoms(trace))
     critical = settle(A.critical_step(findings, shown))
     _, edges = B.build_graph(trace)
     causes = settle(A.candidate_causes(B.trace_back(edges, shown, DEPTH), findings, 1))
-    return A.attribution_report(shown, critical, causes, A.missed_gates(S.event_gates(trace), critical)).select(
+    return A.attribution_report(shown, critical, causes, A.missed_gates(S.event_gates(trace), critical))
+
+
+@query(REPORT)
+def a15_attribution_report(spark, sf_dir):
+    return reports(store(S.slim(S.event_trace(spark, sf_dir)))).select(
         "session_id", "symptoms", "first_step_id", "cause", "gate", "sentence")
 
 
+@query(REPORT)
+def io6_write_reports(spark, sf_dir):
+    path = scratch(spark, "reports")
+    IO.write_reports(conform(reports(store(S.slim(S.event_trace(spark, sf_dir)))), schemas.REPORTS), path)
+    return spark.read.schema(schemas.REPORTS).json(path)
+
+
 @query(f"""WITH {TRACE}
 SELECT before, name AS stage, count(*) AS n,
        round(quantile_cont(date_diff('microsecond', ts_before, ts) / 1e6, 0.5), 4) AS median_seconds

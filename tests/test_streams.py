@@ -11,7 +11,7 @@ from driftline.plans import queries_streams as Q
 from driftline.sources import bindings as S
 from driftline.streaming import feeds as T
 from pyspark.sql import functions as F
-from traces import ORDINALS, START, got, trace
+from traces import ORDINALS, START, got
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "session_id string, step_id bigint, ts timestamp, stage string, owner string"
