@@ -192,6 +192,21 @@ def test_leaks_by_brute_force(spark):
     assert Counter(r.doc_id for r in clean) == Counter(k for k, _, _ in rows if not any(p[0] == k for p in want))
 
 
+def test_leaks_edited_beside_an_exact_copy(spark):
+    rng = random.Random(5)
+    items = {i: ["i%dw%d" % (i, k) for k in range(n)] for i, n in enumerate((40, 15, 38))}
+    edited = {i: [v if k % 4 else "zz%d" % k for k, v in enumerate(w)] for i, w in items.items()}
+    rows = [(10 * i + j, " ".join(["before"] * 9 + w + ["after"] * 9)) for i in items for j, w in enumerate((items[i], edited[i]))]
+    docs = spark.createDataFrame(rows, "key long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r.key, r.item_id) for r in aligning.find_leaks(docs, bench).collect()}
+    assert got == {(k, i) for k, t in rows for i, w in items.items() if aligning.align(w, t.split())[0] >= aligning.LEAST_SCORE}
+    assert {(1, 0), (11, 1), (21, 2)} <= got
+    for _ in range(300):
+        a, b = ([rng.choice("abcdefgh") for _ in range(rng.randint(0, 12))] for _ in range(2))
+        assert aligning.ceiling(a, b) >= aligning.align(a, b)[0]
+
+
 def test_benchmark_in_several_passes(spark, monkeypatch):
     rows = [(1, "a b c d e f g h"), (2, "x y z"), (3, "a b c d q r s t u v")]
     docs, bench = spark.createDataFrame(rows, "key long, text string"), spark.createDataFrame([(1, "a b c d e f"), (2, "q r s t u v")], "item_id long, text string")
