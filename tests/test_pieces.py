@@ -114,6 +114,28 @@ def test_near_cases_are_earlier_and_resolved(spark):
     assert hit >= 0.9 * sum(len(js) for js in best.values() if len(js) <= 2)
 
 
+def test_nearest_cases_by_brute_force(spark, monkeypatch):
+    rnd = np.random.default_rng(9)
+    vectors = np.concatenate([rnd.normal(size=(150, 16)), rnd.normal(size=(150, 16)) * 0.8 + 1])
+    vectors[40], vectors[7] = vectors[3], 0
+    odd = [(900, 5, None, "c"), (901, 5, [1.0] * 3, "c"), (902, 5, [float("nan")] * 16, "c"), (903, None, [1.0] * 16, "c")]
+    rows = [(i, int(t), [float(x) for x in v], f"c{i % 5}" if i % 3 else None) for i, (v, t) in enumerate(zip(vectors, rnd.integers(0, 100, 300)))] + odd
+    df = spark.createDataFrame(rows + rows[:20], "id bigint, at int, vector array<double>, cause string")
+    queries = df.select(F.col("id").alias("query_id"), F.col("at").cast("bigint").alias("at"), "vector")
+    memory = df.select(F.col("id").alias("case_id"), "at", "vector", "cause")
+    long = {i for i in range(300) if vectors[i].any()}
+    length = np.linalg.norm(vectors, axis=1)
+    want = set()
+    for q in long:
+        near = sorted((-round(float(vectors[q] @ vectors[c] / (length[q] * length[c])), 9), c) for c in long if rows[c][3] and rows[c][1] < rows[q][1])
+        want |= {(q, c, rows[c][3], place) for place, (_, c) in enumerate(near[:3], 1)}
+    for size in (A.BLOCK_ROWS, 64):
+        monkeypatch.setattr(A, "BLOCK_ROWS", size)
+        got = A.recall_near(queries, memory, 3, 16).collect()
+        assert len(got) == len(want) and {(r["query_id"], r["case_id"], r["cause"], r["place"]) for r in got} == want
+    assert A.recall_near(queries.limit(0), memory, 3, 16).count() == A.recall_near(queries, memory.limit(0), 3, 16).count() == 0
+
+
 def test_beyond_the_bound_nothing_is_hinted(spark):
     df = spark.range(50)
     assert sizing.is_small(df, max_rows=50) and not sizing.is_small(df, max_rows=49)
