@@ -4,7 +4,7 @@ Vectors are laid along many random one-dimensional projections. Two vectors coll
 the other; pairs that collide on as many projections as nearly all true pairs do are verified by their cosine. Counting every pair
 would be quadratic, so a pair is counted only where it shares a cell: a cell is the place of a vector before or after the middle of
 each of several sorted projections. Cells are drawn anew for each table until, by the density measured on a
-sample, a pair at the threshold shares none with odds of 0.001. Links are counted where they are found and never listed.
+sample, a pair at the threshold shares none with odds of 0.001; where that takes too many tables, cells are made larger. Links are counted where they are found and never listed.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ MISS = 0.001            # odds to lose a pair at the threshold, for cells and fo
 PROJECTIONS = 48        # collisions are counted on
 WINDOW = 1.5            # half a window, in standard deviations of the projected difference of a pair at the threshold
 CELL = 64               # vectors in a cell on average
-MOST_TABLES = 512
+MOST_TABLES = 512       # with more, cells are made larger instead
+FIRST_TABLES = 16       # show whether that many will do
 SAMPLE = 5_000          # vectors the middles and densities are measured on
 BLOCK = 1_024           # vectors of a cell that meet in one task
 
@@ -44,17 +45,34 @@ def unit(rows: np.ndarray) -> np.ndarray:
 
 
 def fit(sample: np.ndarray, n: int, cosine: float = COSINE, miss: float = MISS, seed: int = 11) -> Index:
-    """Cells for ``n`` vectors like those of ``sample`` (rows of length one)."""
+    """Cells for ``n`` vectors like those of ``sample`` (rows of length one).
+
+    Where vectors lie so dense that ``MOST_TABLES`` would still lose more pairs than ``miss``, cells are cut by fewer projections, at last by
+    none: they are larger then, and each is compared whole in blocks.
+    """
     bits = max(0, math.ceil(math.log2(max(1, n) / CELL)))
+    while (index := fit_bits(sample, bits, cosine, miss, seed)) is None:
+        bits -= 1
+    return index
+
+
+def fit_bits(sample: np.ndarray, bits: int, cosine: float, miss: float, seed: int) -> Index | None:
+    """Cells of ``bits`` projections each, or none if ``MOST_TABLES`` would not do."""
     rng, dim = np.random.default_rng(seed), sample.shape[1]
     apart = math.sqrt(2 * (1 - cosine)) * math.sqrt(2 / math.pi)         # mean distance of a pair's projections
     directions, middles, lost = [], [], 1.0
-    while lost > miss and len(directions) < MOST_TABLES:
+    while lost > miss:
+        # Given up early where the tables so far show that the wanted odds are far off.
+        if len(directions) == MOST_TABLES or len(directions) == FIRST_TABLES and math.log(lost) * MOST_TABLES / FIRST_TABLES > math.log(miss) / 2:
+            return None
         d = rng.normal(size=(bits, dim))
         places = sample @ d.T
         middle = np.median(places, axis=0) if len(sample) else np.zeros(bits)
         density = (np.abs(places - middle) <= 0.15).mean(axis=0) / 0.3 if len(sample) else np.zeros(bits)
-        lost *= 1 - np.prod(np.clip(1 - apart * density, 0, 1))
+        # Middles of pairs lie denser than vectors where these are hardly wider spread than a pair: then the angle between the two counts.
+        spread = np.maximum(((places - middle) ** 2).mean(axis=0), 1e-12) if len(sample) else np.ones(bits)
+        angle = np.arccos(np.clip(1 - (1 - cosine) / spread, -1, 1)) / np.pi
+        lost *= 1 - np.prod(np.clip(1 - np.maximum(apart * density, angle), 0, 1))
         directions.append(d)
         middles.append(middle)
     return Index(np.array(directions).reshape(len(directions), bits, dim), np.array(middles).reshape(len(directions), bits))

@@ -138,6 +138,24 @@ def test_recall_at_the_threshold():
     assert (far >= near_vectors.least_count()).mean() < 0.001
 
 
+@pytest.mark.parametrize("common", [0.9, 0.8, 0.97])
+def test_recall_at_the_threshold_of_dense_vectors(common):
+    """So it is where all vectors have one direction in common."""
+    rng = np.random.default_rng(10)
+    unit = near_vectors.unit
+    mean = unit(rng.normal(size=(1, 64)))
+    apart = lambda x: unit(x - (x @ mean.T) * mean)      # noqa: E731
+    u = apart(rng.normal(size=(3000, 64)))
+    v = apart(rng.normal(size=u.shape))
+    v = unit(v - (v * u).sum(1, keepdims=True) * u)
+    inner = 1 - 0.0499 / (1 - common)                     # cosine of the rests at a cosine of 0.9501
+    a, b = (np.sqrt(common) * mean + np.sqrt(1 - common) * x for x in (u, inner * u + np.sqrt(1 - inner ** 2) * v))
+    assert np.allclose((a * b).sum(1), 0.9501)
+    index = near_vectors.fit(a, 10_000_000)
+    shared = (near_vectors.keys_of(index, a) == near_vectors.keys_of(index, b)).any(axis=1)
+    assert len(index.directions) <= near_vectors.MOST_TABLES and shared.mean() > 0.99
+
+
 def brute_align(a, b):
     best, h = 0, [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(1, len(a) + 1):
