@@ -144,6 +144,18 @@ def test_network_tells_random_tokens_from_words():
     assert secrets.train(rows[:50], np.zeros(50, int)).threshold > 1
 
 
+def test_threshold_keeps_the_recall_of_few_findings():
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdef0123456789") for _ in range(32)) for _ in range(1000)]
+    rows = np.array([secrets.windows(f"some text {w} goes on", 10, 42) for w in words])[:, 0]
+    labels = (np.arange(1000) % 10 == 0).astype(int) | (np.arange(1000) % 25 == 1).astype(int)      # nothing tells them apart
+    net = secrets.train(rows, labels, epochs=1)
+    found = secrets.probabilities(net, rows) >= net.threshold
+    assert found[labels == 1].mean() >= 0.9
+    assert net.recall >= 0.98 and 0.05 <= net.precision <= 0.6
+
+
+
 def test_gradients():
     rng = np.random.default_rng(2)
     net = secrets.Network(rng.normal(0, 0.3, (2 * secrets.N_CODES, secrets.DIM)), rng.normal(0, 0.2, (secrets.WIDTH * secrets.DIM, secrets.FILTERS)), np.zeros(secrets.FILTERS), rng.normal(0, 0.2, 2 * secrets.FILTERS), np.zeros(1))
