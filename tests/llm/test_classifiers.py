@@ -144,6 +144,19 @@ def test_network_tells_random_tokens_from_words():
     assert secrets.train(rows[:50], np.zeros(50, int)).threshold > 1
 
 
+def test_findings_of_training_are_distinct(spark):
+    rng = random.Random(8)
+    keys = ["".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(40)]
+    plain = ["".join(rng.choice("GHJKLMNP") for _ in range(20)) for _ in range(40)]
+    rows = [(i, f"no {i} has {keys[0]} and {plain[0]} in it") for i in range(300)] + [(1000 + i, f"here {k} with {w} once") for i, (k, w) in enumerate(zip(keys, plain))]
+    x, y = secrets.findings(spark.createDataFrame(rows, "doc_id long, text string"), most=40)
+    bodies = [r[secrets.BEFORE:secrets.BEFORE + secrets.BODY].tobytes() for r in x]
+    assert len(set(bodies)) == len(bodies) == 80 and y.sum() == 40
+    x, y = np.concatenate([x, x[::-1]]), np.concatenate([y, y[::-1]])
+    held = secrets.held_back(x, y)
+    assert (held[:80] == held[80:][::-1]).all() and held[y == 1].sum() == held[y == 0].sum() == 16
+
+
 def test_threshold_keeps_the_recall_of_few_findings():
     rng = random.Random(6)
     words = ["".join(rng.choice("abcdef0123456789") for _ in range(32)) for _ in range(1000)]
