@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -48,3 +50,13 @@ def shielded(df: DataFrame, *needed: str) -> DataFrame:
 def widened(schema: T.StructType, **fields: T.DataType) -> T.StructType:
     """A copy of ``schema`` with more fields at its end."""
     return T.StructType([*schema.fields, *(T.StructField(name, kind) for name, kind in fields.items())])
+
+
+def slices(batch, at: int, most: int):
+    """Consecutive parts of an Arrow batch whose values in column ``at`` (text or binary) come to ``most`` bytes; a longer value is a part of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    before, start = np.concatenate([[0], np.cumsum(sizes)]), 0
+    while start < batch.num_rows:
+        to = max(start + 1, int(np.searchsorted(before, before[start] + most, "right")) - 1)
+        yield batch.slice(start, to - start)
+        start = to
