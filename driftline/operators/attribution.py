@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.accumulators import Accumulator
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.columns import seconds_between
 from driftline.functions.ordered import carried, last_known, last_rows, previous, running
 from driftline.functions.quantile import quantiles
-from driftline.functions.shipping import ship
 from driftline.functions.sizing import settle, small_side, store
+from driftline.operators.nearest import nearest
 
 # How much each reason weighs when causes are ranked.
 WEIGHTS = {"reach": 0.4, "severity": 0.3, "earliness": 0.2, "lift": 0.1}
@@ -139,101 +135,16 @@ def recall_cases(findings: DataFrame, memory: DataFrame, k: int, at: str = "vers
     return findings.join(small_side(settle(known)), ["signature", at])
 
 
-CASES_PER_BUCKET = 256
-BLOCK_ROWS = 4_096          # queries, and cases, that meet in one task
-
-
-def planes(dim: int, n: int) -> list[tuple[int, int]]:
-    """``n`` hyperplanes, each between two coordinates (from 0): a vector lies on the side of the larger one."""
-    return [(i, (i + 1 + 3 * k % (dim - 1)) % dim) for k in range(n) for i in [(5 * k + k // dim) % dim]]
-
-
-def bucket_keys(vector: str, dim: int, tables: int, bits: int) -> Column:
-    """One key per table: on which sides of its ``bits`` hyperplanes the vector lies."""
-    side = [F.when(F.col(vector)[i] > F.col(vector)[j], "1").otherwise("0") for i, j in planes(dim, tables * bits)]
-    return F.array(*[F.concat(F.lit(f"{t}:"), *side[t * bits:(t + 1) * bits]) for t in range(tables)])
-
-
-def recall_near(queries: DataFrame, memory: DataFrame, k: int, dim: int, tables: int | None = None, bits: int | None = None) -> DataFrame:
-    """The ``k`` resolved earlier cases most like a query, by exact cosine.
+def recall_near(queries: DataFrame, memory: DataFrame, k: int, dim: int, compared: Accumulator | None = None) -> DataFrame:
+    """The ``k`` resolved earlier cases most like a query, by exact cosine at nine digits, then case_id.
 
     ``queries`` have query_id, at and vector, ``memory`` case_id, at, vector and cause. Only cases before the query's ``at`` and with
-    a cause count. Every query meets every such case, block by block. Vectors that are null, zero or not of ``dim`` finite numbers are like none.
-
-    With ``tables`` or ``bits`` named, only cases that share a bucket with the query are compared, and others are lost: a case at the
-    angle x is found with odds 1 - (1 - (1 - x/pi)^bits)^tables if planes were drawn at random. Without ``bits`` they grow with the memory so
-    that a bucket holds a few hundred cases, and the odds fall with it. A large bucket is split by Spark's skew join.
+    a cause count. No such case is lost: see ``nearest`` for what is ruled out, and for odd rows. ``compared`` is told how many pairs were not.
     """
-    known = memory.where("cause IS NOT NULL")
     asked = queries.select("query_id", F.col("at").alias("_now"), F.col("vector").cast("array<double>").alias("_q"))
-    past = known.select("case_id", F.col("at").alias("_then"), "cause", F.col("vector").cast("array<double>").alias("_v"))
-    if tables is None and bits is None:
-        scored = nearest_in_blocks(asked, past, k, dim)
-    else:
-        tables = 6 if tables is None else tables
-        if bits is None:
-            bits = max(1, math.ceil(math.log2(max(2, known.count() / CASES_PER_BUCKET))))
-        left = asked.withColumn("_key", F.explode(bucket_keys("_q", dim, tables, bits)))
-        right = past.withColumn("_key", F.explode(bucket_keys("_v", dim, tables, bits)))
-        pairs = left.join(right, (left["_key"] == right["_key"]) & (F.col("_then") < F.col("_now")))
-        scored = pairs.select("query_id", "case_id", "cause", F.round(_cosine(F.col("_q"), F.col("_v")), 9).alias("cosine")).distinct()
+    past = memory.where("cause IS NOT NULL").select("case_id", F.col("at").alias("_then"), "cause", F.col("vector").cast("array<double>").alias("_v"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "case_id"))
-    return scored.withColumn("place", place).where(F.col("place") <= k)
-
-
-def nearest_in_blocks(asked: DataFrame, past: DataFrame, k: int, dim: int) -> DataFrame:
-    """(query_id, case_id, cause, cosine) of the best ``k`` cases of each block of ``past`` for each query, all cases compared.
-
-    Repeated rows of a query or a case count once: the latest time of a query and the earliest of a case see most.
-    """
-    ship(asked.sparkSession)
-    time = asked.select("_now").union(past.select("_then")).schema["_now"].dataType      # of both
-
-    def whole(v):
-        return (F.size(v) == dim) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-
-    asked = store(asked.where(whole("_q")).groupBy("query_id", "_q").agg(F.max("_now").cast(time).alias("_now")))
-    past = store(past.where(whole("_v")).groupBy("case_id", "cause", "_v").agg(F.min("_then").cast(time).alias("_then")))
-    n_asked, n_past = (max(1, math.ceil(df.count() / BLOCK_ROWS)) for df in (asked, past))
-    left = asked.withColumn("_a", F.pmod(F.xxhash64("query_id"), F.lit(n_asked))).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_past - 1).cast("long"))))
-    right = past.withColumn("_b", F.pmod(F.xxhash64("case_id"), F.lit(n_past))).withColumn("_a", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_asked - 1).cast("long"))))
-    kinds = ", ".join(f"{n} {df.schema[n].dataType.simpleString()}" for df, n in ((asked, "query_id"), (past, "case_id"), (past, "cause")))
-
-    def unit(column: pa.ChunkedArray) -> np.ndarray:
-        rows = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-        rows = rows / np.abs(rows).max(axis=1, keepdims=True)
-        return rows / np.linalg.norm(rows, axis=1, keepdims=True)
-
-    def compute(q: pa.Table, c: pa.Table) -> pa.Table:
-        c = c.sort_by("case_id")
-        out_q, out_c, out_s = [], [], []
-        if len(q) and len(c):
-            # Places of the times among each other: comparable without knowing their type.
-            times = pa.chunked_array([*q["_now"].chunks, *c["_then"].chunks]).combine_chunks()
-            rank = pc.rank(times, "ascending", tiebreaker="dense").to_numpy().astype(np.int64)
-            timed = pc.is_valid(times).to_numpy(zero_copy_only=False)
-            now, then = np.split(rank, [len(q)])
-            now_known, then_known = np.split(timed, [len(q)])
-            vectors, some = unit(c["_v"]), 256
-            for s in range(0, len(q), some):
-                cosine = np.round(unit(q["_q"].slice(s, some)) @ vectors.T, 9)
-                cosine[~((then[None, :] < now[s:s + some, None]) & then_known[None, :] & now_known[s:s + some, None])] = -np.inf
-                top = np.argsort(-cosine, axis=1, kind="stable")[:, :k]       # of equal ones the smaller case
-                i, j = np.nonzero(np.take_along_axis(cosine, top, 1) > -np.inf)
-                out_q.append(s + i)
-                out_c.append(top[i, j])
-                out_s.append(cosine[i, top[i, j]])
-        at_q, at_c, score = (np.concatenate(x) if x else np.empty(0, kind) for x, kind in ((out_q, np.int64), (out_c, np.int64), (out_s, np.float64)))
-        return pa.table({"query_id": q["query_id"].take(pa.array(at_q, pa.int64())), "case_id": c["case_id"].take(pa.array(at_c, pa.int64())),
-                         "cause": c["cause"].take(pa.array(at_c, pa.int64())), "cosine": pa.array(score, pa.float64())})
-
-    return left.groupBy("_a", "_b").cogroup(right.groupBy("_a", "_b")).applyInArrow(compute, f"{kinds}, cosine double").distinct()
-
-
-def _cosine(a, b):
-    def dot(x, y):
-        return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+    return nearest(asked, past, k, dim, compared).withColumn("place", place).where(F.col("place") <= k)
 
 
 def attribution_report(symptoms: DataFrame, critical: DataFrame, causes: DataFrame, missed: DataFrame) -> DataFrame:

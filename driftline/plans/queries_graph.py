@@ -219,16 +219,9 @@ def a14_recall_cases(spark, sf_dir):
         "session_id", "signature", F.col("cause").alias("past_cause"), "cases", F.col("place").cast("bigint").alias("place"))
 
 
-NEAR_TABLES, NEAR_BITS, NEAR_DIM = 6, 3, 64
-BUCKETS = ", ".join(f"concat('{t}:', " + ", ".join(f"CASE WHEN v[{i + 1}] > v[{j + 1}] THEN '1' ELSE '0' END" for i, j in A.planes(
-    NEAR_DIM, NEAR_TABLES * NEAR_BITS)[t * NEAR_BITS:(t + 1) * NEAR_BITS]) + ")" for t in range(NEAR_TABLES))
-
-
-@query(f"""WITH x AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
-b AS (SELECT *, unnest([{BUCKETS}]) AS key FROM x),
-p AS (SELECT DISTINCT q.vec_id AS query_id, m.vec_id AS case_id, concat('cause-', m.label) AS cause, q.v AS a, m.v AS b
-      FROM b q JOIN b m ON q.key = m.key AND m.vec_id < q.vec_id AND m.label > 0),
-s AS (SELECT query_id, case_id, cause, round(list_cosine_similarity(a, b), 9) AS cosine FROM p)
+@query("""WITH x AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, m.vec_id AS case_id, concat('cause-', m.label) AS cause, round(list_cosine_similarity(q.v, m.v), 9) AS cosine
+      FROM x q JOIN x m ON m.vec_id < q.vec_id AND m.label > 0)
 SELECT query_id, case_id, cause, round(cosine, 6) AS cosine, place FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, case_id) AS place FROM s) WHERE place <= 3""")
 def a14_recall_near(spark, sf_dir):
@@ -237,7 +230,7 @@ def a14_recall_near(spark, sf_dir):
     queries = vectors.select(F.col("vec_id").alias("query_id"), F.col("vec_id").alias("at"), F.col("embedding").alias("vector"))
     memory = vectors.select(F.col("vec_id").alias("case_id"), F.col("vec_id").alias("at"), F.col("embedding").alias("vector"),
                             F.when(F.col("label") > 0, F.concat(F.lit("cause-"), "label")).alias("cause"))
-    near = A.recall_near(queries, memory, 3, NEAR_DIM, NEAR_TABLES, NEAR_BITS)
+    near = A.recall_near(queries, memory, 3, 64)
     return near.select("query_id", "case_id", "cause", F.round("cosine", 6).alias("cosine"), F.col("place").cast("bigint").alias("place"))
 
 

@@ -10,6 +10,7 @@ from driftline.functions.ordered import (
     SEG, last_known, last_rows, previous, running, running_max, running_min, running_sum, segment)
 from driftline.functions.quantile import quantiles
 from driftline.operators import attribution as A
+from driftline.operators import nearest
 from driftline.operators.normalize import window_names, window_summary
 from driftline.operators.paths import path_distance
 from pyspark.sql import functions as F
@@ -105,7 +106,7 @@ def test_near_cases_are_earlier_and_resolved(spark):
     df = spark.createDataFrame(rows, "id bigint, vector array<double>, cause string")
     queries = df.select(F.col("id").alias("query_id"), F.col("id").alias("at"), "vector")
     memory = df.select(F.col("id").alias("case_id"), F.col("id").alias("at"), "vector", "cause")
-    near = A.recall_near(queries, memory, 2, 16, tables=8, bits=4).collect()
+    near = A.recall_near(queries, memory, 2, 16).collect()
     assert all(r["case_id"] < r["query_id"] and r["cause"] for r in near)
     found = {(r["query_id"], r["case_id"]) for r in near}
     wanted = {(i, j) for i in range(160) for j in range(i - 40, -1, -40) if j % 3}
@@ -129,13 +130,32 @@ def test_nearest_cases_by_brute_force(spark, monkeypatch):
     for q in long:
         near = sorted((-round(float(vectors[q] @ vectors[c] / (length[q] * length[c])), 9), c) for c in long if rows[c][3] and rows[c][1] < rows[q][1])
         want |= {(q, c, rows[c][3], place) for place, (_, c) in enumerate(near[:3], 1)}
-    for size in (A.BLOCK_ROWS, 64):
-        monkeypatch.setattr(A, "BLOCK_ROWS", size)
+    for size in (nearest.CASE_ROWS, 32):
+        monkeypatch.setattr(nearest, "CASE_ROWS", size)
+        monkeypatch.setattr(nearest, "QUERY_ROWS", size)
         got = A.recall_near(queries, memory, 3, 16).collect()
         assert len(got) == len(want) and {(r["query_id"], r["case_id"], r["cause"], r["place"]) for r in got} == want
     assert A.recall_near(queries.limit(0), memory, 3, 16).count() == A.recall_near(queries, memory.limit(0), 3, 16).count() == 0
 
 
+def test_nearest_rules_out_blocks_and_pairs(spark, monkeypatch):
+    """Tight clusters, equal vectors, and one neighbourhood with most of the cases."""
+    monkeypatch.setattr(nearest, "CASE_ROWS", 32)
+    rnd = np.random.default_rng(11)
+    centres = rnd.normal(size=(12, 16))
+    vectors = np.concatenate([centres[i % 12] + rnd.normal(size=(1, 16)) * 0.05 for i in range(240)] + [centres[:1]] * 60 + [centres[:1] + rnd.normal(size=(1, 16)) * 0.02 for _ in range(300)])
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id bigint, vector array<double>")
+    queries = df.select(F.col("id").alias("query_id"), F.col("id").alias("at"), "vector")
+    memory = df.select(F.col("id").alias("case_id"), F.col("id").alias("at"), "vector", F.lit("c").alias("cause"))
+    seen = spark.sparkContext.accumulator(0)
+    got = {(r["query_id"], r["place"]): r["case_id"] for r in A.recall_near(queries, memory, 2, 16, seen).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    cosine = np.round(unit @ unit.T, 9)
+    want = {(q, p): c for q in range(1, 600) for p, c in enumerate(sorted(range(q), key=lambda c: (-cosine[q, c], c))[:2], 1)}
+    assert got == want
+    assert seen.value < 0.4 * 600 * 599 / 2
+
+
 def test_beyond_the_bound_nothing_is_hinted(spark):
     df = spark.range(50)
     assert sizing.is_small(df, max_rows=50) and not sizing.is_small(df, max_rows=49)
