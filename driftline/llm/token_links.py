@@ -28,9 +28,9 @@ from driftline.functions.sizing import store
 from driftline.llm.registry import query, ready, slices, table
 from driftline.llm.token_files import BLANKS, byte_letters
 
-BATCH_BYTES = 2 << 20           # of text that is handled at a time
+BATCH_BYTES = 1 << 20           # of text that is handled at a time
 FREQUENT = 1 << 18              # a pair is frequent with at least this part of all countings
-KNOWN_BYTES = 24 << 20          # of parts and what became of them, per worker; beyond it the worker starts anew
+KNOWN_BYTES = 32 << 20          # of parts and what became of them, per worker; beyond it those met least are dropped
 JOINED = 1 << 16                # letters of parts that go to the first tokenizer at a time
 LARGE = 4096                    # a group with more links is counted by distinct ids
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -68,50 +68,70 @@ class Aligner:
         self.size_a, self.size_b = (np.array([len(x) for x in y], np.int64) for y in (self.bytes_a, self.bytes_b))
         self.blank_a = np.array([x[:1] == b" " for x in self.bytes_a])
         self.text_a, self.text_b = ([str(i).encode() for i in range(len(y))] for y in (self.bytes_a, self.bytes_b))
-        self.forget()
+        self.clear()
 
-    def forget(self) -> None:
+    def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.groups: list[bytes | None] = []                # None: a tokenizer changed the part's bytes
         self.measures = np.empty((4, 0), np.int64)
         self.pair_end, self.pairs, self.links = np.zeros(1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.held = 0
+        self.used, self.weight = np.empty(0, np.int64), np.empty(0, np.int64)       # of each part: occurrences, and bytes it takes
 
-    def ids_a(self, parts: list[str]) -> list:
-        """Ids of each part. Parts that begin with their only blank are encoded joined: a token with a blank begins the next one."""
-        out: list = [None] * len(parts)
+    def forget(self) -> None:
+        """Keep the parts met most, up to half the bound."""
+        order = np.argsort(-self.used, kind="stable")
+        keep = np.sort(order[:int(np.searchsorted(np.cumsum(self.weight[order]), KNOWN_BYTES // 2))])
+        parts, groups = list(self.index), self.groups
+        sizes = (self.pair_end[1:] - self.pair_end[:-1])[keep]
+        at = runs_from(sizes, self.pair_end[keep])
+        self.index = {parts[k]: i for i, k in enumerate(keep.tolist())}
+        self.groups = [groups[k] for k in keep.tolist()]
+        self.measures, self.weight, self.used = self.measures[:, keep], self.weight[keep], self.used[keep] // 2
+        self.pair_end, self.pairs, self.links = np.r_[0, np.cumsum(sizes)], self.pairs[at], self.links[at]
+
+    def ids_a(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each part has, and all ids. Parts that begin with their only blank are encoded joined: a token with a blank begins the next one."""
         single = [k for k, p in enumerate(parts) if p.rfind(" ") == 0 and not p[-1].isspace()]
-        for at in range(0, len(single), 4096):
-            todo = [single[at:at + 4096]]
-            while todo:
-                own = todo.pop()
-                text = "".join([parts[k] for k in own])
-                if len(text) > JOINED and len(own) > 1:
-                    todo += [own[:len(own) // 2], own[len(own) // 2:]]
-                    continue
-                ids = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
-                begins = np.flatnonzero(self.blank_a[ids])
-                if len(begins) == len(own) and begins[0] == 0:
-                    for k, got in zip(own, np.split(ids, begins[1:])):
-                        out[k] = got
-        rest = [k for k, got in enumerate(out) if got is None]
+        order, counts, flat = [], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        rest = sorted(set(range(len(parts))).difference(single))
+        todo = [single[at:at + 4096] for at in range(0, len(single), 4096)]
+        while todo:
+            own = todo.pop()
+            text = "".join([parts[k] for k in own])
+            if len(text) > JOINED and len(own) > 1:
+                todo += [own[:len(own) // 2], own[len(own) // 2:]]
+                continue
+            ids = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+            begins = np.flatnonzero(self.blank_a[ids])
+            if len(begins) == len(own) and begins[0] == 0:
+                order += own
+                counts.append(np.diff(np.r_[begins, len(ids)]))
+                flat.append(ids)
+            else:
+                rest += own
         for k, e in zip(rest, self.a.encode_batch_fast([parts[k] for k in rest], add_special_tokens=False) if rest else ()):
-            out[k] = np.array(e.ids, np.int64)
-        return out
+            order.append(k)
+            counts.append(np.array([len(e.ids)]))
+            flat.append(np.array(e.ids, np.int64))
+        n, ids = np.concatenate(counts), np.concatenate(flat)
+        place = np.argsort(np.array(order, np.int64))
+        return n[place], ids[runs_from(n[place], (np.cumsum(n) - n)[place])]
 
     def learn(self, parts: list[str]) -> None:
         """Tokenise and align new parts, each of which begins with a blank."""
         raw = [p.encode() for p in parts]
         sizes = np.array([len(r) for r in raw], np.int64)
-        ids_a, ids_b = self.ids_a(parts), self.b.encode([p[1:] for p in parts], num_threads=1)
+        ids_b = self.b.encode([p[1:] for p in parts], num_threads=1)
+        n_b = np.fromiter(map(len, ids_b), np.int64, len(parts))
         good = np.ones(len(parts), bool)
-        sides = []
-        for ids, pieces in ((ids_a, self.bytes_a), (ids_b, self.bytes_b)):
-            counts = np.array([len(x) for x in ids], np.int64)
-            flat = np.concatenate([np.asarray(x, np.int64) for x in ids])
+        sides = [self.ids_a(parts), (n_b, np.fromiter(chain.from_iterable(ids_b), np.int64, int(n_b.sum())))]
+        for (n, flat), pieces, size in zip(sides, (self.bytes_a, self.bytes_b), (self.size_a, self.size_b)):
+            ends = np.cumsum(n)
+            length = np.r_[0, np.cumsum(size[flat])]
+            good &= length[ends] - length[ends - n] == sizes
             if b"".join([pieces[i] for i in flat.tolist()]) != b"".join(raw):
-                good &= [b"".join([pieces[i] for i in x]) == r for x, r in zip(ids, raw)]
-            sides.append((counts, flat))
+                ids = flat.tolist()
+                good &= [b"".join([pieces[i] for i in ids[e - k:e]]) == r for e, k, r in zip(ends.tolist(), n.tolist(), raw)]
         (n_a, a), (n_b, b) = ((np.where(good, n, 0), flat[np.repeat(good, n)]) for n, flat in sides)
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         ends = np.intersect1d(end_a, end_b, assume_unique=True)
@@ -147,8 +167,9 @@ class Aligner:
         for p, ok, to in zip(parts, good.tolist(), cuts):
             self.index[p] = len(self.groups)
             self.groups.append(b"".join(written[start:to])[:-1] if ok else None)
-            self.held += 2 * len(p) + 20 * (to - start) + 200
             start = to
+        self.used = np.r_[self.used, np.zeros(len(parts), np.int64)]
+        self.weight = np.r_[self.weight, 2 * sizes + 20 * (n_a + n_b) + 200]
         self.measures = np.concatenate([self.measures, np.stack([n_a, n_b, n_groups, n_links])], axis=1)
         self.pair_end = np.concatenate([self.pair_end, self.pair_end[-1] + np.cumsum(np.bincount(owner, minlength=len(parts)))])
         self.pairs, self.links = np.concatenate([self.pairs, code]), np.concatenate([self.links, weight])
@@ -168,6 +189,7 @@ class Aligner:
             self.learn(new)
         counts = np.array([len(p) for p in split], np.int64)
         flat = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        self.used += np.bincount(flat, minlength=len(self.used))
         owner = np.repeat(np.arange(len(texts)), counts)
         groups, start = [], 0
         for n in counts.tolist():
@@ -184,7 +206,7 @@ class Aligner:
         sizes = self.pair_end[part + 1] - self.pair_end[part]
         at = runs_from(sizes, self.pair_end[part])
         owner, code, links = summed(np.repeat(key // max(1, len(self.groups)), sizes), self.pairs[at], self.links[at] * np.repeat(times, sizes))
-        if self.held > KNOWN_BYTES:
+        if self.weight.sum() > KNOWN_BYTES:
             self.forget()
         return measures, groups, np.bincount(owner, minlength=len(texts)), code, links
 
@@ -228,7 +250,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()), part.column(1), *(pa.array(m) for m in measures),
                     pa.array(groups, pa.binary()).cast(pa.string()), *lists(sizes, pairs, links)], names=names)
-        tool.forget()
+        tool.clear()
 
     return distinct.mapInArrow(tag, T.StructType(COLUMNS))
 
