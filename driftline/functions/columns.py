@@ -27,23 +27,3 @@ def signature(*parts: Column | str) -> Column:
     """Key under which failures of one shape are found again."""
     cols = [F.col(p) if isinstance(p, str) else p for p in parts]
     return F.sha2(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols]), 256)
-
-
-def words(text: Column | str) -> Column:
-    """Whitespace-separated words of a text."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.array_remove(F.split(text, r"\s+"), "")
-
-
-def shingles(tokens: Column, k: int, kind: str) -> Column:
-    """Hashes of all runs of ``k`` tokens of one ``kind``, without repeats.
-
-    The tokens are hashed once each and bound by a lambda, else their expression would run
-    again for every run.
-    """
-    def runs(held: Column) -> Column:
-        last = F.size(held) - k + 1
-        hashes = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(held, i, k), F.lit(k), F.lit(kind)))
-        return F.when(last >= 1, F.array_distinct(hashes)).otherwise(F.array().cast("array<bigint>"))
-
-    return F.get(F.transform(F.array(F.transform(tokens, lambda w: F.xxhash64(w))), runs), 0)

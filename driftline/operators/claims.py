@@ -7,9 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.functions.columns import shingles, words
 from driftline.functions.ordered import SEG, carried, last_known, running, session_key
-from driftline.functions.sizing import settle, small_side, spread
+from driftline.operators.fingerprints import quoted
 
 
 def claims(df: DataFrame, names: list[str] | None = None, pattern: str | None = None,
@@ -104,45 +103,10 @@ def attach_evidence(findings: DataFrame, evidence: DataFrame) -> DataFrame:
     return seen.where("_turn = 1").withColumn("evidence", refs).drop("_turn", "_kind", *[f"_last_{k}" for k in kinds])
 
 
-def cites(texts: DataFrame, passages: DataFrame, text_id: str, passage_id: str, k: int = 8) -> DataFrame:
-    """Which texts hold which passages literally.
+def cites(texts: DataFrame, passages: DataFrame, text_id: str, passage_id: str) -> DataFrame:
+    """Which texts hold which passages literally, each pair of ids once.
 
-    Every passage is known by one run of up to ``k`` of its inner words (the first and last
-    may be cut out of longer words), the run fewest passages share; passages of one or two
-    words by a run of characters. A text can only hold a passage when it holds that run.
-    Candidates found by hash are confirmed on the whole text, and only they carry text on.
+    Texts are searched whole for the marks of the passages and confirmed; see ``fingerprints``. Null and empty
+    texts and passages hold and are nothing.
     """
-    known = passages.select(F.col(passage_id), F.col("text").alias("_passage")).where(F.length("_passage") > 0)
-    units = _units("_passage")
-    inner = F.slice(units["word"], 2, F.greatest(F.size(units["word"]) - 2, F.lit(0)))
-    picked = known.withColumn("_kind", F.when(F.size(inner) > 0, "word").otherwise("char")).withColumn(
-        "_units", F.when(F.col("_kind") == "word", inner).otherwise(units["char"]))
-    picked = picked.withColumn("_k", F.least(F.size("_units"), F.lit(k)))
-    held_runs = picked.select(passage_id, "_kind", "_k", F.explode(_passage_runs(k)).alias("_hash"))
-    shared = held_runs.groupBy("_hash").agg(F.count("*").alias("_n"))
-    anchors = settle(held_runs.join(shared, "_hash").groupBy(passage_id).agg(
-        F.min(F.struct("_n", "_hash", "_kind", "_k")).alias("_a")).select(passage_id, "_a._kind", "_a._k", "_a._hash"))
-    shapes = anchors.select("_kind", "_k").distinct().collect()  # at most 2 k of them
-
-    units = _units("text")
-    lists = [F.array().cast("array<bigint>")]
-    lists += [shingles(units[s["_kind"]], s["_k"], s["_kind"]) for s in sorted(shapes)]
-    held = spread(texts.select(text_id, "text")).select(text_id, F.explode(F.concat(*lists)).alias("_hash"))
-    found = held.join(small_side(anchors.select(passage_id, "_hash")), "_hash")
-    pairs = settle(found.select(text_id, passage_id).distinct())
-    # Few pairs are the rule: then the texts are not shuffled at all.
-    return (small_side(pairs).join(texts.select(text_id, "text"), text_id).join(known, passage_id)
-            .where(F.contains("text", "_passage")).select(text_id, passage_id))
-
-
-def _units(text: str) -> dict[str, Column]:
-    return {"word": words(text), "char": F.array_remove(F.split(F.col(text), ""), "")}
-
-
-def _passage_runs(most: int) -> Column:
-    """Runs of ``_k`` units, ``_k`` being a column of at most ``most``."""
-    out = F.array().cast("array<bigint>")
-    for kind in ("word", "char"):
-        for n in range(1, most + 1):
-            out = F.when((F.col("_k") == n) & (F.col("_kind") == kind), shingles(F.col("_units"), n, kind)).otherwise(out)
-    return out
+    return quoted(texts, passages, text_id, passage_id)

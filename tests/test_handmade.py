@@ -1,5 +1,6 @@
 """Small traces with known answers."""
 
+import random
 from datetime import timedelta
 
 import pytest
@@ -122,6 +123,33 @@ def test_citations(spark):
     assert found == want and want
 
 
+def test_citations_by_brute_force(spark, monkeypatch):
+    """Passages around the guarantee length, a hot one, equal rows, null and repeated ids, letters of several bytes, a filter that passes all."""
+    from driftline.operators import fingerprints
+    chance = random.Random(3)
+    letter = lambda: chance.choice("ab é\n")
+    quotes = ["".join(letter() for _ in range(n)) for n in (1, 2, 3, 8, 15, 16, 17, 30, 31, 32, 33, 34, 60, 200)] + ["a" * 40, "a" * 33, "the hot passage that very many of the texts hold"]
+    rows = []
+    for k in range(150):
+        filler = ["".join(letter() for _ in range(chance.randrange(0, 60))) for _ in range(3)]
+        rows.append((k // 2 if k % 9 else None, filler[0] + chance.choice(quotes) + filler[1] + (quotes[-1] if k % 3 == 0 else chance.choice(quotes)) + filler[2]))
+    texts = spark.createDataFrame(rows + rows[:10] + [(900, None), (901, "")], "t bigint, text string").repartition(3)
+    passages = spark.createDataFrame([*enumerate(quotes), (None, quotes[9]), (50, quotes[-1]), (51, None), (52, "")], "p bigint, text string")
+    want = {(t, p) for t, text in rows for p, quote in [*enumerate(quotes), (None, quotes[9]), (50, quotes[-1])] if quote in text}
+    for bits in (fingerprints.FILTER_BITS, 8):
+        monkeypatch.setattr(fingerprints, "FILTER_BITS", bits)
+        found = [tuple(r) for r in V.cites(texts, passages, "t", "p").collect()]
+        assert len(found) == len(want) and set(found) == want
+
+
+def test_few_marks_pass_the_filter(spark):
+    from driftline.operators import fingerprints
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    anchors = fingerprints.anchored(spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet"), "item_id")
+    marks = fingerprints.candidates(docs, anchors, "doc_id").selectExpr("sum(size(_marks))").first()[0]
+    assert 26 <= marks <= 3 * 26
+
+
 def test_gate_at_the_symptom(spark):
     df = trace(spark, {"a": ["signup", "click", "error"]})
     critical = A.critical_step(C.skipped_steps(df, ORDINALS), B.symptoms(df))
