@@ -53,10 +53,6 @@ def least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:len(x) - (width - step)], x[width - step:]) if width > step else x
 
 
-def slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(40)) % np.uint64(FILTER_BITS)
-
-
 def marks(raw: bytes) -> tuple[int, list[int]]:
     """What a passage may be known by: its length if it is short (else 0), and hashes that every text holding it has."""
     found = Hashes(np.frombuffer(raw, np.uint8))
@@ -120,7 +116,7 @@ def candidates(texts: DataFrame, anchors: DataFrame, text_id: str) -> DataFrame:
                 new = np.r_[True, found[1:] != found[:-1]] if not length else np.ones(len(found), bool)
                 new[np.minimum(ends[:-1], len(found) - 1)] = True                       # a text's first window speaks for itself
                 at = np.flatnonzero(new)
-                s = slot(found[at])
+                s = (found[at] >> np.uint64(40)) % np.uint64(8 * len(known))
                 at = at[known[s >> np.uint64(3)] >> (s & np.uint64(7)).astype(np.uint8) & 1 == 1]
                 at = at[at + width <= ends[owner[at]]]                                  # within one text
                 for i, h in zip(owner[at].tolist(), found[at].view(np.int64).tolist()):
