@@ -8,7 +8,7 @@ word's share of its leaf is add-one smoothed, with one unseen word in each leaf
 
 Training: in each of ``ROUNDS`` rounds every task goes once through its share of the training texts from common weights, by gradient steps over
 ``CHUNK`` tokens, and gives back the rows it changed; rows are averaged by how often each task met them. All training texts take part, each in
-one round. Only the weights (2**16 rows of 32) and the frequent words reach the driver. Counts of other words stay a table and are joined; none is a hot key.
+one round. Only the weights (2**16 rows of 20) and the frequent words reach the driver. Counts of other words stay a table and are joined; none is a hot key.
 """
 
 from __future__ import annotations
@@ -29,12 +29,12 @@ from driftline.functions.sizing import store
 from driftline.llm.languages import in_fold
 from driftline.llm.registry import query, ready, shielded, slices, table, widened
 
-SIDE = 32                       # classes, and leaves in each
-COMMON_LEAVES, RARE_LEAVES = 768, 256
+SIDE = 20                       # classes, and leaves in each
+COMMON_LEAVES, RARE_LEAVES = 300, 100
 FREQUENT = 1 << 17              # a word is frequent with at least this part of all tokens
 ROWS = 1 << 16                  # of hashed weights
 ROUNDS = 2
-CHUNK = 4096                    # tokens of a gradient step
+CHUNK = 8192                    # tokens of a gradient step
 RATE = 0.7
 TASK_TOKENS = 4_000_000         # a training task sees about so many tokens at least, if there are more tasks than cores
 BLOCK = 256                     # rows of weights that travel together
@@ -68,7 +68,7 @@ class Vocabulary:
         return np.maximum(logs, -60).astype(np.float32)
 
     def encode(self, texts: list[bytes | None]):
-        """Of all texts one after the other: context numbers and leaves of their tokens, and counts. Per text: tokens, frequent ones, their log counts, other words."""
+        """Of all texts one after the other: context numbers and leaves of their tokens; how many tokens each text has; and, for ``known``, all words."""
         flat, sizes = [], []
         for t in texts:
             words = t.lower().split() if t else []      # bytes: A-Z only, the six ASCII blanks
@@ -83,15 +83,19 @@ class Vocabulary:
         rare = np.flatnonzero(~known).tolist()
         forms = np.array([form(flat[k]) for k in rare], np.int64)
         leaf[~known] = COMMON_LEAVES + forms
-        seen = np.zeros(len(ids))
-        seen[known] = self.seen[ids[known]]
+        numbers, ids = ids, np.where(known, ids, 0)
         ids[~known] = len(self.number) + forms
-        ends = np.cumsum(sizes)
-        sums = lambda x: np.concatenate([[0], np.cumsum(x)])
-        per = lambda x: (c := sums(x))[ends] - c[ends - sizes]
-        cuts = np.searchsorted(rare, ends)
-        others = [Counter(flat[k] for k in rare[a:b]) for a, b in zip(np.r_[0, cuts[:-1]].tolist(), cuts.tolist())]
-        return ids, leaf, sizes, per(known.astype(np.int64)), np.array([seen[e - n:e].sum() for e, n in zip(ends.tolist(), sizes.tolist())]), others
+        return ids, leaf, sizes, (flat, numbers, rare)
+
+    def known(self, sizes: np.ndarray, words: tuple):
+        """Of each text: how many tokens are frequent, their log counts, and the other words with their counts."""
+        flat, numbers, rare = words
+        first = np.cumsum(sizes) - sizes
+        hit = numbers >= 0
+        seen = np.where(hit, self.seen[np.maximum(numbers, 0)] if len(self.seen) else 0.0, 0.0)
+        cuts = np.searchsorted(rare, np.r_[first, len(flat)]).tolist()
+        others = [Counter([flat[k] for k in rare[a:b]]) for a, b in zip(cuts, cuts[1:])]
+        return np.add.reduceat(hit.astype(np.int64), first), np.add.reduceat(seen, first), others
 
     def contexts(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number of the token before each token, and of the one before that; texts begin with numbers of their own."""
@@ -139,7 +143,8 @@ class Learner:
         flat = rows.ravel()
         order = np.argsort(flat, kind="stable")
         first = np.flatnonzero(np.r_[True, np.diff(flat[order].astype(np.int32)) != 0])
-        return flat[order[first]], np.add.reduceat(slope[order // rows.shape[1]], first, axis=0), np.diff(np.r_[first, len(flat)])
+        pairs = slope[order // rows.shape[1]].view(np.result_type(slope.dtype, np.complex64))      # columns two by two: half the steps
+        return flat[order[first]], np.add.reduceat(pairs, first, axis=0).view(slope.dtype), np.diff(np.r_[first, len(flat)])
 
     def step(self, rows: np.ndarray, level: np.ndarray, target: np.ndarray, rate: float = RATE) -> None:
         touched, slope, times = self.gradient(rows, level, target)
@@ -211,7 +216,7 @@ def one_round(docs: DataFrame, words, weights: np.ndarray, squares: np.ndarray)
         own = Learner(*(x.copy() for x in common.value), words.value.offsets())
         for batch in batches:
             for part in slices(batch, 0, BATCH_BYTES):
-                ids, leaf, sizes, *_ = words.value.encode(part.column(0).to_pylist())
+                ids, leaf, sizes, _ = words.value.encode(part.column(0).to_pylist())
                 own.learn(*words.value.contexts(ids, sizes), leaf)
         for at in range(0, ROWS, BLOCK):
             rows = slice(at, at + BLOCK)
@@ -282,12 +287,12 @@ def score(docs: DataFrame, words: Vocabulary, weights: np.ndarray, counts: DataF
         logs = np.log10(np.maximum(known.total, 1))
         for batch in batches:
             for part in slices(batch, batch.num_columns - 1, BATCH_BYTES):
-                ids, leaf, sizes, n_known, seen, others = known.encode(part.column(part.num_columns - 1).to_pylist())
+                ids, leaf, sizes, own_words = known.encode(part.column(part.num_columns - 1).to_pylist())
+                n_known, seen, others = known.known(sizes, own_words)
                 value = own.score(*known.contexts(ids, sizes), leaf) - logs[leaf]
-                ends = np.cumsum(sizes).tolist()
-                sums = [value[e - n:e].sum() for e, n in zip(ends, sizes.tolist())]
+                sums = np.add.reduceat(value, np.cumsum(sizes) - sizes)
                 yield pa.RecordBatch.from_arrays([
-                    *part.columns[:-1], pa.array(np.arange(row, row + part.num_rows)), pa.array(sizes), pa.array(n_known), pa.array(seen), pa.array(np.array(sums, float)),
+                    *part.columns[:-1], pa.array(np.arange(row, row + part.num_rows)), pa.array(sizes), pa.array(n_known), pa.array(seen), pa.array(sums),
                     pa.array([list(o) for o in others], pa.list_(pa.binary())), pa.array([list(o.values()) for o in others], pa.list_(pa.int64()))], names=schema.names)
                 row += part.num_rows
 

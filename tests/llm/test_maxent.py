@@ -66,7 +66,8 @@ def test_gradient_is_the_slope_of_the_loss():
 
 def test_contexts_begin_with_each_text():
     _, words = small_vocabulary()
-    ids, leaf, sizes, known, seen, others = words.encode([b"The cat\x0bSAT", None, b"dog \xc3\x89 dog"])
+    ids, leaf, sizes, own = words.encode([b"The cat\x0bSAT", None, b"dog \xc3\x89 dog"])
+    known, seen, others = words.known(sizes, own)
     start = len(words.number) + maxent.RARE_LEAVES
     one, two = words.contexts(ids, sizes)
     assert sizes.tolist() == [4, 1, 4] and known.tolist() == [4, 1, 1]
