@@ -57,9 +57,9 @@ def has_skill(df: DataFrame) -> Column:
 
 
 def ruled(rows: DataFrame, spec: DataFrame) -> DataFrame:
-    """Rows with what their stage asks for: required fields, ranges, and the stages it may follow.
+    """Rows with what their stage asks for: required fields, ranges, the stages it may follow, and out of which stages moves are ruled at all.
 
-    Rules of a skill hold for its rows, rules without one for all. Each set travels as one row per stage.
+    Rules of a skill hold for its rows, rules without one for all. Each set travels as one row per stage, the last one as one row per skill.
     """
     kind = F.col("rule_kind")
     rules = spec.where(kind.isin("required_field", "range", "transition")).groupBy(
@@ -68,6 +68,10 @@ def ruled(rows: DataFrame, spec: DataFrame) -> DataFrame:
         F.collect_set(F.when(kind == "range", F.struct("rule_id", "lo", "hi"))).alias("ranges"),
         F.collect_set(F.when(kind == "transition", F.col("before"))).alias("allowed"))
     rules = small_side(rules)
+    ways = spec.where(kind == "transition")
+    ruled_from = F.collect_set("before").alias("from")
+    # One row, also without such rules.
+    rows = rows.join(F.broadcast(ways.where("skill IS NULL").agg(ruled_from).select(F.struct("from").alias("_from_all"))))
     asked = F.struct("required", "ranges", "allowed")
     rows = rows.join(rules.where("_skill IS NULL").select("_stage", asked.alias("_for_all")), F.col("stage") == F.col("_stage"), "left").drop("_stage")
     parts = ["_for_all"]
@@ -75,14 +79,17 @@ def ruled(rows: DataFrame, spec: DataFrame) -> DataFrame:
         own = rules.where("_skill IS NOT NULL").select("_skill", "_stage", asked.alias("_own"))
         rows = rows.join(own, (F.col("stage") == F.col("_stage")) & (F.col("skill") == F.col("_skill")), "left").drop("_stage", "_skill")
         parts.append("_own")
+        own_ways = small_side(ways.where("skill IS NOT NULL").groupBy(F.col("skill").alias("_skill")).agg(ruled_from).select("_skill", F.struct("from").alias("_from_own")))
+        rows = rows.join(own_ways, F.col("skill") == F.col("_skill"), "left").drop("_skill")
 
-    def put_together(name: str, kind: str) -> Column:
+    def put_together(name: str, kind: str, parts: list[str] = parts) -> Column:
         return F.array_distinct(F.concat(*[F.coalesce(f"{p}.{name}", F.array().cast(kind)) for p in parts]))
 
     return rows.withColumns({
         "_required": F.array_sort(put_together("required", "array<string>")),
         "_ranges": put_together("ranges", "array<struct<rule_id:string,lo:double,hi:double>>"),
-        "_allowed": put_together("allowed", "array<string>")})
+        "_allowed": put_together("allowed", "array<string>"),
+        "_ruled_from": put_together("from", "array<string>", [c for c in ("_from_all", "_from_own") if c in rows.columns])})
 
 
 def _scan(df: DataFrame, checks: list[RowCheck], spec: DataFrame | None = None) -> DataFrame:
@@ -123,7 +130,8 @@ def _check_range() -> RowCheck:
 def _check_transition() -> RowCheck:
     before = F.col("_before")
     known = F.coalesce(F.array_contains("_allowed", before), F.lit(False))
-    return RowCheck(_one(before.isNotNull() & ~known, "protocol", before, F.col("stage")), ruled=True,
+    spoken_of = F.array_contains("_ruled_from", before)         # no rule out of a stage: every way out is open
+    return RowCheck(_one(before.isNotNull() & spoken_of & ~known, "protocol", before, F.col("stage")), ruled=True,
                     runs={"_before": previous("stage")})
 
 
@@ -163,7 +171,7 @@ def state_violations(df: DataFrame, spec: DataFrame) -> DataFrame:
 
 
 def protocol_violations(df: DataFrame, spec: DataFrame) -> DataFrame:
-    """Transitions that are not among the allowed ones."""
+    """Transitions that are not among the allowed ones, out of stages for which the row's skill, or all, have transition rules."""
     return _scan(df, [_check_transition()], spec)
 
 

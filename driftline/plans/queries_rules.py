@@ -160,7 +160,7 @@ def c6_state_violations(spark, sf_dir):
 
 PROTOCOL = """
 SELECT session_id, step_id, step, name AS stage, concat('protocol:', before, ':', name) AS rule_id, 0.2::DOUBLE AS severity
-FROM trace WHERE before IS NOT NULL
+FROM trace WHERE before IN (SELECT before FROM shares WHERE support >= 0.2)
 AND (before, name) NOT IN (SELECT (before, stage) FROM shares WHERE support >= 0.2)"""
 
 
@@ -188,7 +188,7 @@ every AS (
   UNION ALL {PRECEDENCE}
   UNION ALL {OUT_OF_RANGE}
   UNION ALL SELECT session_id, step_id, step, name, concat('protocol:', before, ':', name), 0.2::DOUBLE FROM trace
-    WHERE before IS NOT NULL AND (before, name) NOT IN (SELECT (before, stage) FROM shares WHERE support >= 0.5)
+    WHERE before IN (SELECT before FROM shares WHERE support >= 0.5) AND (before, name) NOT IN (SELECT (before, stage) FROM shares WHERE support >= 0.5)
   UNION ALL {BAD_TYPE}
   UNION ALL SELECT session_id, NULL, NULL, stage, concat('missing_stage:', stage), 0.5::DOUBLE
     FROM (SELECT DISTINCT session_id FROM trace), (SELECT stage FROM mandatory WHERE support >= 0.5)
@@ -235,6 +235,22 @@ def c9_skill_rules(spark, sf_dir):
     return found.select("session_id", F.col("step").cast("bigint").alias("step"), "rule_id", "skill")
 
 
+# Transition rules of one skill out of two of its stages, and for all out of a third.
+WAYS = [("cheap", "a", "transition", "click", "view"), ("cheap", "b", "transition", "error", "view"), ("cheap", "c", "transition", "signup", "signup"),
+        (None, "d", "transition", "purchase", "click")]
+
+
+@query(f"""WITH {TRACE}, t AS (SELECT *, CASE WHEN value <= 100 THEN 'cheap' ELSE 'dear' END AS skill FROM trace)
+SELECT session_id, step_id, skill, concat('protocol:', before, ':', name) AS rule_id FROM t
+WHERE (skill = 'cheap' AND before = 'view' AND name NOT IN ('click', 'error')) OR (skill = 'cheap' AND before = 'signup' AND name <> 'signup')
+   OR (before = 'click' AND name <> 'purchase')""")
+def c7_skill_ways(spark, sf_dir):
+    """Moves are asked only where their skill, or all, have a rule for them."""
+    trace = S.event_trace(spark, sf_dir).withColumn("skill", F.when(F.col("value") <= 100, "cheap").otherwise("dear"))
+    rules = spark.createDataFrame([(*w, None, None, None) for w in WAYS], "skill string, rule_id string, rule_kind string, stage string, before string, field string, lo double, hi double")
+    return C.protocol_violations(trace, rules).select("session_id", "step_id", "skill", "rule_id")
+
+
 @query(f"""WITH {TRACE},
 cut AS (SELECT *, max(ord) OVER w AS peak_here, lag(name) OVER (PARTITION BY session_id, signups ORDER BY step) AS before_here
         FROM trace WHERE signups > 0
@@ -244,7 +260,7 @@ shares AS (SELECT before, stage, n / sum(n) OVER (PARTITION BY before) AS suppor
 SELECT session_id, signups AS window_id, step_id, concat('skipped_step:', name) AS rule_id FROM cut WHERE ord > coalesce(peak_here, 0) + 1
 UNION ALL SELECT session_id, signups, step_id, concat('wrong_order:', name) FROM cut WHERE ord < peak_here
 UNION ALL SELECT session_id, signups, step_id, concat('protocol:', before_here, ':', name) FROM cut
-WHERE before_here IS NOT NULL AND (before_here, name) NOT IN (SELECT (before, stage) FROM shares WHERE support >= 0.25)""")
+WHERE before_here IN (SELECT before FROM shares WHERE support >= 0.25) AND (before_here, name) NOT IN (SELECT (before, stage) FROM shares WHERE support >= 0.25)""")
 def c9_debug_windows(spark, sf_dir):
     cut = N.skill_windows(store(S.event_trace(spark, sf_dir)), F.col("name") == "signup")
     spec = settle(P.mine_transitions(cut, 0.25))
