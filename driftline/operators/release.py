@@ -78,9 +78,16 @@ def release_gate(base: DataFrame, cand: DataFrame, floors: dict[str, float]) ->
 
 
 def case_diff(base: DataFrame, cand: DataFrame) -> DataFrame:
-    """Cases that regressed, got fixed, are new or are gone between two versions."""
+    """Cases that changed between two versions.
+
+    ``new`` and ``gone``: only one version holds the case. ``regressed`` and ``fixed``: both decided it, differently. ``undecided``: it
+    passed before and the candidate left it open, which the gate counts as a regression too. ``reopened``: it failed before and is open now;
+    ``settled``: it was open before and is decided now.
+    """
+    was, now = F.col("_was"), F.col("_now")
     change = (F.when(F.col("_in_base").isNull(), "new").when(F.col("_in_cand").isNull(), "gone")
-              .when(F.col("_was") & ~F.col("_now"), "regressed").when(~F.col("_was") & F.col("_now"), "fixed"))
+              .when(was & ~now, "regressed").when(~was & now, "fixed")
+              .when(was & now.isNull(), "undecided").when(~was & now.isNull(), "reopened").when(was.isNull() & now.isNotNull(), "settled"))
     return _paired(base, cand).select("case_id", change.alias("change")).where("change is not null")
 
 

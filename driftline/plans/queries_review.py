@@ -170,7 +170,7 @@ results AS (SELECT CAST(user_id AS VARCHAR) AS case_id, strftime(date_trunc('wee
               avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END) <= 0.2 AS passed, avg(value) AS score FROM events GROUP BY 1, 2),
 base AS (SELECT * FROM results WHERE version = '2024-01-08'),
 cand AS (SELECT * FROM results WHERE version = '2024-01-15'),
-paired AS (SELECT b.case_id AS b_id, c.case_id AS c_id, b.passed AS was, c.passed AS now, c.score
+paired AS (SELECT b.case_id AS b_id, c.case_id AS c_id, b.passed AS was, c.passed AS now, c.score, b.score AS b_score
            FROM base b FULL JOIN cand c ON b.case_id = c.case_id)"""
 
 
@@ -228,6 +228,18 @@ def e6_case_diff(spark, sf_dir):
     return E.case_diff(*two_rounds(spark, sf_dir))
 
 
+@query(f"""WITH {RESULTS},
+open_ AS (SELECT b_id, c_id, CASE WHEN b_score % 7 < 5 THEN was END AS was, CASE WHEN score <= 50 THEN now END AS now FROM paired)
+SELECT coalesce(b_id, c_id) AS case_id, CASE WHEN b_id IS NULL THEN 'new' WHEN c_id IS NULL THEN 'gone' WHEN was AND NOT now THEN 'regressed'
+  WHEN NOT was AND now THEN 'fixed' WHEN was THEN 'undecided' WHEN NOT was THEN 'reopened' ELSE 'settled' END AS change
+FROM open_ WHERE b_id IS NULL OR c_id IS NULL OR was IS DISTINCT FROM now""")
+def e6_case_diff_undecided(spark, sf_dir):
+    """Both versions leave some cases open."""
+    base, cand = two_rounds(spark, sf_dir)
+    return E.case_diff(base.withColumn("passed", F.when(F.col("score") % 7 < 5, F.col("passed"))),
+                       cand.withColumn("passed", F.when(F.col("score") <= 50, F.col("passed"))))
+
+
 @query(f"""WITH {RESULTS},
 rates AS (SELECT version, avg(passed::INT) AS pass_rate, avg(score) AS score FROM results GROUP BY 1)
 SELECT version, round(pass_rate, 6) AS pass_rate FROM rates WHERE pass_rate >= 0.5 AND score >= 40""")

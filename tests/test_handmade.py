@@ -279,3 +279,22 @@ def test_empty_trace(spark):
     assert spec.count() == 0
     assert C.debug_windows(df, spec, ORDINALS).count() == 0
     assert G.trajectory_anomaly(df).count() == 0
+
+
+def test_moves_are_ruled_only_where_rules_speak(spark):
+    df = trace(spark, {"a": ["signup", "view", "click"], "b": ["signup", "click", "view"]}).withColumn("skill", F.when(F.col("session_id") == "a", "A").otherwise("B"))
+    rules = "skill string, rule_id string, rule_kind string, stage string, before string, field string, lo double, hi double"
+    one = spark.createDataFrame([("A", "r", "transition", "click", "signup", None, None, None)], rules)
+    assert [(r["session_id"], r["rule_id"]) for r in C.protocol_violations(df, one).collect()] == [("a", "protocol:signup:view")]
+    none = spark.createDataFrame([("A", "r", "range", "view", None, None, 0.0, 1e9)], rules)
+    assert C.protocol_violations(df, none).count() == C.protocol_violations(df, one.limit(0)).count() == 0
+
+
+def test_cases_left_open_are_told(spark):
+    rows = lambda got: spark.createDataFrame([(k, v, 1.0) for k, v in got.items()], "case_id string, passed boolean, score double")
+    base = rows({"a": True, "b": True, "c": False, "d": None, "e": None, "f": True, "g": False})
+    cand = rows({"a": False, "b": None, "c": None, "d": True, "e": None, "f": True, "h": True})
+    found = {r["case_id"]: r["change"] for r in E.case_diff(base, cand).collect()}
+    assert found == {"a": "regressed", "b": "undecided", "c": "reopened", "d": "settled", "g": "gone", "h": "new"}
+    gate = E.release_gate(base, cand, {}).first()
+    assert gate["regressions"] == sum(v in ("regressed", "undecided") for v in found.values())
