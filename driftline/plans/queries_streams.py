@@ -114,12 +114,15 @@ def t7_stream_late(spark, sf_dir):
     return told.agg(F.sum("n_rows").alias("n_rows"), F.sum("late").alias("late"), F.lit(kept).cast("bigint").alias("kept"))
 
 
-@query(f"""WITH {DRIFT},
+JUDGED = f"""WITH {DRIFT},
 moves AS (SELECT before, name AS stage, count(*) AS n FROM trace WHERE before IS NOT NULL GROUP BY 1, 2),
 shares AS (SELECT before, stage, n / sum(n) OVER (PARTITION BY before) AS support FROM moves)
 SELECT session_id, step_id, rule_id FROM drift
 UNION ALL SELECT session_id, step_id, concat('protocol:', before, ':', name) FROM trace
-WHERE before IS NOT NULL AND (before, name) NOT IN (SELECT (before, stage) FROM shares WHERE support >= 0.2)""")
+WHERE before IN (SELECT before FROM shares WHERE support >= 0.2) AND (before, name) NOT IN (SELECT (before, stage) FROM shares WHERE support >= 0.2)"""
+
+
+@query(JUDGED)
 def t8_stream_judge(spark, sf_dir):
     """Reports of complete sessions, two files a batch, judged by given rules as they arrive."""
     trace = store(S.event_trace(spark, sf_dir))
@@ -129,3 +132,19 @@ def t8_stream_judge(spark, sf_dir):
     arrivals = spark.readStream.schema(trace.schema).option("maxFilesPerTrigger", 2).parquet(folder)
     base = T.judge_arrivals(arrivals, lambda rows: C.debug_windows(rows, spec, S.ORDINALS), "judge")
     return T.judged(spark, base).select("session_id", "step_id", "rule_id")
+
+
+@query(JUDGED)
+def t1_resent_reports(spark, sf_dir):
+    """Half of the sessions are first reported in part; whole reports follow, some twice, and then the partial ones come again."""
+    trace = store(S.event_trace(spark, sf_dir))
+    spec = settle(P.mine_transitions(trace, 0.2))
+    grown = F.pmod(F.crc32("session_id"), F.lit(2)) == 0
+    part = trace.where(grown & (F.col("step") <= 3)).withColumn("report", F.lit(1))
+    whole = trace.withColumn("report", F.lit(2))
+    folder = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
+    for sent in (part.unionByName(whole.where(~grown)), whole.where(grown), whole.where(F.pmod(F.crc32("session_id"), F.lit(3)) == 0), part):
+        sent.coalesce(1).write.mode("append").parquet(folder)
+    arrivals = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    base = T.upsert_reports(arrivals, lambda rows: C.debug_windows(rows, spec, S.ORDINALS), "upsert", buckets=8)
+    return T.current(spark, base).select("session_id", "step_id", "rule_id")

@@ -6,13 +6,12 @@ import threading
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from driftline.functions.columns import ordinal_of
-from driftline.functions.shipping import ship
-from driftline.functions.sizing import shared_dir
+from driftline.functions.sizing import settle, shared_dir, small_side, store
 from driftline.session import SETTINGS
 from driftline.sources import schemas
 
@@ -80,17 +79,22 @@ def stream_skips(df: DataFrame, ordinals: dict[str, int], delay: str, forget: st
 
     Sessions are cut off by the caller through ``session_id``. Rows wait until the watermark has passed them and are then taken in
     time order, so it does not matter which batch brings them. A session without rows for ``forget`` starts
-    anew. Only time, id and place reach Python.
+    anew. Only time, id and place reach Python. Rows without time or session have no place in an order and are left out; steps without an id
+    count, and come first of equal times.
     """
-    from driftline.streaming.skips import SkipProcessor
+    from pyspark import cloudpickle
 
-    ship(df.sparkSession)
+    from driftline.streaming import skips
+
+    cloudpickle.register_pickle_by_value(skips)     # the runner of a stream's state does not see shipped files
     forget_ms = _micros(df.sparkSession, forget) // 1000
-    placed = df.withWatermark("ts", delay).select(
-        "session_id", "ts", F.unix_micros("ts").alias("us"), "step_id", "stage", ordinal_of("stage", ordinals).cast("int").alias("place"))
-    return placed.where("place is not null").groupBy("session_id").transformWithStateInPandas(
-        statefulProcessor=SkipProcessor(forget_ms), outputStructType="session_id string, step_id bigint, stage string, reached int",
+    placed = df.where("ts is not null and session_id is not null").withWatermark("ts", delay).select(
+        "session_id", "ts", F.unix_micros("ts").alias("us"), F.coalesce("step_id", F.lit(skips.UNNUMBERED)).alias("step_id"), "stage",
+        ordinal_of("stage", ordinals).cast("int").alias("place"))
+    found = placed.where("place is not null").groupBy("session_id").transformWithStateInPandas(
+        statefulProcessor=skips.SkipProcessor(forget_ms), outputStructType="session_id string, step_id bigint, stage string, reached int",
         outputMode="Append", timeMode="EventTime")
+    return found.withColumn("step_id", F.when(F.col("step_id") != skips.UNNUMBERED, F.col("step_id")))
 
 
 def judge_arrivals(sessions: DataFrame, judge: Callable[[DataFrame], DataFrame], name: str, base: str | None = None) -> str:
@@ -115,6 +119,67 @@ def judged(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(f"{base}/rows")
 
 
+def upsert_reports(reports: DataFrame, judge: Callable[[DataFrame], DataFrame], name: str, version: str = "report", buckets: int = 64,
+                   base: str | None = None, forget: str | None = None) -> str:
+    """Judge reports that may be sent again, grown, or out of turn; gives the folder of the stream.
+
+    A session's findings are those of its report of greatest ``version``: a newer report replaces all that an older one
+    left, an equal or older one changes nothing. Sessions and findings lie by session bucket in two tables, and a batch rewrites only the buckets it
+    touches, so a batch that is run again after a failure ends the same. A report's rows come in one batch; rows of a step that it holds twice count once. With ``forget``,
+    sessions whose last row lies so far behind the latest of all in their bucket leave both tables. Read it with ``current``.
+    """
+    spark = reports.sparkSession
+    base = base or f"{shared_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
+    bucket = F.pmod(F.xxhash64("session_id"), F.lit(buckets)).cast("int").alias("_bucket")
+    key = ["session_id"]
+
+    def stored(part: str, like: DataFrame, touched: list[int]) -> DataFrame:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{part}")
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            return like.limit(0)
+        return spark.read.schema(like.schema).parquet(f"{base}/{part}").where(F.col("_bucket").isin(touched))
+
+    def replace(rows: DataFrame, part: str) -> None:
+        store(rows).write.partitionBy("_bucket").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{base}/{part}")
+
+    def one(rows: DataFrame, batch: int) -> None:
+        sent = settle(rows.groupBy(*key).agg(F.max(version).alias("_version"), F.max("ts").alias("_last")).withColumn("_bucket", bucket))
+        touched = sorted(r[0] for r in sent.select("_bucket").distinct().collect())     # `buckets` of them at most
+        if not touched:
+            return
+        sessions = store(stored("sessions", sent, touched))
+        was = sessions.select(F.col("session_id").alias("_s"), F.col("_version").alias("_known"))
+        newer = settle(sent.join(was, F.col("session_id").eqNullSafe(F.col("_s")), "left").where("_known is null or _version > _known").select(*sent.columns))
+        one_each = small_side(newer.select(F.col("session_id").alias("_s"), F.col("_version").alias("_v")))
+        own = rows.join(one_each, F.col("session_id").eqNullSafe(F.col("_s")) & (F.col(version) == F.col("_v")), "left_semi").drop(version)
+        found = judge(own.dropDuplicates(["session_id", "step_id"])).withColumn("_bucket", bucket)
+        versions = newer.select(F.col("session_id").alias("_s"), "_version")
+        found = store(found.join(versions, F.col("session_id").eqNullSafe(F.col("_s"))).drop("_s"))
+        rest = sessions.join(newer.select(F.col("session_id").alias("_s")), F.col("session_id").eqNullSafe(F.col("_s")), "left_anti")
+        kept = rest.unionByName(newer)
+        if forget:
+            late = F.max("_last").over(Window.partitionBy("_bucket")) - F.expr(f"interval {forget}")
+            kept = kept.withColumn("_late", late).where(F.col("_last").isNull() | (F.col("_last") >= F.col("_late"))).drop("_late")
+        kept = settle(kept)
+        old = stored("findings", found, touched).join(newer.select(F.col("session_id").alias("_s")), F.col("session_id").eqNullSafe(F.col("_s")), "left_anti")
+        alive = kept.select(F.col("session_id").alias("_s"))
+        replace(old.unionByName(found).join(alive, F.col("session_id").eqNullSafe(F.col("_s")), "left_semi"), "findings")
+        replace(kept, "sessions")
+
+    query = (reports.writeStream.foreachBatch(one).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return base
+
+
+def current(spark: SparkSession, base: str) -> DataFrame:
+    """Findings of each session's newest report, with its version."""
+    sessions = spark.read.parquet(f"{base}/sessions").select(F.col("session_id").alias("_s"), F.col("_version").alias("_v"))
+    found = spark.read.parquet(f"{base}/findings")
+    # A bucket that lost its last finding keeps the old file: its rows are of a version no longer known.
+    same = F.col("session_id").eqNullSafe(F.col("_s")) & (F.col("_version") == F.col("_v"))
+    return found.join(sessions, same, "left_semi").drop("_bucket").withColumnRenamed("_version", "report")
+
+
 class Batches(StreamingQueryListener):
     """Rows read and rows dropped as too late of every batch of a run, however many there are."""
 

@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
+UNNUMBERED = -(1 << 63)         # stands for a null id, which state and frames could not hold as a number
+
+
 class SkipProcessor(StatefulProcessor):
     """Holds a session's rows until the watermark has passed them, then takes them in time order.
 

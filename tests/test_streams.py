@@ -1,8 +1,13 @@
 """Streams give what the batch operators give for the rows that are settled."""
 
+import os
 import random
+import shutil
+import subprocess
+import sys
 import uuid
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from driftline.functions.sizing import shared_dir
@@ -94,3 +99,57 @@ def test_sessions_equal_batch_once_closed(spark):
 def test_late_rows_are_dropped_and_counted(spark):
     out = Q.t7_stream_late(spark, SF).first()
     assert out["late"] > 0 and out["kept"] + out["late"] == out["n_rows"] == 1000
+
+
+SKIPS_ELSEWHERE = """
+import sys
+sys.path.insert(0, {root!r})
+from driftline.session import local_session
+from driftline.streaming import feeds
+spark = local_session(2, shuffle_partitions=2)
+rows = "ts timestamp, session_id string, step_id bigint, stage string"
+at = lambda m: f"2024-01-01 10:{{m:02d}}:00"
+given = [(at(0), "a", 1, "signup"), (at(1), "a", None, "click"), (None, "a", 7, "purchase"), (at(2), None, 8, "purchase"), (at(3), "a", 9, "click"), ("2024-03-01 00:00:00", "z", 10, "signup")]
+spark.createDataFrame(given, "ts string, session_id string, step_id bigint, stage string").selectExpr("cast(ts as timestamp) ts", "session_id", "step_id", "stage").coalesce(1).write.parquet({folder!r})
+got = feeds.result_of(feeds.stream_skips(feeds.stream_trace(spark, {folder!r}, rows), {{"signup": 1, "view": 2, "click": 3, "purchase": 4}}, "1 hour"), "skips")
+print("GOT", sorted(map(tuple, got.collect()), key=str))
+"""
+
+
+def test_skips_from_another_folder_and_with_nulls(tmp_path):
+    """The package lies on the driver's path only; the runner of the state starts elsewhere."""
+    script = SKIPS_ELSEWHERE.format(root=str(Path(__file__).resolve().parent.parent), folder=str(tmp_path / "rows"))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "GOT [('a', None, 'click', 1)]" in done.stdout, done.stderr[-3000:]
+
+
+def test_reports_sent_again_replace(spark, tmp_path):
+    """Grown, repeated and late partial reports of sessions, one of them without an id; a batch that is run again; forgetting."""
+    day = "2024-01-{:02d} 10:00:00"
+    full = {"a": ["x", "bad", "bad"], "b": ["bad"], None: ["bad", "x"], "c": ["x", "x"]}
+
+    def report(session, steps, version, d=1):
+        return [(session, k, full[session][k], version, day.format(d)) for k in range(steps)]
+
+    batches = [report("a", 2, 1) + report("b", 1, 5) + report(None, 2, 1), report("a", 3, 2) + report("b", 1, 5) + report("b", 1, 4),
+               report("a", 2, 1) + report("c", 2, 1, 20) + report("c", 2, 1, 20)]
+    schema = "session_id string, step_id int, name string, report int, at string"
+    for rows in batches:
+        spark.createDataFrame(rows, schema).withColumn("ts", F.to_timestamp("at")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    arriving = lambda: spark.readStream.schema(schema + ", ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    asked = []
+
+    def judge(rows):
+        asked.append(sorted({str(r[0]) for r in rows.select("session_id").collect()}))
+        return rows.where("name = 'bad'").select("session_id", "step_id")
+
+    told = lambda base: sorted(map(str, map(tuple, T.current(spark, base).collect())))
+    want = sorted(map(str, [("a", 1, 2), ("a", 2, 2), ("b", 0, 5), (None, 0, 1)]))
+    base = T.upsert_reports(arriving(), judge, "t", buckets=3, base=str(tmp_path / "out"))
+    assert told(base) == want and asked == [["None", "a", "b"], ["a"], ["c"]]
+    shutil.rmtree(tmp_path / "out/state")           # the stream forgets its batches and runs all of them again
+    T.upsert_reports(arriving(), judge, "t", buckets=3, base=base)
+    assert told(base) == want and asked[3:] == [[], [], []]
+    short = T.upsert_reports(arriving(), judge, "t", buckets=1, base=str(tmp_path / "short"), forget="5 days")
+    assert told(short) == [] and spark.read.parquet(f"{short}/sessions").select("session_id").collect()[0][0] == "c"
