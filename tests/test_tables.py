@@ -1,5 +1,11 @@
 """Reading, writing, shared storage, the entry points, and known counts."""
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from driftline.functions import sizing
 from driftline.operators import checks as C
@@ -142,6 +148,17 @@ def test_entry_points(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+@pytest.mark.parametrize("gone", [["driftline/llm", "tests/llm"], ["driftline/llm", "tests/llm", "corpus_pipeline.py"]])
+def test_entry_without_optional_parts(tmp_path, gone):
+    root = Path(__file__).resolve().parent.parent
+    skip = {str(root / g) for g in gone}
+    shutil.copytree(root, tmp_path / "copy", ignore=lambda folder, names: {n for n in names if f"{folder}/{n}" in skip or n in (".git", "__pycache__", ".pytest_cache")})
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(q.startswith(('op1', 'pipeline')) for q in e.queries()))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", env=env, capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == [str(len(catalog.QUERIES)), str(len(catalog.ORACLES)), "False"], done.stderr[-2000:]
+
+
 def exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
