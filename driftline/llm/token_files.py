@@ -25,14 +25,14 @@ from driftline.llm.registry import query, ready, table
 SEQUENCE = 2048
 END_ID = 2
 BATCH_SEQUENCES = 256
-KNOWN_PARTS, KNOWN_WORDS = 120_000, 250_000     # what a worker keeps with its ids, first come
-LONG_PART = 64                                  # longer words are encoded but not kept
-ENCODE_BYTES = 2 << 20                          # text encoded at a time
+KNOWN_WORDS = 300_000           # words that a worker keeps with their ids, first come
+LONG_WORD = 64                  # longer words are encoded but not kept
+ENCODE_BYTES = 2 << 20          # text encoded at a time
 BLANKS = re.compile(r"\s ")
-LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-MARK = r"!-&(-/:-@\[-`{-~"                       # ASCII punctuation but the apostrophe, which may join to letters
-PLAIN = re.compile(rf" ?[{LETTER}0-9{MARK}]+(?:\n[{LETTER}0-9{MARK}]+)*")
-WORDS = re.compile(rf" ?[{LETTER}]+| ?[0-9]+| ?[{MARK}]+|\n")
+LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
+ODD = re.compile(r"[^\t-\r -~¡-©«¬®-±´¶-¸»¿-ɏ‐-‧‰-⁞€]")
+# Fixed: how byte-level vocabularies part a text into words, for the letters that are not odd.
+WORDS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTER}]+| ?[0-9]+| ?[^\t-\r {LETTER}0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 
 
 @lru_cache(maxsize=2)
@@ -42,9 +42,7 @@ def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark runs a task per core
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True                      # their strings in a text are ordinary text
-    return t
+    return Tokenizer.from_file(path)
 
 
 def byte_letters() -> dict[int, str]:
@@ -54,60 +52,69 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Words(dict):
+    """Ids of words as bytes; a word not met before goes to the tokenizer's model."""
+
+    def __init__(self, model, dtype: np.dtype):
+        super().__init__()
+        self.tokenize, self.letters = model.tokenize, byte_letters()
+        self.ids = [np.array(i, dtype).tobytes() for i in range(np.iinfo(dtype).max + 1 if dtype.itemsize == 2 else 0)]
+        self.dtype = dtype
+
+    def __missing__(self, word: str) -> bytes:
+        tokens = self.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        got = b"".join([self.ids[t.id] for t in tokens]) if self.ids else np.array([t.id for t in tokens], self.dtype).tobytes()
+        if len(self) < KNOWN_WORDS and len(word) <= LONG_WORD:
+            self[word] = got
+        return got
+
+
 class Encoder:
     """Ids of whole texts from a byte-level tokenizer, each distinct word encoded once.
 
-    Such a tokenizer never joins a blank to what stands before it, so a text without a blank after other white space may be parted before
-    each blank, and the ids of the parts joined. Other texts are encoded whole. Parts made of plain words and
-    punctuation go to the tokenizer's model piece by piece. The tests compare with whole encoding.
+    Such a tokenizer parts a text into words by a fixed pattern and encodes each by itself. Where a text has Latin letters and common marks
+    only, words are found here and looked up. Of other texts, only the parts between blanks that hold other letters go to the tokenizer
+    itself, since it never joins a blank to what stands before it; a text with such letters and a blank beside other white space goes there whole, as does one that holds
+    a special token. The tests compare with whole encoding.
     """
 
     def __init__(self, path: str, dtype: str):
         self.encode, self.dtype = tokenizer(path), np.dtype(dtype)
-        self.model, self.letters = self.encode.model, byte_letters()
-        self.known: dict[str, bytes] = {}           # parts between blanks
-        self.words: dict[str, bytes] = {}           # words and marks within them
+        self.words = Words(self.encode.model, self.dtype)
+        self.special = [t.content for t in self.encode.get_added_tokens_decoder().values()]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, self.dtype).tobytes() for e in self.encode.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def _word(self, word: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
-        got = np.asarray(ids, self.dtype).tobytes()
-        if len(self.words) < KNOWN_WORDS and len(word) <= LONG_PART:
-            self.words[word] = got
-        return got
-
-    def _learn(self, parts: list[str]) -> dict[str, bytes]:
-        new, odd, words = {}, [], self.words
-        for part in parts:
-            if PLAIN.fullmatch(part):
-                new[part] = b"".join([words.get(w) or self._word(w) for w in WORDS.findall(part)])
-            else:
-                odd.append(part)
-        new.update(zip(odd, self._whole(odd)))
-        return new
-
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """An array of ids for each text, without an end id. Null and empty texts have none."""
-        split, new, known = [], set(), self.known
+        get = self.words.__getitem__
+        out: list = []
+        held: list[str] = []                # for the tokenizer itself; in ``out``, numbers stand for them
         for text in texts:
             if not text:
-                split.append([])
+                out.append([b""])
+            elif any(s in text for s in self.special):
+                out.append([len(held)])
+                held.append(text)
+            elif not ODD.search(text):
+                out.append([b"".join(map(get, WORDS.findall(text)))])
             elif "\0" in text or text[0] == " " or text[-1] == " " or BLANKS.search(text):
-                split.append(None)
+                out.append([len(held)])
+                held.append(text)
             else:
-                parts = text.replace(" ", "\0 ").split("\0")
-                split.append(parts)
-                new.update([p for p in parts if p not in known])
-        learnt = self._learn(list(new))
-        known.update(learnt)
-        whole = iter(self._whole([t for t, parts in zip(texts, split) if parts is None]))
-        get = known.__getitem__
-        out = [np.frombuffer(next(whole) if parts is None else b"".join(map(get, parts)), self.dtype) for parts in split]
-        for part in list(learnt)[max(0, KNOWN_PARTS - len(known) + len(learnt)):]:      # full: what came first stays
-            del known[part]
-        return out
+                own: list = []
+                for part in text.replace(" ", "\0 ").split("\0"):
+                    if ODD.search(part):
+                        own.append(len(held))
+                        held.append(part)
+                    else:
+                        own += map(get, WORDS.findall(part))
+                out.append(own)
+        if held:
+            whole = self._whole(held)
+            out = [[whole[x] if isinstance(x, int) else x for x in own] for own in out]
+        return [np.frombuffer(own[0] if len(own) == 1 else b"".join(own), self.dtype) for own in out]
 
 
 @lru_cache(maxsize=2)
@@ -212,6 +219,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     """Encode ``docs`` in ascending doc_id order into ``folder``; (shard, n_docs, n_tokens) of the shards written.
 
     Null ids come first; rows of equal id follow by text, so reruns agree. Null and empty texts are written as the end id alone.
+    A special token's string in a text is that token, as the library has it unless told otherwise.
     Other columns are not read. An empty table gives no shards. Runs when this is called.
     """
     spark = docs.sparkSession

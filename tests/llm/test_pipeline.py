@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline as cp
 import numpy as np
 import pytest
+import tokenizers
 from driftline.llm import aligning, token_files
 
 P = pytest.importorskip("public_tokenizers")
@@ -87,7 +88,7 @@ def test_stages_in_order(spark, corpus):
 
     before = rows
     _, rows = stage(spark, docs, corpus, "token_files")
-    encode = token_files.tokenizer(P.path("byte_bpe_50k.json")).encode
+    encode = tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json")).encode
     at, want = 0, []
     for r in sorted(before, key=lambda r: (r[0], r[1].encode())):
         ids = encode(r[1], add_special_tokens=False).ids + [token_files.END_ID]
