@@ -10,6 +10,7 @@ from driftline.functions.sizing import shared_dir
 from driftline.operators import checks as C
 from driftline.operators import normalize as N
 from driftline.operators import release as E
+from driftline.operators import scoring as G
 from driftline.operators import spec as P
 from driftline.plans.registry import DRIFT, TRACE, query
 from driftline.sources import bindings as S
@@ -38,6 +39,16 @@ def io1_read_trace(spark, sf_dir):
         F.count("*").alias("n"), F.sum("step").alias("steps"), F.round(F.sum("value"), 4).alias("total"))
 
 
+@query(f"""WITH {TRACE},
+p AS (SELECT *, CASE WHEN ord IS NULL THEN 0 WHEN ord > coalesce(peak, 0) THEN 1 WHEN ord < peak THEN -1 ELSE 0 END AS move FROM trace)
+SELECT session_id, sum(move)::BIGINT AS progress, count(*) AS n_rows FROM p GROUP BY session_id""")
+def io1_stored_trace(spark, sf_dir):
+    """Progress of sessions read from a bucketed store."""
+    path = scratch(spark, "stored-trace")
+    IO.store_trace(conform(S.event_trace(spark, sf_dir), schemas.TRACE), path, buckets=8)
+    return G.progress_scores(IO.open_trace(spark, path), S.ORDINALS).select("session_id", "progress", "n_rows")
+
+
 @query("""WITH b AS (SELECT event_type AS stage, quantile_cont(value, [0.05, 0.95]) AS q FROM events GROUP BY 1)
 SELECT stage, concat('range::', stage, ':') AS rule_id, round(q[1], 6) AS lo, round(q[2], 6) AS hi FROM b""")
 def io2_read_spec(spark, sf_dir):

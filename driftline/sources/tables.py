@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from driftline.functions.ordered import ORDER, SEG, segment, session_key
 from driftline.functions.sizing import small_side
 from driftline.sources import schemas
 
@@ -20,6 +26,36 @@ def read_trace(spark: SparkSession, path: str, form: str = "parquet") -> DataFra
     return _read(spark, path, schemas.TRACE, form)
 
 
+def store_trace(df: DataFrame, path: str, buckets: int = 200) -> None:
+    """Keep a trace so that what asks for whole sessions needs no shuffle any more.
+
+    Rows lie in ``buckets`` files by session, in order. Long sessions are cut here once and for all: their rows carry the
+    piece they belong to in the column ``seg`` and lie in buckets by session and piece. ``path`` gets the rows and their layout.
+    """
+    spark = df.sparkSession
+    rows = df if SEG in df.columns else segment(df, session_key(df), [*ORDER])
+    cut = [c for c in (SEG,) if c in rows.columns]
+    name = f"stored_{uuid.uuid4().hex}"
+    try:
+        (rows.repartition(buckets, "session_id", *cut).write.bucketBy(buckets, "session_id", *cut).sortBy("session_id", *cut, *ORDER)
+         .option("path", f"{path}/rows").format("parquet").saveAsTable(name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")          # the files stay
+    layout = spark.createDataFrame([(rows.schema.json(), buckets, ["session_id", *cut])], "schema string, buckets int, by array<string>")
+    layout.coalesce(1).write.json(f"{path}/layout")
+
+
+def open_trace(spark: SparkSession, path: str) -> DataFrame:
+    """A stored trace with its buckets: windows and groups by session, and by session and piece, plan no exchange."""
+    layout = spark.read.schema("schema string, buckets int, by array<string>").json(f"{path}/layout").first()
+    name = f"stored_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+    columns = StructType.fromJson(json.loads(layout["schema"])).toDDL()
+    order = ", ".join([*layout["by"], *ORDER])
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({', '.join(layout['by'])}) "
+              f"SORTED BY ({order}) INTO {layout['buckets']} BUCKETS LOCATION '{path}/rows'")
+    return spark.table(name)
+
+
 def read_spec(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
     """Runtime rules; hinted for broadcast when the file is within bounds."""
     return small_side(_read(spark, path, schemas.SPEC, form))

@@ -8,8 +8,11 @@ from pathlib import Path
 
 import pytest
 from driftline.functions import sizing
+from driftline.operators import attribution as A
 from driftline.operators import checks as C
+from driftline.operators import graph as B
 from driftline.operators import release as E
+from driftline.operators import scoring as G
 from driftline.plans import catalog, flows
 from driftline.plans.queries_trace import conform, scratch
 from driftline.sources import bindings as S
@@ -168,6 +171,35 @@ def test_one_shuffle_from_raw_rows(spark, name):
     assert exchanges(catalog.QUERIES[name](spark, SF)) == 1
 
 
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("stored") / "trace")
+    IO.store_trace(conform(S.event_trace(spark, SF), schemas.TRACE), path, buckets=6)
+    return IO.open_trace(spark, path)
+
+
+@pytest.mark.parametrize("build", [
+    lambda t: C.skipped_steps(t, S.ORDINALS), lambda t: G.progress_scores(t, S.ORDINALS), lambda t: B.build_graph(t)[1], lambda t: A.error_lookback(t, 3)])
+def test_a_stored_trace_is_not_shuffled(spark, stored, build):
+    plan = build(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+
+
+def test_a_long_stored_session_is_several_tasks(spark, tmp_path, cut_groups):
+    cut_groups(10)
+    df = conform(trace(spark, {"long": ["signup", "view", "click", "view"] * 20, "short": ["signup", "click"]}), schemas.TRACE)
+    IO.store_trace(df, str(tmp_path / "t"), buckets=8)
+    held = IO.open_trace(spark, str(tmp_path / "t"))
+    pieces = held.where("session_id = 'long'").groupBy("seg").count().collect()
+    assert len(pieces) >= 4 and sum(p["count"] for p in pieces) == 80
+    files = held.where("session_id = 'long'").select(F.input_file_name()).distinct().count()
+    assert files >= 3
+    plain = lambda rows: sorted((r["session_id"], r["step_id"], r["rule_id"]) for r in rows.collect())
+    assert plain(C.skipped_steps(held, S.ORDINALS)) == plain(C.skipped_steps(df, S.ORDINALS))
+    assert sorted(tuple(r) for r in G.progress_scores(held, S.ORDINALS).select("session_id", "progress", "n_rows").collect()) == sorted(
+        tuple(r) for r in G.progress_scores(df, S.ORDINALS).select("session_id", "progress", "n_rows").collect())
+
+
 def test_only_needed_columns_are_scanned(spark):
     plan = catalog.QUERIES["v3_claim_support"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
