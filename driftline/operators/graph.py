@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.ordered import last_known, previous, running, session_key
 from driftline.functions.sizing import settle, small_side, store
+from driftline.operators.walks import walk_sessions
 
 
 def build_graph(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -62,28 +63,40 @@ def _at_last(rows: DataFrame, source: str) -> DataFrame:
 
 
 ROUNDS = 2
+LOCAL_EDGES = 100_000       # edges of a session that one task may hold
 
 
-def trace_back(edges: DataFrame, symptoms: DataFrame, depth: int = 5) -> DataFrame:
-    """Every step a symptom can be traced back to over at most ``depth`` edges.
+def trace_back(edges: DataFrame, symptoms: DataFrame, depth: int | None = 5) -> DataFrame:
+    """Every step a symptom can be traced back to over at most ``depth`` edges, or over any number with None.
 
-    Keeps the least depth per (symptom, step) and, on it, the smallest path. Rounds join on
-    the step, which spreads long sessions. A few rounds make one job; its new rows are settled,
-    so the next starts from rows and not from all plans before it. Ends when none are new.
+    Keeps the least depth per (symptom, step) and, on it, the smallest path. Sessions of up to ``LOCAL_EDGES`` edges are walked whole, each in a
+    task, after one shuffle. Longer ones are walked in rounds of joins on the step, which spreads them. Rows without a session or a step are no symptoms.
     """
-    front = settle(symptoms.groupBy("session_id", "step_id").agg(F.min("step").alias("symptom_step")).select(
-        "session_id", F.col("step_id").alias("symptom_id"), "symptom_step", "step_id",
-        F.lit(0).alias("depth"), F.array("step_id").alias("path")))
+    shown = settle(symptoms.where("session_id IS NOT NULL AND step_id IS NOT NULL").groupBy("session_id", F.col("step_id").alias("symptom_id")).agg(
+        F.min("step").alias("symptom_step")))
     # Sessions without symptoms are not walked. The edges that are lie in the shared folder, so
     # a lost executor costs no second look at the trace.
-    troubled = small_side(settle(front.select("session_id").distinct()))
+    troubled = small_side(settle(shown.select("session_id").distinct()))
     tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    steps = (edges.select("session_id", "src", "dst").join(troubled, "session_id", "left_semi")
-             .repartition(tasks, "session_id", "dst").distinct())
-    steps = store(steps)
+    steps = store(edges.where("src IS NOT NULL AND dst IS NOT NULL").select("session_id", "src", "dst").join(troubled, "session_id", "left_semi"))
+    long = settle(steps.groupBy("session_id").count().where(F.col("count") > LOCAL_EDGES).select("session_id"))
+    if long.isEmpty():
+        return walk_sessions(steps, shown, depth, tasks)
+    long = small_side(long)
+    near = walk_sessions(steps.join(long, "session_id", "left_anti"), shown.join(long, "session_id", "left_anti"), depth, tasks)
+    far = steps.join(long, "session_id", "left_semi").repartition(tasks, "session_id", "dst").distinct()
+    return near.unionByName(_in_rounds(store(far), shown.join(long, "session_id", "left_semi"), depth))
+
+
+def _in_rounds(steps: DataFrame, shown: DataFrame, depth: int | None) -> DataFrame:
+    """``trace_back`` by joins. A few rounds make one job; its new rows are settled,
+    so the next starts from rows and not from all plans before it. Ends when none are new.
+    """
+    front = settle(shown.select("session_id", "symptom_id", "symptom_step", F.col("symptom_id").alias("step_id"),
+                                F.lit(0).alias("depth"), F.array("symptom_id").alias("path")))
     seen, level = front, 0
-    while level < depth:
-        upto = min(level + ROUNDS, depth)
+    while depth is None or level < depth:
+        upto = level + ROUNDS if depth is None else min(level + ROUNDS, depth)
         rounds = [front]
         for at in range(level + 1, upto + 1):
             rounds.append(_one_back(rounds[-1], steps, at))
@@ -93,7 +106,7 @@ def trace_back(edges: DataFrame, symptoms: DataFrame, depth: int = 5) -> DataFra
             seen.select("session_id", "symptom_id", "step_id"), ["session_id", "symptom_id", "step_id"], "left_anti"))
         seen, level = seen.unionByName(fresh), upto
         front = fresh.where(F.col("depth") == upto)
-        if level < depth and front.isEmpty():
+        if (depth is None or level < depth) and front.isEmpty():
             break
     return seen
 

@@ -87,6 +87,20 @@ def a4_trace_back(spark, sf_dir):
                        F.array_join(F.col("path").cast("array<string>"), "<").alias("path"))
 
 
+@query(recursive(f"""{DRIFT}, {GRAPH},
+links AS (SELECT DISTINCT session_id, src, dst FROM edges WHERE src IS NOT NULL),
+walk AS (
+  SELECT session_id, symptom_id, symptom_id AS step_id, 0 AS depth FROM shown
+  UNION
+  SELECT w.session_id, symptom_id, l.src, depth + 1 FROM walk w JOIN links l ON l.session_id = w.session_id AND l.dst = w.step_id)
+SELECT session_id, symptom_id, step_id, min(depth)::BIGINT AS depth FROM walk GROUP BY 1, 2, 3"""))
+def a4_trace_all(spark, sf_dir):
+    """Back to where each session began, by the shortest way."""
+    trace = S.event_trace(spark, sf_dir)
+    _, edges = B.build_graph(trace)
+    return B.trace_back(edges, B.symptoms(trace), None).select("session_id", "symptom_id", "step_id", F.col("depth").cast("bigint").alias("depth"))
+
+
 @query(recursive(f"""{DRIFT}, {BACK},
 way AS (SELECT session_id, symptom_id, step_id, depth, unnest(path) AS node, generate_subscripts(path, 1) AS pos FROM back),
 named AS (SELECT w.session_id, symptom_id, w.step_id, depth, pos, t.name,

@@ -176,6 +176,29 @@ def test_least_depth_wins(spark):
     back = B.trace_back(edges, shown, 5).where("session_id = 's'")
     assert [(r["step_id"], r["path"]) for r in back.orderBy("step_id").collect()] == [(1, [4, 1]), (2, [4, 3, 2]), (3, [4, 3]), (4, [4])]
 
+@pytest.mark.parametrize("depth", [3, None])
+def test_long_and_short_sessions_are_walked_alike(spark, monkeypatch, depth):
+    """Cycles, repeated edges, unknown steps, two symptoms of a session; against a plain search for the least path."""
+    chance = random.Random(6)
+    edges = [(s, chance.randrange(9), chance.randrange(9)) for s in "abcd" for _ in range(chance.randrange(4, 14))]
+    shown = [(s, k, 7) for s in "abcde" for k in (2, 5)] + [("a", 2, 3), (None, 1, 1), ("b", None, 1)]
+    want = set()
+    for s, symptom in {(s, k) for s, k, _ in shown if s and k}:
+        best, front, far = {symptom: (symptom,)}, [(symptom,)], 0
+        while front and (depth is None or far < depth):
+            far += 1
+            ways = sorted((*w, a) for w in front for t, a, b in edges if t == s and b == w[-1])
+            front = [w for i, w in enumerate(ways) if w[-1] not in best and w[-1] not in {v[-1] for v in ways[:i]}]
+            best.update({w[-1]: w for w in front})
+        want |= {(s, symptom, 3 if (s, symptom) == ("a", 2) else 7, step, len(w) - 1, w) for step, w in best.items()}
+    edges_df = spark.createDataFrame(edges + edges[:3] + [("a", None, 2)], "session_id string, src bigint, dst bigint")
+    shown_df = spark.createDataFrame(shown, "session_id string, step_id bigint, step int")
+    for most in (B.LOCAL_EDGES, 8, 0):
+        monkeypatch.setattr(B, "LOCAL_EDGES", most)
+        found = [(*r[:5], tuple(r["path"])) for r in B.trace_back(edges_df, shown_df, depth).select("session_id", "symptom_id", "symptom_step", "step_id", "depth", "path").collect()]
+        assert len(found) == len(want) and set(found) == want
+    assert B.trace_back(edges_df, shown_df.limit(0), depth).count() == 0
+
 
 def test_graph_edges(spark):
     rows = [{"stage": "view", "artifact_id": "f", "rw": rw} for rw in ("w", "r", "w", "r")]
