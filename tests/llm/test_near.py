@@ -71,10 +71,12 @@ def test_near_texts_by_brute_force(spark, monkeypatch, width, block):
 
 
 def test_one_of_each_group_stays(spark):
-    rows = [(3, "a b c d e f g", "s"), (2, "a b c d e f g", "t"), (2, "a b c d e f g", "u"), (4, "other", "s"), (4, "other", "s"), (5, None, None), (None, "a b c d e f g", "v"), (None, None, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, _id string")
+    rows = [(3, "a b c d e f g", "s"), (2, "a b c d e f g", "t"), (2, "a b c d e f g", "u"), (4, "other", "s"), (4, "other", "s"), (5, None, None), (None, "a b c d e f g", "v"), (None, None, None),
+            (6, "one text of an id that has two", "s"), (6, "and another that is nothing like it", "s"), (6, "", "s"), (1, "not at all the same", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string")
     out = [tuple(r) for r in near_texts.keep_one(docs).collect()]
-    assert Counter((r[0], r[1]) for r in out) == Counter([(2, rows[0][1]), (4, "other"), (5, None), (None, rows[0][1]), (None, None)])
+    assert near_texts.keep_one(docs).columns == docs.columns
+    assert Counter((r[0], r[1]) for r in out) == Counter([(2, rows[0][1]), (4, "other"), (5, None), *[(r[0], r[1]) for r in rows[-4:]], (None, rows[0][1]), (None, None)])
     assert near_texts.near_groups(docs.limit(0)).count() == near_texts.keep_one(docs.limit(0)).count() == 0
 
 
@@ -225,6 +227,27 @@ def test_leaks_edited_beside_an_exact_copy(spark):
         assert aligning.ceiling(a, b) >= aligning.align(a, b)[0]
 
 
+def test_no_edit_that_scores_enough_hides_a_leak(spark):
+    """Every second or third word changed, words put in after every word or two, short items inside texts, frequent words all over."""
+    rng = random.Random(12)
+    common = ["the", "of", "and", "to"]
+    items = {n: [rng.choice(common) if rng.random() < 0.6 else "i%dw%d" % (n, k) for k in range(n)] for n in (1, 2, 3, 4, 14, 15, 16, 26, 38)}
+    items |= {100: common * 5, 101: ["hello", "world"]}
+    edits = [lambda k, w: [w], lambda k, w: [w] if k % 3 else ["zz"], lambda k, w: [w] if k % 2 else ["zz"], lambda k, w: [w, "in"], lambda k, w: [w, "in"] if k % 2 else [w],
+             lambda k, w: [] if k % 3 == 2 else [w], lambda k, w: [w] if rng.random() < 0.75 else rng.choice([[], ["zz"], [w, "yy"], ["the"]])]
+    rows = []
+    for w in items.values():
+        for e in edits + [edits[-1]] * 6:
+            body = [v for k, x in enumerate(w) for v in e(k, x)]
+            rows.append((len(rows), " ".join(["b%d" % rng.randrange(99) for _ in range(rng.randrange(60))] + body + [rng.choice([*common, "after"]) for _ in range(rng.randrange(60))])))
+    rows += [(900, "they say hello world to all"), (901, "hello"), (902, "the")]
+    docs = spark.createDataFrame(rows, "key long, text string").repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r.key, r.item_id): round(r.score, 9) for r in aligning.find_leaks(docs, bench).collect()}
+    want = {(k, i): round(share, 9) for k, t in rows for i, w in items.items() if (share := aligning.align(w, t.split())[0]) >= aligning.LEAST_SCORE}
+    assert got == want and (900, 101) in got and len(want) > 100
+
+
 def test_benchmark_in_several_passes(spark, monkeypatch):
     rows = [(1, "a b c d e f g h"), (2, "x y z"), (3, "a b c d q r s t u v")]
     docs, bench = spark.createDataFrame(rows, "key long, text string"), spark.createDataFrame([(1, "a b c d e f"), (2, "q r s t u v")], "item_id long, text string")
