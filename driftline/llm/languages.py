@@ -2,14 +2,13 @@
 
 A suffix automaton of each language's labelled text accepts every substring of it. A text is cut greedily into
 the longest phrases that the automaton accepts; a letter it never saw is a phrase of its own. Phrases times the
-logarithm of the reference's length, per letter, estimate the cross entropy; the least wins. Texts are read whole, in blocks of
+logarithm of the reference's length, and a fixed price for each letter the reference does not have, per letter, estimate the cross entropy; the least wins. Texts are read whole, in blocks of
 ``BLOCK`` letters that each begin a phrase, so that all blocks of a batch advance letter by letter together.
 """
 
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,14 +16,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.llm.registry import query, ready, shielded, table, widened
+from driftline.llm.registry import only, query, ready, shielded, table, widened
 
 REFERENCE_CHARS = 20_000        # text a language's automaton is built from
 TRAINING_DOCS = 200             # labelled documents per language it may come from
-LEAST_CHARS = 40                # shorter texts teach little
+LEAST_CHARS = 40                # shorter texts teach little and are taken last
 BLOCK = 1024                    # letters that are parsed in a row
-ALPHABET = 255                  # letters told apart, most frequent first; any other is one that no reference has
+DENSE = 255                     # most frequent letters, whose steps lie in a full table; steps by other letters are searched
 BATCH_CHARS = 1 << 20
+UNSEEN_BITS = 16                # what a letter costs beside its phrase where a language's text does not have it: its number must be told
 UNKNOWN = "und"
 
 
@@ -73,7 +73,8 @@ class Parser:
     """Counts phrases of many texts at once against every language's automaton.
 
     The automata lie in one table: entry (state, letter) holds twice the next state's row, plus one where a phrase ends
-    before the letter. A letter that ends a phrase starts the next one.
+    before the letter. A letter that ends a phrase starts the next one. Letters beyond the ``DENSE`` most frequent have no column: their steps
+    lie in a sorted list, so an alphabet of thousands takes no more room than its text.
     """
 
     def __init__(self, models: tuple[tuple[str, str], ...]):
@@ -83,25 +84,42 @@ class Parser:
         for _, text in models:
             for c in text:
                 counts[c] = counts.get(c, 0) + 1
-        letters = sorted(counts, key=lambda c: (-counts[c], c))[:ALPHABET]
-        self.code = np.zeros(0x110000, np.uint8)                # 0: no reference has it
+        letters = sorted(counts, key=lambda c: (-counts[c], c))
+        self.code = np.zeros(0x110000, np.int32)                # 0: no reference has it
         self.code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
-        self.width, self.starts, tables, rows = len(letters) + 1, [], [], 0
-        for _, text in models:
-            states = automaton(text)
-            at = np.repeat(np.arange(len(states)), [len(s) for s in states])
-            by = self.code[np.fromiter((ord(c) for s in states for c in s), np.int64, len(at))]
-            to = np.fromiter((t for s in states for t in s.values()), np.int64, len(at))
-            first = np.zeros(self.width, np.int64)
+        self.width = min(len(letters), DENSE) + 1
+        self.rare = max(0, len(letters) - DENSE)                # letters without a column
+        states = [automaton(text) for _, text in models]
+        sizes = [len(s) for s in states]
+        bases = np.cumsum([0, *sizes])
+        self.starts = [int(b) * self.width for b in bases[:-1]]
+        self.table = np.empty((int(bases[-1]), self.width), np.int32)
+        # Letters that a language's own text does not have. Marks and digits are of no language.
+        self.strange = np.tile(np.array([False, *map(str.isalpha, letters)]), (len(models), 1))
+        for k, (_, text) in enumerate(models):
+            self.strange[k, self.code[[ord(c) for c in set(text)]]] = False
+        self.rare_first = np.empty((len(models), self.rare), np.int64)
+        keys, values = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for k, own in enumerate(states):
+            base = int(bases[k])
+            at = np.repeat(np.arange(len(own)), [len(s) for s in own])
+            by = self.code[np.fromiter((ord(c) for s in own for c in s), np.int64, len(at))].astype(np.int64)
+            to = np.fromiter((t for s in own for t in s.values()), np.int64, len(at))
+            first = np.zeros(len(letters) + 1, np.int64)
             first[by[at == 0]] = to[at == 0]
-            first[0] = 0
-            table = np.tile(2 * (rows + first) * self.width + 1, (len(states), 1))
-            table[at, by] = 2 * (rows + to) * self.width
-            table[:, 0] = 2 * rows * self.width + 1
-            tables.append(table)
-            self.starts.append(rows * self.width)
-            rows += len(states)
-        self.table = np.concatenate(tables).astype(np.int32).ravel() if tables else np.empty(0, np.int32)
+            again = 2 * (base + first) * self.width + 1         # a phrase ends, its next letter leads on from the start
+            again[0] = 2 * base * self.width + 1
+            rows = self.table[base:base + len(own)]
+            rows[:] = again[:self.width]
+            common = by < self.width
+            rows[at[common], by[common]] = 2 * (base + to[common]) * self.width
+            self.rare_first[k] = again[self.width:]
+            keys.append((base + at[~common]) * max(1, self.rare) + by[~common] - self.width)
+            values.append(2 * (base + to[~common]) * self.width)
+        keys, values = np.concatenate(keys), np.concatenate(values)
+        order = np.argsort(keys)
+        self.rare_keys, self.rare_values = keys[order], values[order]
+        self.table = self.table.ravel()
 
     def costs(self, texts: list[str]) -> np.ndarray:
         """Cross entropy in bits a letter, one row per text (none of them empty), one column per language."""
@@ -117,12 +135,22 @@ class Parser:
         active = len(length) - np.searchsorted(length[::-1], np.arange(length[0]), "right")
         state = np.repeat(np.array(self.starts, np.int32)[:, None], len(length), axis=1)
         found = np.ones(state.shape, np.int32)
+        searched = codes >= self.width
+        some, columns = bool(searched.any()), np.where(searched, 0, codes)
         for step, k in enumerate(active):
-            got = self.table[state[:, :k] + codes[at[:k] + step]]
+            place = at[:k] + step
+            got = self.table[state[:, :k] + columns[place]]
+            if some and len(rare := np.flatnonzero(searched[place])):
+                letter = codes[place[rare]] - self.width
+                key = (state[:, rare] // self.width).astype(np.int64) * self.rare + letter
+                spot = np.minimum(np.searchsorted(self.rare_keys, key), len(self.rare_keys) - 1)
+                got[:, rare] = np.where(self.rare_keys[spot] == key, self.rare_values[spot], self.rare_first[:, letter])
             found[:, :k] += got & 1
             state[:, :k] = got >> 1
         total = np.stack([np.bincount(owner, row, len(texts)) for row in found], axis=1)
-        return total * self.bits / sizes[:, None]
+        first = np.cumsum(sizes) - sizes
+        strange = np.stack([np.add.reduceat(own[codes].astype(np.int64), first) for own in self.strange], axis=1)
+        return (total * self.bits + strange * UNSEEN_BITS) / sizes[:, None]
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text. The score grows from 0.5 with the lead over the second best language."""
@@ -146,22 +174,28 @@ class Parser:
         return langs, scores
 
 
-@lru_cache(maxsize=1)
 def parser(models: tuple[tuple[str, str], ...]) -> Parser:
-    return Parser(models)
+    return only(("parser", models), lambda: Parser(models))
 
 
 def references(labelled: DataFrame, chars: int = REFERENCE_CHARS, docs: int = TRAINING_DOCS) -> tuple[tuple[str, str], ...]:
     """Reference text per language from (doc_id, text, lang): a bounded sample, in hash order, equal texts once.
 
-    At most ``docs`` documents of a language reach the driver, each cut to a fiftieth of ``chars`` so that no long text speaks for
-    a language. The ranking is cut down within tasks first, so a language with most rows is no burden.
+    At most ``docs`` documents of a language reach the driver, each as a slice of a fiftieth of ``chars`` from somewhere in its text, so that no long
+    text speaks for a language; texts of fewer than ``LEAST_CHARS`` letters come after all others. Rows are thinned by hash to a few times what is wanted
+    before any are ranked, so a language with most rows is no burden.
     """
     share = max(LEAST_CHARS, chars // 50)
-    known = labelled.where("lang IS NOT NULL").select(
-        "lang", F.xxhash64("doc_id").alias("at"), F.substring("text", 1, share).alias("text")).where(F.length("text") >= LEAST_CHARS)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("at", "text"))
-    rows = known.withColumn("rank", rank).where(F.col("rank") <= docs).orderBy("lang", "rank").collect()
+    size = F.length("text")
+    known = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(
+        "lang", F.xxhash64("doc_id", size).alias("at"), (size < LEAST_CHARS).alias("short"), "text").where(size > 0)
+    counts = known.groupBy("lang", "short").agg(F.count("*").alias("n"))
+    odds = (4 * docs + 100) / F.col("n") * float(1 << 40)
+    thin = known.join(F.broadcast(counts), ["lang", "short"]).where(F.pmod(F.xxhash64(F.lit("thin"), "at"), F.lit(1 << 40)) < odds)
+    start = F.pmod(F.xxhash64(F.lit("slice"), "at"), F.greatest(F.lit(1).cast("long"), size - share + 1)).cast("int") + 1
+    cut = thin.select("lang", "at", "short", F.substring("text", start, F.lit(share)).alias("text")).where(F.col("text").rlike(r"\p{L}"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("short", "at", "text"))
+    rows = cut.withColumn("rank", rank).where(F.col("rank") <= docs).orderBy("lang", "rank").collect()
     texts: dict[str, dict[str, None]] = {}
     for r in rows:
         texts.setdefault(r["lang"], {})[plain(r["text"])] = None

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from driftline.functions.sizing import small_side, store
 from driftline.llm import shingles
 from driftline.llm.components import components
-from driftline.llm.registry import query, ready, table
+from driftline.llm.registry import query, ready, shielded, table
 
 HALVES, ROWS = 14, 3
 BLOCK_TEXTS, BLOCK_SHINGLES = 1_500, 2_000_000      # most that meet in one task of a group, hubs apart
@@ -265,14 +265,23 @@ def across_blocks(split: DataFrame, links: DataFrame, percent: int) -> DataFrame
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``near_groups`` keeps, with all columns; of rows of equal id one stays.
+    """The rows of ``docs`` less near copies, with all columns: of every group of ``near_groups`` the text of smallest id stays, once.
 
-    Ids to be removed are fewer than ids kept, so texts meet those, and move only if they are too many to broadcast.
+    A text is known by its id and itself, so unlike texts of one id are all kept, and of rows of equal id and text one stays. Null
+    and empty texts are like none but themselves; rows of null id are kept. What goes is less than what stays, so texts meet that, and move only if it is too much to broadcast.
     """
-    judged = store(near_groups(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")))
-    once = docs.join(small_side(judged.where("NOT kept OR rows > 1").select("doc_id")), "doc_id", "left_anti")
-    repeated = docs.join(small_side(judged.where("kept AND rows > 1").select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.union(repeated.select(*once.columns))
+    rows = shielded(docs, "doc_id", "text").withColumn("_key", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    found = near_groups(rows.select(F.col("_key").alias("doc_id"), "text")).where("doc_id IS NOT NULL")
+    texts = store(found.groupBy(F.col("doc_id").alias("_key")).agg(F.min("component_id").alias("component"), F.count("*").alias("rows")))
+    ids = rows.where("_key IS NOT NULL").groupBy("_key").agg(F.min("doc_id").alias("id"))
+    first = texts.join(ids, "_key").groupBy("component").agg(F.min(F.struct("id", "_key")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    stays = first.select("component", F.col("first._key").alias("_stays"))
+    gone = store(texts.join(stays, "component").where("_key <> _stays").select("_key"))
+    again = texts.where("rows > 1").select("_key").join(gone, "_key", "left_anti")
+    once = rows.join(small_side(store(gone.union(again))), "_key", "left_anti")
+    repeated = rows.join(small_side(again), "_key", "left_semi").dropDuplicates(["_key"])
+    kept = [c for c in rows.columns if c != "_key"]
+    return once.select(*kept).union(repeated.select(*kept)).toDF(*docs.columns)
 
 
 @query()

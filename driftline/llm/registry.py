@@ -42,6 +42,17 @@ def ready(spark: SparkSession) -> None:
         spark.conf.set(ARROW_ROWS, "2000")
 
 
+_HELD: dict = {}
+
+
+def only(key, build: Callable[[], object]):
+    """What ``build`` made for ``key``, kept by a worker until it needs another: one large model or store at a time."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
 def shielded(df: DataFrame, *needed: str) -> DataFrame:
     """``df`` with all but the ``needed`` columns under numbers, so that no name of theirs clashes; ``toDF`` gives the names back."""
     return df.toDF(*[c if c in needed else f"_{i}" for i, c in enumerate(df.columns)])

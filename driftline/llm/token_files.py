@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.sizing import shared_dir, store
-from driftline.llm.registry import query, ready, table
+from driftline.llm.registry import only, query, ready, table
 
 SEQUENCE = 2048
 END_ID = 2
@@ -117,9 +117,8 @@ class Encoder:
         return [np.frombuffer(own[0] if len(own) == 1 else b"".join(own), self.dtype) for own in out]
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str, dtype: str) -> Encoder:
-    return Encoder(path, dtype)
+    return only(("encoder", path, dtype), lambda: Encoder(path, dtype))
 
 
 def files(folder: str):

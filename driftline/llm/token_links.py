@@ -15,7 +15,6 @@ say otherwise; other texts are one part. Tests compare with whole texts.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions.sizing import store
-from driftline.llm.registry import query, ready, slices, table
+from driftline.llm.registry import only, query, ready, slices, table
 from driftline.llm.token_files import BLANKS, byte_letters
 
 BATCH_BYTES = 1 << 20           # of text that is handled at a time
@@ -219,9 +218,8 @@ def summed(owner: np.ndarray, code: np.ndarray, weight: np.ndarray) -> tuple[np.
     return owner[first], code[first], np.add.reduceat(weight[order], first) if len(first) else weight[:0]
 
 
-@lru_cache(maxsize=1)
 def aligner(path_a: str, path_b: str) -> Aligner:
-    return Aligner(path_a, path_b)
+    return only(("aligner", path_a, path_b), lambda: Aligner(path_a, path_b))
 
 
 def lists(sizes: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:

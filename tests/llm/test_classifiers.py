@@ -57,6 +57,29 @@ def test_costs_follow_the_parse():
                 assert cost == pytest.approx(brute_phrases(t, ref) * bits / len(t))
 
 
+def test_large_alphabets_and_small_references():
+    """Passages of, and new texts in, scripts of 1,500 letters beside a small alphabet and a language known by two words."""
+    rng = random.Random(4)
+    han, hangul, latin = ([chr(0x4E00 + k) for k in range(1500)], [chr(0xAC00 + k) for k in range(1500)], list("abcdefg "))
+    refs = tuple((name, "".join(rng.choices(letters, k=n))) for name, letters, n in (("han", han, 1500), ("kor", hangul, 1500), ("lat", latin, 3000), ("two", list("xyz"), 9)))
+    p = languages.Parser(refs)
+    for name, text in refs:
+        assert p.judge([text[5:700], text[:40]])[0][0] == name
+    fresh = ["".join(rng.choices(letters, k=300)) for letters in (han, hangul, latin)]
+    assert p.judge(fresh)[0] == ["han", "kor", "lat"]
+    known = [set(t) for _, t in refs]
+    for text in fresh + [refs[0][1][3:90] + "ab" + refs[1][1][8:60]]:
+        for (_, ref), own, bits, cost in zip(refs, known, p.bits, p.costs([text])[0]):
+            if set(text) <= own:
+                assert cost == pytest.approx(brute_phrases(text, ref) * bits / len(text))
+
+
+def test_short_and_late_texts_teach(spark):
+    rows = [(k, "guten tag", "de") for k in range(3)] + [(10 + k, " " * 900 + "the cat and the dog " * 20, "en") for k in range(3)] + [(20, "12 34", "no"), (21, None, "no")]
+    refs = dict(languages.references(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    assert refs["de"] == "guten tag" and "cat" in refs["en"] and "no" not in refs
+
+
 def test_language_cases(spark):
     rows = [(1, "the cat and the dog", "p"), (2, None, "p"), (3, "", "p"), (4, " 12 !? \n", "p"), (5, "auf der Matte", "p"), (5, "auf der Matte", "p"), (None, "漢字 THE", "p"), (7, "the dog " * 20_000, "p")]
     got = languages.predict(spark.createDataFrame(rows, "doc_id long, text string, score string"), REFERENCES).collect()
