@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.sizing import settle, store
 from driftline.operators import checks as C
+from driftline.operators import conformance as W
 from driftline.operators import normalize as N
 from driftline.operators import paths as D
 from driftline.operators import spec as P
@@ -275,3 +276,56 @@ SELECT session_id, n_rows, levenshtein(path, 'svcp') AS distance,
        round(1 - levenshtein(path, 'svcp') / greatest(n_rows, 4), 6) AS fitness FROM p""")
 def c10_path_distance(spark, sf_dir):
     return D.path_distance(S.event_trace(spark, sf_dir), S.EXPECTED).drop("owner").withColumn("fitness", F.round("fitness", 6))
+
+
+# Two ways to a purchase, by views or straight by clicks, and a way back from clicks to views.
+BRANCHES = W.Workflow({s: s for s in S.EXPECTED}, {"signup": ["view", "click"], "view": ["click"], "click": ["view", "purchase"]}, ["signup"], ["purchase"])
+
+
+def alignment_sql() -> str:
+    """Least weights step by step as a recursive query over one row per run and step, then the way back as another one."""
+    names, w = S.EXPECTED, {"i": 1 << 42, "s": (1 << 42) + 1, "r": (1 << 42) + (1 << 21)}
+    # Stages skipped between two, 0 being the beginning and 5 the end; what is not listed cannot be.
+    way = {(0, 1): [], (0, 2): [1], (0, 3): [1], (0, 4): [1, 3], (0, 5): [1, 3, 4], (1, 2): [], (1, 3): [], (1, 4): [3], (1, 5): [3, 4], (2, 2): [3], (2, 3): [],
+           (2, 4): [3], (2, 5): [3, 4], (3, 2): [], (3, 3): [2], (3, 4): [], (3, 5): [4], (4, 5): []}
+    taken, origin = {}, {}
+    for v in range(1, 5):
+        price = f"CASE WHEN t.name = '{names[v - 1]}' THEN 0 ELSE {w['r']} END"
+        options = [(u, f"d{u} + {w['s'] * len(way[u, v])}") for u in range(5) if (u, v) in way]
+        taken[v] = f"(least({', '.join(o for _, o in options)}) + {price})"
+        origin[v] = "CASE " + " ".join(f"WHEN {o} + {price} = {taken[v]} THEN {u}" for u, o in options) + " END"
+    step = ", ".join([f"d0 + {w['i']}"] + [f"least({taken[v]}, d{v} + {w['i']})" for v in range(1, 5)])
+    came = ", ".join(["-1"] + [f"CASE WHEN {taken[v]} <= d{v} + {w['i']} THEN {origin[v]} ELSE -1 END" for v in range(1, 5)])
+    close = [f"d{u} + {w['s'] * len(way[u, 5])}" for u in range(5)]
+    end = "CASE " + " ".join(f"WHEN {c} = least({', '.join(close)}) THEN {u}" for u, c in enumerate(close)) + " END"
+    gaps = ", ".join(f"({u}, {v}, '{names[k - 1]}')" for (u, v), ks in way.items() for k in ks)
+    far = 1 << 61
+    return f"""WITH RECURSIVE {TRACE},
+ahead AS (
+  SELECT session_id, 0::BIGINT AS i, NULL::VARCHAR AS name, 0::BIGINT AS d0, {far} AS d1, {far} AS d2, {far} AS d3, {far} AS d4, [-1, -1, -1, -1, -1] AS came
+  FROM trace GROUP BY session_id
+  UNION ALL SELECT a.session_id, a.i + 1, t.name, {step}, [{came}]
+  FROM ahead a JOIN trace t ON t.session_id = a.session_id AND t.step = a.i + 1),
+back AS (
+  SELECT session_id, i, {end} AS node, 5 AS later FROM (SELECT * FROM ahead QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY i DESC) = 1)
+  UNION ALL SELECT b.session_id, b.i - 1, CASE WHEN came[node + 1] >= 0 THEN came[node + 1] ELSE node END, CASE WHEN came[node + 1] >= 0 THEN node ELSE -1 END
+  FROM back b JOIN ahead a ON a.session_id = b.session_id AND a.i = b.i WHERE b.i > 0),
+gaps(origin, later, stage) AS (VALUES {gaps})
+SELECT b.session_id, b.i + 1 AS at, CASE WHEN later = -1 THEN 'inserted' WHEN a.name = (['signup', 'view', 'click', 'purchase'])[later] THEN 'matched' ELSE 'replaced' END AS move,
+       a.name AS stage, CASE WHEN later > 0 THEN (['signup', 'view', 'click', 'purchase'])[later] END AS expected
+FROM back b JOIN ahead a ON a.session_id = b.session_id AND a.i = b.i + 1 WHERE later < 5
+UNION ALL SELECT b.session_id, b.i + 1, 'skipped', NULL, g.stage FROM back b JOIN gaps g ON g.origin = b.node AND g.later = b.later"""
+
+
+@query(alignment_sql())
+def c10_alignment(spark, sf_dir):
+    return W.align_runs(S.event_trace(spark, sf_dir), BRANCHES).select("session_id", "at", "move", "stage", "expected")
+
+
+@query(f"""WITH {TRACE},
+p AS (SELECT session_id, string_agg(CASE name WHEN 'signup' THEN 's' WHEN 'view' THEN 'v' WHEN 'click' THEN 'c' WHEN 'purchase' THEN 'p' ELSE '?' END, '' ORDER BY step) AS path
+      FROM trace GROUP BY session_id)
+SELECT session_id, levenshtein(path, 'svcp') AS cost FROM p""")
+def c10_line_cost(spark, sf_dir):
+    """On a straight workflow the cost is the edit distance."""
+    return W.run_fit(W.align_runs(S.event_trace(spark, sf_dir), W.line(S.EXPECTED))).select("session_id", "cost")
