@@ -56,8 +56,8 @@ def has_skill(df: DataFrame) -> Column:
     return F.col("skill") if "skill" in df.columns else F.lit(None).cast("string")
 
 
-def ruled(rows: DataFrame, spec: DataFrame) -> DataFrame:
-    """Rows with what their stage asks for: required fields, ranges, the stages it may follow, and out of which stages moves are ruled at all.
+def ruled(rows: DataFrame, spec: DataFrame, moves: bool = False) -> DataFrame:
+    """Rows with what their stage asks for: required fields, ranges, the stages it may follow, and with ``moves`` out of which stages moves are ruled at all.
 
     Rules of a skill hold for its rows, rules without one for all. Each set travels as one row per stage, the last one as one row per skill.
     """
@@ -68,10 +68,6 @@ def ruled(rows: DataFrame, spec: DataFrame) -> DataFrame:
         F.collect_set(F.when(kind == "range", F.struct("rule_id", "lo", "hi"))).alias("ranges"),
         F.collect_set(F.when(kind == "transition", F.col("before"))).alias("allowed"))
     rules = small_side(rules)
-    ways = spec.where(kind == "transition")
-    ruled_from = F.collect_set("before").alias("from")
-    # One row, also without such rules.
-    rows = rows.join(F.broadcast(ways.where("skill IS NULL").agg(ruled_from).select(F.struct("from").alias("_from_all"))))
     asked = F.struct("required", "ranges", "allowed")
     rows = rows.join(rules.where("_skill IS NULL").select("_stage", asked.alias("_for_all")), F.col("stage") == F.col("_stage"), "left").drop("_stage")
     parts = ["_for_all"]
@@ -79,17 +75,25 @@ def ruled(rows: DataFrame, spec: DataFrame) -> DataFrame:
         own = rules.where("_skill IS NOT NULL").select("_skill", "_stage", asked.alias("_own"))
         rows = rows.join(own, (F.col("stage") == F.col("_stage")) & (F.col("skill") == F.col("_skill")), "left").drop("_stage", "_skill")
         parts.append("_own")
-        own_ways = small_side(ways.where("skill IS NOT NULL").groupBy(F.col("skill").alias("_skill")).agg(ruled_from).select("_skill", F.struct("from").alias("_from_own")))
-        rows = rows.join(own_ways, F.col("skill") == F.col("_skill"), "left").drop("_skill")
 
     def put_together(name: str, kind: str, parts: list[str] = parts) -> Column:
         return F.array_distinct(F.concat(*[F.coalesce(f"{p}.{name}", F.array().cast(kind)) for p in parts]))
 
+    if moves:
+        ways = spec.where(kind == "transition")
+        ruled_from = F.collect_set("before").alias("from")
+        # One row, also without such rules.
+        rows = rows.join(F.broadcast(ways.where("skill IS NULL").agg(ruled_from).select(F.struct("from").alias("_from_all"))))
+        sources = ["_from_all"]
+        if "skill" in rows.columns:
+            own_ways = small_side(ways.where("skill IS NOT NULL").groupBy(F.col("skill").alias("_skill")).agg(ruled_from).select("_skill", F.struct("from").alias("_from_own")))
+            rows = rows.join(own_ways, F.col("skill") == F.col("_skill"), "left").drop("_skill")
+            sources.append("_from_own")
+        rows = rows.withColumn("_ruled_from", put_together("from", "array<string>", sources)).drop(*sources)
     return rows.withColumns({
         "_required": F.array_sort(put_together("required", "array<string>")),
         "_ranges": put_together("ranges", "array<struct<rule_id:string,lo:double,hi:double>>"),
-        "_allowed": put_together("allowed", "array<string>"),
-        "_ruled_from": put_together("from", "array<string>", [c for c in ("_from_all", "_from_own") if c in rows.columns])})
+        "_allowed": put_together("allowed", "array<string>")})
 
 
 def _scan(df: DataFrame, checks: list[RowCheck], spec: DataFrame | None = None) -> DataFrame:
@@ -103,7 +107,7 @@ def _scan(df: DataFrame, checks: list[RowCheck], spec: DataFrame | None = None)
     if by_session:
         rows = running(rows, by_session, key=session_key(df))
     if any(check.ruled for check in checks):
-        rows = ruled(rows, spec)
+        rows = ruled(rows, spec, "_before" in runs)
     hits = F.array_compact(F.concat(*[check.hits for check in checks]))
     found = rows.select(*carried(df), "step_id", "step", "stage", has_skill(df).alias("skill"), F.explode(hits).alias("_hit"))
     return _findings(found, F.col("_hit.kind"), F.col("_hit.rule"))

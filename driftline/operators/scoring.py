@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.columns import ordinal_of
-from driftline.functions.ordered import previous, run_key, running, running_max, session_key
+from driftline.functions.ordered import last_rows, previous, run_key, running, running_max, session_key
 from driftline.functions.quantile import median_and_mad
 from driftline.functions.sizing import settle, small_side, store
 from driftline.operators.checks import ruled
@@ -62,9 +62,63 @@ def trajectory_surprise(df: DataFrame) -> DataFrame:
         (F.sum(F.col("_cost") * F.col("_n")) / F.sum("_n")).alias("surprise"), F.sum("_n").alias("moves"))
 
 
+def _contexts(df: DataFrame, depth: int) -> DataFrame:
+    """(keys, past, stage, n): how often a session takes a stage after up to ``depth`` stages, the nearest first; unknown ones end the past."""
+    rows = running(df, {"_rows": last_rows("stage", depth)}).withColumn("_past", F.reverse("_rows"))
+    unknown = F.array_position(F.transform("_past", lambda s: s.isNull()), F.lit(True)).cast("int")
+    past = F.when(unknown > 0, F.slice("_past", F.lit(1), unknown - 1)).otherwise(F.col("_past"))
+    counted = rows.select(*session_key(df), past.alias("past"), "stage").where(F.size("past") > 0)
+    return store(counted.groupBy(*session_key(df), "past", "stage").agg(F.count("*").alias("n")))
+
+
+def _tree(moves: DataFrame, depth: int, least_gain: float) -> DataFrame:
+    whole = moves.groupBy("past", "stage").agg(F.sum("n").alias("n"))
+    each = F.explode(F.transform(F.sequence(F.lit(1), F.least(F.size("past"), F.lit(depth))), lambda k: F.slice("past", 1, k))).alias("context")
+    counts = whole.select("stage", "n", each).groupBy("context", "stage").agg(F.sum("n").alias("n"))
+    shares = store(counts.withColumn("p", F.col("n") / F.sum("n").over(Window.partitionBy("context"))))
+    # A context stays if it tells enough more than the one without its oldest stage.
+    above = shares.select(F.struct("context", "stage").alias("_of"), F.col("p").alias("_p"))
+    shorter = F.struct(F.slice("context", F.lit(1), F.size("context") - 1).alias("context"), F.col("stage"))
+    gains = shares.where(F.size("context") > 1).join(above, shorter == F.col("_of")).groupBy("context").agg(
+        F.round(F.sum(F.col("n") * F.log(F.col("p") / F.col("_p"))), 9).alias("gain"))
+    kept = gains.where(F.col("gain") >= least_gain).select("context", "gain")
+    first = shares.where(F.size("context") == 1).withColumn("gain", F.lit(None).cast("double"))
+    return first.unionByName(shares.join(kept, "context"))
+
+
+def context_tree(df: DataFrame, depth: int = 3, least_gain: float = 10.0) -> DataFrame:
+    """(context, stage, n, p, gain): shares of the next stage after every context of up to ``depth`` stages, the nearest first.
+
+    A context of more than one stage is kept if it gains ``least_gain`` or more, in summed log likelihood, over the one without its oldest
+    stage. Those of one stage are all kept, without a gain.
+    """
+    return _tree(_contexts(df, depth), depth, least_gain)
+
+
+def context_surprise(df: DataFrame, depth: int = 3, least_gain: float = 10.0) -> DataFrame:
+    """Mean of -ln p(next | longest kept context) per session. With ``depth`` 1 this is ``trajectory_surprise``."""
+    moves = _contexts(df, depth)
+    tree = settle(_tree(moves, depth, least_gain).select(F.struct("context", "stage").alias("_of"), (-F.log("p")).alias("_cost")))
+    asked = moves.select("past", "stage").distinct()
+    known = asked.select("past", "stage", F.explode(F.sequence(F.lit(1), F.size("past"))).alias("_k"))
+    at = F.struct(F.slice("past", F.lit(1), F.col("_k")).alias("context"), F.col("stage"))
+    cost = known.join(small_side(tree), at == F.col("_of")).groupBy("past", "stage").agg(F.max_by("_cost", "_k").alias("_cost"))
+    cost = small_side(settle(cost.select(F.struct("past", "stage").alias("_at"), "_cost")))
+    return moves.join(cost, F.struct("past", "stage") == F.col("_at")).groupBy(*session_key(df)).agg(
+        (F.sum(F.col("_cost") * F.col("n")) / F.sum("n")).alias("surprise"), F.sum("n").alias("moves"))
+
+
+def context_anomaly(df: DataFrame, depth: int = 3, least_gain: float = 10.0, max_rows: int | None = None) -> DataFrame:
+    """``trajectory_anomaly`` by a context tree, which also sees what single moves do not show."""
+    return _with_z(context_surprise(df, depth, least_gain), max_rows)
+
+
 def trajectory_anomaly(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Surprise per session with its robust z score (0.6745 times the distance in MADs)."""
-    surprise = trajectory_surprise(df)
+    return _with_z(trajectory_surprise(df), max_rows)
+
+
+def _with_z(surprise: DataFrame, max_rows: int | None) -> DataFrame:
     # Sums of the same terms in another order may differ in the last digits.
     steady = settle(surprise.withColumn("surprise", F.round("surprise", 9)))
     middle, spread = median_and_mad(steady, "surprise", max_rows)

@@ -170,6 +170,42 @@ def g4_trajectory_anomaly(spark, sf_dir):
         "session_id", "moves", F.round("surprise", 6).alias("surprise"), F.round("robust_z", 4).alias("robust_z"))
 
 
+CONTEXTS = """
+steps AS (SELECT session_id, step, name, lag(name, 1) OVER w AS a, lag(name, 2) OVER w AS b, lag(name, 3) OVER w AS c FROM trace WINDOW w AS (PARTITION BY session_id ORDER BY step)),
+moves AS (SELECT * FROM steps WHERE a IS NOT NULL),
+c1 AS (SELECT a, name, count(*) AS n FROM moves GROUP BY ALL),
+c2 AS (SELECT a, b, name, count(*) AS n FROM moves WHERE b IS NOT NULL GROUP BY ALL),
+c3 AS (SELECT a, b, c, name, count(*) AS n FROM moves WHERE c IS NOT NULL GROUP BY ALL),
+p1 AS (SELECT *, n / sum(n) OVER (PARTITION BY a) AS p FROM c1),
+p2 AS (SELECT *, n / sum(n) OVER (PARTITION BY a, b) AS p FROM c2),
+p3 AS (SELECT *, n / sum(n) OVER (PARTITION BY a, b, c) AS p FROM c3),
+g2 AS (SELECT p2.a, p2.b, round(sum(p2.n * ln(p2.p / p1.p)), 9) AS gain FROM p2 JOIN p1 USING (a, name) GROUP BY ALL HAVING gain >= 4),
+g3 AS (SELECT p3.a, p3.b, p3.c, round(sum(p3.n * ln(p3.p / p2.p)), 9) AS gain FROM p3 JOIN p2 USING (a, b, name) GROUP BY ALL HAVING gain >= 4)"""
+
+
+@query(f"""WITH {TRACE}, {CONTEXTS}
+SELECT a AS context, name AS stage, n, round(p, 6) AS p, NULL::DOUBLE AS gain FROM p1
+UNION ALL SELECT concat(a, '<', b), name, n, round(p, 6), round(gain, 6) FROM p2 JOIN g2 USING (a, b)
+UNION ALL SELECT concat(a, '<', b, '<', c), name, n, round(p, 6), round(gain, 6) FROM p3 JOIN g3 USING (a, b, c)""")
+def g4_context_tree(spark, sf_dir):
+    return G.context_tree(S.event_trace(spark, sf_dir), 3, 4.0).select(
+        F.array_join("context", "<").alias("context"), "stage", "n", F.round("p", 6).alias("p"), F.round("gain", 6).alias("gain"))
+
+
+@query(f"""WITH {TRACE}, {CONTEXTS},
+q AS (SELECT m.session_id, -ln(CASE WHEN g3.gain IS NOT NULL THEN p3.p WHEN g2.gain IS NOT NULL THEN p2.p ELSE p1.p END) AS cost
+      FROM moves m JOIN p1 ON p1.a = m.a AND p1.name = m.name
+      LEFT JOIN p2 ON p2.a = m.a AND p2.b = m.b AND p2.name = m.name LEFT JOIN g2 ON g2.a = m.a AND g2.b = m.b
+      LEFT JOIN p3 ON p3.a = m.a AND p3.b = m.b AND p3.c = m.c AND p3.name = m.name LEFT JOIN g3 ON g3.a = m.a AND g3.b = m.b AND g3.c = m.c),
+c AS (SELECT session_id, round(avg(cost), 9) AS surprise, count(*) AS moves FROM q GROUP BY 1),
+m AS (SELECT quantile_cont(surprise, 0.5) AS mid FROM c),
+d AS (SELECT quantile_cont(abs(surprise - mid), 0.5) AS mad FROM c, m)
+SELECT session_id, moves, round(surprise, 6) AS surprise, round(0.6745 * (surprise - mid) / mad, 4) AS robust_z FROM c, m, d""")
+def g4_context_anomaly(spark, sf_dir):
+    return G.context_anomaly(S.event_trace(spark, sf_dir), 3, 4.0).select(
+        "session_id", "moves", F.round("surprise", 6).alias("surprise"), F.round("robust_z", 4).alias("robust_z"))
+
+
 @query(f"""WITH {TRACE}, t AS (SELECT session_id, concat(session_id, '/', signups) AS task_id, name AS stage, CAST(step AS BIGINT) AS step, value FROM trace)
 SELECT session_id, task_id, stage, step, grouping(session_id, task_id, stage, step)::BIGINT AS level, count(*) AS n_rows, round(avg(value), 6) AS mean_score
 FROM t GROUP BY ROLLUP (session_id, task_id, stage, step)""")

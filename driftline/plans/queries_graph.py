@@ -8,6 +8,7 @@ from driftline.functions.columns import signature
 from driftline.functions.ordered import previous, running
 from driftline.functions.sizing import settle, store
 from driftline.operators import attribution as A
+from driftline.operators import consensus as K
 from driftline.operators import claims as V
 from driftline.operators import graph as B
 from driftline.plans.queries_trace import conform, drift_findings, scratch
@@ -206,6 +207,41 @@ def a13_vote(spark, sf_dir):
     return A.vote(S.document_votes(spark, sf_dir), 3).select("finding_id", "n_votes", "confirm", "correct", "decision")
 
 
+def weighed_sql(rounds: int) -> str:
+    """The rounds written out one after the other, finding by finding."""
+    kinds = K.VERDICTS
+    votes = """v AS (SELECT CAST(d.doc_id AS VARCHAR) AS finding_id, u.reviewer, CASE WHEN u.bad THEN 'correct' ELSE 'confirm' END AS verdict
+  FROM documents d JOIN labels l ON l.doc_id = d.doc_id,
+       LATERAL (VALUES ('length', d.n_chars < 200), ('quality', l.quality = 0), ('toxicity', l.toxic = 1)) u(reviewer, bad)),
+p0 AS (SELECT finding_id, """ + ", ".join(f"count(*) FILTER (verdict = '{k}') / count(*) AS s{c}" for c, k in enumerate(kinds)) + " FROM v GROUP BY 1)"
+    sums = lambda a: ", ".join(f"sum(p.s{c}) AS {a}{c}" for c in range(3))
+    for k in range(rounds):
+        votes += f""",
+g{k} AS (SELECT reviewer, verdict, {sums('g')} FROM v JOIN p{k} p USING (finding_id) GROUP BY 1, 2),
+t{k} AS (SELECT reviewer, {', '.join(f'sum(g{c}) AS t{c}' for c in range(3))} FROM g{k} GROUP BY 1),
+r{k} AS (SELECT reviewer, verdict, {', '.join(f'ln((g{c} + 1) / (t{c} + 3)) AS r{c}' for c in range(3))} FROM g{k} JOIN t{k} USING (reviewer)),
+o{k} AS (SELECT {', '.join(f'ln((sum(s{c}) + 1) / (count(*) + 3)) AS o{c}' for c in range(3))} FROM p{k}),
+l{k} AS (SELECT finding_id, {', '.join(f'sum(r{c}) + any_value(o{c}) AS l{c}' for c in range(3))} FROM v JOIN r{k} USING (reviewer, verdict), o{k} GROUP BY 1),
+p{k + 1} AS (SELECT finding_id, {', '.join(f'exp(l{c} - greatest(l0, l1, l2)) / (exp(l0 - greatest(l0, l1, l2)) + exp(l1 - greatest(l0, l1, l2)) + exp(l2 - greatest(l0, l1, l2))) AS s{c}' for c in range(3))} FROM l{k})"""
+    return votes
+
+
+@query(f"""WITH {weighed_sql(K.ROUNDS)}
+SELECT finding_id, 3::BIGINT AS n_votes, CASE WHEN s0 >= s1 AND s0 >= s2 THEN 'confirm' WHEN s1 >= s2 THEN 'correct' ELSE 'insufficient' END AS decision,
+       round(greatest(s0, s1, s2), 6) AS probability FROM p{K.ROUNDS}""")
+def a13_weighed_votes(spark, sf_dir):
+    found, _ = K.weighed_votes(S.document_votes(spark, sf_dir))
+    return found.select("finding_id", F.col("n_votes").cast("bigint").alias("n_votes"), "decision", F.round("probability", 6).alias("probability"))
+
+
+@query(f"""WITH {weighed_sql(K.ROUNDS)},
+r AS (SELECT reviewer, verdict, unnest(['confirm', 'correct', 'insufficient']) AS truth, exp(unnest([r0, r1, r2])) AS rate FROM r{K.ROUNDS - 1})
+SELECT reviewer, truth, verdict, round(rate, 6) AS rate FROM r""")
+def a13_verifier_rates(spark, sf_dir):
+    _, rates = K.weighed_votes(S.document_votes(spark, sf_dir))
+    return rates.select("reviewer", "truth", "verdict", F.round("rate", 6).alias("rate"))
+
+
 def session_cases(trace):
     """A case per session: shape of its first deviation, and what came before it as its cause."""
     first = drift_findings(trace).groupBy("session_id").agg(F.min(F.struct("step", "step_id", "rule_kind", "stage")).alias("f"))

@@ -321,3 +321,46 @@ def test_cases_left_open_are_told(spark):
     assert found == {"a": "regressed", "b": "undecided", "c": "reopened", "d": "settled", "g": "gone", "h": "new"}
     gate = E.release_gate(base, cand, {}).first()
     assert gate["regressions"] == sum(v in ("regressed", "undecided") for v in found.values())
+
+
+def test_a_reliable_minority_outvotes_a_noisy_majority(spark):
+    """Two verifiers that are nearly always right, three that guess; repeated votes, odd verdicts, and a finding with one vote."""
+    from driftline.operators import consensus
+    chance = random.Random(1)
+    truth = {f"f{k:03d}": chance.choice(["confirm", "correct"]) for k in range(400)}
+    other = {"confirm": "correct", "correct": "confirm"}
+    rows = [(f, who, t if chance.random() < 0.97 else other[t]) for f, t in truth.items() for who in ("sure-a", "sure-b")]
+    rows += [(f, who, chance.choice(["confirm", "correct"])) for f in truth for who in ("dice-a", "dice-b", "dice-c")]
+    for f in ("f000", "f001"):
+        rows = [r for r in rows if r[0] != f] + [(f, w, truth[f]) for w in ("sure-a", "sure-b")] + [(f, f"dice-{c}", other[truth[f]]) for c in "abc"]
+    given = spark.createDataFrame(rows + rows[:50] + [("one", "sure-a", "insufficient"), (None, "sure-a", "confirm"), ("f000", None, "confirm"), ("none", "sure-a", "maybe")],
+                                  "finding_id string, reviewer string, verdict string")
+    found, rates = consensus.weighed_votes(given)
+    found = {r["finding_id"]: r for r in found.collect()}
+    assert set(found) == {*truth, "one"} and found["one"]["n_votes"] == 1
+    assert found["f000"]["decision"] == truth["f000"] and found["f001"]["decision"] == truth["f001"] and found["f000"]["n_votes"] == 5
+    assert A.vote(given, 3).where("finding_id = 'f001'").first()["decision"] == other[truth["f001"]]
+    assert sum(found[f]["decision"] == t for f, t in truth.items()) >= 0.95 * len(truth)
+    right = {r["reviewer"]: r["rate"] for r in rates.where("truth = 'confirm' AND verdict = 'confirm'").collect()}
+    assert min(right["sure-a"], right["sure-b"]) > 0.9 and max(right[f"dice-{c}"] for c in "abc") < 0.7
+    empty, _ = consensus.weighed_votes(given.limit(0))
+    assert empty.count() == 0
+
+
+def test_contexts_see_what_single_moves_do_not(spark):
+    """Every run goes round three stages one way; one goes round by moves that are each as common, in an order no other takes."""
+    usual = ["view", "click", "view", "purchase"] * 8
+    odd = ["view", "click", "view", "click"] * 4 + ["view", "purchase", "view", "purchase"] * 4
+    df = trace(spark, {**{f"s{k:02d}": usual for k in range(30)}, "odd": odd})
+    near = G.trajectory_surprise(df).groupBy().agg(F.max("surprise") - F.min("surprise")).first()[0]
+    far = G.context_anomaly(df, 3, 1.0).orderBy(F.desc("surprise")).collect()
+    assert near < 0.02 and far[0]["session_id"] == "odd" and far[0]["surprise"] > 10 * far[1]["surprise"]
+    one = {r["session_id"]: round(r["surprise"], 9) for r in G.context_surprise(df, 1).collect()}
+    assert one == {r["session_id"]: round(r["surprise"], 9) for r in G.trajectory_surprise(df).collect()}
+
+
+def test_unknown_stages_end_a_context(spark, cut_groups):
+    df = trace(spark, {"a": ["view", {"stage": None}, "click", "view", "click"], "b": ["view"]})
+    tree = {(tuple(r["context"]), r["stage"]): r["n"] for r in G.context_tree(df, 3, -1e9).collect()}
+    assert tree == {(("view",), None): 1, (("click",), "view"): 1, (("view",), "click"): 1, (("view", "click"), "click"): 1}
+    assert G.context_tree(df.limit(0)).count() == 0
