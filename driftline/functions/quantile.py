@@ -34,21 +34,28 @@ def quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float],
         out = counted.groupBy("_g").agg(wanted.alias("_q"))
         return out.select(*named, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
 
-    picks = settle(_picks(rows, list(probs.values()), max_rows, sketched=True))
-    if not picks.where(F.col("_low").isNull() | F.col("_high").isNull()).isEmpty():
-        picks = settle(_picks(rows, list(probs.values()), max_rows, sketched=False))
+    brackets = [rows.groupBy("_g").agg(F.count("*").alias("_n"), F.array(*[_bracket(i, p, sketched) for i, p in enumerate(probs.values())]).alias("_b"))
+                for sketched in (True, False)]
+    return _exact(rows, brackets, probs, max_rows).select(*named, *probs)
+
+
+def _exact(rows: DataFrame, brackets: list[DataFrame], probs: dict[str, float], max_rows: int) -> DataFrame:
+    """Quantiles per group ``_g`` by the first of the ``brackets``; by the second, should a value lie outside the first."""
+    near = settle(brackets[0])
+    picks = settle(_picks(rows, near, max_rows))
+    hit = picks.where(F.col("_low").isNotNull() & F.col("_high").isNotNull())
+    if hit.count() < near.count() * len(probs):
+        picks = settle(_picks(rows, settle(brackets[1]), max_rows))
     # As the built-in percentile does it.
     place = F.col("_p") * (F.col("_n") - 1)
     between = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(
         (F.ceil(place) - place) * F.col("_low") + (place - F.floor(place)) * F.col("_high"))
     values = [F.max(F.when(F.col("_i") == i, between)).alias(n) for i, n in enumerate(probs)]
-    return picks.groupBy("_g").agg(*values).select(*named, *probs)
+    return picks.groupBy("_g").agg(*values)
 
 
-def _picks(rows: DataFrame, probs: list[float], max_rows: int, sketched: bool) -> DataFrame:
+def _picks(rows: DataFrame, brackets: DataFrame, max_rows: int) -> DataFrame:
     """Per group and probability the values at the two ranks around it, null where the bracket misses."""
-    brackets = settle(rows.groupBy("_g").agg(
-        F.count("*").alias("_n"), F.array(*[_bracket(i, p, sketched) for i, p in enumerate(probs)]).alias("_b")))
     marked = rows.join(small_side(brackets), "_g")
     below = marked.select("_g", "_v", F.inline("_b")).groupBy("_g", "_i").agg(
         F.count_if(F.col("_v") < F.col("_from")).alias("_below"))
@@ -77,6 +84,41 @@ def _bracket(i: int, p: float, sketched: bool) -> Column:
     return F.struct(F.lit(i).alias("_i"), F.lit(p).alias("_p"), low.alias("_from"), high.alias("_to"))
 
 
+SKETCH_K = 1_000            # of the stored sketches
+SKETCH_SLACK = 0.01         # three times the rank error that they have with odds 0.99
+
+
+def value_sketches(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(by, n, least, most, sketch): what is kept of the values of each group, a few kilobytes however many they are.
+
+    Sketches of groups can be put together, so those of a version's stages serve every span of versions. Null values and NaN do not count; a group of none has no row.
+    """
+    v = F.col(value).cast("double")
+    rows = df.where(v.isNotNull() & ~F.isnan(v)).withColumn("_v", v)
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("_v").alias("least"), F.max("_v").alias("most"), F.kll_sketch_agg_double("_v", F.lit(SKETCH_K)).alias("sketch"))
+
+
+def sketched_quantiles(sketches: DataFrame, df: DataFrame, by: list[str], value: str, probs: dict[str, float], max_rows: int | None = None) -> DataFrame:
+    """``quantiles`` of ``df`` per group of ``by`` from stored ``sketches`` of finer groups of the same rows.
+
+    The sketches are put together and bracket each rank; one pass over ``df`` then counts what lies below the brackets and ranks what lies inside.
+    Should a sketch have missed, the bracket is widened to everything.
+    """
+    key = F.struct(*by) if by else F.struct(F.lit(1).alias("all"))
+    whole = settle(sketches.groupBy(key.alias("_g")).agg(F.sum("n").alias("_n"), F.min("least").alias("_least"), F.max("most").alias("_most"),
+                                                         F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("_sketch")))
+
+    def bracket(i: int, p: float, sketched: bool) -> Column:
+        low = F.kll_sketch_get_quantile_double("_sketch", F.lit(min(1.0, p - SKETCH_SLACK))) if sketched and p > SKETCH_SLACK else F.col("_least")
+        high = F.kll_sketch_get_quantile_double("_sketch", F.lit(max(0.0, p + SKETCH_SLACK))) if sketched and p < 1 - SKETCH_SLACK else F.col("_most")
+        return F.struct(F.lit(i).alias("_i"), F.lit(p).alias("_p"), low.alias("_from"), high.alias("_to"))
+
+    brackets = [whole.select("_g", "_n", F.array(*[bracket(i, p, sketched) for i, p in enumerate(probs.values())]).alias("_b")) for sketched in (True, False)]
+    v = F.col(value).cast("double")
+    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(key.alias("_g"), v.alias("_v"))
+    return _exact(rows, brackets, probs, max_rows or MAX_GROUP_VALUES).select(*[F.col("_g")[c].alias(c) for c in by], *probs)
+
+
 def median_and_mad(df: DataFrame, value: str, max_rows: int | None = None) -> tuple[float | None, float | None]:
     """Median and median absolute deviation of one column, as two driver-side numbers."""
     middle = quantiles(df, [], value, {"m": 0.5}, max_rows).first()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.columns import seconds_between
 from driftline.functions.ordered import carried, last_known, last_rows, previous, running
-from driftline.functions.quantile import quantiles
+from driftline.functions.quantile import quantiles, sketched_quantiles, value_sketches
 from driftline.functions.sizing import settle, small_side, store
 from driftline.operators.nearest import nearest
 
@@ -166,12 +166,30 @@ def attribution_report(symptoms: DataFrame, critical: DataFrame, causes: DataFra
         F.col("_gate.gate_step_id").alias("gate_step_id"), sentence.alias("sentence"))
 
 
+def flow_moves(df: DataFrame) -> DataFrame:
+    """Moves from stage to stage with their seconds, and the version of the run where rows have one."""
+    moves = running(df, {"before": previous("stage"), "_ts": previous("ts")}).where("before is not null")
+    return moves.select(*[c for c in ("version",) if c in df.columns], "before", "stage", seconds_between(F.col("_ts"), F.col("ts")).alias("seconds"))
+
+
 def flow_view(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Stage to stage moves with their count and exact median seconds, null where no move has a time."""
-    moves = running(df, {"before": previous("stage"), "_ts": previous("ts")}).where("before is not null")
-    moves = store(moves.select("before", "stage", seconds_between(F.col("_ts"), F.col("ts")).alias("seconds")))
+    moves = store(flow_moves(df).select("before", "stage", "seconds"))
+    return _flow(moves, quantiles(moves, ["before", "stage"], "seconds", {"median_seconds": 0.5}, max_rows))
+
+
+def flow_sketches(moves: DataFrame) -> DataFrame:
+    """What is kept of the seconds of a version's moves; see ``value_sketches``."""
+    return value_sketches(moves, ["version", "before", "stage"], "seconds")
+
+
+def flow_view_over(sketches: DataFrame, moves: DataFrame) -> DataFrame:
+    """``flow_view`` of the ``flow_moves`` of a span of versions, bracketed by the sketches kept of these versions."""
+    return _flow(moves, sketched_quantiles(sketches, moves, ["before", "stage"], "seconds", {"median_seconds": 0.5}))
+
+
+def _flow(moves: DataFrame, middles: DataFrame) -> DataFrame:
     counts = moves.groupBy("before", "stage").agg(F.count("*").alias("n"))
-    middles = quantiles(moves, ["before", "stage"], "seconds", {"median_seconds": 0.5}, max_rows)
     # Moves into a null stage or without times keep their count.
     same = F.struct("before", "stage") == F.col("_at")
     return counts.join(middles.select(F.struct("before", "stage").alias("_at"), "median_seconds"), same, "left").drop("_at")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from driftline.functions.ordered import previous, run_key, running
-from driftline.functions.quantile import quantiles
+from driftline.functions.quantile import quantiles, sketched_quantiles, value_sketches
 from driftline.functions.sizing import settle
 from driftline.sources import schemas
 
@@ -106,6 +106,17 @@ def transition_shares(df: DataFrame) -> DataFrame:
     return counts.withColumn("support", F.col("n") / F.sum("n").over(Window.partitionBy("before")))
 
 
+def range_sketches(df: DataFrame) -> DataFrame:
+    """What is kept of a version's values per stage, so that ranges over any span of versions need no second look at earlier ones; see ``value_sketches``."""
+    return value_sketches(df, ["version", "stage"], "value")
+
+
+def mine_ranges_over(sketches: DataFrame, df: DataFrame, lo: float, hi: float, skill: str | None = None) -> DataFrame:
+    """``mine_ranges`` of the rows ``df`` of a span of versions, bracketed by the sketches kept of these versions."""
+    found = sketched_quantiles(sketches, df, ["stage"], "value", {"lo": lo, "hi": hi})
+    return _rules(found, "range", skill, stage=F.col("stage"), lo=F.col("lo"), hi=F.col("hi"))
+
+
 def mine_transitions(df: DataFrame, theta: float, skill: str | None = None) -> DataFrame:
     """Transitions taken in at least ``theta`` of the exits of their source stage."""
     kept = transition_shares(df).where(F.col("support") >= theta)

@@ -326,3 +326,13 @@ SELECT before, name AS stage, count(*) AS n,
 FROM trace WHERE before IS NOT NULL GROUP BY 1, 2""")
 def a16_flow_view(spark, sf_dir):
     return A.flow_view(S.event_trace(spark, sf_dir)).withColumn("median_seconds", F.round("median_seconds", 4))
+
+
+@query(f"""WITH {TRACE}
+SELECT before, name AS stage, count(*) AS n, round(quantile_cont(date_diff('microsecond', ts_before, ts) / 1e6, 0.5), 4) AS median_seconds
+FROM trace WHERE before IS NOT NULL AND version BETWEEN '2024-01-08' AND '2024-01-22' GROUP BY 1, 2""")
+def a16_flow_over_versions(spark, sf_dir):
+    """Three versions' flow from sketches kept of every version."""
+    moves = store(A.flow_moves(S.event_trace(spark, sf_dir)))
+    kept, span = store(A.flow_sketches(moves)), F.col("version").between("2024-01-08", "2024-01-22")
+    return A.flow_view_over(kept.where(span), moves.where(span)).withColumn("median_seconds", F.round("median_seconds", 4))

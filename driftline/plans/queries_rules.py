@@ -329,3 +329,13 @@ SELECT session_id, levenshtein(path, 'svcp') AS cost FROM p""")
 def c10_line_cost(spark, sf_dir):
     """On a straight workflow the cost is the edit distance."""
     return W.run_fit(W.align_runs(S.event_trace(spark, sf_dir), W.line(S.EXPECTED))).select("session_id", "cost")
+
+
+@query("""WITH b AS (SELECT event_type AS stage, quantile_cont(value, [0.05, 0.95]) AS q FROM events
+WHERE strftime(date_trunc('week', ts), '%Y-%m-%d') BETWEEN '2024-01-08' AND '2024-01-22' GROUP BY 1)
+SELECT stage, round(q[1], 6) AS lo, round(q[2], 6) AS hi FROM b""")
+def p4_ranges_over_versions(spark, sf_dir):
+    """Three versions' ranges from sketches kept of every version."""
+    rows = S.event_rows(spark, sf_dir)
+    kept, span = store(P.range_sketches(rows)), F.col("version").between("2024-01-08", "2024-01-22")
+    return P.mine_ranges_over(kept.where(span), rows.where(span), 0.05, 0.95).select("stage", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"))

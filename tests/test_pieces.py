@@ -99,6 +99,27 @@ def test_a_window_is_one_row(spark):
     assert [(r["place"], r["name"]) for r in names] == list(enumerate(["signup", "view", "click", "purchase", "error"], 1))
 
 
+def test_sketches_of_parts_give_the_quantiles_of_the_whole(spark, monkeypatch):
+    """Heavy ties, a null group, NaN, one group in every part; only values inside the brackets are ranked."""
+    from driftline.functions import quantile
+    rnd = random.Random(5)
+    rows = [(p, rnd.choice(["x", "x", "x", "y", None]), float(rnd.choice([rnd.gauss(0, 1), 3.0, -rnd.randrange(4)]))) for p in range(6) for _ in range(2000)]
+    rows += [(1, "x", None), (1, "y", float("nan")), (2, "alone", 7.0), (3, "none", None)]
+    df = spark.createDataFrame(rows, "part int, g string, v double")
+    probs = {"a": 0.05, "m": 0.5, "b": 0.95, "end": 1.0}
+    held = quantile.value_sketches(df, ["part", "g"], "v")
+    ranked = []
+    plain = quantile.segment
+    monkeypatch.setattr(quantile, "segment", lambda d, *a: ranked.append(d.agg(F.sum("_w")).first()[0]) or plain(d, *a))
+    told = lambda d: sorted((str(r["g"]), *(round(r[c], 12) for c in probs)) for r in d.collect())
+    some = F.col("part").between(1, 4)
+    got = told(quantile.sketched_quantiles(held.where(some), df.where(some), ["g"], "v", probs))
+    assert got == told(quantiles(df.where(some), ["g"], "v", probs)) and len(got) == 4
+    assert len(ranked) == 1 and ranked[0] < 8000 * 1.5
+    monkeypatch.setattr(quantile, "SKETCH_SLACK", -0.04)      # brackets that miss are widened
+    assert told(quantile.sketched_quantiles(held, df, ["g"], "v", probs)) == told(quantiles(df, ["g"], "v", probs))
+
+
 def test_near_cases_are_earlier_and_resolved(spark):
     rnd = np.random.default_rng(8)
     base = rnd.normal(size=(40, 16))
