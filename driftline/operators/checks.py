@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from driftline.functions.columns import lookup, ordinal_of
 from driftline.functions.ordered import SEG, Run, carried, last_known, previous, run_key, running, running_max, session_key
 from driftline.functions.sizing import small_side
+from driftline.operators.sequences import lacking
 
 # Weight of a deviation by its kind.
 SEVERITY = {
@@ -29,6 +30,7 @@ SEVERITY = {
     "out_of_range": 0.2,
     "protocol": 0.2,
     "bad_type": 0.4,
+    "sequence": 0.5,
 }
 
 
@@ -247,11 +249,25 @@ def precedence_violations(df: DataFrame, spec: DataFrame) -> DataFrame:
     return _findings(turned, F.lit("precedence"), F.concat_ws(":", F.lit("precedence"), "before", "stage"))
 
 
+def sequence_violations(df: DataFrame, spec: DataFrame) -> DataFrame:
+    """Runs that do not hold a sequence of stages they should; a rule that names a skill asks the rows of that skill, of runs that have some."""
+    rules = spec.where("rule_kind = 'sequence'").select("skill", F.concat_ws(">", "before", "stage").alias("q")).distinct().collect()    # rules are few
+    found = None
+    for skill in sorted({r["skill"] for r in rules}, key=str):
+        rows = df if skill is None else df.where(F.col("skill") == skill) if "skill" in df.columns else df.limit(0)
+        own = lacking(rows, sorted(tuple(r["q"].split(">")) for r in rules if r["skill"] == skill)).withColumn("skill", F.lit(skill).cast("string"))
+        found = own if found is None else found.unionByName(own)
+    if found is None:
+        found = lacking(df.limit(0), []).withColumn("skill", F.lit(None).cast("string"))
+    found = found.withColumns({"stage": F.substring_index("sequence", ">", -1), "step_id": F.lit(None).cast("bigint"), "step": F.lit(None).cast("int")})
+    return _findings(found, F.lit("sequence"), F.concat_ws(":", F.lit("sequence"), "sequence"))
+
+
 def debug_windows(df: DataFrame, spec: DataFrame, ordinals: dict[str, int] | None = None,
                   policy: dict[str, str] | None = None, types: dict[str, str] | None = None) -> DataFrame:
     """Every deviation of the given rows from their rules in one table of findings.
 
-    One pass finds what single rows show, two aggregates what whole runs lack or turn round.
+    One pass finds what single rows show, two aggregates what whole runs lack or turn round; sequences are looked for if there are rules of this kind.
     Pass the spec settled or read from a file: several steps look at it.
     """
     checks = [_check_fields(), _check_range(), _check_transition()]
@@ -263,5 +279,7 @@ def debug_windows(df: DataFrame, spec: DataFrame, ordinals: dict[str, int] | Non
         checks.append(_check_types(types))
     found = _scan(df, checks, spec)
     whole = precedence_violations(df, spec).unionByName(missing_stages(df, spec))
+    if not spec.where("rule_kind = 'sequence'").isEmpty():
+        whole = whole.unionByName(sequence_violations(df, spec))
     # Findings on whole runs name no piece; they get the first.
     return found.unionByName(whole.withColumn(SEG, F.lit(0)) if SEG in found.columns else whole)

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from driftline.functions.ordered import previous, run_key, running
 from driftline.functions.quantile import quantiles, sketched_quantiles, value_sketches
 from driftline.functions.sizing import settle
+from driftline.operators.sequences import frequent_sequences
 from driftline.sources import schemas
 
 
@@ -123,6 +124,16 @@ def mine_transitions(df: DataFrame, theta: float, skill: str | None = None) -> D
     return _rules(kept, "transition", skill, before=F.col("before"), stage=F.col("stage"), support=F.col("support"))
 
 
+def mine_sequences(df: DataFrame, theta: float, longest: int = 3, skill: str | None = None) -> DataFrame:
+    """Sequences of stages, in this order with anything between, that at least ``theta`` of the runs hold; those inside a longer one are left out.
+
+    ``before`` has all stages but the last, joined by ``>``.
+    """
+    found = [(">".join(q[:-1]) or None, q[-1], share) for q, share in frequent_sequences(df, theta, longest) if len(q) > 1]
+    rows = df.sparkSession.createDataFrame(found, "before string, stage string, support double")
+    return _rules(rows, "sequence", skill, before=F.col("before"), stage=F.col("stage"), support=F.col("support"))
+
+
 def extract_spec(df: DataFrame, theta: float, lo: float = 0.05, hi: float = 0.95,
                  skill: str | None = None) -> DataFrame:
     """All mined rules of a skill in one spec table."""

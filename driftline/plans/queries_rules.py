@@ -339,3 +339,32 @@ def p4_ranges_over_versions(spark, sf_dir):
     rows = S.event_rows(spark, sf_dir)
     kept, span = store(P.range_sketches(rows)), F.col("version").between("2024-01-08", "2024-01-22")
     return P.mine_ranges_over(kept.where(span), rows.where(span), 0.05, 0.95).select("stage", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"))
+
+
+SEQUENCES = """
+runs AS (SELECT session_id, string_agg(CASE name WHEN 'signup' THEN 's' WHEN 'view' THEN 'v' WHEN 'click' THEN 'c' WHEN 'purchase' THEN 'p' ELSE 'e' END, '' ORDER BY step) AS path
+         FROM trace GROUP BY 1),
+kinds(k, stage) AS (VALUES ('s', 'signup'), ('v', 'view'), ('c', 'click'), ('p', 'purchase'), ('e', 'error')),
+tried AS (
+  SELECT k AS q, stage AS said, k AS wanted FROM kinds
+  UNION ALL SELECT concat(a.k, b.k), concat_ws('>', a.stage, b.stage), concat(a.k, '.*', b.k) FROM kinds a, kinds b
+  UNION ALL SELECT concat(a.k, b.k, c.k), concat_ws('>', a.stage, b.stage, c.stage), concat(a.k, '.*', b.k, '.*', c.k) FROM kinds a, kinds b, kinds c),
+held AS (SELECT q, said, wanted, count(*) FILTER (regexp_matches(path, wanted)) / count(*) AS support FROM tried, runs GROUP BY 1, 2, 3 HAVING support >= 0.3),
+most AS (SELECT * FROM held a WHERE len(q) > 1 AND NOT EXISTS (
+  SELECT 1 FROM held b WHERE len(b.q) > len(a.q) AND regexp_matches(b.q, a.wanted)))"""
+
+
+@query(f"""WITH {TRACE}, {SEQUENCES}
+SELECT concat('sequence:', said, ':') AS rule_id, round(support, 6) AS support FROM (
+  SELECT concat(array_to_string(string_split(said, '>')[:-2], '>'), ':', string_split(said, '>')[-1]) AS said, support FROM most)""")
+def p1_mine_sequences(spark, sf_dir):
+    return P.mine_sequences(S.event_trace(spark, sf_dir), 0.3).select("rule_id", F.round("support", 6).alias("support"))
+
+
+@query(f"""WITH {TRACE}, {SEQUENCES}
+SELECT session_id, concat('sequence:', said) AS rule_id FROM runs, most WHERE NOT regexp_matches(path, wanted)""")
+def c9_sequences(spark, sf_dir):
+    """Sessions that lack a sequence most others hold, found among all deviations."""
+    trace = store(S.event_trace(spark, sf_dir))
+    found = C.debug_windows(trace, settle(P.mine_sequences(trace, 0.3)))
+    return found.where("rule_kind = 'sequence'").select("session_id", "rule_id")

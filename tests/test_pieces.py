@@ -120,6 +120,27 @@ def test_sketches_of_parts_give_the_quantiles_of_the_whole(spark, monkeypatch):
     assert told(quantile.sketched_quantiles(held, df, ["g"], "v", probs)) == told(quantiles(df, ["g"], "v", probs))
 
 
+def test_sequences_by_plain_search(spark):
+    """Cut and whole runs alike, one of a single stage for very long, steps without a stage, a stage no run has."""
+    from itertools import product
+
+    from driftline.operators import sequences
+    chance = random.Random(7)
+    runs = {f"s{k}": [chance.choice(["a", "b", "c", "d"]) for _ in range(chance.randrange(1, 12))] for k in range(30)} | {"long": ["a"] * 3000 + ["b"], "none": [{"stage": None}]}
+    df = trace(spark, runs)
+    paths = {k: [s if isinstance(s, str) else None for s in v] for k, v in runs.items()}
+    holds = lambda q, path: all(s in it for it in [iter(path)] for s in q)
+    share = {q: sum(holds(q, p) for p in paths.values()) / len(paths) for k in (1, 2, 3) for q in product("abcd", repeat=k)}
+    often = {q: n for q, n in share.items() if n >= 0.35}
+    want = sorted((q, n) for q, n in often.items() if not any(len(o) > len(q) and holds(q, o) for o in often))
+    asked = [("a", "b"), ("b", "a", "c"), ("a", "x"), ("d",)]
+    lost = sorted((k, ">".join(q)) for k, p in paths.items() for q in asked if not holds(q, p))
+    for part in (None, 3):
+        assert sequences.frequent_sequences(df, 0.35, 3, part) == want and want
+        assert sorted((r["session_id"], r["sequence"]) for r in sequences.lacking(df, asked, part).collect()) == lost
+    assert sequences.frequent_sequences(df.limit(0), 0.1) == [] and sequences.lacking(df.limit(0), asked).count() == 0
+
+
 def test_near_cases_are_earlier_and_resolved(spark):
     rnd = np.random.default_rng(8)
     base = rnd.normal(size=(40, 16))
