@@ -29,7 +29,7 @@ bad AS (
   SELECT session_id, signups, 0.5 AS severity FROM cut WHERE ord > coalesce(peak_here, 0) + 1
   UNION ALL SELECT session_id, signups, 0.3 FROM cut WHERE ord < peak_here
   UNION ALL SELECT session_id, signups, 0.2 FROM cut JOIN r ON r.stage = cut.name WHERE value < q[1] OR value > q[2]
-  UNION ALL SELECT session_id, signups, 0.2 FROM cut WHERE before_here IS NOT NULL
+  UNION ALL SELECT session_id, signups, 0.2 FROM cut WHERE before_here IN (SELECT before FROM shares WHERE support >= 0.5)
     AND (before_here, name) NOT IN (SELECT (before, stage) FROM shares WHERE support >= 0.5)
   UNION ALL SELECT a.session_id, a.signups, 0.3 FROM pairs p JOIN visits a ON a.stage = p.before JOIN visits b ON b.stage = p.stage
     AND a.session_id = b.session_id AND a.signups = b.signups WHERE p.support >= 0.5 AND a.at > b.at
