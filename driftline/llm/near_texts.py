@@ -275,7 +275,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     texts = store(found.groupBy(F.col("doc_id").alias("_key")).agg(F.min("component_id").alias("component"), F.count("*").alias("rows")))
     ids = rows.where("_key IS NOT NULL").groupBy("_key").agg(F.min("doc_id").alias("id"))
     first = texts.join(ids, "_key").groupBy("component").agg(F.min(F.struct("id", "_key")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    stays = first.select("component", F.col("first._key").alias("_stays"))
+    stays = small_side(store(first.select("component", F.col("first._key").alias("_stays"))))       # so that a large group's texts do not meet in one task
     gone = store(texts.join(stays, "component").where("_key <> _stays").select("_key"))
     again = texts.where("rows > 1").select("_key").join(gone, "_key", "left_anti")
     once = rows.join(small_side(store(gone.union(again))), "_key", "left_anti")
