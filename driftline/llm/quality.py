@@ -1,8 +1,9 @@
 """Quality scores by positive-unlabelled learning.
 
 A linear model is fitted to trusted positives and unlabelled web text so that the non-negative unbiased risk
-``prior * risk(positives as good) + max(0, risk(unlabelled as bad) - prior * risk(positives as bad))`` is least. Labelled negatives are not
-trained on; labels give the trusted positives and, as the share of good among all reviewed texts, the class prior.
+``prior * risk(positives as good) + max(0, risk(unlabelled as bad) - prior * risk(positives as bad))`` is least. Labelled negatives take no part. The prior
+is estimated from the unlabelled texts: where a first model's scores are high enough, hardly anything but good texts lies, and the share of unlabelled
+texts there over the share of trusted ones is the share of good texts among all.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from driftline.llm.registry import query, ready, table, widened
 
 POSITIVES, UNLABELLED = 6_000, 12_000       # most texts the model is fitted to
 STEPS, RATE, DECAY = 500, 0.05, 1e-4
+FOLDS, FOLD_DECAY = 5, 3e-2                 # of the models that the prior is estimated by
 FLOOR = 1e-3                                # shares below this count as none
 
 # Kinds of bytes: lower case, upper case, digit, blank, line end, full stop and comma, other marks one by one, bytes of other letters.
@@ -91,6 +93,35 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     return Model(mean, scale, w[:-1], float(w[-1]))
 
 
+def risk(model: Model, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two parts of the risk that ``fit`` makes least, with the logistic loss; the second is not yet cut at zero."""
+    p, u = (np.clip((x - model.mean) / model.scale, -8, 8) @ model.weights + model.bias for x in (positive, unlabelled))
+    loss = lambda z: np.logaddexp(0, -z).mean()
+    return prior * loss(p), loss(-u) - prior * loss(-p)
+
+
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Share of good texts among the unlabelled ones, by scores of models that did not see the texts they score.
+
+    Any set of texts holds at least the prior times its share of good texts, so the least ratio over the upper ends of the scores bounds the prior, and
+    reaches it where no bad text scores as high. Ends that hold half of the good texts or more are looked at,
+    so that the shares are steady. With fewer than four rows on a side it is 0.5.
+    """
+    if min(len(positive), len(unlabelled)) < 4:
+        return 0.5
+    scores = [np.empty(len(x)) for x in (positive, unlabelled)]
+    folds = [np.arange(len(x)) % FOLDS for x in (positive, unlabelled)]
+    for k in range(FOLDS):
+        model = fit(positive[folds[0] != k], unlabelled[folds[1] != k], 0.5, steps=STEPS // 2, decay=FOLD_DECAY)
+        for out, x, fold in zip(scores, (positive, unlabelled), folds):
+            out[fold == k] = model.score(x[fold == k])
+    p, u = scores
+    best = 1.0
+    for t in np.quantile(p, np.linspace(0.1, 0.5, 9)):
+        best = min(best, (u >= t).mean() / (p >= t).mean())
+    return float(min(max(best, 0.02), 0.98))
+
+
 def sample(docs: DataFrame, most: int, salt: str) -> np.ndarray:
     """Features of at most ``most`` rows of (doc_id, text), those first in hash order; computed in tasks."""
     ready(docs.sparkSession)
@@ -112,19 +143,18 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     """
     spark = docs.sparkSession
     asked = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg((F.min("quality") == 1).alias("good"))
-    seen = asked.agg(F.avg(F.col("good").cast("double")).alias("prior"), F.count("*").alias("n"), F.count_if("good").alias("good")).first()
-    prior = float(seen["prior"] if seen["prior"] is not None else 0.5)
+    good = asked.where("good").count()
     total = docs.count()
 
     def thinned(df: DataFrame, most: int, of: int, salt: str) -> DataFrame:
         """By a hash of the id, to about twice what is wanted, before any text moves."""
         share = min(1.0, 2.0 * most / max(1, of) + 100 / max(1, of))
-        return df.where(F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+        return df.where(F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 40)) < max(1, int(share * (1 << 40))))
 
-    trusted = small_side(thinned(asked.where("good").select("doc_id"), positives, seen["good"], "p").limit(4 * positives + 1000))
+    trusted = small_side(thinned(asked.where("good").select("doc_id"), positives, good, "p").limit(4 * positives + 1000))
     p = sample(docs.join(trusted, "doc_id", "left_semi"), positives, "p")
     u = sample(thinned(docs, unlabelled, total, "u"), unlabelled, "u")
-    return fit(p, u, prior)
+    return fit(p, u, estimated_prior(p, u))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -110,6 +110,39 @@ def test_risk_is_least_where_classes_part():
     assert quality.fit(good[:0], bad, 0.7).score(bad) == pytest.approx(0.7)
 
 
+def test_risk_and_its_slope_by_plain_sums():
+    """The parts of the risk, one text at a time; ``fit`` goes down along the slope and ends where no small step helps."""
+    rng = np.random.default_rng(2)
+    good, mixed = rng.normal(1, 1, (60, 3)), np.r_[rng.normal(1, 1, (80, 3)), rng.normal(-1, 1, (40, 3))]
+    model = quality.fit(good, mixed, 0.6, steps=3000, decay=0.0)
+    logit = lambda x: float(np.clip((x - model.mean) / model.scale, -8, 8) @ model.weights + model.bias)
+    as_good = lambda xs: sum(math.log(1 + math.exp(-logit(x))) for x in xs) / len(xs)
+    as_bad = lambda xs: sum(math.log(1 + math.exp(logit(x))) for x in xs) / len(xs)
+    first, second = quality.risk(model, good, mixed, 0.6)
+    assert first == pytest.approx(0.6 * as_good(good)) and second == pytest.approx(as_bad(mixed) - 0.6 * as_bad(good))
+    whole = lambda m: quality.risk(m, good, mixed, 0.6)[0] + max(0.0, quality.risk(m, good, mixed, 0.6)[1])
+    for k in range(4):
+        for step in (-0.05, 0.05):
+            moved = model._replace(weights=model.weights + step * (np.arange(3) == k), bias=model.bias + step * (k == 3))
+            assert whole(moved) > whole(model) - 1e-4
+
+
+@pytest.mark.parametrize("share", [0.3, 0.6, 0.85])
+def test_prior_is_estimated_without_negatives(share):
+    rng = np.random.default_rng(int(share * 100))
+    n = 3000
+    good, bad = rng.normal(1.5, 1, (n, 5)), rng.normal(-1.5, 1, (n, 5))
+    mixed = np.where(rng.random(n)[:, None] < share, rng.normal(1.5, 1, (n, 5)), bad)
+    assert abs(quality.estimated_prior(good, mixed) - share) < 0.06
+    assert quality.estimated_prior(good[:2], mixed) == 0.5
+
+
+def test_no_documents_to_score(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    assert quality.score(docs, quality.learn(docs, labels)).count() == 0
+
+
 def test_held_out_quality(spark):
     truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     got = quality.op3_quality(spark, SF).collect()
