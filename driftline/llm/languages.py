@@ -239,6 +239,7 @@ def keep_known(docs: DataFrame) -> DataFrame:
 
 @query()
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's language, learnt from four fifths of the labelled documents; null texts and texts without a letter are ``und``."""
     docs = table(spark, sf_dir, "documents")
     held_out = in_fold(F.col("doc_id"), 5, 0)
     found = identify(docs.select("doc_id", "text"), docs.where(~held_out).select("doc_id", "text", "lang"))

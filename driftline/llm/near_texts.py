@@ -286,4 +286,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 @query()
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near copies by word pairs; null and empty texts are in no group, equal rows in one."""
     return near_groups(table(spark, sf_dir, "documents"), width=2, percent=80)

@@ -176,6 +176,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 @query()
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's quality, learnt from two thirds of the documents and their labels; null and empty texts are scored like others, equal rows each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = in_fold(F.col("doc_id"), 3, 1)
     model = learn(docs.where(~held_out), table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "quality"))

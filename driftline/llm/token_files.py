@@ -285,6 +285,7 @@ def write_and_read(docs: DataFrame, tokenizer_path: str, folder: str | None = No
 
 @query()
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, size and checksum, read back from the files; null and empty texts are the end id alone, equal rows follow each other."""
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents")
