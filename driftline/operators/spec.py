@@ -127,7 +127,7 @@ def mine_transitions(df: DataFrame, theta: float, skill: str | None = None) -> D
 def mine_sequences(df: DataFrame, theta: float, longest: int = 3, skill: str | None = None) -> DataFrame:
     """Sequences of stages, in this order with anything between, that at least ``theta`` of the runs hold; those inside a longer one are left out.
 
-    ``before`` has all stages but the last, joined by ``>``.
+    ``before`` has all stages but the last, joined by ``>``, which no stage's name may hold.
     """
     found = [(">".join(q[:-1]) or None, q[-1], share) for q, share in frequent_sequences(df, theta, longest) if len(q) > 1]
     rows = df.sparkSession.createDataFrame(found, "before string, stage string, support double")
