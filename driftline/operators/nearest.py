@@ -3,7 +3,8 @@
 Cases lie in blocks of one pivot's neighbourhood and a narrow range of angles to it, so a huge neighbourhood is many blocks. By the
 triangle inequality no case of a block is nearer to a query than the gap between the query's angle to a pivot and the block's range of angles to
 it. A first round visits the two most promising blocks of each query; the second visits only blocks that can still hold something better than
-the k-th found. Within a block, the first coordinates in a rotated basis and the lengths of the rest bound each product from both sides.
+the k-th found. Chunks of queries meet tiles of neighbouring blocks in one task, a part of all rows each, so that vectors are sent only as often as there are
+tiles, however few blocks can be ruled out. Within a block, the first coordinates in a rotated basis and the lengths of the rest bound each product from both sides.
 """
 
 from __future__ import annotations
@@ -14,14 +15,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.accumulators import Accumulator
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions.shipping import ship
 from driftline.functions.sizing import store
 
-QUERY_ROWS, CASE_ROWS = 4_096, 1_024    # that meet in one task, about
+CASE_ROWS = 1_024                       # of a block, about
+QUERY_ROWS, TILES, MOST_ROWS = 8_192, 24, 65_536    # queries and cases that meet in one task: so many, or a part of all, or so many at most
 MOST_BLOCKS = 65_536                    # beyond it blocks grow instead
 MOST_PIVOTS = 1_024
 REFERENCES = 8                          # pivots whose angles every block knows
@@ -29,6 +31,7 @@ SAMPLE = 4_096                          # cases the basis is taken from
 KEPT = 0.75                             # share of squared length in the first coordinates
 SLACK = 1e-8                            # cosines are compared at nine digits
 SOME = 256                              # queries compared at a time
+VALUES = 1 << 20                        # of vectors that a task multiplies at a time
 
 
 def whole(v, dim: int):
@@ -48,15 +51,36 @@ def angles(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(rows @ pivots.T, -1, 1))
 
 
+def ranks(*columns) -> list[np.ndarray]:
+    """Places of the values of all columns in one order, -1 for null, whatever their type."""
+    chunks = [c for x in columns for c in (x.chunks if isinstance(x, pa.ChunkedArray) else [x])]
+    values = pa.chunked_array(chunks).combine_chunks()
+    rank = np.where(pc.is_valid(values).to_numpy(zero_copy_only=False), pc.rank(values, "ascending", tiebreaker="dense").to_numpy().astype(np.int64), -1)
+    return np.split(rank, np.cumsum([len(x) for x in columns])[:-1])
+
+
+def best(k: int, i: np.ndarray, place: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Which entries are the ``k`` best of each ``i``: those of greatest value, of equal ones of smallest place."""
+    order = np.lexsort((place, -value, i))
+    of = i[order]
+    start = np.flatnonzero(np.r_[True, of[1:] != of[:-1]][:len(of)])
+    return order[np.arange(len(of)) - np.repeat(start, np.diff(np.r_[start, len(of)])) < k]
+
+
 def earlier(then, now) -> np.ndarray:
     """Whether each of ``then`` (columns) is known and before each of ``now`` (rows), whatever the type of both."""
-    chunks = [c for x in (now, then) for c in (x.chunks if isinstance(x, pa.ChunkedArray) else [x])]
-    times = pa.chunked_array(chunks).combine_chunks()
-    rank = np.where(pc.is_valid(times).to_numpy(zero_copy_only=False), pc.rank(times, "ascending", tiebreaker="dense").to_numpy().astype(np.int64), -1)
-    a, b = np.split(rank, [len(now)])
+    a, b = ranks(now, then)
     return (b[None, :] < a[:, None]) & (b[None, :] >= 0)
 
 
+def products(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Scalar products of rows ``i`` of a and ``j`` of b; at most about ``VALUES`` numbers are copied at a time."""
+    out, most = np.empty(len(i)), max(1, VALUES // a.shape[1])
+    for s in range(0, len(i), most):
+        out[s:s + most] = np.einsum("ij,ij->i", a[i[s:s + most]], b[j[s:s + most]])
+    return out
+
+
 def placed(df: DataFrame, vector: str, pivots: np.ndarray, dim: int) -> DataFrame:
     """``df`` with its nearest pivot as ``_cell``, and ``_angles``: to that one, then to the reference pivots."""
     at = df.columns.index(vector)
@@ -73,11 +97,11 @@ def placed(df: DataFrame, vector: str, pivots: np.ndarray, dim: int) -> DataFram
     return df.mapInArrow(tag, schema)
 
 
-def laid_out(df: DataFrame, rows: int, n: int, by: str, name: str) -> DataFrame:
-    """``df`` in stored groups of about ``rows`` rows, each of one cell and a narrow range of angles to its pivot."""
+def laid_out(df: DataFrame, rows: int, n: int, by: str, number: Column, name: str) -> DataFrame:
+    """``df`` stored in parts of about ``rows`` rows, each of neighbouring cells and angles to their pivots, with ``number`` as ``name``."""
     parts = max(1, min(MOST_BLOCKS, math.ceil(n / rows)))
     ranged = df.repartitionByRange(parts, F.col("_cell"), F.col("_angles")[0], F.col(by))
-    return store(ranged.withColumn(name, F.spark_partition_id().cast("long") * MOST_PIVOTS + F.col("_cell")))
+    return store(ranged.withColumn(name, number))
 
 
 def nearest(asked: DataFrame, past: DataFrame, k: int, dim: int, compared: Accumulator | None = None) -> DataFrame:
@@ -105,9 +129,13 @@ def nearest(asked: DataFrame, past: DataFrame, k: int, dim: int, compared: Accum
     share = np.cumsum(((some @ basis) ** 2).mean(0))
     first = int(np.searchsorted(share, KEPT * share[-1])) + 1
 
-    past = laid_out(placed(past, "_v", pivots, dim), CASE_ROWS, n_past, "case_id", "_block")
+    part = F.spark_partition_id().cast("long")
+    past = laid_out(placed(past, "_v", pivots, dim), CASE_ROWS, n_past, "case_id", part * MOST_PIVOTS + F.col("_cell"), "_block")
     asked = store(asked)
-    asked = laid_out(placed(asked, "_q", pivots, dim), QUERY_ROWS, asked.count(), "query_id", "_chunk")
+    n_asked = asked.count()
+    most = [max(QUERY_ROWS, min(MOST_ROWS, n // TILES)) for n in (n_asked, n_past)]
+    asked = laid_out(placed(asked, "_q", pivots, dim), most[0], n_asked, "query_id", part, "_chunk").drop("_cell", "_angles")
+    per_tile = MOST_PIVOTS * max(1, most[1] // CASE_ROWS)               # neighbouring blocks
     width = 1 + min(REFERENCES, len(pivots))
     stats = past.groupBy("_block").agg(F.min("_cell").alias("cell"), F.min("_then").alias("then"),
                                        F.array(*[F.min(F.col("_angles")[i]) for i in range(width)]).alias("lo"), F.array(*[F.max(F.col("_angles")[i]) for i in range(width)]).alias("hi"))
@@ -115,66 +143,102 @@ def nearest(asked: DataFrame, past: DataFrame, k: int, dim: int, compared: Accum
     blocks = spark.sparkContext.broadcast((stats.column("_block").to_numpy(), stats.column("cell").to_numpy(), stats.column("then").combine_chunks(),
                                            *(stats.column(c).combine_chunks().flatten().to_numpy().reshape(-1, width) for c in ("lo", "hi"))))
 
-    def visits(queries: DataFrame, again: bool) -> DataFrame:
-        """Queries once for each block to visit: the two most promising, or all others that may hold better than ``_floor``."""
-        at = {c: queries.columns.index(c) for c in ("_q", "_now", "_floor")}
-
-        def choose(batches):
-            number, cell, then, lo, hi = blocks.value
-            step = max(1, (1 << 22) // len(number))
+    def bounds(vectors: np.ndarray, now, own: np.ndarray) -> np.ndarray:
+        """The least angle that a case of each of the blocks ``own`` (columns) can have to each query (rows); infinite if none is earlier."""
+        _, cell, then, lo, hi = blocks.value
+        cell, lo, hi = cell[own], lo[own], hi[own]
+        used = np.unique(np.r_[np.arange(width - 1), cell])             # reference pivots stay in front
+        to = angles(vectors, pivots[used])
+        cell = np.searchsorted(used, cell)
+        bound = np.maximum(lo[:, 0] - to[:, cell], to[:, cell] - hi[:, 0])
+        for r in range(width - 1):
+            np.maximum(bound, np.maximum(lo[:, r + 1] - to[:, r:r + 1], to[:, r:r + 1] - hi[:, r + 1]), out=bound)
+        bound[~earlier(then.take(pa.array(own)), now)] = np.inf
+        return bound
+
+    def steps(rows: int, columns: int):
+        size = max(1, (1 << 21) // max(1, columns))
+        return [slice(s, s + size) for s in range(0, rows, size)]
+
+    def foresee(batches):
+        """Each query with its two most promising blocks, -1 for none."""
+        number = blocks.value[0]
+        for batch in batches:
+            for s in steps(batch.num_rows, len(number)):
+                own = batch.slice(s.start, s.stop - s.start)
+                bound = bounds(unit(own.column(at["_q"]), dim), own.column(at["_now"]), np.arange(len(number)))
+                two = np.argsort(bound, axis=1, kind="stable")[:, :2]
+                two = np.where(np.take_along_axis(bound, two, 1) < np.inf, number[two], -1)
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.FixedSizeListArray.from_arrays(pa.array(two.ravel()), two.shape[1]).cast(pa.list_(pa.int64()))], names=seen.names)
+
+    def wanted(vectors: np.ndarray, now, floor: np.ndarray, before: np.ndarray, own: np.ndarray, again: bool) -> np.ndarray:
+        """Which blocks ``own`` each query visits: the two most promising, or all others that may hold better than its floor."""
+        met = (before[:, :, None] == blocks.value[0][own]).any(axis=1)
+        return ~met & (bounds(vectors, now, own) <= np.arccos(np.clip(floor - SLACK, -1, 1))[:, None] + SLACK) if again else met
+
+    def given(t) -> tuple:
+        """Vectors, times, floors and blocks seen of a batch or table of queries."""
+        before = t.column("_seen")
+        before = before.combine_chunks() if isinstance(before, pa.ChunkedArray) else before
+        return unit(t.column("_q"), dim), t.column("_now"), t.column("_floor").to_numpy(zero_copy_only=False), before.flatten().to_numpy().reshape(t.num_rows, -1)
+
+    def meet(queries: DataFrame, again: bool) -> DataFrame:
+        """The best ``k`` of every query in each tile it visits blocks of; whole chunks of queries go to tiles, so that rows are sent as often as there are tiles."""
+
+        def visits(batches):
+            number = blocks.value[0]
             for batch in batches:
-                for s in range(0, batch.num_rows, step):
-                    part = batch.slice(s, step)
-                    to = angles(unit(part.column(at["_q"]), dim), pivots)
-                    bound = np.maximum(lo[:, 0] - to[:, cell], to[:, cell] - hi[:, 0])
-                    for r in range(width - 1):
-                        np.maximum(bound, np.maximum(lo[:, r + 1] - to[:, r:r + 1], to[:, r:r + 1] - hi[:, r + 1]), out=bound)
-                    bound[~earlier(then, part.column(at["_now"]))] = np.inf
-                    two = np.argsort(bound, axis=1, kind="stable")[:, :2]
-                    if again:
-                        floor = part.column(at["_floor"]).to_numpy(zero_copy_only=False)
-                        np.put_along_axis(bound, two, np.inf, axis=1)           # seen in the first round
-                        i, j = np.nonzero(bound <= np.arccos(np.clip(floor - SLACK, -1, 1))[:, None] + SLACK)
-                    else:
-                        i, j = np.repeat(np.arange(len(two)), two.shape[1]), two.ravel()
-                        keep = bound[i, j] < np.inf
-                        i, j = i[keep], j[keep]
-                    yield pa.RecordBatch.from_arrays([*part.take(pa.array(i)).columns, pa.array(number[j])], names=[*part.schema.names, "_block"])
-
-        return store(queries.mapInArrow(choose, T.StructType([*queries.schema.fields, T.StructField("_block", T.LongType())])))
-
-    def compare(q: pa.Table, c: pa.Table) -> pa.Table:
-        found = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
-        if len(q) and len(c):
-            c = c.sort_by("case_id")
-            cases, asks = unit(c["_v"], dim), unit(q["_q"], dim)
-            parts = [(x[:, :first], np.sqrt(np.maximum(0, 1 - (x[:, :first] ** 2).sum(1)))) for x in (asks @ basis, cases @ basis)]
-            (qa, qr), (ca, cr) = parts
-            open_, floor, got = earlier(c["_then"], q["_now"]), q["_floor"].to_numpy(), []
-            for s in range(0, len(q), SOME):
-                near, rest, may = qa[s:s + SOME] @ ca.T, qr[s:s + SOME, None] * cr, open_[s:s + SOME]
-                least = np.where(may, near - rest, -2.0)
-                kth = np.partition(least, -k, axis=1)[:, -k] if least.shape[1] >= k else np.full(len(least), -2.0)
-                i, j = np.nonzero(may & (near + rest >= np.maximum(kth, floor[s:s + SOME])[:, None] - SLACK))
-                value = np.round(np.einsum("ij,ij->i", asks[s + i], cases[j]), 9)
-                if compared is not None:
-                    compared.add(len(i))
-                order = np.lexsort((j, -value, i))                  # of equal ones the smaller case
-                i, j, value = i[order], j[order], value[order]
-                start = np.flatnonzero(np.r_[True, i[1:] != i[:-1]][:len(i)])
-                best = np.arange(len(i)) - np.repeat(start, np.diff(np.r_[start, len(i)])) < k
-                got.append((s + i[best], j[best], value[best]))
-            found = [np.concatenate(x) for x in zip(*got)]
-        i, j, value = found
-        return pa.table({"query_id": q["query_id"].take(pa.array(i)), "case_id": c["case_id"].take(pa.array(j)), "cause": c["cause"].take(pa.array(j)), "cosine": pa.array(value)})
-
-    def meet(queries: DataFrame) -> DataFrame:
-        pairs = queries.select(F.col("_chunk").alias("_c"), F.col("_block").alias("_b")).distinct()
+                for s in steps(batch.num_rows, len(number)):
+                    own = batch.slice(s.start, s.stop - s.start)
+                    row, block = np.nonzero(wanted(*given(own), np.arange(len(number)), again))
+                    pairs = np.unique(np.stack([own.column("_chunk").to_numpy()[row], number[block]]), axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], names=["_c", "_b"])
+
+        def compare(q: pa.Table, c: pa.Table) -> pa.Table:
+            found = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+            if len(q) and len(c):
+                c = c.sort_by([("_block", "ascending"), ("case_id", "ascending")])
+                asks, _, floor, before = given(q)
+                cases, floor = unit(c["_v"], dim), floor.copy()
+                parts = [(x[:, :first], np.sqrt(np.maximum(0, 1 - (x[:, :first] ** 2).sum(1)))) for x in (asks @ basis, cases @ basis)]
+                (qa, qr), (ca, cr) = parts
+                now, then = ranks(q["_now"], c["_then"])
+                place, = ranks(c["case_id"])
+                numbers, starts = np.unique(c["_block"].to_numpy(), return_index=True)
+                own = np.searchsorted(blocks.value[0], numbers)
+                visit = np.concatenate([wanted(asks[s], q["_now"].slice(s.start, s.stop - s.start), floor[s], before[s], own, again) for s in steps(len(q), len(own))])
+                got = [tuple(found)]
+                for b, (x, y) in enumerate(zip(starts, np.r_[starts[1:], len(c)])):
+                    at = np.flatnonzero(visit[:, b])
+                    for s in range(0, len(at), SOME):
+                        rows = at[s:s + SOME]
+                        near, rest, may = qa[rows] @ ca[x:y].T, qr[rows, None] * cr[x:y], then[x:y] < now[rows, None]
+                        if y - x >= k:
+                            least = np.where(may, near - rest, -2.0)
+                            floor[rows] = np.maximum(floor[rows], np.partition(least, -k, axis=1)[:, -k])
+                        near += rest
+                        i, j = np.nonzero(may & (near >= floor[rows, None] - SLACK))
+                        value = np.round(products(asks, cases, rows[i], x + j), 9)
+                        if compared is not None:
+                            compared.add(len(i))
+                        kept = best(k, i, place[x + j], value)
+                        got.append((rows[i[kept]], x + j[kept], value[kept]))
+                found = [np.concatenate(x) for x in zip(*got)]
+                kept = best(k, found[0], place[found[1]], found[2])
+                found = [x[kept] for x in found]
+            i, j, value = found
+            return pa.table({"query_id": q["query_id"].take(pa.array(i)), "case_id": c["case_id"].take(pa.array(j)), "cause": c["cause"].take(pa.array(j)), "cosine": pa.array(value)})
+
+        pairs = store(queries.mapInArrow(visits, "_c long, _b long").distinct()).withColumn("_tile", F.floor(F.col("_b") / per_tile))
         cases = past.select("_block", "case_id", "cause", "_v", "_then").join(pairs, F.col("_block") == F.col("_b"))
-        return store(queries.groupBy("_chunk", "_block").cogroup(cases.groupBy("_c", "_b")).applyInArrow(compare, out))
+        goes = queries.join(pairs.select("_c", F.col("_tile").alias("_t")).distinct(), F.col("_chunk") == F.col("_c")).drop("_c")
+        return store(goes.groupBy("_chunk", "_t").cogroup(cases.groupBy("_c", "_tile")).applyInArrow(compare, out))
 
-    one = meet(visits(asked.withColumn("_floor", F.lit(-2.0)), False))
+    at = {c: asked.columns.index(c) for c in ("_q", "_now")}
+    seen = T.StructType([*asked.schema.fields, T.StructField("_seen", T.ArrayType(T.LongType()))])
+    asked = store(asked.mapInArrow(foresee, seen))
+    one = meet(asked.withColumn("_floor", F.lit(-2.0)), False)
     order = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "case_id")
     floors = one.withColumn("_n", F.row_number().over(order)).where(F.col("_n") == k).select("query_id", F.col("cosine").alias("_floor"))
     again = asked.join(floors, "query_id", "left").withColumn("_floor", F.coalesce("_floor", F.lit(-2.0)))
-    return one.unionByName(meet(visits(again, True)))
+    return one.unionByName(meet(again, True))

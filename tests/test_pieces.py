@@ -4,6 +4,7 @@ import random
 from datetime import timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from driftline.functions import sizing
 from driftline.functions.ordered import (
@@ -198,6 +199,35 @@ def test_nearest_rules_out_blocks_and_pairs(spark, monkeypatch):
     assert seen.value < 0.4 * 600 * 599 / 2
 
 
+def test_nearest_multiplies_in_bounded_pieces(monkeypatch):
+    monkeypatch.setattr(nearest, "VALUES", 64)
+    rnd = np.random.default_rng(12)
+    a, b = rnd.normal(size=(9, 16)), rnd.normal(size=(7, 16))
+    i, j = (x.ravel() for x in np.mgrid[0:9, 0:7])
+    assert np.array_equal(nearest.products(a, b, i, j), np.einsum("ij,ij->i", a[i], b[j]))
+
+
+def test_nearest_sends_vectors_once_a_tile(spark, monkeypatch):
+    """Directions without structure, of which no block can be ruled out: rows go to tiles, not to blocks."""
+    monkeypatch.setattr(nearest, "CASE_ROWS", 16)
+    rnd = np.random.default_rng(13)
+    vectors = rnd.normal(size=(300, 16))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id bigint, vector array<double>")
+    queries = df.select(F.col("id").alias("query_id"), F.col("id").alias("at"), "vector")
+    memory = df.select(F.col("id").alias("case_id"), F.col("id").alias("at"), "vector", F.lit("c").alias("cause"))
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    cosine = np.round(unit @ unit.T, 9)
+    want = {(q, c) for q in range(300) for c in sorted(range(q), key=lambda c: (-cosine[q, c], c))[:2]}
+    stored = []
+    monkeypatch.setattr(nearest, "store", lambda df: stored.append(sizing.store(df)) or stored[-1])
+    for rows, tiles in ((100, 3), (1000, 1)):
+        monkeypatch.setattr(nearest, "QUERY_ROWS", rows)
+        stored.clear()
+        got = A.recall_near(queries, memory, 2, 16).collect()
+        assert {(r["query_id"], r["case_id"]) for r in got} == want
+        assert max(x.count() for x in stored if "query_id" in x.columns) <= 300 * (tiles + 1) * 2
+
+
 def test_beyond_the_bound_nothing_is_hinted(spark):
     df = spark.range(50)
     assert sizing.is_small(df, max_rows=50) and not sizing.is_small(df, max_rows=49)
