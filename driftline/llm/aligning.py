@@ -26,11 +26,11 @@ from driftline.llm import shingles
 from driftline.llm.registry import query, ready, shielded, table
 
 SEED_WORDS = 3              # seeds have one to so many words
-SAMPLE_TEXTS = 20_000       # about so many texts tell how frequent words and pairs are; that decides on speed only
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5           # of what the item scores against itself
 MAX_SEEDS = 500_000         # sent to every task (4 MB); a larger benchmark is searched in as many passes as it takes
 FILTER_BITS = 20
+LOW = np.uint64((1 << FILTER_BITS) - 1)
 
 
 def words(text: str | None) -> list[str]:
@@ -80,17 +80,51 @@ def ceiling(item: list[str], passage: list[str]) -> float:
     return min(most_of([w in of_passage for w in item]), most_of([w in of_item for w in passage])) / (MATCH * len(item))
 
 
-def grams(batches):
-    """(gram, hash) counts of single words and pairs in an Arrow batch of texts."""
-    for batch in batches:
-        for _, encoded in shingles.chunks(batch.column(0).to_pylist()):
-            h, bounds, _, _ = shingles.word_hashes([plain(e) for e in encoded])
-            pairs = shingles.rolling(h, 2)
-            inside = np.ones(len(pairs), bool)
-            inside[np.setdiff1d(bounds[1:-1] - 1, [-1, len(pairs)])] = False
-            for width, hashes in ((1, h), (2, pairs[inside])):
-                x, n = np.unique(hashes, return_counts=True)
-                yield pa.record_batch([pa.array(np.full(len(x), width, np.int32)), pa.array(x.view(np.int64)), pa.array(n)], names=["width", "hash", "n"])
+def filtered(own: np.ndarray) -> np.ndarray:
+    """Which low bits occur among sorted hashes."""
+    seen = np.zeros(1 << FILTER_BITS, bool)
+    seen[(own & LOW).astype(np.int64)] = True
+    return seen
+
+
+def known(h: np.ndarray, own: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of those ``h`` that are among the sorted hashes ``own``, and which of them each is."""
+    at = np.flatnonzero(seen[(h & LOW).astype(np.int64)])
+    place = np.minimum(np.searchsorted(own, h[at]), len(own) - 1)
+    hit = own[place] == h[at]
+    return at[hit], place[hit]
+
+
+def frequencies(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(width, hash, n): how often each of the words and pairs ``wanted`` (width, hash) occurs in all ``texts`` (text); those that never occur are left out."""
+    passes = -(-wanted.count() // MAX_SEEDS)
+    out = texts.sparkSession.createDataFrame([], "width int, hash long, n long")
+    for k in range(passes):
+        rows = wanted.where(F.pmod("hash", F.lit(passes)) == k).toArrow()            # MAX_SEEDS of them, about
+        width, hashes = rows.column("width").to_numpy(), rows.column("hash").to_numpy().view(np.uint64)
+        out = out.union(texts.select("text").mapInArrow(counter([np.sort(hashes[width == w]) for w in (1, 2)]), out.schema))
+    return out.groupBy("width", "hash").agg(F.sum("n").alias("n"))
+
+
+def counter(own: list[np.ndarray]):
+    """Counts of words and pairs in a task's texts, given once at its end."""
+    def count(batches):
+        filters, n = [filtered(x) for x in own], [np.zeros(len(x), np.int64) for x in own]
+        for batch in batches:
+            for _, encoded in shingles.chunks(batch.column(0).to_pylist()):
+                h, bounds, _, _ = shingles.word_hashes([plain(e) for e in encoded])
+                last = np.zeros(len(h) + 1, bool)           # words that end a text, which no pair begins with
+                last[bounds[1:][bounds[1:] > bounds[:-1]] - 1] = True
+                for width in (1, 2):
+                    runs = shingles.rolling(h, width)
+                    if len(own[width - 1]) and len(runs):
+                        at, place = known(runs, own[width - 1], filters[width - 1])
+                        n[width - 1] += np.bincount(place if width == 1 else place[~last[at]], minlength=len(own[width - 1]))
+        for width in (1, 2):
+            met = np.flatnonzero(n[width - 1])
+            yield pa.record_batch([pa.array(np.full(len(met), width, np.int32)), pa.array(own[width - 1][met].view(np.int64)), pa.array(n[width - 1][met])], names=["width", "hash", "n"])
+
+    return count
 
 
 def plain(encoded: bytes) -> bytes:
@@ -115,11 +149,7 @@ def chosen(singles: list[int], pairs: list[int], least: float) -> tuple[list[int
 
 
 def seeds_of(items: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """(item_id, width, seed, n_words) of rows (item_id, text): seeds of one, two or three words, rare in ``texts`` (key, text)."""
-    share = max(1, texts.count() // SAMPLE_TEXTS)
-    some = texts.where(F.pmod(F.xxhash64("key", F.octet_length("text")), F.lit(share)) == 0).select("text")
-    common = some.mapInArrow(grams, "width int, hash long, n long").groupBy("width", "hash").agg(F.sum("n").alias("n"))
-
+    """(item_id, width, seed, n_words) of rows (item_id, text): seeds of one, two or three words, rare in all ``texts`` (key, text)."""
     def hashes(text: str | None) -> np.ndarray:
         return shingles.word_hashes([" ".join(words(text)).encode()])[0]
 
@@ -149,9 +179,10 @@ def seeds_of(items: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], names=["item_id", "width", "seed", "n_words"])
 
     spelt = items.select("item_id", "text").mapInArrow(spell, "item_id long, text string, width int, place long, hash long")
-    known = spelt.join(common, ["width", "hash"], "left").groupBy("item_id", "text").agg(
+    wanted = store(spelt.select("width", "hash").distinct())
+    counted = spelt.join(frequencies(texts, wanted), ["width", "hash"], "left").groupBy("item_id", "text").agg(
         F.collect_list(F.struct("width", "place", F.coalesce("n", F.lit(0)).alias("n"))).alias("counts"))
-    return known.mapInArrow(choose, "item_id long, width int, seed long, n_words long")
+    return counted.mapInArrow(choose, "item_id long, width int, seed long, n_words long")
 
 
 def passages(docs: DataFrame, seeds: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
@@ -160,19 +191,9 @@ def passages(docs: DataFrame, seeds: list[tuple[np.ndarray, np.ndarray]]) -> Dat
     ``seeds`` has for each width sorted hashes and how many words around each are kept. Passages that touch are one.
     """
     ready(docs.sparkSession)
-    mask = np.uint64((1 << FILTER_BITS) - 1)
-
-    def known(h: np.ndarray, own: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.flatnonzero(seen[(h & mask).astype(np.int64)])
-        place = np.minimum(np.searchsorted(own, h[at]), len(own) - 1)
-        hit = own[place] == h[at]
-        return at[hit], place[hit]
 
     def compute(batches):
-        filters = []
-        for own, _ in seeds:
-            filters.append(np.zeros(1 << FILTER_BITS, bool))
-            filters[-1][(own & mask).astype(np.int64)] = True
+        filters = [filtered(own) for own, _ in seeds]
         for batch in batches:
             keys, firsts, texts, found = [], [], [], []
             column, key = batch.column(1).to_pylist(), batch.column(0).to_pylist()

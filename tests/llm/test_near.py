@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from driftline.llm import aligning, chat, components, near_texts, near_vectors
+from driftline.llm import aligning, chat, components, near_texts, near_vectors, shingles
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -284,3 +284,23 @@ def test_conversations_of_odd_rows(spark):
     assert set(pairs) == {1, 2} and pairs[1].rejected[-1].text == "b" and pairs[2].rejected[-1].text == "a"
     for none in (turns.limit(0), turns.where("conv_id = 3")):
         assert chat.format_pairs(chat.mismatched_answers(chat.conversations(none))).count() == 0
+
+
+def test_seeds_are_chosen_by_counts_over_all_texts(spark):
+    """45,000 texts and a benchmark of several passes; pairs do not go from one text to the next."""
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice(["a", "b", "cc", "Dd", "\u00e9"]) for _ in range(rnd.randrange(4))) for _ in range(45_000)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key long, text string")
+    want = {}
+    for t in texts:
+        w = aligning.words(t)
+        for g in [(x,) for x in w] + list(zip(w, w[1:])):
+            want[g] = want.get(g, 0) + 1
+    asked = [*want, ("never",), ("never", "a")]
+    hashes = {g: int(shingles.rolling(shingles.word_hashes([" ".join(g).encode()])[0], len(g)).view(np.int64)[0]) for g in asked}
+    wanted = spark.createDataFrame([(len(g), hashes[g]) for g in asked], "width int, hash long")
+    for most in (aligning.MAX_SEEDS, 9):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(aligning, "MAX_SEEDS", most)
+            got = {(r["width"], r["hash"]): r["n"] for r in aligning.frequencies(frame, wanted).collect()}
+        assert got == {(len(g), hashes[g]): n for g, n in want.items()}
