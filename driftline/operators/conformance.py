@@ -24,6 +24,7 @@ from driftline.functions.shipping import ship
 from driftline.functions.sizing import settle, small_side, store
 
 PART_STEPS = 100_000
+HELD_STEPS = 20_000         # of runs that a task has in Python at a time; a longer part is one by itself
 # Weights of what is amiss: one comparison of sums orders by cost, then replaced, then skipped. Good for runs of two million steps.
 INSERTED = 1 << 42
 SKIPPED = INSERTED + 1
@@ -163,6 +164,16 @@ def _inline(told: DataFrame, key: list[str]) -> DataFrame:
     return told.select(*key, F.inline("_moves"))
 
 
+def pieces(batch: pa.RecordBatch, at: int):
+    """Consecutive slices of a batch whose lists in column ``at`` come to ``HELD_STEPS`` steps at most, or are a single one."""
+    before = batch.column(at).offsets.to_numpy()
+    start = 0
+    while start < batch.num_rows:
+        to = max(start + 1, int(np.searchsorted(before, before[start] + HELD_STEPS, "right")) - 1)
+        yield batch.slice(start, to - start)
+        start = to
+
+
 def _each(rows: DataFrame, key: list[str], more: list[T.StructField], compute) -> DataFrame:
     """``compute(stages, steps, row)`` for every part; gives the keys, the part and what it returns."""
     kept = [*key, "_part"]
@@ -175,7 +186,7 @@ def _each(rows: DataFrame, key: list[str], more: list[T.StructField], compute) -
         from pyspark.sql.pandas.types import to_arrow_schema
 
         kinds = to_arrow_schema(arrow)
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole, len(kept))):
             steps = batch.column(len(kept)).to_pylist()
             given = [batch.column(k).to_pylist() for k in range(len(kept) + 1, batch.num_columns)]
             got = [compute([s["stage"] for s in own], [s["step"] for s in own], *(g[i] for g in given)) for i, own in enumerate(steps)]

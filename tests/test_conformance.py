@@ -4,6 +4,7 @@ import heapq
 import random
 
 import pytest
+import pyarrow as pa
 from driftline.operators import conformance as W
 from driftline.operators.paths import path_distance
 from pyspark.sql import functions as F
@@ -73,3 +74,16 @@ def test_no_runs_and_no_way(spark):
     assert W.align_runs(df.limit(0), FLOW).count() == W.run_fit(W.align_runs(df.limit(0), FLOW)).count() == 0
     with pytest.raises(ValueError):
         W.Workflow({"a": "a", "b": "b"}, {}, ["a"], ["b"])
+
+
+def test_steps_are_held_in_bounded_pieces(monkeypatch):
+    from driftline.operators import conformance
+
+    monkeypatch.setattr(conformance, "HELD_STEPS", 10)
+    lists = [[0] * n for n in (3, 7, 1, 0, 25, 4, 4, 4)]
+    batch = pa.record_batch([pa.array(range(8)), pa.array(lists)], names=["run", "_steps"])
+    for part in (batch, batch.slice(1, 6)):
+        got = list(conformance.pieces(part, 1))
+        assert pa.Table.from_batches(got).equals(pa.Table.from_batches([part]))
+        assert all(p.num_rows == 1 or sum(map(len, p.column(1).to_pylist())) <= 10 for p in got)
+    assert [p.num_rows for p in conformance.pieces(batch, 1)] == [2, 2, 1, 2, 1]
