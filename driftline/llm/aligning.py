@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.sizing import small_side, store
 from driftline.llm import shingles
-from driftline.llm.registry import query, ready, shielded, table
+from driftline.llm.registry import query, shielded, small_batches, table, tidy
 
 SEED_WORDS = 3              # seeds have one to so many words
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -102,7 +102,7 @@ def frequencies(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     for k in range(passes):
         rows = wanted.where(F.pmod("hash", F.lit(passes)) == k).toArrow()            # MAX_SEEDS of them, about
         width, hashes = rows.column("width").to_numpy(), rows.column("hash").to_numpy().view(np.uint64)
-        out = out.union(texts.select("text").mapInArrow(counter([np.sort(hashes[width == w]) for w in (1, 2)]), out.schema))
+        out = out.union(texts.select("text").mapInArrow(tidy(counter([np.sort(hashes[width == w]) for w in (1, 2)])), out.schema))
     return out.groupBy("width", "hash").agg(F.sum("n").alias("n"))
 
 
@@ -178,11 +178,11 @@ def seeds_of(items: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], names=["item_id", "width", "seed", "n_words"])
 
-    spelt = items.select("item_id", "text").mapInArrow(spell, "item_id long, text string, width int, place long, hash long")
+    spelt = items.select("item_id", "text").mapInArrow(tidy(spell), "item_id long, text string, width int, place long, hash long")
     wanted = store(spelt.select("width", "hash").distinct())
     counted = spelt.join(frequencies(texts, wanted), ["width", "hash"], "left").groupBy("item_id", "text").agg(
         F.collect_list(F.struct("width", "place", F.coalesce("n", F.lit(0)).alias("n"))).alias("counts"))
-    return counted.mapInArrow(choose, "item_id long, width int, seed long, n_words long")
+    return counted.mapInArrow(tidy(choose), "item_id long, width int, seed long, n_words long")
 
 
 def passages(docs: DataFrame, seeds: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
@@ -190,7 +190,7 @@ def passages(docs: DataFrame, seeds: list[tuple[np.ndarray, np.ndarray]]) -> Dat
 
     ``seeds`` has for each width sorted hashes and how many words around each are kept. Passages that touch are one.
     """
-    ready(docs.sparkSession)
+    small_batches(docs.sparkSession)
 
     def compute(batches):
         filters = [filtered(own) for own, _ in seeds]
@@ -225,7 +225,7 @@ def passages(docs: DataFrame, seeds: list[tuple[np.ndarray, np.ndarray]]) -> Dat
             yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(firsts, pa.int64()), pa.array(texts, pa.string()),
                                    pa.array(found, pa.list_(pa.struct([("width", pa.int32()), ("seed", pa.int64())])))], names=["key", "first_word", "passage", "seeds"])
 
-    return docs.select("key", "text").mapInArrow(compute, "key long, first_word long, passage string, seeds array<struct<width:int,seed:long>>")
+    return docs.select("key", "text").mapInArrow(tidy(compute), "key long, first_word long, passage string, seeds array<struct<width:int,seed:long>>")
 
 
 def scored(pairs: DataFrame) -> DataFrame:
@@ -255,7 +255,7 @@ def within_reach(pairs: DataFrame, least: float) -> DataFrame:
             got = [split.get(t) or split.setdefault(t, words(t)) for c in (2, 4) for t in batch.column(c).to_pylist()]
             yield batch.filter(pa.array([ceiling(i, p) >= least for p, i in zip(got[:len(batch)], got[len(batch):])], pa.bool_()))
 
-    return pairs.mapInArrow(compute, pairs.schema)
+    return pairs.mapInArrow(tidy(compute), pairs.schema)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
@@ -266,7 +266,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE
     """
     spark = docs.sparkSession
     items = benchmark.where("item_id IS NOT NULL").select("item_id", "text").distinct()
-    ready(spark)
+    small_batches(spark)
     all_seeds = store(seeds_of(items, docs, least))
     seeds = store(all_seeds.groupBy("width", "seed").agg((MATCH * F.max("n_words")).alias("reach")))
     passes = -(-seeds.count() // MAX_SEEDS)

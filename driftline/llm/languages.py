@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.llm.registry import only, query, ready, shielded, table, widened
+from driftline.llm.registry import only, query, shielded, small_batches, table, tidy, widened
 
 REFERENCE_CHARS = 20_000        # text a language's automaton is built from
 TRAINING_DOCS = 200             # labelled documents per language it may come from
@@ -207,7 +207,7 @@ def predict(docs: DataFrame, models: tuple[tuple[str, str], ...]) -> DataFrame:
 
     Null texts and texts without a letter are ``und`` with score 0, as is every text if nothing was learnt. Ties go to the first language by name.
     """
-    ready(docs.sparkSession)
+    small_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
     at = docs.columns.index("text")
     schema = widened(docs.schema, lang_pred=T.StringType(), score=T.DoubleType())
@@ -219,7 +219,7 @@ def predict(docs: DataFrame, models: tuple[tuple[str, str], ...]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*batch.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(tag, schema)
+    return docs.mapInArrow(tidy(tag), schema)
 
 
 def identify(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:

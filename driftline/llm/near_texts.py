@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from driftline.functions.sizing import small_side, store
 from driftline.llm import shingles
 from driftline.llm.components import components
-from driftline.llm.registry import query, ready, shielded, table
+from driftline.llm.registry import query, shielded, small_batches, table, tidy
 
 HALVES, ROWS = 14, 3
 BLOCK_TEXTS, BLOCK_SHINGLES = 1_500, 2_000_000      # most that meet in one task of a group, hubs apart
@@ -45,7 +45,7 @@ def half_keys(values: np.ndarray) -> np.ndarray:
 
 def sketch(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n_shingles, set_id, halves) of every row of (doc_id, text); an empty set has no set_id and no halves."""
-    ready(docs.sparkSession)
+    small_batches(docs.sparkSession)
 
     def compute(batches):
         for batch in batches:
@@ -57,7 +57,7 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(halves, pa.list_(pa.int64()))],
                                   names=["doc_id", "n_shingles", "set_id", "halves"])
 
-    return docs.select("doc_id", "text").mapInArrow(compute, "doc_id long, n_shingles long, set_id binary, halves array<long>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(compute), "doc_id long, n_shingles long, set_id binary, halves array<long>")
 
 
 def candidate_links(classes: DataFrame) -> DataFrame:
@@ -95,7 +95,7 @@ def candidate_links(classes: DataFrame) -> DataFrame:
             keys_, firsts = zip(*sorted(seen))
             yield pa.record_batch([pa.array(firsts, pa.int64()), pa.array(firsts, pa.int64()), pa.array(keys_, pa.int64())], names=["a", "b", "key"])
 
-    found = store(rows.mapInArrow(star, "a long, b long, key long"))
+    found = store(rows.mapInArrow(tidy(star), "a long, b long, key long"))
     edges = found.where("key IS NOT NULL")          # two rows per partition at most
     across = edges.join(edges.groupBy("key").agg(F.min("a").alias("first")), "key").where("a <> first").select(F.col("first").alias("a"), "b")
     return found.where("key IS NULL").select("a", "b").union(across).distinct()
@@ -184,7 +184,7 @@ def confirmed(members: DataFrame, percent: int) -> DataFrame:
             yield done()
 
     grouped = members.select("grp", "rep", "shingles").repartition("grp").sortWithinPartitions("grp")
-    return grouped.mapInArrow(work, "rep long, root long")
+    return grouped.mapInArrow(tidy(work), "rep long, root long")
 
 
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -220,7 +220,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
                                       names=["rep", "component", "blocks", "block", "shingles"])
 
     chosen = docs.join(wanted, "doc_id").select("doc_id", "text", "wanted", "component", "blocks", "block")
-    members = store(chosen.mapInArrow(full, "rep long, component long, blocks long, block long, shingles binary"))
+    members = store(chosen.mapInArrow(tidy(full), "rep long, component long, blocks long, block long, shingles binary"))
 
     in_blocks = members.select(F.concat_ws(":", "component", "block").alias("grp"), "rep", "shingles")
     split = members.where("blocks > 1")

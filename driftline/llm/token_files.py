@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.sizing import shared_dir, store
-from driftline.llm.registry import only, query, ready, table
+from driftline.llm.registry import only, query, small_batches, table, tidy
 
 SEQUENCE = 2048
 END_ID = 2
@@ -222,7 +222,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     Other columns are not read. An empty table gives no shards. Runs when this is called.
     """
     spark = docs.sparkSession
-    ready(spark)
+    small_batches(spark)
     store_, base = files(folder)
     store_.create_dir(base, recursive=True)
     dtype = "uint16" if tokenizer(tokenizer_path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "uint32"
@@ -250,7 +250,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
     ordered = docs.select("doc_id", "text").repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(*order)
-    return store(ordered.mapInArrow(write, "shard long, n_docs long, n_tokens long"))
+    return store(ordered.mapInArrow(tidy(write), "shard long, n_docs long, n_tokens long"))
 
 
 def read_documents(spark: SparkSession, folder: str, shards: DataFrame) -> DataFrame:
@@ -273,7 +273,7 @@ def read_documents(spark: SparkSession, folder: str, shards: DataFrame) -> DataF
                     yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
 
     tasks = starts.select("shard", "base").repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), "shard")
-    return tasks.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, shard long")
+    return tasks.mapInArrow(tidy(read), "doc_id long, start long, n_tokens long, ids_crc32 long, shard long")
 
 
 def write_and_read(docs: DataFrame, tokenizer_path: str, folder: str | None = None) -> DataFrame:
