@@ -141,8 +141,9 @@ def recall_near(queries: DataFrame, memory: DataFrame, k: int, dim: int, compare
     ``queries`` have query_id, at and vector, ``memory`` case_id, at, vector and cause. Only cases before the query's ``at`` and with
     a cause count. No such case is lost: see ``nearest`` for what is ruled out, and for odd rows. ``compared`` is told how many pairs were not.
     """
-    asked = queries.select("query_id", F.col("at").alias("_now"), F.col("vector").cast("array<double>").alias("_q"))
-    past = memory.where("cause IS NOT NULL").select("case_id", F.col("at").alias("_then"), "cause", F.col("vector").cast("array<double>").alias("_v"))
+    vector = {d: F.col("vector") if d.schema["vector"].dataType.simpleString() == "array<float>" else F.col("vector").cast("array<double>") for d in (queries, memory)}
+    asked = queries.select("query_id", F.col("at").alias("_now"), vector[queries].alias("_q"))
+    past = memory.where("cause IS NOT NULL").select("case_id", F.col("at").alias("_then"), "cause", vector[memory].alias("_v"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "case_id"))
     return nearest(asked, past, k, dim, compared).withColumn("place", place).where(F.col("place") <= k)
 

@@ -1,10 +1,11 @@
-"""Nearest earlier vectors, all of them: pivots rule out blocks, partial products rule out pairs, what is left is compared.
+"""Nearest earlier vectors, all of them: pivots rule out blocks, short products rule out pairs, what is left is compared.
 
 Cases lie in blocks of one pivot's neighbourhood and a narrow range of angles to it, so a huge neighbourhood is many blocks. By the
 triangle inequality no case of a block is nearer to a query than the gap between the query's angle to a pivot and the block's range of angles to
-it. A first round visits the two most promising blocks of each query; the second visits only blocks that can still hold something better than
-the k-th found. Chunks of queries meet tiles of neighbouring blocks in one task, a part of all rows each, so that vectors are sent only as often as there are
-tiles, however few blocks can be ruled out. Within a block, the first coordinates in a rotated basis and the lengths of the rest bound each product from both sides.
+it. Chunks of queries meet tiles of neighbouring blocks in one task, a part of all rows each, so that vectors are sent only as often as there are
+tiles, however few blocks can be ruled out. A first round visits the tile that a query would lie in, the second all others; both only blocks that can still
+hold something better than the k-th found. Queries and cases that meet are in order of time, so later cases are not looked at, and are multiplied in
+single precision; only pairs that come within its error of the k best so far are compared in double precision.
 """
 
 from __future__ import annotations
@@ -23,14 +24,13 @@ from driftline.functions.shipping import ship
 from driftline.functions.sizing import store
 
 CASE_ROWS = 1_024                       # of a block, about
-QUERY_ROWS, TILES, MOST_ROWS = 8_192, 24, 65_536    # queries and cases that meet in one task: so many, or a part of all, or so many at most
+QUERY_ROWS, TILES, MOST_ROWS = 8_192, 12, 65_536    # queries and cases that meet in one task: so many, or a part of all, or so many at most
 MOST_BLOCKS = 65_536                    # beyond it blocks grow instead
 MOST_PIVOTS = 1_024
 REFERENCES = 8                          # pivots whose angles every block knows
-SAMPLE = 4_096                          # cases the basis is taken from
-KEPT = 0.75                             # share of squared length in the first coordinates
 SLACK = 1e-8                            # cosines are compared at nine digits
-SOME = 256                              # queries compared at a time
+SOME = 512                              # queries compared at a time
+FOUND = 1 << 18                         # pairs kept to be compared to the end
 VALUES = 1 << 20                        # of vectors that a task multiplies at a time
 
 
@@ -42,7 +42,7 @@ def whole(v, dim: int):
 def unit(column, dim: int) -> np.ndarray:
     """Vectors of an Arrow column at length 1."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    rows = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    rows = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64, copy=False)
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
@@ -67,6 +67,19 @@ def best(k: int, i: np.ndarray, place: np.ndarray, value: np.ndarray) -> np.ndar
     return order[np.arange(len(of)) - np.repeat(start, np.diff(np.r_[start, len(of)])) < k]
 
 
+def add(held: np.ndarray, top: np.ndarray, place: np.ndarray, i: np.ndarray, j: np.ndarray, value: np.ndarray) -> None:
+    """Put cases ``j`` of values ``value``, sorted by query ``i`` and at most k of each, among the k best of each query: ``held`` with values ``top``, best first."""
+    own, start, n = np.unique(i, return_index=True, return_counts=True)
+    k = held.shape[1]
+    both, values = np.full((len(own), 2 * k), -1), np.full((len(own), 2 * k), -2.0)
+    both[:, :k], values[:, :k] = held[own], top[own]
+    row = np.repeat(np.arange(len(own)), n)
+    column = k + np.arange(len(i)) - start[row]
+    both[row, column], values[row, column] = j, value
+    order = np.lexsort((place[both], -values), axis=1)[:, :k]
+    held[own], top[own] = np.take_along_axis(both, order, 1), np.take_along_axis(values, order, 1)
+
+
 def earlier(then, now) -> np.ndarray:
     """Whether each of ``then`` (columns) is known and before each of ``now`` (rows), whatever the type of both."""
     a, b = ranks(now, then)
@@ -121,20 +134,16 @@ def nearest(asked: DataFrame, past: DataFrame, k: int, dim: int, compared: Accum
     out = T.StructType([asked.schema["query_id"], past.schema["case_id"], past.schema["cause"], T.StructField("cosine", T.DoubleType())])
     if not n_past:
         return spark.createDataFrame([], out)
-    sample = past.select("_v", F.xxhash64("case_id").alias("_h")).orderBy("_h", "_v").limit(SAMPLE).select("_v").toArrow()
-    some = unit(sample.column(0), dim)
-    pivots = some[:max(1, min(MOST_PIVOTS, 2 * n_past // CASE_ROWS))]
-    _, basis = np.linalg.eigh(some.T @ some)
-    basis = basis[:, ::-1]
-    share = np.cumsum(((some @ basis) ** 2).mean(0))
-    first = int(np.searchsorted(share, KEPT * share[-1])) + 1
+    sample = past.select("_v", F.xxhash64("case_id").alias("_h")).orderBy("_h", "_v").limit(max(1, min(MOST_PIVOTS, 2 * n_past // CASE_ROWS))).select("_v").toArrow()
+    pivots = unit(sample.column(0), dim)
+    error = (dim + 8) * 2.0 ** -24 + SLACK                          # of a product in single precision, at most
 
     part = F.spark_partition_id().cast("long")
     past = laid_out(placed(past, "_v", pivots, dim), CASE_ROWS, n_past, "case_id", part * MOST_PIVOTS + F.col("_cell"), "_block")
     asked = store(asked)
     n_asked = asked.count()
     most = [max(QUERY_ROWS, min(MOST_ROWS, n // TILES)) for n in (n_asked, n_past)]
-    asked = laid_out(placed(asked, "_q", pivots, dim), most[0], n_asked, "query_id", part, "_chunk").drop("_cell", "_angles")
+    asked = laid_out(placed(asked, "_q", pivots, dim), most[0], n_asked, "query_id", part, "_chunk")
     per_tile = MOST_PIVOTS * max(1, most[1] // CASE_ROWS)               # neighbouring blocks
     width = 1 + min(REFERENCES, len(pivots))
     stats = past.groupBy("_block").agg(F.min("_cell").alias("cell"), F.min("_then").alias("then"),
@@ -157,76 +166,97 @@ def nearest(asked: DataFrame, past: DataFrame, k: int, dim: int, compared: Accum
         return bound
 
     def steps(rows: int, columns: int):
-        size = max(1, (1 << 21) // max(1, columns))
+        size = max(1, (1 << 18) // max(1, columns))
         return [slice(s, s + size) for s in range(0, rows, size)]
 
-    def foresee(batches):
-        """Each query with its two most promising blocks, -1 for none."""
-        number = blocks.value[0]
+    def settled(batches):
+        """Each query with the block it would lie in as ``_home``, in place of its cell and angles."""
+        number, cell, _, lo, _ = blocks.value
+        starts = cell + lo[:, 0] / 4                                    # angles are below 4
         for batch in batches:
-            for s in steps(batch.num_rows, len(number)):
-                own = batch.slice(s.start, s.stop - s.start)
-                bound = bounds(unit(own.column(at["_q"]), dim), own.column(at["_now"]), np.arange(len(number)))
-                two = np.argsort(bound, axis=1, kind="stable")[:, :2]
-                two = np.where(np.take_along_axis(bound, two, 1) < np.inf, number[two], -1)
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.FixedSizeListArray.from_arrays(pa.array(two.ravel()), two.shape[1]).cast(pa.list_(pa.int64()))], names=seen.names)
-
-    def wanted(vectors: np.ndarray, now, floor: np.ndarray, before: np.ndarray, own: np.ndarray, again: bool) -> np.ndarray:
-        """Which blocks ``own`` each query visits: the two most promising, or all others that may hold better than its floor."""
-        met = (before[:, :, None] == blocks.value[0][own]).any(axis=1)
-        return ~met & (bounds(vectors, now, own) <= np.arccos(np.clip(floor - SLACK, -1, 1))[:, None] + SLACK) if again else met
-
-    def given(t) -> tuple:
-        """Vectors, times, floors and blocks seen of a batch or table of queries."""
-        before = t.column("_seen")
-        before = before.combine_chunks() if isinstance(before, pa.ChunkedArray) else before
-        return unit(t.column("_q"), dim), t.column("_now"), t.column("_floor").to_numpy(zero_copy_only=False), before.flatten().to_numpy().reshape(t.num_rows, -1)
+            angle = batch.column(at["_angles"]).flatten().to_numpy().reshape(batch.num_rows, width)[:, 0]
+            home = number[np.maximum(np.searchsorted(starts, batch.column(at["_cell"]).to_numpy() + angle / 4, "right") - 1, 0)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(at[c]) for c in keep], pa.array(home)], names=[*keep, "_home"])
+
+    def reach(floor: np.ndarray) -> np.ndarray:
+        """The greatest angle of what is as good as the floor."""
+        return np.arccos(np.clip(floor - SLACK, -1, 1)) + 1e-6
 
     def meet(queries: DataFrame, again: bool) -> DataFrame:
-        """The best ``k`` of every query in each tile it visits blocks of; whole chunks of queries go to tiles, so that rows are sent as often as there are tiles."""
+        """The best ``k`` of every query in each tile it visits; whole chunks of queries go to tiles, so that rows are sent as often as there are tiles."""
 
         def visits(batches):
-            number = blocks.value[0]
+            number, to = blocks.value[0], {}
             for batch in batches:
                 for s in steps(batch.num_rows, len(number)):
                     own = batch.slice(s.start, s.stop - s.start)
-                    row, block = np.nonzero(wanted(*given(own), np.arange(len(number)), again))
-                    pairs = np.unique(np.stack([own.column("_chunk").to_numpy()[row], number[block]]), axis=1)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], names=["_c", "_b"])
+                    goes = (own.column("_home").to_numpy()[:, None] // per_tile == number // per_tile) ^ again
+                    if again:
+                        goes &= bounds(unit(own.column("_q"), dim), own.column("_now"), np.arange(len(number))) <= reach(own.column("_floor").to_numpy())[:, None]
+                    chunk = own.column("_chunk").to_numpy()
+                    for c in np.unique(chunk):
+                        to[c] = to.get(c, False) | goes[chunk == c].any(axis=0)
+            for c, of in to.items():
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(of.sum(), c)), pa.array(number[of])], names=["_c", "_b"])
 
         def compare(q: pa.Table, c: pa.Table) -> pa.Table:
-            found = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
-            if len(q) and len(c):
-                c = c.sort_by([("_block", "ascending"), ("case_id", "ascending")])
-                asks, _, floor, before = given(q)
-                cases, floor = unit(c["_v"], dim), floor.copy()
-                parts = [(x[:, :first], np.sqrt(np.maximum(0, 1 - (x[:, :first] ** 2).sum(1)))) for x in (asks @ basis, cases @ basis)]
-                (qa, qr), (ca, cr) = parts
-                now, then = ranks(q["_now"], c["_then"])
-                place, = ranks(c["case_id"])
-                numbers, starts = np.unique(c["_block"].to_numpy(), return_index=True)
-                own = np.searchsorted(blocks.value[0], numbers)
-                visit = np.concatenate([wanted(asks[s], q["_now"].slice(s.start, s.stop - s.start), floor[s], before[s], own, again) for s in steps(len(q), len(own))])
-                got = [tuple(found)]
-                for b, (x, y) in enumerate(zip(starts, np.r_[starts[1:], len(c)])):
-                    at = np.flatnonzero(visit[:, b])
-                    for s in range(0, len(at), SOME):
-                        rows = at[s:s + SOME]
-                        near, rest, may = qa[rows] @ ca[x:y].T, qr[rows, None] * cr[x:y], then[x:y] < now[rows, None]
-                        if y - x >= k:
-                            least = np.where(may, near - rest, -2.0)
-                            floor[rows] = np.maximum(floor[rows], np.partition(least, -k, axis=1)[:, -k])
-                        near += rest
-                        i, j = np.nonzero(may & (near >= floor[rows, None] - SLACK))
-                        value = np.round(products(asks, cases, rows[i], x + j), 9)
-                        if compared is not None:
-                            compared.add(len(i))
-                        kept = best(k, i, place[x + j], value)
-                        got.append((rows[i[kept]], x + j[kept], value[kept]))
-                found = [np.concatenate(x) for x in zip(*got)]
-                kept = best(k, found[0], place[found[1]], found[2])
-                found = [x[kept] for x in found]
-            i, j, value = found
+            if not len(q) or not len(c):
+                return out_of(q, c, *(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)))
+            q, c = q.sort_by("_now"), c.sort_by([("_block", "ascending"), ("_then", "ascending")])
+            asks, cases = unit(q["_q"], dim), unit(c["_v"], dim)
+            short_asks, short_cases = asks.astype(np.float32), cases.astype(np.float32)
+            now, then = ranks(q["_now"], c["_then"])
+            place, = ranks(c["case_id"])
+            floor, home = q["_floor"].to_numpy().copy(), q["_home"].to_numpy()
+            numbers, starts = np.unique(c["_block"].to_numpy(), return_index=True)
+            own = np.searchsorted(blocks.value[0], numbers)
+            bound = np.concatenate([bounds(asks[s], q["_now"].slice(s.start, s.stop - s.start), own).astype(np.float32) for s in steps(len(q), len(own))])
+            bound[(home // per_tile == numbers[0] // per_tile) == again] = np.inf       # met in the other round
+            held, top = np.full((len(q), k), -1), np.full((len(q), k), -2.0)
+            found, n_found = [], 0
+
+            def settle_found():
+                """Compare in double precision what was found, and raise the floors."""
+                nonlocal found, n_found
+                i, j = (np.concatenate(x) for x in zip(*found))
+                found, n_found = [], 0
+                value = np.round(products(asks, cases, i, j), 9)
+                if compared is not None:
+                    compared.add(len(i))
+                good = value >= floor[i]
+                i, j, value = i[good], j[good], value[good]
+                kept = best(k, i, place[j], value)
+                add(held, top, place, i[kept], j[kept], value[kept])
+                floor[i] = np.maximum(floor[i], top[i, -1])
+
+            parts = list(zip(numbers, range(len(numbers)), starts, np.r_[starts[1:], len(c)]))
+            for first, (number, b, x, y) in [(f, p) for f in ([False] if again else [True, False]) for p in parts]:
+                at = np.flatnonzero((bound[:, b] <= reach(floor)) & (bound[:, b] < np.inf) & ((home == number) == first))
+                for s in range(0, len(at), SOME):
+                    rows = at[s:s + SOME]
+                    sure, end = x + np.searchsorted(then[x:y], now[rows[[0, -1]]])      # all see cases before the one, none from the other on
+                    if end == x:
+                        continue
+                    near = short_asks[rows] @ short_cases[x:end].T
+                    if sure < end:
+                        np.copyto(near[:, sure - x:], -2, where=then[sure:end] >= now[rows, None])
+                    limit = floor[rows] - error
+                    new = np.flatnonzero(limit < -1)
+                    if len(new) and end - x >= k:
+                        limit[new] = np.partition(near[new], -k, axis=1)[:, -k] - 2 * error
+                    limit = np.maximum(limit, -1.5).astype(np.float32)
+                    some = np.flatnonzero(near.max(axis=1) >= limit)
+                    i, j = np.nonzero(near[some] >= limit[some, None])
+                    found.append((rows[some[i]], x + j))
+                    n_found += len(i)
+                    if n_found > FOUND:
+                        settle_found()
+                if n_found:
+                    settle_found()
+            i, n = np.nonzero(held >= 0)
+            return out_of(q, c, i, held[i, n], top[i, n])
+
+        def out_of(q: pa.Table, c: pa.Table, i: np.ndarray, j: np.ndarray, value: np.ndarray) -> pa.Table:
             return pa.table({"query_id": q["query_id"].take(pa.array(i)), "case_id": c["case_id"].take(pa.array(j)), "cause": c["cause"].take(pa.array(j)), "cosine": pa.array(value)})
 
         pairs = store(queries.mapInArrow(visits, "_c long, _b long").distinct()).withColumn("_tile", F.floor(F.col("_b") / per_tile))
@@ -234,11 +264,10 @@ def nearest(asked: DataFrame, past: DataFrame, k: int, dim: int, compared: Accum
         goes = queries.join(pairs.select("_c", F.col("_tile").alias("_t")).distinct(), F.col("_chunk") == F.col("_c")).drop("_c")
         return store(goes.groupBy("_chunk", "_t").cogroup(cases.groupBy("_c", "_tile")).applyInArrow(compare, out))
 
-    at = {c: asked.columns.index(c) for c in ("_q", "_now")}
-    seen = T.StructType([*asked.schema.fields, T.StructField("_seen", T.ArrayType(T.LongType()))])
-    asked = store(asked.mapInArrow(foresee, seen))
+    at, keep = {c: i for i, c in enumerate(asked.columns)}, [c for c in asked.columns if c not in ("_cell", "_angles")]
+    asked = store(asked.mapInArrow(settled, T.StructType([*[asked.schema[c] for c in keep], T.StructField("_home", T.LongType())])))
     one = meet(asked.withColumn("_floor", F.lit(-2.0)), False)
     order = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "case_id")
     floors = one.withColumn("_n", F.row_number().over(order)).where(F.col("_n") == k).select("query_id", F.col("cosine").alias("_floor"))
     again = asked.join(floors, "query_id", "left").withColumn("_floor", F.coalesce("_floor", F.lit(-2.0)))
-    return one.unionByName(meet(again, True))
+    return one.unionByName(meet(store(again.repartition("_chunk")), True))

@@ -228,6 +228,44 @@ def test_nearest_sends_vectors_once_a_tile(spark, monkeypatch):
         assert max(x.count() for x in stored if "query_id" in x.columns) <= 300 * (tiles + 1) * 2
 
 
+def test_nearest_compares_few_pairs_to_the_end_without_structure(spark):
+    """Directions without structure: all pairs are multiplied in single precision, few in double."""
+    n = 1500
+    vectors = np.random.default_rng(14).normal(size=(n, 64))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id bigint, vector array<double>")
+    queries = df.select(F.col("id").alias("query_id"), F.col("id").alias("at"), "vector")
+    memory = df.select(F.col("id").alias("case_id"), F.col("id").alias("at"), "vector", F.lit("c").alias("cause"))
+    seen = spark.sparkContext.accumulator(0)
+    got = {(r["query_id"], r["case_id"]) for r in A.recall_near(queries, memory, 3, 64, seen).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    cosine = np.round(unit @ unit.T, 9)
+    assert got == {(q, c) for q in range(n) for c in sorted(range(q), key=lambda c: (-cosine[q, c], c))[:3]}
+    assert seen.value < 0.05 * n * (n - 1) / 2
+
+
+def test_nearest_tells_apart_what_single_precision_cannot(spark, monkeypatch):
+    """Cosines that differ from the eighth digit on, equal ones, single precision input, and few found pairs kept at a time."""
+    for name, size in (("SOME", 32), ("FOUND", 16), ("CASE_ROWS", 32), ("QUERY_ROWS", 100)):
+        monkeypatch.setattr(nearest, name, size)
+    rnd = np.random.default_rng(15)
+    vectors = rnd.normal(size=(1, 16)) + rnd.normal(size=(240, 16)) * np.repeat([0, 1e-4, 3e-4], 80)[:, None]
+    for kind, values in (("double", vectors), ("float", vectors.astype(np.float32).astype(float))):
+        df = spark.createDataFrame([(i * 7 % 240, [float(x) for x in v]) for i, v in enumerate(values)], f"id bigint, vector array<{kind}>")
+        queries = df.select(F.col("id").alias("query_id"), F.col("id").alias("at"), "vector")
+        memory = df.select(F.col("id").alias("case_id"), F.col("id").alias("at"), "vector", F.lit("c").alias("cause"))
+        unit = (values / np.linalg.norm(values, axis=1, keepdims=True))[np.argsort(np.arange(240) * 7 % 240)]
+        cosine = unit @ unit.T
+        got = {}
+        for r in A.recall_near(queries, memory, 3, 16).collect():
+            got.setdefault(r["query_id"], {})[r["place"]] = (r["case_id"], r["cosine"])
+        for q in range(240):
+            want = sorted(((round(float(cosine[q, c]), 9), -c) for c in range(q)), reverse=True)[:3]
+            assert np.allclose([got[q][p][1] for p in sorted(got.get(q, {}))], [v for v, _ in want], atol=1.1e-9, rtol=0)
+            assert all(c < q and abs(cosine[q, c] - v) < 1e-9 for c, v in got.get(q, {}).values())
+            places = [(-got[q][p][1], got[q][p][0]) for p in sorted(got.get(q, {}))]
+            assert places == sorted(set(places))
+
+
 def test_beyond_the_bound_nothing_is_hinted(spark):
     df = spark.range(50)
     assert sizing.is_small(df, max_rows=50) and not sizing.is_small(df, max_rows=49)
